@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def moment(value: dt.datetime) -> Column:
+    """A zone-less timestamp constant; filters on it reach the scan."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(column: Column | str) -> Column:
     """Integer YYYYMMDD of a date or timestamp."""
     day = _col(column).cast("date")

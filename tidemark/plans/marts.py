@@ -49,7 +49,7 @@ def date_spine(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> D
     """One row per day, the end day left out."""
     last = end_exclusive - dt.timedelta(days=1)
     days = F.explode(F.sequence(F.lit(start), F.lit(last), F.expr("interval 1 day")))
-    return spark.range(1).select(days.alias("date_day"))
+    return spark.range(0, 1, 1, 1).select(days.alias("date_day"))
 
 
 def dim_date(spark: SparkSession, start: dt.date = SPINE_START, end_exclusive: dt.date = SPINE_END) -> DataFrame:

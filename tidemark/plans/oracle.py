@@ -9,6 +9,10 @@ from __future__ import annotations
 
 import re
 
+from tidemark.operators.quality import DECLARED, Check, source_checks
+from tidemark.plans.models import MARTS
+from tidemark.sources.registry import TABLES, TableSpec
+
 SHIFT = "to_days(9497)"
 
 
@@ -175,7 +179,8 @@ CTES: dict[str, str] = {
                (amount - case when leg = 1 and o_totalprice > 480000 then 0.01 else 0.00 end)::decimal(12,2) as amount,
                moment as created_at, {_meta('entry', "['c']")}
         from (select *, id * 2 + leg as entry, 0 as v
-              from (select *, unnest([0, 1]) as leg from transactions where o_orderstatus = 'F'))
+              from (select *, unnest([0, 1]) as leg from transactions
+                    where (o_orderstatus = 'F' and o_totalprice >= 2000) or (o_orderstatus = 'P' and o_totalprice > 499000)))
         where not (leg = 1 and o_totalprice > 490000)""",
     # --- staging ---
     "stg_customer": f"""
@@ -304,7 +309,137 @@ CTES: dict[str, str] = {
               from stg_purchase_bill b left join bill_payments p on b.bill_id = p.bill_id)""",
 }
 
-# --- more building blocks are added by section below ---
+CTES.update(
+    {
+        "log_user_event": """
+            select user_id, event_id, event_type, value::decimal(12,2) as value, ts,
+                   case when event_type = 'signup' then 'c' when event_type = 'error' then 'd'
+                        when event_type = 'purchase' and value >= 250 then null else 'u' end as __op,
+                   case when event_type = 'view' and value >= 250 then null else event_id end as __lsn,
+                   epoch_us(ts) // 1000 as __source_ts_ms,
+                   case event_type when 'signup' then null when 'error' then 'true' else 'false' end as __deleted,
+                   ts as arrival,
+                   (event_type = 'error' and value >= 100) as broken, (event_type = 'click' and value >= 100) as heartbeat
+            from events""",
+        "all_logs": " union all ".join(
+            f"select '{name.removeprefix('log_')}' as __table, __op from {name}"
+            for name in CTES
+            if name.startswith("log_")
+        ),
+        "check_results": """
+            select event_id as id, 'run-' || strftime(ts, '%Y-%m-%d') as run_id, ts as checked_at,
+                   case event_type when 'error' then 'connector_status' when 'view' then 'replication_slot_lag'
+                        when 'click' then 'row_count' when 'purchase' then 'table_freshness'
+                        else 'kafka_connect_reachable' end as check_name,
+                   'user-' || user_id as subject,
+                   case when value >= 100 then 'fail' when value >= 50 then 'warn' else 'ok' end as status,
+                   case when event_type = 'view' and value < 1 then null else value end as value, props as detail
+            from events""",
+        "latest_checks": """
+            select * from check_results
+            where run_id = (select run_id from check_results order by checked_at desc, id desc limit 1)""",
+        "user_bounds": """
+            select a, b, b - (b - a + 1) // 3 + 1 as gone from (select min(user_id) as a, max(user_id) as b from events)""",
+        "user_state": _state("log_user_event", "user_id"),
+        "merge_newest": """
+            select *, (__op = 'd') or coalesce(__deleted = 'true', false) as is_deleted from log_user_event
+            qualify row_number() over (partition by user_id order by __lsn desc nulls last, __source_ts_ms desc nulls last) = 1""",
+        "metric_samples": """
+            select metric, ts, value * case metric when 'IncomingRecords' then 0.02::double
+                when 'WriteProvisionedThroughputExceeded' then 1::double
+                when 'GetRecords.IteratorAgeMilliseconds' then 500000::double
+                when 'OldestReplicationSlotLag' then 50000000::double when 'FreeStorageSpace' then 200000000::double
+                when 'UsageLimitConsumed' then 0.1::double else 1::double end as value
+            from (select ts, value, unnest(case event_type
+                when 'signup' then ['OldestReplicationSlotLag', 'FreeStorageSpace']
+                when 'purchase' then ['GetRecords.IteratorAgeMilliseconds', 'UsageLimitConsumed']
+                when 'click' then ['IncomingRecords'] when 'error' then ['WriteProvisionedThroughputExceeded']
+                else ['GetRecords.Success'] end) as metric from events)""",
+        "alarm_specs": """
+            select * from (values
+                ('source-silent', 'IncomingRecords', 'sum', 300, 2, '<', 1.0::double, true),
+                ('write-throttled', 'WriteProvisionedThroughputExceeded', 'sum', 300, 1, '>', 0.0::double, false),
+                ('not-consumed', 'GetRecords.Success', 'count', 21600, 1, '<', 1.0::double, true),
+                ('iterator-age', 'GetRecords.IteratorAgeMilliseconds', 'max', 300, 1, '>', 43200000.0::double, false),
+                ('slot-lag', 'OldestReplicationSlotLag', 'max', 300, 1, '>', 5368709120.0::double, false),
+                ('low-storage', 'FreeStorageSpace', 'min', 300, 1, '<', 4294967296.0::double, false),
+                ('usage-limit', 'UsageLimitConsumed', 'max', 300, 1, '>', 12.8::double, false)
+            ) as t(alarm, metric, statistic, period, needed, comparison, threshold, missing_breaches)""",
+        "alarm_seen": """
+            select alarm, (date_diff('second', timestamp '2024-01-01', date_trunc('second', ts)) // period)::bigint as slot,
+                   case any_value(statistic) when 'sum' then sum(value) when 'max' then max(value)
+                        when 'min' then min(value) else count(value)::double end as value
+            from metric_samples join alarm_specs using (metric)
+            where ts >= timestamp '2024-01-01' and ts < timestamp '2024-01-31' group by 1, 2""",
+        "alarm_periods": """
+            select s.alarm, s.slot, s.period, s.needed, seen.value,
+                   case when seen.value is null then missing_breaches
+                        when comparison = '<' then seen.value < threshold else seen.value > threshold end as breaching
+            from (select *, unnest(range(0, 2592000 // period)) as slot from alarm_specs) s
+            left join alarm_seen seen on s.alarm = seen.alarm and s.slot = seen.slot""",
+        "paid_invoices": """
+            select invoice_id * 2 as transaction_id, 'Invoice Payment' as transaction_type, 'Posted' as status,
+                   (total_sum + tax_amount)::decimal(12,2) as amount, invoice_id, null::bigint as bill_id,
+                   'Payment of invoice ' || invoice_id as description, invoice_date + to_days(3) as transaction_date,
+                   customer_id + 2 as from_account, 1::bigint as to_account
+            from stg_sales_invoice where status = 'Paid'""",
+        "paid_bills": """
+            select bill_id * 2 + 1 as transaction_id, 'Bill Payment' as transaction_type, 'Posted' as status,
+                   paid_amount::decimal(12,2) as amount, null::bigint as invoice_id, bill_id,
+                   'Payment of bill ' || bill_id as description, bill_date + to_days(5) as transaction_date,
+                   1::bigint as from_account, supplier_id + 1000000000 as to_account
+            from stg_purchase_bill where paid_amount > 0""",
+        "payments": "select * from paid_invoices union all select * from paid_bills",
+        "sample_lines": """
+            select l_orderkey, l_linenumber, l_partkey as product_id, l_quantity::integer as quantity,
+                   l_extendedprice::decimal(10,2) as unit_price,
+                   case when l_discount > 0 then (l_discount::decimal(10,2) * 100)::decimal(10,2) end as discount,
+                   l_returnflag, l_shipdate
+            from lineitem""",
+        "sample_products": "select p_partkey as product_id, p_retailprice::decimal(10,2) as unit_price from part",
+    }
+)
+
+
+def _check_sql(check: Check) -> str:
+    """One report row of a declared check."""
+    c, m = check.column, check.model
+    if check.kind == "not_null":
+        failures = f"select count(*) from {m} where {c} is null"
+    elif check.kind == "unique":
+        failures = f"select count(*) from (select {c} from {m} where {c} is not null group by {c} having count(*) > 1)"
+    elif check.kind == "accepted_values":
+        values = ", ".join(str(v).lower() if isinstance(v, bool) else repr(v) for v in check.values)
+        failures = f"select count(distinct {c}) from {m} where {c} not in ({values})"
+    else:
+        failures = (
+            f"select count(*) from {m} where {c} is not null and {c} not in "
+            f"(select {check.to[1]} from {check.to[0]} where {check.to[1]} is not null)"
+        )
+    bad = "warn" if check.severity == "warn" else "fail"
+    return (
+        f"select '{m}' as model, '{c}' as column_name, '{check.kind}' as check_name, failures, "
+        f"'{check.severity}' as severity, case when failures = 0 then 'pass' else '{bad}' end as status "
+        f"from (select ({failures}) as failures)"
+    )
+
+
+def _checks_sql(checks) -> str:
+    return " union all ".join(_check_sql(c) for c in checks)
+
+
+def _constraints_sql(spec: TableSpec) -> str:
+    """Rows of a source table, before cleaning, with the rules they break."""
+    cases = ", ".join(
+        f"case when not ({rule.replace(' rlike ', ' similar to ')}) then '{name}' end"
+        for name, rule in spec.constraints.items()
+    )
+    state = _state(f"log_{spec.name}", spec.primary_key)
+    return (
+        f"select * from (select '{spec.name}' as table_name, {spec.primary_key} as key, "
+        f"concat_ws(',', {cases}) as failed from ({state})) where failed <> ''"
+    )
+
 
 _WORD = re.compile(r"[a-z_][a-z_0-9]*")
 
@@ -324,13 +459,469 @@ def compose(body: str) -> str:
     if not ordered:
         return body.strip()
     blocks = ",\n".join(f"{name} as ({CTES[name].strip()})" for name in ordered)
-    return f"with {blocks}\n{body.strip()}"
+    own = body.strip()
+    return f"with {blocks},\n{own.removeprefix('with ')}" if own.startswith("with ") else f"with {blocks}\n{own}"
+
+
+def _by_kind(kind: str) -> str:
+    return _checks_sql(c for c in DECLARED if c.kind == kind)
+
+
+_STAMPED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
+_UNSTAMPED = ("customer", "part")
+_USERS = "user_id, event_id, event_type, value, ts"
+_SERIES = (
+    "select checked_at as time, subject as metric, value from check_results where check_name = '{}' "
+    "and value is not null and checked_at between timestamp '2024-01-01' and timestamp '2024-02-01'"
+)
+
+_BODIES: dict[str, str] = {
+    # --- sources, landing, extraction ---
+    "landing_parse": """
+        select ts as approximate_arrival_timestamp, case when not heartbeat then event_id end as event_id,
+               case when not heartbeat then value end as value, case when not heartbeat then __op end as __op,
+               case when not heartbeat then 'user_event' end as __table
+        from log_user_event where not broken""",
+    "landing_refresh": """
+        select case when not heartbeat then 'user_event' end as __table, case when not heartbeat then __op end as __op,
+               count(*) as events, 0::bigint as second_drain_rows
+        from log_user_event where not broken group by 1, 2""",
+    "heartbeat_filter": """
+        select 'user_event' as __table, __op, count(*) as events
+        from log_user_event where not broken and not heartbeat group by 2""",
+    "envelope_flatten": """
+        select ts as approximate_arrival_timestamp, user_id, event_id, event_type, value::varchar as value,
+               epoch_us(ts) // 1000 as ts, __op, 'user_event' as __table, __lsn, __source_ts_ms,
+               case when __op = 'd' then 'true' else 'false' end as __deleted
+        from log_user_event""",
+    "route_fan_in": "select __table, __op, count(*) as events from all_logs group by 1, 2",
+    "route_fan_out": "select * from stg_product",
+    "snapshot_tail_log": """
+        select 'r' as __op, count(*) as events from customer union all
+        select case when o_orderstatus = 'F' and o_orderpriority = '5-LOW' then 'd' else 'u' end, count(*)
+        from orders group by 1""",
+    "snapshot_plus_tail": """
+        select customer_id, segment, balance, __op from (
+            select c_custkey as customer_id, c_mktsegment as segment, c_acctbal::decimal(12,2) as balance, 'r' as __op, 0 as n
+            from customer union all
+            select o_custkey, o_orderpriority, o_totalprice::decimal(12,2),
+                   case when o_orderstatus = 'F' and o_orderpriority = '5-LOW' then 'd' else 'u' end, o_orderkey + 1
+            from orders
+        ) qualify row_number() over (partition by customer_id order by n desc) = 1 and __op <> 'd'""",
+    "landing_typed": """
+        select invoice_id, customer_id, invoice_date, total_sum, tax_amount, status, created_at,
+               make_timestamp_ms(__source_ts_ms) as updated_at, __op, 'sales_invoice' as __table, __lsn,
+               __source_ts_ms, __deleted
+        from log_sales_invoice""",
+    "schema_evolution": """
+        select product_id, unit_price::varchar as unit_price, case when __op <> 'c' then description end as description,
+               __op, null::varchar as note from log_product
+        union all select product_id, null, null, null, 'removed' from log_product where __op = 'd'""",
+    "change_stream": """
+        select count(*) as delivered, count(distinct event_id) as distinct_events,
+               count(*) filter (where ts < timestamp '2024-01-15') as first_read,
+               count(*) filter (where ts >= timestamp '2024-01-15') as second_read, 0::bigint as third_read
+        from events""",
+    "extract_first_run": """
+        select o_orderkey as invoice_id, o_custkey as customer_id, o_totalprice as total_sum, o_orderdate as updated_at
+        from orders where o_orderdate <= timestamp '2000-01-01'""",
+    "extract_incremental": """
+        select o_orderkey as invoice_id, o_custkey as customer_id, o_totalprice as total_sum, o_orderdate as updated_at
+        from orders where o_orderdate > timestamp '1997-12-31 23:55:00' and o_orderdate <= timestamp '2000-01-01'""",
+    "conform_schema": """
+        select o_orderkey as invoice_id, o_custkey as customer_id, null::timestamp as invoice_date,
+               o_totalprice::decimal(10,2) as total_sum, null::decimal(10,2) as tax_amount, o_orderstatus as status,
+               null::timestamp as created_at
+        from orders""",
+    "checkpoint_read": """
+        select t as source_table, cutoff as successful_cutoff, cutoff is null as first_run from (
+            select 'orders' as t, max(o_orderdate) as cutoff from orders union all
+            select 'lineitem', max(l_shipdate) from lineitem union all
+            select 'events', max(ts) from events union all select 'customer', null)""",
+    "checkpoint_upsert": """
+        select 'users' as source_table, timestamp '2024-02-01' as successful_cutoff,
+               count(*) filter (where b > timestamp '2024-01-14 23:55:00') as extracted_row_count,
+               count(*) filter (where a is null) as inserted_row_count, count(*) filter (where b > a) as updated_row_count,
+               timestamp '2024-02-01' as ingested_at
+        from (select user_id, max(ts) as b, max(ts) filter (where ts <= timestamp '2024-01-15') as a from events group by 1)
+        union all select 'orders', timestamp '2024-02-01', 0, 0, 0, timestamp '2024-02-01'""",
+    "extracted_state": """
+        select user_id, event_id, event_type, value::decimal(12,2) as value, ts as updated_at from events
+        qualify row_number() over (partition by user_id order by ts desc) = 1""",
+    "multi_table_counts": "select "
+    + ", ".join(
+        f"(select count(*) from {t}) as {t}"
+        for t in (
+            "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+            "labels conversations"
+        ).split()
+    ),
+    "schema_preflight": """
+        select 'customer' as table_name, count(*) as row_count from customer
+        union all select 'part', count(*) from part union all select 'supplier_contract', null""",
+    "schema_columns_by_table": " union all ".join(
+        f"select '{t}' as table_name, {flag} as has_updated_at, count(*) as row_count from {t}"
+        for t, flag in [(t, "true") for t, _ in _STAMPED] + [(t, "false") for t in _UNSTAMPED]
+    ),
+    "backfill_column": """
+        select 'orders' as table_name, o_orderkey as id,
+               case when o_orderstatus = 'P' then timestamp '2002-01-01' else o_orderdate end as updated_at from orders
+        union all select 'customer', c_custkey, timestamp '2002-01-01' from customer""",
+    "mart_materialize": " union all ".join(
+        f"select '{m}' as model, count(*) as row_count from {m}" for m in MARTS
+    ),
+    "results_retention": """
+        select id, run_id, checked_at, check_name, subject, status, value
+        from check_results where checked_at >= timestamp '2024-01-25'""",
+    "payload_decode": """
+        select item_id, invoice_id, product_id, quantity, unit_price, discount, created_at, __op, __lsn,
+               __source_ts_ms, __deleted, 'sales_invoice_item' as __table
+        from log_sales_invoice_item""",
+    # --- newest per key, merges, streams ---
+    "latest_per_key": """
+        select item_id, product_id, unit_price::varchar as unit_price, __op, __lsn from log_sales_invoice_item
+        qualify row_number() over (partition by item_id order by __lsn desc, __source_ts_ms desc, arrival desc) = 1""",
+    "current_state": """
+        select user_id, event_id, event_type, value, date_trunc('milliseconds', ts) as ts from (
+            select * from log_user_event where not broken and not heartbeat
+            qualify row_number() over (partition by user_id order by __lsn desc nulls first,
+                __source_ts_ms desc nulls first, arrival desc nulls first) = 1)
+        where coalesce(__deleted, 'false') <> 'true'""",
+    "merge_source_dedup": "select user_id, event_id, event_type, value, is_deleted from merge_newest",
+    "merge_changes": f"""
+        with halves as (
+            select *, ts >= timestamp '2024-01-15' as late,
+                   (__op = 'd') or coalesce(__deleted = 'true', false) as is_deleted from log_user_event
+            qualify row_number() over (partition by user_id, ts >= timestamp '2024-01-15'
+                order by __lsn desc nulls last, __source_ts_ms desc nulls last) = 1)
+        select {_USERS} from (select * from halves where is_deleted is not null
+            qualify row_number() over (partition by user_id order by late desc) = 1) where not is_deleted""",
+    "upsert_source_dedup": """
+        select user_id, event_id, event_type, value::decimal(12,2) as value, ts as updated_at from events
+        qualify row_number() over (partition by user_id order by ts desc) = 1""",
+    "upsert_counts": """
+        select count(*) filter (where a is null) as inserted_row_count, count(*) filter (where b > a) as updated_row_count
+        from (select user_id, max(ts) filter (where ts > timestamp '2024-01-13') as b,
+                     max(ts) filter (where ts <= timestamp '2024-01-15') as a from events group by 1)
+        where b is not null""",
+    "apply_mutations": """
+        with span as (select min(c_custkey) as a, max(c_custkey) as b, (max(c_custkey) - min(c_custkey) + 1) // 3 as t from customer),
+        kept as (
+            select c_custkey as customer_id, case when c_custkey < a + t then 'UPDATED' else c_mktsegment end as first_name,
+                   case when c_custkey < a + t then timestamp '2024-02-01' end as updated_at, a, b, t
+            from customer, span where not c_custkey between a + t and a + 2 * t - 1)
+        select customer_id, first_name, updated_at from kept
+        union all select customer_id + (b - a + 1), first_name, updated_at from kept where customer_id >= a + 2 * t""",
+    "late_event_replay": f"""
+        select {_USERS} from (select * from log_user_event qualify row_number() over (partition by user_id
+            order by __lsn desc nulls first, __source_ts_ms desc nulls first, arrival asc) = 1)
+        where coalesce(__deleted, 'false') <> 'true'""",
+    "merge_stream_guarded": f"""
+        with halves as (
+            select *, (__op = 'd') or coalesce(__deleted = 'true', false) as is_deleted from log_user_event
+            qualify row_number() over (partition by user_id, ts >= timestamp '2024-01-15'
+                order by __lsn desc nulls last, __source_ts_ms desc nulls last) = 1)
+        select {_USERS} from (select * from halves where is_deleted is not null
+            qualify row_number() over (partition by user_id order by __lsn desc nulls last,
+                __source_ts_ms desc nulls last) = 1) where not is_deleted""",
+    "stream_current_state": f"select {_USERS} from user_state",
+    "replay_equivalence": """
+        select count(*) as streamed_rows, count(*) as equal_rows from (
+            select * from log_user_event where __op is not null or __deleted = 'true'
+            qualify row_number() over (partition by user_id order by __lsn desc nulls last, __source_ts_ms desc nulls last) = 1)
+        where __op <> 'd'""",
+    "retention_gap": """
+        select coalesce(l.__table, a.__table) as __table, newest_landed_lsn, oldest_available_lsn,
+               coalesce(oldest_available_lsn > newest_landed_lsn, false) as is_gap_possible
+        from (select event_type as __table, max(__lsn) as newest_landed_lsn from log_user_event
+              where ts < timestamp '2024-01-15' group by 1) l
+        full join (select event_type as __table, min(__lsn) as oldest_available_lsn from log_user_event
+                   where ts >= timestamp '2024-01-30' group by 1) a on l.__table = a.__table""",
+    "alarm_silent": """
+        select timestamp '2024-01-01' + to_seconds(slot * 300) as period_start
+        from (select unnest(range(0, 8640)) as slot)
+        where slot not in (select date_diff('second', timestamp '2024-01-01', date_trunc('second', ts)) // 300 from events
+                           where ts < timestamp '2024-01-31')""",
+    "alarm_eval": """
+        select alarm, timestamp '2024-01-01' + to_seconds(slot * period) as period_start, round(value, 4) as value, breaching,
+               case when breaching and (needed = 1 or coalesce(before, false)) then 'ALARM' else 'OK' end as state
+        from (select *, lag(breaching) over (partition by alarm order by slot) as before from alarm_periods)""",
+    "metric_series": """
+        select metric, 'stream' as subject, time_bucket(interval '5 minutes', ts) as period_start,
+               round(sum(value), 4) as sum_value, max(value) as max_value, min(value) as min_value, count(value) as sample_count
+        from metric_samples group by 1, 3""",
+    # --- marts: parts, KPIs, invariants ---
+    "payments_posted": """
+        select 'Invoice Payment' as transaction_type, invoice_id as document_id, paid::decimal(22,2) as paid from invoice_payments
+        union all select 'Bill Payment', bill_id, paid::decimal(22,2) from bill_payments""",
+    "transaction_flags": """
+        select transaction_id, status, transaction_type, is_reversed, is_successful from fct_transactions""",
+    "ledger_legs_pivot": "select * from ledger_legs_pivot",
+    "ledger_entry_stats": "select * from entry_stats",
+    "ledger_balance_violations": """
+        select t.transaction_id, t.status, t.amount, e.entry_count, e.debit_total, e.credit_total
+        from stg_financial_transaction t left join entry_stats e on t.transaction_id = e.transaction_id
+        where case when t.status in ('Posted', 'Reversed')
+              then e.entry_count is null or e.entry_count <> 2 or e.debit_count <> 1
+                   or e.debit_total <> t.amount or e.credit_total <> t.amount
+              else e.entry_count is not null end""",
+    "ledger_sum_zero": """
+        select sum(signed_amount)::decimal(22,2) as net_total from stg_ledger_entry having sum(signed_amount) <> 0""",
+    "unbalanced_transactions": "select * from entry_stats where debit_total <> credit_total or entry_count < 2",
+    "posted_iff_entries": """
+        select transaction_id, status from stg_financial_transaction t
+        where (status in ('Posted', 'Reversed')) <> exists (
+            select 1 from stg_ledger_entry e where e.transaction_id = t.transaction_id)""",
+    "negative_balances": """
+        select account_id, sum(signed_amount)::decimal(22,2) as balance, any_value(account_type) as account_type
+        from stg_ledger_entry join stg_account using (account_id) where account_type <> 'Clearing'
+        group by account_id having sum(signed_amount) < 0""",
+    "sales_by_month": """
+        select year, month_number, month_name, sum(net_amount)::decimal(36,2) as net_amount, count(*) as line_count
+        from fact_sales join dim_date on invoice_date_key = date_key group by 1, 2, 3""",
+    "dim_date": """
+        select d.*, count(e.event_id) as event_count
+        from dim_date d left join events e on d.date_day = e.ts::date group by all""",
+    "kpi_failure_rate": """
+        select count(*) filter (where status = 'Failed') as failed, count(*) filter (where status <> 'Pending') as decided,
+               count(*) filter (where status = 'Failed') / count(*) filter (where status <> 'Pending') as failure_rate
+        from fct_transactions""",
+    "kpi_net_activity": """
+        select transaction_type, sum(amount)::decimal(22,2) as net_amount, count(*) as transaction_count
+        from fct_transactions where status = 'Posted' and transaction_type <> 'Reversal' group by 1""",
+    "kpi_card_spend": """
+        select card_id, sum(amount)::decimal(22,2) as card_spend, count(*) as payment_count
+        from fct_transactions where status = 'Posted' and transaction_type = 'Card Payment' group by 1""",
+    "reversal_links": """
+        select r.transaction_id as reversal_id, r.reverses_transaction_id as original_id, o.status as original_status,
+               r.amount = o.amount as amounts_match
+        from stg_financial_transaction r left join stg_financial_transaction o on r.reverses_transaction_id = o.transaction_id
+        where r.reverses_transaction_id is not null""",
+    # --- quality ---
+    "dq_not_null": _by_kind("not_null"),
+    "dq_unique": _by_kind("unique"),
+    "dq_accepted_values": _by_kind("accepted_values"),
+    "dq_relationships": _by_kind("relationships"),
+    "dq_report": f"""
+        select check_name, severity, status, count(*) as checks, sum(failures)::bigint as failures
+        from ({_checks_sql(DECLARED)}) group by 1, 2, 3""",
+    "source_rules": _checks_sql(source_checks()),
+    "check_constraints": " union all ".join(_constraints_sql(s) for s in TABLES.values() if s.constraints),
+    # --- health ---
+    "connector_status": """
+        with parts as (
+            select event_id, event_id % 4 as n, case when event_type = 'view' then 'PAUSED' else 'RUNNING' end as state,
+                   event_type = 'error' and event_id % 4 > 0 as failed,
+                   'Error: value ' || value::decimal(12,2) || case when value > 50 then repeat('x', 600) else '' end as trace
+            from events),
+        detailed as (
+            select *, 'connector=' || state || case when n = 0 then '; no tasks' else
+                   '; ' || array_to_string(list_transform(range(0, n), lambda i:
+                       'task ' || i || '=' || case when failed and i = 0 then 'FAILED' else state end), '; ') end
+                   || case when failed then ' | ' || trace else '' end as full_text from parts)
+        select 'connector_status' as check_name, 'connector-' || event_id as subject,
+               case when n = 0 or failed then 'fail' when state = 'RUNNING' then 'ok' else 'warn' end as status,
+               case when n > 0 and not failed and state = 'RUNNING' then 1.0 else 0.0 end::double as value,
+               case when length(full_text) <= 500 then full_text else full_text[1:497] || '...' end as detail
+        from detailed
+        union all select 'connector_status', unnest(['source', 'sink']), 'fail', 0.0, 'connector is not registered'
+        union all select 'kafka_connect_reachable', 'kafka-connect', 'ok', 1.0, null""",
+    "slot_lag_status": """
+        select 'replication_slot_lag' as check_name, name as subject,
+               case when lag is null or not active then 'fail' when lag > 1000000 then 'warn' else 'ok' end as status,
+               lag as value,
+               case when lag is null then 'slot has no LSN (invalidated?)'
+                    when not active then 'slot is inactive; PostgreSQL retains WAL until it is consumed'
+                    when lag > 1000000 then 'lag exceeds 1000000 bytes' end as detail
+        from (select 'slot-' || event_id as name, event_type <> 'error' as active,
+                     case when event_type = 'view' and value < 1 then null else value * 10000 end as lag from events)""",
+    "row_count_check": " union all ".join(
+        f"select 'row_count' as check_name, '{t}' as subject, 'ok' as status, count(*)::double as value, "
+        f"null::varchar as detail from {t}"
+        for t in [t for t, _ in _STAMPED] + list(_UNSTAMPED)
+    )
+    + " union all select 'row_count', 'supplier_contract', 'fail', null, 'table source.supplier_contract not found'",
+    "table_freshness": " union all ".join(
+        f"select 'table_freshness' as check_name, '{t}' as subject, case when age > 172800 then 'warn' else 'ok' end as status, "
+        f"age as value, case when age > 172800 then 'no update for more than 172800 seconds' end as detail from "
+        f"(select (epoch_us(timestamp '2024-02-01') - epoch_us(max({c}))) / 1e6 as age from {t})"
+        for t, c in _STAMPED
+    )
+    + "".join(
+        f" union all select 'table_freshness', '{t}', 'warn', null, 'updated_at column missing; add it and fill it'"
+        for t in _UNSTAMPED
+    ),
+    "health_summary": """
+        select s as status, count(id) as checks from (select unnest(['ok', 'warn', 'fail']) as s)
+        left join check_results on status = s group by 1""",
+    "health_run_age": """
+        select (epoch_us(timestamp '2024-02-01') - epoch_us(max(checked_at))) / 1e6 as seconds from check_results""",
+    "health_failing_latest": """
+        select count(*) filter (where status = 'fail') as failing, count(*) filter (where status = 'warn') as warnings
+        from latest_checks""",
+    "health_source_rows": """
+        select round(sum(value), 4) as source_rows from latest_checks where check_name = 'row_count'""",
+    "health_connectors": """
+        select subject, status, detail from latest_checks
+        where check_name in ('kafka_connect_reachable', 'connector_status')""",
+    "health_lag_series": _SERIES.format("replication_slot_lag"),
+    "health_rows_series": _SERIES.format("row_count"),
+    "health_rows_latest": "select subject, value from latest_checks where check_name = 'row_count'",
+    "health_freshness_latest": """
+        select subject, value, status, detail from latest_checks where check_name = 'table_freshness'""",
+    "health_recent_issues": """
+        select checked_at, check_name, subject, status, detail from check_results
+        where status <> 'ok' order by checked_at desc, id desc limit 200""",
+    "health_thresholds": """
+        with age as (select (epoch_us(timestamp '2024-02-01') - epoch_us(max(checked_at))) / 1e6 as v from check_results)
+        select 'age' as panel, v as value, case when v >= 900 then 'red' else 'green' end as level from age
+        union all select 'failing', count(*)::double, case when count(*) >= 1 then 'red' else 'green' end
+                  from latest_checks where status = 'fail'
+        union all select 'warnings', count(*)::double, case when count(*) >= 1 then 'yellow' else 'green' end
+                  from latest_checks where status = 'warn'""",
+    # --- reconciliation ---
+    "op_counts": "select coalesce(__op, '<NULL>') as operation, count(*) as event_count from log_user_event group by 1",
+    "op_count_delta": """
+        select coalesce(__op, '<NULL>') as operation, count(*) filter (where ts >= timestamp '2024-01-15') as delta
+        from log_user_event group by 1""",
+    "present_ids": "select user_id from user_state",
+    "missing_ids": """
+        select user_id from (select unnest(range(a, b + 1)) as user_id from user_bounds)
+        where user_id not in (select user_id from user_state)""",
+    "missing_ids_sample": """
+        select user_id from (select unnest(range(a, b + 1)) as user_id from user_bounds)
+        where user_id not in (select user_id from user_state) order by 1 limit 25""",
+    "reconcile_snapshot": "select * from user_snapshot",
+    "survivor_equality": """
+        select missing_surviving_count as missing, deleted_records_remaining as unexpected,
+               missing_surviving_count = 0 and deleted_records_remaining = 0 as is_equal from user_snapshot""",
+    "reconcile_report": "select * from user_assertions",
+    "reconcile_status": """
+        select count(*) as assertions, count(*) filter (where not passed) as failed,
+               case when bool_and(passed) then 'PASSED' else 'FAILED' end as status from user_assertions""",
+    "load_throughput": """
+        select event_type, round(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6), 9) as events_per_second
+        from events group by 1""",
+    "convergence": """
+        select 'insert' as phase, total_records = 150 and distinct_ids = 150 and missing_count = 0
+               and duplicate_primary_keys = 0 as complete from user_snapshot
+        union all select 'mixed', total_records = 100 and distinct_ids = 100 and duplicate_primary_keys = 0
+               and updated_records = 25 and deleted_records_remaining = 0 and missing_surviving_count = 0 from user_snapshot""",
+    "ordered_distinct": "select user_id, min(event_id) as first_position from events group by 1",
+    # --- scalar functions ---
+    "normalize_strings": """
+        select customer_id, __lsn, trim(first_name) as first_name, lower(trim(email)) as email,
+               upper(trim(email)) as email_upper from log_customer""",
+    "discounted_price": """
+        select l_orderkey, l_linenumber, unit_price,
+               (unit_price * quantity * (1 - coalesce(discount, 0)::decimal(5,2) * 0.01::decimal(4,2)))::decimal(16,2) as net
+        from sample_lines""",
+    "tax_price": """
+        select o_orderkey, (o_totalprice::decimal(10,2) + round(o_totalprice::decimal(10,2) * 0.20, 2))::decimal(17,2) as with_tax
+        from orders""",
+    "signed_quantity": """
+        select l_orderkey, l_linenumber, unit_price,
+               case l_returnflag when 'R' then quantity when 'A' then -quantity else 0 end as signed_quantity
+        from sample_lines""",
+    "signed_amount": """
+        select o_orderkey, (case when o_orderstatus = 'F' then 1 else -1 end * o_totalprice::decimal(12,2))::decimal(12,2) as signed_amount
+        from orders""",
+    "epoch_ms": """
+        select event_id, epoch_us(ts) // 1000 as ms, date_trunc('milliseconds', ts) as ts_ms from events""",
+    "date_key": f"""
+        select {date_key('l_shipdate')} as ship_date_key, count(*) as line_count from lineitem group by 1""",
+    "delete_flag": """
+        select event_id, (__op = 'd') or event_type in ('signup', 'view') as is_deleted from log_user_event""",
+    "status_rule": """
+        select o_orderkey, case when o_orderkey % 7 = 0 then 'Cancelled' when o_orderkey % 5 = 0 then 'Overdue'
+               when o_orderkey % 3 = 0 then 'Paid' else 'Pending' end as status from orders""",
+    "due_dates": """
+        select o_orderkey, timestamp '2025-09-01 10:00:00' + to_days(((o_custkey % 50) * 7)::integer) as invoice_date,
+               o_orderdate + to_days(3) as due_date from orders""",
+    # --- derived documents ---
+    "priced_lines": """
+        select product_id, l_orderkey, l_linenumber, quantity, l_shipdate, round(p.unit_price * 0.58, 2)::decimal(10,2) as unit_price
+        from (select * exclude (unit_price) from sample_lines) join sample_products p using (product_id)""",
+    "invoice_totals": """
+        select l_orderkey, round(s, 2)::decimal(18,2) as total_sum, round(s * 0.20, 2)::decimal(18,2) as tax_amount
+        from (select l_orderkey, sum(p.unit_price * l.quantity - case when l.discount > 5 then 2.50 else 0.00 end) as s
+              from sample_lines l join sample_products p on l.product_id = p.product_id group by 1)""",
+    "bill_totals": """
+        select o_orderkey, round(s, 2)::decimal(18,2) as total_sum, round(s * 0.20, 2)::decimal(18,2) as tax_amount
+        from (select o_orderkey, a.unit_price as pa, b.unit_price as pb,
+                     round(a.unit_price * 0.58, 2) * (o_orderkey % 11 + 10)
+                     + round(b.unit_price * 0.62, 2) * ((o_orderkey + 3) % 7 + 8) as s
+              from orders join sample_products a on a.product_id = (o_orderkey + 2) % 20 + 1
+              join sample_products b on b.product_id = (o_orderkey + 10) % 20 + 1)""",
+    "lateral_agg": """
+        select o_orderkey, count(l.quantity) as line_count, sum(l.unit_price * l.quantity)::decimal(18,2) as subtotal
+        from orders left join sample_lines l on l_orderkey = o_orderkey group by 1""",
+    "scalar_subquery": """
+        select l_orderkey, l_linenumber, l.product_id, quantity, l.unit_price, p.unit_price as list_price
+        from sample_lines l left join sample_products p on p.product_id = l.product_id""",
+    "derive_movements": """
+        select item_id * 2 as movement_id, product_id, 'IN' as movement_type, quantity,
+               bill_date + to_hours(2) as movement_date, bill_date + to_minutes(125) as created_at
+        from stg_purchase_bill_item join (select bill_id, bill_date from stg_purchase_bill) using (bill_id)
+        union all
+        select item_id * 2 + 1, product_id, 'OUT', quantity, invoice_date + to_hours(2), invoice_date + to_minutes(125)
+        from stg_sales_invoice_item join (select invoice_id, invoice_date from stg_sales_invoice) using (invoice_id)""",
+    "derive_accounts": """
+        select customer_id + 2 as account_id, 'ACC-' || lpad((customer_id + 2)::varchar, 8, '0') as account_number,
+               customer_id, null::bigint as supplier_id, 'Checking' as account_type, created_at as opened_at, created_at
+        from stg_customer union all
+        select supplier_id + 1000000000, 'ACC-' || (supplier_id + 1000000000), null, supplier_id, 'Business', created_at, created_at
+        from stg_supplier""",
+    "derive_cards": """
+        select customer_id as card_id, customer_id + 2 as account_id, 'Debit' as card_type,
+               case when customer_id % 2 = 0 then 'Mastercard' else 'Visa' end as brand,
+               lpad((customer_id * 1373 % 10000)::varchar, 4, '0') as last4,
+               ((customer_id - 1) % 12 + 1)::smallint as expiry_month, 2028::smallint as expiry_year,
+               created_at + to_days(1) as created_at
+        from stg_customer""",
+    "derive_payments": "select * from payments",
+    "ledger_legs": """
+        select transaction_id, from_account as account_id, 'Debit' as direction, amount, transaction_date as created_at from payments
+        union all select transaction_id, to_account, 'Credit', amount, transaction_date from payments""",
+    "reversal_entries": """
+        with large as (select *, transaction_type = 'Invoice Payment' and amount > 300000 as hit from payments)
+        select transaction_id, from_account as account_id, 'Debit' as direction, amount from large where not hit
+        union all select transaction_id, to_account, 'Credit', amount from large where not hit
+        union all select transaction_id + 10000000000, to_account, 'Debit', amount from large where hit
+        union all select transaction_id + 10000000000, from_account, 'Credit', amount from large where hit""",
+}
+_BODIES["upsert_newer"] = _BODIES["extracted_state"]
+_BODIES["merge_stream"] = _BODIES["merge_changes"]
 
+CTES["entry_stats"] = """
+    select transaction_id, count(*) as entry_count, count(*) filter (where direction = 'Debit') as debit_count,
+           coalesce(sum(amount) filter (where direction = 'Debit'), 0)::decimal(22,2) as debit_total,
+           coalesce(sum(amount) filter (where direction = 'Credit'), 0)::decimal(22,2) as credit_total
+    from stg_ledger_entry group by 1"""
+CTES["user_snapshot"] = """
+    select count(user_id) as total_records, count(distinct user_id) as distinct_ids,
+           count(user_id) - count(distinct user_id) as duplicate_primary_keys,
+           count(*) filter (where event_type = 'click') as updated_records,
+           count(*) filter (where user_id >= gone) as deleted_records_remaining,
+           any_value(b) - any_value(a) + 1 - count(distinct user_id) as missing_count,
+           any_value(gone) - any_value(a) - count(distinct user_id) filter (where user_id < gone) as missing_surviving_count
+    from user_bounds left join user_state on true"""
+CTES["user_assertions"] = """
+    select name, actual, expected, actual = expected as passed from (
+        select 'duplicate_primary_keys' as name, duplicate_primary_keys as actual, 0::bigint as expected from user_snapshot
+        union all select 'deleted_records_remaining', deleted_records_remaining, 0 from user_snapshot
+        union all select 'missing_count', missing_count, 0 from user_snapshot
+        union all select 'missing_surviving_count', missing_surviving_count, 0 from user_snapshot
+        union all select 'landing_total', count(*), 10000 from log_user_event
+        union all select 'landing_c', count(*), 2017 from log_user_event where __op = 'c'
+        union all select 'landing_d', count(*), 2014 from log_user_event where __op = 'd'
+        union all select 'landing_r', count(*), 0 from log_user_event where __op = 'r')"""
 
-MODEL_NAMES = [
+_MODELS = [
     name
     for name in CTES
     if name.startswith(("stg_", "int_", "dim_", "fact_", "fct_")) and name != "dim_date"
 ]
 
-ORACLE_SQL: dict[str, str] = {name: compose(f"select * from {name}") for name in MODEL_NAMES}
+ORACLE_SQL: dict[str, str] = {name: compose(f"select * from {name}") for name in _MODELS}
+ORACLE_SQL.update({name: compose(body) for name, body in _BODIES.items()})

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -53,6 +58,23 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def constant_rows(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
+    """A few literal rows as a plan of constants, in one task. Times are zone-less."""
+    fields = T.StructType.fromDDL(schema).fields
+
+    def constant(value: object, kind: T.DataType) -> Column:
+        plain = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value
+        return F.lit(plain).cast(kind)
+
+    values = [
+        F.struct(*[constant(v, f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)]) for row in rows
+    ]
+    one = spark.range(0, 1, 1, 1)
+    if not values:
+        return one.where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return one.select(F.inline(F.array(*values)))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import padded, timestamp_to_epoch_ms
+from tidemark.session import constant_rows
 from tidemark.sources.landing import parse_landing, to_payload
-from tidemark.sources.registry import ARRIVAL
+from tidemark.sources.registry import ARRIVAL, TableSpec
 
 # Order dates run from 1995 to 2001; moved by 26 years they fall inside the date dimension.
 SHIFT_DAYS = 9497
@@ -260,7 +261,8 @@ def account_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .unionByName(
-            spark.createDataFrame(
+            constant_rows(
+                spark,
                 [(OPERATING, None, None, "Operating", 0.0), (CLEARING, None, None, "Clearing", 0.0)],
                 "id bigint, customer_id bigint, supplier_id bigint, account_type string, balance double",
             )
@@ -311,12 +313,12 @@ def _txn_amount() -> Column:
     """Invoices are paid with tax; other transactions move the order's price."""
     total = money("o_totalprice", "decimal(12,2)")
     tax = F.round(money("o_totalprice") * F.expr("0.20"), 2).cast("decimal(12,2)")
-    return F.expr("o_orderpriority = '1-URGENT'"), (total + tax).cast("decimal(12,2)"), total
+    with_tax = (total + tax).cast("decimal(12,2)")
+    return F.when(F.col("o_orderpriority") == "1-URGENT", with_tax).otherwise(total)
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order, and a reversal (`part = 1`) of some card payments."""
-    is_invoice, with_tax, total = _txn_amount()
     parts = F.when(F.expr(_REVERSED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
         read_table(spark, sf_dir, "orders")
@@ -328,7 +330,7 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr(_TXN_TYPE).alias("kind"),
             F.expr(_REVERSED).alias("reversed"),
             shifted("o_orderdate", "12 hours").alias("at"),
-            F.when(is_invoice, with_tax).otherwise(total).alias("amount"),
+            _txn_amount().alias("amount"),
             F.explode(parts).alias("part"),
         )
         .withColumn("id", F.col("o_orderkey") * 2 + F.col("part"))
@@ -363,11 +365,13 @@ def financial_transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_entry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Debit and Credit of each settled transaction; reversals swap the accounts.
 
-    The credit is missing above 490,000 and one cent short above 480,000, so the
-    ledger checks find something.
+    So that the ledger checks find something: the credit is missing above 490,000
+    and one cent short above 480,000, settled transactions under 2,000 have no
+    entries, and pending ones above 499,000 have some.
     """
     legs = F.explode(F.array(F.lit(0), F.lit(1))).alias("leg")
-    settled = _transactions(spark, sf_dir).where("o_orderstatus = 'F'").select("*", legs)
+    entered = "(o_orderstatus = 'F' and o_totalprice >= 2000) or (o_orderstatus = 'P' and o_totalprice > 499000)"
+    settled = _transactions(spark, sf_dir).where(entered).select("*", legs)
     customer = F.col("o_custkey") * 2
     other = F.expr(f"case when kind = 'Deposit' then {CLEARING} else {OPERATING} end").cast("bigint")
     outgoing = (F.col("leg") == 0) == (F.col("part") == 0)
@@ -430,6 +434,90 @@ def user_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+USER_EVENT = TableSpec(
+    "user_event",
+    "user_id",
+    {
+        "user_id": "key",
+        "event_id": "key",
+        "event_type": "string",
+        "value": "decimal(12,2)",
+        "ts": "timestamp",
+    },
+)
+
+
+def user_event_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log in wire types."""
+    return user_event_log(spark, sf_dir).withColumns({"value": _text(F.col("value")), "ts": _ms(F.col("ts"))})
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as stream text: large errors are cut short, large clicks are heartbeats."""
+    wire = user_event_wire(spark, sf_dir)
+    fields = [F.col(c) for c in wire.columns if c != ARRIVAL]
+    body = F.to_json(F.struct(*fields))
+    large = F.col("value").cast("decimal(12,2)") >= 100
+    heartbeat = F.to_json(F.struct(F.col("ts").alias("ts_ms")))
+    text = (
+        F.when((F.col("event_type") == "error") & large, F.expr("substring(body, 1, length(body) - 1)"))
+        .when((F.col("event_type") == "click") & large, heartbeat)
+        .otherwise(F.col("body"))
+    )
+    return wire.withColumn("body", body).select(ARRIVAL, text.alias("value"))
+
+
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as nested change events: deletes have a before image, the rest an after image."""
+    wire = user_event_wire(spark, sf_dir)
+    image = F.struct(*[F.col(c) for c in USER_EVENT.column_names])
+    is_delete = F.coalesce(F.col("__op") == "d", F.lit(False))
+    event = F.struct(
+        F.when(is_delete, image).alias("before"),
+        F.when(~is_delete, image).alias("after"),
+        F.col("__op").alias("op"),
+        F.col("__source_ts_ms").alias("ts_ms"),
+        F.struct(
+            F.col("__table").alias("table"), F.col("__lsn").alias("lsn"), F.col("__source_ts_ms").alias("ts_ms")
+        ).alias("source"),
+    )
+    return wire.select(ARRIVAL, F.to_json(event).alias("value"))
+
+
+def connector_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as connector status JSON, one connector per event with 0 to 3 tasks."""
+    failed = F.col("event_type") == "error"
+    trace = F.concat(
+        F.lit("  Error: value "), money("value", "decimal(12,2)").cast("string"),
+        F.when(F.col("value") > 50, F.repeat(F.lit("x"), 600)).otherwise(""), F.lit("\n\tat a.b"),
+    )
+    state = F.when(F.col("event_type") == "view", "paused").otherwise("running")
+    task = lambda i: F.struct(
+        i.alias("id"),
+        F.when(failed & (i == 0), "FAILED").otherwise(state).alias("state"),
+        F.when(failed & (i == 0), trace).alias("trace"),
+    )
+    count = (F.col("event_id") % 4).cast("int")
+    tasks = F.transform(F.sequence(F.lit(0), count - 1), task)
+    none = F.array().cast("array<struct<id: int, state: string, trace: string>>")
+    report = F.struct(
+        F.struct(state.alias("state")).alias("connector"), F.when(count > 0, tasks).otherwise(none).alias("tasks")
+    )
+    return read_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("connector-"), F.col("event_id").cast("string")).alias("name"),
+        F.to_json(report).alias("status_json"),
+    )
+
+
+def replication_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as replication slots."""
+    return read_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("slot-"), F.col("event_id").cast("string")).alias("name"),
+        (F.col("event_type") != "error").alias("active"),
+        F.expr("case when event_type = 'view' and value < 1 then null else value * 10000 end").alias("lag"),
+    )
+
+
 def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as health-check observations, one run per day."""
     return read_table(spark, sf_dir, "events").select(
@@ -450,21 +538,14 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Event type to metric, and a factor that brings the values near the alarm limits.
-METRIC_OF = (
-    "case event_type when 'click' then 'IncomingRecords' when 'error' then 'WriteProvisionedThroughputExceeded' "
-    "when 'view' then 'GetRecords.Success' when 'purchase' then 'GetRecords.IteratorAgeMilliseconds' "
-    "else 'OldestReplicationSlotLag' end"
-)
-
-
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as metric samples of one stream, two of them under other names as well."""
+    """`events` as metric samples of one stream, scaled to come near the alarm limits."""
     events = read_table(spark, sf_dir, "events")
     names = F.expr(
-        f"case event_type when 'signup' then array('OldestReplicationSlotLag', 'FreeStorageSpace') "
-        f"when 'purchase' then array('GetRecords.IteratorAgeMilliseconds', 'UsageLimitConsumed') "
-        f"else array({METRIC_OF}) end"
+        "case event_type when 'signup' then array('OldestReplicationSlotLag', 'FreeStorageSpace') "
+        "when 'purchase' then array('GetRecords.IteratorAgeMilliseconds', 'UsageLimitConsumed') "
+        "when 'click' then array('IncomingRecords') "
+        "when 'error' then array('WriteProvisionedThroughputExceeded') else array('GetRecords.Success') end"
     )
     scale = F.expr(
         "case metric when 'IncomingRecords' then 0.02 when 'WriteProvisionedThroughputExceeded' then 1 "
