@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,12 +80,26 @@ class Models:
         for name in names:
             self[name].createOrReplaceTempView(name)
 
-    def materialize(self, root: str, names: Iterable[str] = MARTS) -> None:
-        """Write models as parquet tables; models built later read the written ones."""
-        for name in names:
+    def materialize(self, root: str, names: Iterable[str] = MARTS, threads: int = 4) -> None:
+        """Write models as parquet tables; models built later read the written ones.
+
+        Staging models do not depend on each other, nor do the rest, so each of
+        the two groups is submitted from a few threads and shares the executors.
+        """
+
+        def write(name: str) -> tuple[str, DataFrame]:
             path = f"{root}/{name}"
             self[name].write.mode("overwrite").parquet(path)
-            self.replace(name, self.spark.read.schema(self[name].schema).parquet(path))
+            return name, self.spark.read.schema(self[name].schema).parquet(path)
+
+        wanted = list(names)
+        staging = [name for name in wanted if name in STAGING]
+        for group in (staging, [name for name in wanted if name not in STAGING]):
+            for name in group:
+                self[name]  # plans are made here, one at a time
+            with ThreadPoolExecutor(threads) as pool:
+                for name, written in pool.map(write, group):
+                    self.replace(name, written)
 
 
 def save_bucketed(rows: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> None:

@@ -309,7 +309,8 @@ def extracted_state(spark, sf_dir):
     tables = extract.ExtractedTables(spark, fresh_dir(spark, "extracts"))
     tables.run(_user_state(spark, sf_dir, MID_MONTH), "users", "user_id", MID_MONTH)
     tables.run(_user_state(spark, sf_dir), "users", "user_id", AS_OF)
-    return tables.state("users")
+    tables.compact("users", "user_id")
+    return tables.state("users", "user_id")
 
 
 _ALL_TABLES = (

@@ -6,12 +6,12 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import moment
-from tidemark.operators.merge import upsert_actions
+from tidemark.operators.latest import latest_per_key
 from tidemark.session import child_names, committed, constant_rows
 from tidemark.sources.registry import TableSpec
 
@@ -132,43 +132,64 @@ def upsert_checkpoint(checkpoints: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 class ExtractedTables:
-    """Current state of extracted tables, with checkpoints, as versioned parquet folders.
+    """Current state of extracted tables, with checkpoints, in parquet folders.
 
-    A run writes the new state of a table, then one small checkpoint folder that
-    names it. The checkpoint's success marker is the commit: cutoff and state
+    A run writes its window to a stage, then the rows that pass the guard as one
+    part of the table's state, then a small checkpoint folder that lists the
+    parts. The checkpoint's success marker is the commit: cutoff and state
     change together, and a run that dies before it leaves the old pair in force.
+    A run costs what it extracts: older parts are only read for the staged keys.
+    `compact` folds the parts of a table into one.
     """
 
+    _MANIFEST = f"{CHECKPOINT_SCHEMA}, parts array<string>"
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root
 
-    def _checkpoint_path(self) -> str | None:
+    def _committed_runs(self) -> list[str]:
         folder = f"{self.root}/checkpoints"
-        for name in reversed(child_names(self.spark, folder)):
-            if committed(self.spark, f"{folder}/{name}"):
-                return f"{folder}/{name}"
-        return None
-
-    def _next_checkpoint_path(self) -> str:
-        names = child_names(self.spark, f"{self.root}/checkpoints")
-        number = max((int(name.removeprefix("run-")) for name in names), default=0) + 1
-        return f"{self.root}/checkpoints/run-{number:012d}"
+        return [n for n in child_names(self.spark, folder) if committed(self.spark, f"{folder}/{n}")]
 
     def _manifest(self) -> DataFrame:
-        schema = f"{CHECKPOINT_SCHEMA}, state_path string"
-        path = self._checkpoint_path()
-        if path is None:
-            return constant_rows(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        runs = self._committed_runs()
+        if not runs:
+            return constant_rows(self.spark, [], self._MANIFEST)
+        return self.spark.read.schema(self._MANIFEST).parquet(f"{self.root}/checkpoints/{runs[-1]}")
+
+    def _entry(self, table: str) -> Row | None:
+        return self._manifest().where(F.col("source_table") == table).first()
+
+    def _commit(self, run: str, row: Sequence) -> None:
+        """Write the checkpoints of all tables with this one replaced."""
+        result = constant_rows(self.spark, [row[:-1]], CHECKPOINT_SCHEMA).withColumn(
+            "parts", F.array(*[F.lit(part) for part in row[-1]])
+        )
+        rows = upsert_checkpoint(self._manifest(), result).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.root}/checkpoints/{run}")
+
+    def _next_run(self) -> tuple[str, int]:
+        runs = self._committed_runs()
+        number = int(runs[-1].removeprefix("run-")) + 1 if runs else 1
+        return f"run-{number:012d}", number
 
     def checkpoints(self) -> DataFrame:
-        return self._manifest().drop("state_path")
+        return self._manifest().drop("parts")
 
-    def state(self, table: str) -> DataFrame | None:
-        """Current rows of a table; None before its first run."""
-        entry = self._manifest().where(F.col("source_table") == table).first()
-        return None if entry is None else self.spark.read.parquet(entry.state_path).drop("__action")
+    def _versions(self, parts: Sequence[str]) -> DataFrame:
+        return self.spark.read.parquet(*parts)
+
+    def state(self, table: str, primary_key: str) -> DataFrame | None:
+        """Current rows of a table; None before its first run.
+
+        Only rows that passed the guard were written, so the newest run of a key wins.
+        """
+        entry = self._entry(table)
+        if entry is None:
+            return None
+        newest = latest_per_key(self._versions(entry.parts), [primary_key], [F.col("__run").desc()])
+        return newest.drop("__run", "__action")
 
     def run(
         self,
@@ -177,29 +198,49 @@ class ExtractedTables:
         primary_key: str,
         upper: dt.datetime,
         overlap: dt.timedelta = OVERLAP,
+        stamp: str = "updated_at",
     ) -> None:
         """Extract one window, merge it, and move the checkpoint to `upper`, even with no rows."""
-        entry = self._manifest().where(F.col("source_table") == table).first()
+        entry = self._entry(table)
+        run, number = self._next_run()
         lower, _ = window_bounds(None if entry is None else entry.successful_cutoff, upper, overlap)
-        stage = extract_window(source, source.columns, primary_key, lower, upper, ordered=False)
-        target = self.state(table)
-        if target is None:
-            target = source.where("false")
-        actions = upsert_actions(target, stage, [primary_key])
-        row = F.when(F.col("__action") == "keep", F.col("__old")).otherwise(F.col("__new"))
-        checkpoint = self._next_checkpoint_path()
-        state_path = f"{self.root}/state/{table}/{checkpoint.rsplit('/', 1)[1]}"
-        actions.select(row.alias("r"), "__action").select("r.*", "__action").write.mode("overwrite").parquet(state_path)
-        written = self.spark.read.parquet(state_path).agg(
+        window = extract_window(source, source.columns, primary_key, lower, upper, stamp, ordered=False)
+        # The source is read once; every later step reads the stage.
+        staged_path = f"{self.root}/stage/{table}/{run}"
+        window.write.mode("overwrite").parquet(staged_path)
+        staged = self.spark.read.schema(source.schema).parquet(staged_path)
+        newest = latest_per_key(staged, [primary_key], [F.col(stamp).desc_nulls_first()])
+        if entry is None:
+            accepted = newest.withColumn("__action", F.lit("insert"))
+        else:
+            # A small stage is broadcast here, and the state is scanned without a shuffle.
+            touched = self._versions(entry.parts).join(staged.select(primary_key).distinct(), primary_key, "left_semi")
+            known = latest_per_key(touched, [primary_key], [F.col("__run").desc()]).select(
+                primary_key, F.col(stamp).alias("__old"), F.lit(True).alias("__known")
+            )
+            newer = F.col("__old").isNull() | (F.col(stamp) > F.col("__old"))
+            action = F.when(F.col("__known").isNull(), "insert").when(newer, "update")
+            matched = newest.join(known, primary_key, "left").withColumn("__action", action)
+            accepted = matched.where(F.col("__action").isNotNull()).select(*source.columns, "__action")
+        part = f"{self.root}/state/{table}/{run}"
+        accepted.withColumn("__run", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(part)
+        written = self.spark.read.parquet(part).agg(
             F.count_if(F.col("__action") == "insert").alias("inserted"),
             F.count_if(F.col("__action") == "update").alias("updated"),
         ).first()
-        result = constant_rows(
-            self.spark,
-            [(table, upper, stage.count(), written.inserted, written.updated, upper, state_path)],
-            f"{CHECKPOINT_SCHEMA}, state_path string",
-        )
-        upsert_checkpoint(self._manifest(), result).coalesce(1).write.parquet(checkpoint)
+        parts = ([] if entry is None else list(entry.parts)) + [part]
+        self._commit(run, (table, upper, staged.count(), written.inserted, written.updated, upper, parts))
+
+    def compact(self, table: str, primary_key: str) -> None:
+        """Fold the parts of a table into one; its checkpoint is otherwise unchanged."""
+        entry = self._entry(table)
+        if entry is None or len(entry.parts) < 2:
+            return
+        run, _ = self._next_run()
+        part = f"{self.root}/state/{table}/{run}-base"
+        newest = latest_per_key(self._versions(entry.parts), [primary_key], [F.col("__run").desc()])
+        newest.write.mode("overwrite").parquet(part)
+        self._commit(run, (*entry[:-1], [part]))
 
 
 def run_extracts(

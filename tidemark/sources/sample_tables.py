@@ -34,6 +34,10 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, name))
+
+
 def money(column: str, kind: str = "decimal(10,2)") -> Column:
     """A double money column as a decimal."""
     return F.col(column).cast(kind)
@@ -85,7 +89,7 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The snapshot rows of one nation have no LSN.
     """
-    rows = _versions(read_table(spark, sf_dir, "customer"), "c_acctbal < -900")
+    rows = _versions(_source(spark, sf_dir, "customer"), "c_acctbal < -900")
     lsn = F.expr("case when c_nationkey = 7 and v = 0 then null else c_custkey * 4 + v end")
     return rows.select(
         F.col("c_custkey").alias("customer_id"),
@@ -99,7 +103,7 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _versions(read_table(spark, sf_dir, "supplier"))
+    rows = _versions(_source(spark, sf_dir, "supplier"))
     return rows.select(
         F.col("s_suppkey").alias("supplier_id"),
         F.concat(F.col("s_name"), F.lit(" ")).alias("name"),
@@ -113,7 +117,7 @@ def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later price for large parts; parts of size 50 are deleted."""
-    rows = _versions(read_table(spark, sf_dir, "part"), "p_size = 50")
+    rows = _versions(_source(spark, sf_dir, "part"), "p_size = 50")
     raised = (F.col("v") > 0) & (F.col("p_size") > 25)
     price = money("p_retailprice") + F.when(raised, F.expr("1.00")).otherwise(F.expr("0.00"))
     return rows.select(
@@ -129,7 +133,7 @@ def product_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_invoice_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Created Pending, then the final status; small open low-priority orders are deleted."""
     rows = _versions(
-        read_table(spark, sf_dir, "orders"),
+        _source(spark, sf_dir, "orders"),
         "o_orderpriority = '5-LOW' and o_orderstatus = 'P' and o_totalprice < 20000",
     )
     final = F.expr("case o_orderstatus when 'F' then ' Paid' when 'O' then 'Pending' else 'Overdue ' end")
@@ -169,7 +173,7 @@ def _line_meta(table: str) -> list[Column]:
 
 
 def sales_invoice_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "lineitem")
+    rows = _source(spark, sf_dir, "lineitem")
     percent = (money("l_discount") * 100).cast("decimal(10,2)")
     return rows.select(
         _line_key().alias("item_id"),
@@ -185,7 +189,7 @@ def sales_invoice_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchase_bill_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bill per order at 60 % of its price, first unpaid, then in its final state."""
-    rows = _versions(read_table(spark, sf_dir, "orders"))
+    rows = _versions(_source(spark, sf_dir, "orders"))
     total = (money("o_totalprice") * F.expr("0.60")).cast("decimal(10,2)")
     tax = F.round(total * F.expr("0.20"), 2).cast("decimal(10,2)")
     paid = (
@@ -209,7 +213,7 @@ def purchase_bill_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchase_bill_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_table(spark, sf_dir, "lineitem")
+    rows = _source(spark, sf_dir, "lineitem")
     return rows.select(
         _line_key().alias("item_id"),
         F.col("l_orderkey").alias("bill_id"),
@@ -223,7 +227,7 @@ def purchase_bill_item_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inventory_movement_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines go in, accepted lines go out, the rest are of another type."""
-    rows = read_table(spark, sf_dir, "lineitem")
+    rows = _source(spark, sf_dir, "lineitem")
     kind = F.expr("case l_returnflag when 'R' then ' in' when 'A' then 'Out ' else 'adjust' end")
     return rows.select(
         _line_key().alias("movement_id"),
@@ -243,7 +247,7 @@ def account_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Checking account per customer, a Business account per supplier, two internal ones."""
     null_key = F.lit(None).cast("bigint")
     owners = (
-        read_table(spark, sf_dir, "customer")
+        _source(spark, sf_dir, "customer")
         .select(
             (F.col("c_custkey") * 2).alias("id"),
             F.col("c_custkey").alias("customer_id"),
@@ -252,7 +256,7 @@ def account_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_acctbal").alias("balance"),
         )
         .unionByName(
-            read_table(spark, sf_dir, "supplier").select(
+            _source(spark, sf_dir, "supplier").select(
                 (F.col("s_suppkey") * 2 + 1).alias("id"),
                 null_key.alias("customer_id"),
                 F.col("s_suppkey").alias("supplier_id"),
@@ -286,7 +290,7 @@ def account_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def card_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One card per customer; blocked later when the balance is under 100, deleted under -950."""
-    rows = _versions(read_table(spark, sf_dir, "customer"), "c_acctbal < -950")
+    rows = _versions(_source(spark, sf_dir, "customer"), "c_acctbal < -950")
     return rows.select(
         F.col("c_custkey").alias("card_id"),
         (F.col("c_custkey") * 2).alias("account_id"),
@@ -321,7 +325,7 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order, and a reversal (`part = 1`) of some card payments."""
     parts = F.when(F.expr(_REVERSED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
-        read_table(spark, sf_dir, "orders")
+        _source(spark, sf_dir, "orders")
         .select(
             "o_orderkey",
             "o_custkey",
@@ -407,7 +411,7 @@ LOGS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def landing_of(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table's log as landed events: written as JSON text and parsed again."""
-    return parse_landing(to_payload(spread(LOGS[table](spark, sf_dir))))
+    return parse_landing(to_payload(LOGS[table](spark, sf_dir)))
 
 
 def user_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
