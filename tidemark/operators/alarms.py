@@ -48,6 +48,14 @@ def default_specs(subject: str = "stream") -> tuple[AlarmSpec, ...]:
     return tuple(AlarmSpec(alarm, metric, subject, *rest) for alarm, metric, *rest in rows)
 
 
+def _epoch(time: dt.datetime) -> int:
+    return int(time.replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+def _slot_start(start: dt.datetime, seconds: Column) -> Column:
+    return moment(start) + seconds * F.expr("interval '1' second")
+
+
 def _statistic() -> Column:
     kind = F.col("statistic")
     return (
@@ -79,18 +87,18 @@ def evaluate_alarms(
     """
     spark = metrics.sparkSession
     spec_rows = F.broadcast(constant_rows(spark, [astuple(s) for s in specs], _SPEC_SCHEMA))
-    first = F.lit(int(start.replace(tzinfo=dt.timezone.utc).timestamp()))
-    last = F.lit(int(end.replace(tzinfo=dt.timezone.utc).timestamp()))
-    second = F.unix_seconds(F.col("ts").cast("timestamp"))
-    slot = F.floor((second - first) / F.col("period")).cast("bigint")
+    offset = F.unix_seconds(F.col("ts").cast("timestamp")) - _epoch(start)
     in_time = (F.col("ts") >= moment(start)) & (F.col("ts") < moment(end))
     seen = (
         metrics.where(in_time)
         .join(spec_rows, ["metric", "subject"])
-        .groupBy("alarm", slot.alias("slot"))
+        .withColumn("offset", offset)
+        .groupBy("alarm", F.expr("offset div period").alias("slot"))
         .agg(*_aggregates())
     )
-    slots = F.sequence(F.lit(0).cast("bigint"), F.ceil((last - first) / F.col("period")).cast("bigint") - 1)
+    length = F.lit(_epoch(end) - _epoch(start))
+    last_slot = F.floor((length - 1) / F.col("period")).cast("bigint")
+    slots = F.sequence(F.lit(0).cast("bigint"), last_slot)
     spine = constant_rows(spark, [astuple(s) for s in specs], _SPEC_SCHEMA).withColumn("slot", F.explode(slots))
     value = _statistic()
     breach = (
@@ -112,12 +120,9 @@ def evaluate_alarms(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     run = F.col("slot") - F.coalesce(last_fine, F.lit(-1))
-    started = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + (
-        (first + F.col("slot") * F.col("period")) * F.expr("interval '1' second")
-    )
     return periods.select(
         "alarm",
-        started.alias("period_start"),
+        _slot_start(start, F.col("slot") * F.col("period")).alias("period_start"),
         "value",
         "breaching",
         F.when(run >= F.col("evaluation_periods"), "ALARM").otherwise("OK").alias("state"),
@@ -144,11 +149,13 @@ def metric_series(metrics: DataFrame, period: str = "5 minutes") -> DataFrame:
 def silent_periods(
     spark: SparkSession, samples: DataFrame, start: dt.datetime, end: dt.datetime, period_seconds: int = 300
 ) -> DataFrame:
-    """Periods in which not one sample arrived."""
-    spec = AlarmSpec("silent", "any", "any", "count", period_seconds, 1, "<", 1.0, "breaching")
-    counted = samples.select(F.lit("any").alias("metric"), F.lit("any").alias("subject"), "ts", F.lit(1.0).alias("value"))
-    periods = evaluate_alarms(counted, [spec], start, end)
-    return periods.where("breaching").select("period_start")
+    """Periods of `[start, end)` in which not one sample arrived."""
+    offset = F.unix_seconds(F.col("ts").cast("timestamp")) - _epoch(start)
+    in_time = (F.col("ts") >= moment(start)) & (F.col("ts") < moment(end))
+    seen = samples.where(in_time).select(offset.alias("offset")).select(F.expr(f"offset div {period_seconds}").alias("slot"))
+    slots = spark.range(-(-(_epoch(end) - _epoch(start)) // period_seconds)).withColumnRenamed("id", "slot")
+    silent = slots.join(seen.distinct(), "slot", "left_anti")
+    return silent.select(_slot_start(start, F.col("slot") * period_seconds).alias("period_start"))
 
 
 def retention_gap(landed: DataFrame, available: DataFrame, key: str = "__table") -> DataFrame:
