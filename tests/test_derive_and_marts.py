@@ -61,16 +61,20 @@ def test_reversal_swaps_accounts_and_nets_to_nothing(spark, as_rows):
     after = derive.reverse_transactions(payments(spark), F.col("transaction_type") == "Invoice Payment", 1000)
     states = after.select("transaction_id", "status", "reverses_transaction_id")
     assert as_rows(states) == [(1006, "Posted", 6), (6, "Reversed", None), (7, "Posted", None)]
-    undo = derive.ledger_legs(after).where("transaction_id = 1006").select("account_id", "direction")
+    legs = derive.ledger_legs(after)
+    undo = legs.where("transaction_id = 1006").select("account_id", "direction")
     assert as_rows(undo) == [(1, "Debit"), (3, "Credit")]
+    signed = F.when(F.col("direction") == "Credit", F.col("amount")).otherwise(-F.col("amount"))
+    pair = legs.where("transaction_id in (6, 1006)").groupBy("account_id").agg(F.sum(signed).alias("net"))
+    assert as_rows(pair) == [(1, D("0.00")), (3, D("0.00"))]
 
 
 def test_lateral_and_scalar_subqueries(spark, as_rows):
     documents = spark.createDataFrame([(1,), (2,)], "doc int")
     lines = spark.createDataFrame([(1, 7, 2, D("1.50")), (1, 8, 1, D("1.00"))], "doc int, product_id int, quantity int, unit_price decimal(10,2)")
-    assert as_rows(derive.lateral_subtotals(spark, documents, lines, "doc")) == [(1, 2, D("4.00")), (2, 0, None)]
+    assert as_rows(derive.lateral_subtotals(documents, lines, "doc")) == [(1, 2, D("4.00")), (2, 0, None)]
     products = spark.createDataFrame([(7, D("9.00"))], "product_id int, unit_price decimal(10,2)")
-    looked = derive.looked_up_price(spark, lines, products).select("product_id", "list_price")
+    looked = derive.looked_up_price(lines, products).select("product_id", "list_price")
     assert as_rows(looked) == [(7, D("9.00")), (8, None)]
 
 

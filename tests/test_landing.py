@@ -69,6 +69,8 @@ def test_written_landing_prunes_to_one_table(spark, tmp_path, physical, as_rows)
     assert one.count() == 1
     filters = physical(one).split("PartitionFilters: [")[1].split("]")[0]
     assert "product" in filters
+    landing.write_landing(events, f"{tmp_path}/even", rebalance=True)
+    assert landing.read_landing(spark, f"{tmp_path}/even").count() == 3
 
 
 def test_typed_landing_has_the_declared_schema(spark):

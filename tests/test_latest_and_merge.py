@@ -6,7 +6,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge
-from tidemark.operators.latest import current_rows, latest_per_key, merge_source, replay_order, snapshot_plus_tail
+from tidemark.operators.latest import (
+    advance_versions,
+    current_rows,
+    latest_per_key,
+    live_rows,
+    merge_source,
+    replay_order,
+    snapshot_plus_tail,
+)
 from tidemark.sources.registry import ARRIVAL
 from tidemark.streaming import drain as drains
 from tidemark.streaming import state_log as states
@@ -153,6 +161,20 @@ def test_replay_equals_brute_force(spark, events):
     assert sorted(tuple(r) for r in state.collect()) == replay(events)
 
 
+def test_advancing_versions_equals_one_replay(spark, as_rows):
+    events = [
+        (1, "a", "c", 1, 1, "false"), (2, "a", "c", 2, 2, "false"), (1, "a", "d", 9, 9, "true"),
+        (1, "late", "u", 5, 5, "false"), (2, "b", "u", None, 1, "false"), (2, "c", "u", 7, 7, "false"),
+    ]
+    everything = log(spark, events).withColumn("n", F.col("__lsn"))
+    versions = everything.where("false")
+    for low in (0, 2, 4):
+        part = everything.where(F.unix_seconds(F.col(ARRIVAL).cast("timestamp")).between(
+            int(T0.timestamp()) + low, int(T0.timestamp()) + low + 1))
+        versions = advance_versions(versions, part, ["id"])
+    assert as_rows(live_rows(versions).select("id", "v")) == replay(events) == [(2, "b")]
+
+
 def distinct_order(batches):
     """Each event gets its own LSN, since the merge breaks ties arbitrarily."""
     numbered, n = [], 0

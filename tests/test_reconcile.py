@@ -17,12 +17,20 @@ def snapshot(state):
     return reconcile.reconcile_snapshot(state, "customer_id", FIRST, LAST, marked, GONE_FIRST, GONE_LAST)
 
 
+def holds(one_row, condition):
+    return one_row.select(condition.alias("x")).first().x
+
+
 def test_converged_load(spark, as_rows):
     state = load(spark)
     assert as_rows(snapshot(state)) == [(950, 950, 0, 100, 0, 50, 0)]
-    assert reconcile.mixed_complete(snapshot(state), 950, 100).first().complete
-    assert not reconcile.insert_complete(snapshot(state), 1000).first().complete
-    assert reconcile.insert_complete(snapshot(load(spark, False)), 1000).first().complete
+    assert holds(snapshot(state), reconcile.mixed_complete(950, 100))
+    assert not holds(snapshot(state), reconcile.insert_complete(1000))
+    assert holds(snapshot(load(spark, False)), reconcile.insert_complete(1000))
+    assert not holds(snapshot(state), reconcile.cleanup_complete(0, F.lit(9)))
+    empty = snapshot(state.where("false"))
+    assert holds(empty, reconcile.cleanup_complete(9, F.lit(9)))
+    assert not holds(empty, reconcile.cleanup_complete(9, F.lit(8)))
     assert as_rows(reconcile.survivor_equality(state, "customer_id", FIRST, LAST, GONE_FIRST, GONE_LAST)) == [(0, 0, True)]
 
 
@@ -32,6 +40,8 @@ def test_duplicates_missing_and_leftovers(spark, as_rows):
     )
     assert as_rows(snapshot(state)) == [(950, 949, 1, 98, 1, 51, 2)]
     difference = reconcile.survivor_difference(state, "customer_id", FIRST, LAST, GONE_FIRST, GONE_LAST)
+    equality = reconcile.survivor_equality(state, "customer_id", FIRST, LAST, GONE_FIRST, GONE_LAST)
+    assert as_rows(equality) == [(2, 1, False)]
     assert as_rows(difference) == [(900_001, "missing"), (900_002, "missing"), (900_101, "unexpected")]
     sample = reconcile.missing_ids_sample(state, "customer_id", FIRST, LAST, 3)
     assert [r.customer_id for r in sample.collect()] == [900_001, 900_002, 900_102]

@@ -62,7 +62,7 @@ def current_state(landing: DataFrame, spec: TableSpec, nulls: str = "first") ->
 
 def current_rows(log: DataFrame, keys: Sequence[str], nulls: str = "first") -> DataFrame:
     """Current rows of a flat change log, with its columns."""
-    return latest_per_key(log, keys, replay_order(nulls)).where(not_deleted(F.col("__deleted")))
+    return live_rows(latest_per_key(log, keys, replay_order(nulls)))
 
 
 def merge_source(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -83,3 +83,18 @@ def snapshot_plus_tail(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
         }
     )
     return changes.unionByName(initial, allowMissingColumns=True)
+
+
+def advance_versions(versions: DataFrame, events: DataFrame, keys: Sequence[str], nulls: str = "first") -> DataFrame:
+    """Newest version per key after more events, deletes kept.
+
+    Persist the result and pass it in again with the next events: a run then
+    reads one version per key and what is new, and not the whole history.
+    `live_rows` turns versions into current rows.
+    """
+    return latest_per_key(versions.unionByName(events), keys, replay_order(nulls))
+
+
+def live_rows(versions: DataFrame) -> DataFrame:
+    """Versions that are not deletes."""
+    return versions.where(not_deleted(F.col("__deleted")))

@@ -327,11 +327,13 @@ def unbalanced_transactions(entries: DataFrame) -> DataFrame:
 
 def posted_without_entries(transactions: DataFrame, entries: DataFrame) -> DataFrame:
     """Transactions for which being settled and having entries disagree."""
-    keys = entries.select("transaction_id").distinct()
-    settled = F.coalesce(F.col("status").isin(*SETTLED), F.lit(None).cast("boolean"))
-    missing = transactions.where(settled).join(keys, "transaction_id", "left_anti")
-    extra = transactions.where(~settled).join(keys, "transaction_id", "left_semi")
-    return missing.unionByName(extra).select("transaction_id", "status")
+    keys = entries.select("transaction_id").distinct().withColumn("entered", F.lit(True))
+    settled = F.col("status").isin(*SETTLED)
+    return (
+        transactions.join(keys, "transaction_id", "left")
+        .where(settled != F.coalesce("entered", F.lit(False)))
+        .select("transaction_id", "status")
+    )
 
 
 def negative_balances(entries: DataFrame, accounts: DataFrame) -> DataFrame:

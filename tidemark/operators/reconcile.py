@@ -100,28 +100,32 @@ def survivor_difference(
 def survivor_equality(
     state: DataFrame, key: str, first: int, last: int, deleted_first: int, deleted_last: int
 ) -> DataFrame:
-    """One row: both differences counted, and whether the sets are equal."""
-    found = survivor_difference(state, key, first, last, deleted_first, deleted_last)
-    return found.agg(
-        F.count_if(F.col("difference") == "missing").alias("missing"),
-        F.count_if(F.col("difference") == "unexpected").alias("unexpected"),
-    ).withColumn("is_equal", (F.col("missing") == 0) & (F.col("unexpected") == 0))
+    """One row: how many ids differ each way, and whether the sets are equal. One pass over the state."""
+    never = F.lit(False)
+    snapshot = reconcile_snapshot(
+        present_ids(state, key, first, last), key, first, last, never, deleted_first, deleted_last
+    )
+    missing, unexpected = F.col("missing_surviving_count"), F.col("deleted_records_remaining")
+    return snapshot.select(
+        missing.alias("missing"),
+        unexpected.alias("unexpected"),
+        ((missing == 0) & (unexpected == 0)).alias("is_equal"),
+    )
 
 
-def insert_complete(snapshot: DataFrame, expected: int) -> DataFrame:
-    """Whether all inserts have arrived, each once."""
-    done = (
+def insert_complete(expected: int) -> Column:
+    """Over a snapshot: whether all inserts have arrived, each once."""
+    return (
         (F.col("total_records") == expected)
         & (F.col("distinct_ids") == expected)
         & (F.col("missing_count") == 0)
         & (F.col("duplicate_primary_keys") == 0)
     )
-    return snapshot.select(done.alias("complete"))
 
 
-def mixed_complete(snapshot: DataFrame, expected: int, updated: int) -> DataFrame:
-    """Whether updates and deletes have arrived and exactly the survivors are left."""
-    done = (
+def mixed_complete(expected: int, updated: int) -> Column:
+    """Over a snapshot: whether updates and deletes have arrived and exactly the survivors are left."""
+    return (
         (F.col("total_records") == expected)
         & (F.col("distinct_ids") == expected)
         & (F.col("duplicate_primary_keys") == 0)
@@ -129,7 +133,11 @@ def mixed_complete(snapshot: DataFrame, expected: int, updated: int) -> DataFram
         & (F.col("deleted_records_remaining") == 0)
         & (F.col("missing_surviving_count") == 0)
     )
-    return snapshot.select(done.alias("complete"))
+
+
+def cleanup_complete(source_deleted: int, delete_delta: Column) -> Column:
+    """Over a snapshot: whether nothing is left and every delete at the source has landed."""
+    return (F.col("total_records") == 0) & (delete_delta >= source_deleted)
 
 
 def observations(one_row: DataFrame) -> DataFrame:

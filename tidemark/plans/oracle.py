@@ -806,7 +806,8 @@ _BODIES: dict[str, str] = {
         select 'insert' as phase, total_records = 150 and distinct_ids = 150 and missing_count = 0
                and duplicate_primary_keys = 0 as complete from user_snapshot
         union all select 'mixed', total_records = 100 and distinct_ids = 100 and duplicate_primary_keys = 0
-               and updated_records = 25 and deleted_records_remaining = 0 and missing_surviving_count = 0 from user_snapshot""",
+               and updated_records = 25 and deleted_records_remaining = 0 and missing_surviving_count = 0 from user_snapshot
+        union all select 'cleanup', total_records = 0 from user_snapshot""",
     "ordered_distinct": "select user_id, min(event_id) as first_position from events group by 1",
     # --- scalar functions ---
     "normalize_strings": """
@@ -885,8 +886,8 @@ _BODIES: dict[str, str] = {
         union all select transaction_id, to_account, 'Credit', amount, transaction_date from payments""",
     "reversal_entries": """
         with large as (select *, transaction_type = 'Invoice Payment' and amount > 300000 as hit from payments)
-        select transaction_id, from_account as account_id, 'Debit' as direction, amount from large where not hit
-        union all select transaction_id, to_account, 'Credit', amount from large where not hit
+        select transaction_id, from_account as account_id, 'Debit' as direction, amount from large
+        union all select transaction_id, to_account, 'Credit', amount from large
         union all select transaction_id + 10000000000, to_account, 'Debit', amount from large where hit
         union all select transaction_id + 10000000000, from_account, 'Credit', amount from large where hit""",
 }

@@ -621,7 +621,6 @@ def unbalanced_transactions(spark, sf_dir):
 @query
 def posted_iff_entries(spark, sf_dir):
     m = models(spark, sf_dir)
-    # Entries that lost their transaction's Posted status show up as extra ones.
     return quality.posted_without_entries(m["stg_financial_transaction"], m["stg_ledger_entry"])
 
 
@@ -900,11 +899,13 @@ def load_throughput(spark, sf_dir):
 
 @query
 def convergence(spark, sf_dir):
-    snapshot = _snapshot(spark, sf_dir)
-    first = reconcile.insert_complete(snapshot, 150).select(F.lit("insert").alias("phase"), "complete")
-    return first.unionByName(
-        reconcile.mixed_complete(snapshot, 100, 25).select(F.lit("mixed").alias("phase"), "complete")
-    )
+    phases = {
+        "insert": reconcile.insert_complete(150),
+        "mixed": reconcile.mixed_complete(100, 25),
+        "cleanup": reconcile.cleanup_complete(0, F.lit(0)),
+    }
+    rows = [F.struct(F.lit(name).alias("phase"), done.alias("complete")) for name, done in phases.items()]
+    return _snapshot(spark, sf_dir).select(F.inline(F.array(*rows)))
 
 
 @query
@@ -1050,14 +1051,14 @@ def bill_totals(spark, sf_dir):
 def lateral_agg(spark, sf_dir):
     documents = sample.read_table(spark, sf_dir, "orders").select("o_orderkey")
     lines = _lines(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
-    totals = derive.lateral_subtotals(spark, documents, lines, "o_orderkey")
+    totals = derive.lateral_subtotals(documents, lines, "o_orderkey")
     return totals.withColumn("subtotal", F.col("subtotal").cast("decimal(18,2)"))
 
 
 @query
 def scalar_subquery(spark, sf_dir):
     lines = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "product_id", "quantity", "unit_price")
-    return derive.looked_up_price(spark, lines, _products(spark, sf_dir))
+    return derive.looked_up_price(lines, _products(spark, sf_dir))
 
 
 @query
@@ -1096,7 +1097,7 @@ def ledger_legs(spark, sf_dir):
 
 @query
 def reversal_entries(spark, sf_dir):
-    """Large incoming payments reversed, and the legs of all that stay Posted."""
+    """Large incoming payments reversed, and the legs of all of them."""
     large = (F.col("transaction_type") == "Invoice Payment") & (F.col("amount") > 300000)
     reversed_ = derive.reverse_transactions(_payments(spark, sf_dir), large, 10_000_000_000)
     return derive.ledger_legs(reversed_).select("transaction_id", "account_id", "direction", "amount")

@@ -51,13 +51,17 @@ def fan_in(logs: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), logs)
 
 
-def write_landing(landing: DataFrame, path: str, mode: str = "append") -> None:
+def write_landing(landing: DataFrame, path: str, mode: str = "append", rebalance: bool = False) -> None:
     """One stream routed to per-table folders.
 
-    Rows stay in the tasks that read them: no shuffle by table, so a table that
-    holds most of the events is still written by all tasks.
+    By default rows stay in the tasks that read them, and every task writes a
+    file per table. `rebalance` is for large loads: one shuffle by table, in
+    which adaptive execution splits the tables that are too big for a task and
+    joins the small ones, so files come out even and a hot table is still
+    written by many tasks.
     """
-    landing.write.mode(mode).partitionBy("__table").parquet(path)
+    rows = landing.hint("rebalance", "__table") if rebalance else landing
+    rows.write.mode(mode).partitionBy("__table").parquet(path)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
