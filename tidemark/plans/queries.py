@@ -21,6 +21,7 @@ from tidemark.operators.latest import (
     snapshot_plus_tail,
 )
 from tidemark.plans import marts
+from tidemark.plans.load_test import run_load_test
 from tidemark.plans.models import DIMENSIONS, FACTS, INTERMEDIATE, MARTS, STAGING, Models
 from tidemark.plans.staging import stage
 from tidemark.session import fresh_dir
@@ -504,6 +505,37 @@ def merge_stream_guarded(spark, sf_dir):
     return _merge_streamed(spark, sf_dir, guard=True, compact=True)
 
 
+@query
+def merge_tables(spark, sf_dir):
+    """Three tables' streams merged side by side."""
+    root = fresh_dir(spark, "tables")
+    names = ("customer", "supplier", "product")
+    for name in names:
+        typed = landing.typed_landing(sample.landing_of(spark, sf_dir, name), TABLES[name])
+        typed.write.parquet(f"{root}/landing/{name}")
+    merged = states.merge_tables(spark, f"{root}/landing", f"{root}/state", f"{root}/checkpoint", names)
+    parts = [
+        log.read().select(
+            F.lit(name).alias("table_name"),
+            F.col(TABLES[name].primary_key).alias("key"),
+            F.col(TABLES[name].column_names[1]).alias("label"),
+            "updated_at",
+        )
+        for name, log in merged.items()
+    ]
+    return _union(parts)
+
+
+@query
+def load_test(spark, sf_dir):
+    """The whole customer range loaded; the first tenth updated, the next twentieth deleted."""
+    ids = sample.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    low, high = reconcile.key_range(ids, "customer_id")
+    tenth, twentieth = (high - low + 1) // 10, (high - low + 1) // 20
+    updates, deletes = (low, low + tenth - 1), (low + tenth, low + tenth + twentieth - 1)
+    return run_load_test(spark, ids, fresh_dir(spark, "load"), "LOADTEST_UPDATED", updates, deletes)
+
+
 @query
 def stream_current_state(spark, sf_dir):
     root = fresh_dir(spark, "stream-state")
@@ -729,10 +761,31 @@ def slot_lag_status(spark, sf_dir):
     return health.slot_lag_status(sample.replication_slots(spark, sf_dir), 1_000_000)
 
 
-def _table_health(spark, sf_dir, check: str):
+def _all_table_health(spark, sf_dir):
     tables = {**_stamped_tables(spark, sf_dir), "supplier_contract": None}
-    rows = health.table_health(spark, tables, AS_OF, 172_800)
-    return rows.where(F.col("check_name") == check)
+    return health.table_health(spark, tables, AS_OF, 172_800)
+
+
+def _table_health(spark, sf_dir, check: str):
+    return _all_table_health(spark, sf_dir).where(F.col("check_name") == check)
+
+
+@query
+def health_run(spark, sf_dir):
+    """One run of all three check groups, appended to the stored results and read back."""
+    path = f"{fresh_dir(spark, 'health')}/results"
+    reports = sample.connector_reports(spark, sf_dir)
+    groups = [
+        health.connect_reachable(spark),
+        health.connector_status(reports, ["source", "sink"]),
+        health.slot_lag_status(sample.replication_slots(spark, sf_dir), 1_000_000),
+        _all_table_health(spark, sf_dir),
+    ]
+    health.append_results(health.as_run(_union(groups), "run-1", AS_OF), path)
+    stored = health.retained(spark.read.parquet(path), AS_OF, 7)
+    return health.latest_run(stored).groupBy("run_id", "checked_at", "check_name", "status").agg(
+        F.count("*").alias("checks")
+    )
 
 
 @query
