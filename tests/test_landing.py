@@ -1,9 +1,11 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import field, typed_columns
+from tidemark.operators.latest import current_state, current_typed
 from tidemark.plans.staging import stage
 from tidemark.sources import landing
 from tidemark.sources.registry import ARRIVAL, TABLES
@@ -39,6 +41,29 @@ def test_quarantine_mode_turns_bad_values_into_null(spark):
     assert events.select(field("customer_id", "key", strict=False).alias("k")).first().k is None
 
 
+def test_only_a_current_malformed_row_fails(spark, as_rows):
+    bad = '{"product_id":1,"unit_price":"free","__table":"product","__lsn":%d,"__source_ts_ms":1}'
+    good = '{"product_id":1,"unit_price":"2.00","__table":"product","__lsn":5,"__source_ts_ms":1}'
+    superseded = landing.parse_landing(raw(spark, [bad % 1, good]))
+    assert as_rows(stage(superseded, "product").select("product_id")) == [(1,)]
+    current = landing.parse_landing(raw(spark, [bad % 9, good]))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        stage(current, "product").collect()
+    wrong = '{"product_id":2,"created_at":"soon","__table":"product","__lsn":%d,"__source_ts_ms":1}'
+    right = '{"product_id":2,"created_at":1000,"__table":"product","__lsn":5,"__source_ts_ms":1}'
+    assert stage(landing.parse_landing(raw(spark, [wrong % 1, right])), "product").count() == 1
+    with pytest.raises(Exception, match="malformed value in product, key 2"):
+        stage(landing.parse_landing(raw(spark, [wrong % 9, right])), "product").collect()
+
+
+def test_typed_and_payload_states_agree(spark, as_rows):
+    events = landing.parse_landing(raw(spark, [customer(1), customer(None, first_name="null lsn"), customer(7, "d", "true")]))
+    spec = TABLES["customer"]
+    typed = as_rows(current_typed(events, spec))
+    assert typed == as_rows(current_state(events, spec).select(*typed_columns(spec)))
+    assert [r[1] for r in typed] == ["null lsn"]
+
+
 def test_insert_update_then_delete(spark, as_rows):
     events = [customer(1, "c", first_name=" New "), customer(2, "u", first_name=" Updated ")]
     staged = stage(landing.parse_landing(raw(spark, events)), "customer")

@@ -52,9 +52,9 @@ def items(spark):
 def invoices(spark):
     """Headers as they come out of log replay: the newest of two versions."""
     versions = spark.range(0, 180_000, 1, 8).selectExpr(
-        "id div 2 as __key", "id as v", "map('id', id div 2)['id'] as invoice_id"
+        "id div 2 as invoice_id", "id as v"
     )
-    newest = latest_per_key(versions, ["__key"], [F.col("v").desc()])
+    newest = latest_per_key(versions, ["invoice_id"], [F.col("v").desc()])
     return newest.select(
         "invoice_id",
         F.lit(1).alias("customer_id"),
@@ -72,6 +72,7 @@ def test_hot_invoice_is_split_in_the_sales_join(spark, skew_conf):
 def test_hot_product_is_split_when_lines_are_priced(spark, skew_conf):
     lines = items(spark).select("item_id", F.expr("if(item_id % 3 = 0, 0, item_id)").alias("product_id"), "note")
     products = spark.range(0, 90_000, 1, 8).selectExpr("id as product_id", "cast(3 as decimal(10,2)) as unit_price")
+    products = latest_per_key(products, ["product_id"], [F.col("unit_price").desc()])
     assert "skew=true" in final_plan(derive.priced_lines(lines, products))
     assert "skew=true" in final_plan(derive.looked_up_price(lines, products))
 

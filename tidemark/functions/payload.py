@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import epoch_ms_to_timestamp
 from tidemark.sources.registry import TableSpec
@@ -39,3 +40,30 @@ def meta_columns(strict: bool = True) -> list[Column]:
         field("__source_ts_ms", "bigint", strict=strict).alias("__source_ts_ms"),
         field("__deleted", strict=strict).alias("__deleted"),
     ]
+
+
+def wire_row(spec: TableSpec) -> Column:
+    """All columns of a table in wire types, in one pass over the payload; a value of the wrong type is null."""
+    return F.try_variant_get("payload", "$", spec.wire_schema.simpleString())
+
+
+def malformed(spec: TableSpec, row: Column) -> Column:
+    """Whether the wire row lacks a value that the payload has. The payload is only looked at for null values."""
+    result = F.lit(False)
+    for field_ in spec.wire_schema.fields:
+        if not isinstance(field_.dataType, T.StringType):
+            present = F.try_variant_get("payload", f"$.{field_.name}", "string").isNotNull()
+            result = result | (row.getField(field_.name).isNull() & present)
+    return result
+
+
+def from_wire(spec: TableSpec, row: str) -> list[Column]:
+    """Typed columns of a wire row: decimals from text, timestamps from epoch milliseconds."""
+
+    def decode(name: str, kind: str) -> Column:
+        value = F.col(f"{row}.{name}")
+        if kind == "timestamp":
+            return epoch_ms_to_timestamp(value)
+        return value.cast(kind) if kind.startswith("decimal") else value
+
+    return [decode(name, kind).alias(name) for name, kind in spec.columns.items()]

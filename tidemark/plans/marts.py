@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import date_key, signed_quantity
+from tidemark.operators.joins import hot_key_join
 
 # --- fixed values: bounds of the date dimension (the end is exclusive) and settled statuses ---
 SPINE_START = dt.date(2020, 1, 1)
@@ -72,7 +73,7 @@ def fact_sales(stg_sales_invoice_item: DataFrame, stg_sales_invoice: DataFrame)
         "invoice_id", "customer_id", "invoice_date", F.col("status").alias("invoice_status")
     )
     gross = F.col("quantity") * F.col("unit_price")
-    return stg_sales_invoice_item.join(header, "invoice_id").select(
+    return hot_key_join(stg_sales_invoice_item, header, "invoice_id").select(
         "item_id",
         "invoice_id",
         "product_id",
@@ -93,7 +94,7 @@ def fact_purchases(stg_purchase_bill_item: DataFrame, stg_purchase_bill: DataFra
     header = stg_purchase_bill.select(
         "bill_id", "supplier_id", "bill_date", "paid_amount", F.col("status").alias("bill_status")
     )
-    return stg_purchase_bill_item.join(header, "bill_id").select(
+    return hot_key_join(stg_purchase_bill_item, header, "bill_id").select(
         "item_id",
         "bill_id",
         "product_id",
@@ -275,7 +276,7 @@ def reversal_links(transactions: DataFrame) -> DataFrame:
         F.col("reverses_transaction_id").alias("transaction_id"),
         F.col("amount").alias("reversal_amount"),
     )
-    return reversals.join(transactions, "transaction_id", "left").select(
+    return hot_key_join(reversals, transactions, "transaction_id", "left").select(
         "reversal_id",
         F.col("transaction_id").alias("original_id"),
         F.col("status").alias("original_status"),

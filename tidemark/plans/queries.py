@@ -15,6 +15,7 @@ from tidemark.operators import alarms, derive, health, merge, quality, reconcile
 from tidemark.operators.latest import (
     current_rows,
     current_state,
+    current_typed,
     latest_per_key,
     merge_source,
     replay_order,
@@ -99,8 +100,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Models:
 
 def raw_state(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Current rows of a source table, typed but not cleaned."""
-    spec = TABLES[table]
-    return current_state(sample.landing_of(spark, sf_dir, table), spec).select(*typed_columns(spec))
+    return current_typed(sample.landing_of(spark, sf_dir, table), TABLES[table])
 
 
 # --- sources, landing, extraction ---

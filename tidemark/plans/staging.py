@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.payload import typed_columns
 from tidemark.functions.scalars import (
     clean,
     clean_lower,
@@ -16,7 +15,7 @@ from tidemark.functions.scalars import (
     signed_amount,
     tax_price,
 )
-from tidemark.operators.latest import current_state
+from tidemark.operators.latest import current_typed
 from tidemark.sources.registry import TABLES, TableSpec
 
 # Text columns are trimmed; these are also lowered or raised, or left alone.
@@ -77,4 +76,4 @@ def stage_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
 def stage(landing: DataFrame, table: str) -> DataFrame:
     """Staging model of one table, straight from landed events."""
     spec = TABLES[table]
-    return stage_rows(current_state(landing, spec).select(*typed_columns(spec)), spec)
+    return stage_rows(current_typed(landing, spec), spec)
