@@ -16,8 +16,18 @@ RESULT_SCHEMA = (
     "id bigint, run_id string, checked_at timestamp_ntz, check_name string, "
     "subject string, status string, value double, detail string"
 )
-# --- fixed values: statuses, dashboard limits and list length ---
+# --- fixed values: check names, statuses, detail texts, dashboard limits and list length ---
+CONNECT_REACHABLE, CONNECT_SUBJECT = "kafka_connect_reachable", "kafka-connect"
+CONNECTOR_STATUS, SLOT_LAG = "connector_status", "replication_slot_lag"
+ROW_COUNT, FRESHNESS = "row_count", "table_freshness"
 STATUSES = ("ok", "warn", "fail")
+NOT_REGISTERED = "connector is not registered"
+NO_SLOTS = "no logical replication slots; is the Debezium connector registered?"
+SLOT_WITHOUT_LSN = "slot has no LSN (invalidated?)"
+SLOT_INACTIVE = "slot is inactive; PostgreSQL retains WAL until it is consumed"
+SLOT_BEHIND = "lag exceeds {} bytes"
+TABLE_MISSING, TABLE_EMPTY = "table {}.{} not found", "table is empty"
+NO_ROWS, TABLE_STALE = "no rows", "no update for more than {} seconds"
 RECENT_LIMIT = 200
 AGE_LIMIT_SECONDS, FAILING_LIMIT, WARNING_LIMIT = 900, 1, 1
 # --- end of fixed values ---
@@ -39,7 +49,7 @@ def _result(name: str, subject: Column, status: Column, value: Column, detail: C
 def connect_unreachable(spark: SparkSession, error: str) -> DataFrame:
     """The one row of a run in which no connector status could be read."""
     return spark.range(0, 1, 1, 1).select(
-        *_result("kafka_connect_reachable", F.lit("kafka-connect"), F.lit("fail"), F.lit(0.0), truncate_detail(F.lit(error)))
+        *_result(CONNECT_REACHABLE, F.lit(CONNECT_SUBJECT), F.lit("fail"), F.lit(0.0), truncate_detail(F.lit(error)))
     )
 
 
@@ -79,16 +89,16 @@ def connector_status(observed: DataFrame, expected: Iterable[str]) -> DataFrame:
         .when(F.forall("parts", lambda p: p["state"] == "RUNNING"), "ok")
         .otherwise("warn")
     )
-    name, running = "connector_status", F.when(outcome == "ok", 1.0).otherwise(0.0)
+    name, running = CONNECTOR_STATUS, F.when(outcome == "ok", 1.0).otherwise(0.0)
     rows = parts.select(*_result(name, F.col("name"), outcome, running, truncate_detail(detail)))
-    unregistered = F.lit("connector is not registered")
+    unregistered = F.lit(NOT_REGISTERED)
     return rows.unionByName(absent.select(*_result(name, F.col("name"), F.lit("fail"), F.lit(0.0), unregistered)))
 
 
 def connect_reachable(spark: SparkSession) -> DataFrame:
     """The row of a run in which the status could be read."""
     return spark.range(0, 1, 1, 1).select(
-        *_result("kafka_connect_reachable", F.lit("kafka-connect"), F.lit("ok"), F.lit(1.0), F.lit(None))
+        *_result(CONNECT_REACHABLE, F.lit(CONNECT_SUBJECT), F.lit("ok"), F.lit(1.0), F.lit(None))
     )
 
 
@@ -99,16 +109,15 @@ def slot_lag_status(slots: DataFrame, warn_bytes: int) -> DataFrame:
         F.when(lag.isNull(), "fail").when(~F.col("active"), "fail").when(lag > warn_bytes, "warn").otherwise("ok")
     )
     detail = (
-        F.when(lag.isNull(), "slot has no LSN (invalidated?)")
-        .when(~F.col("active"), "slot is inactive; PostgreSQL retains WAL until it is consumed")
-        .when(lag > warn_bytes, f"lag exceeds {warn_bytes} bytes")
+        F.when(lag.isNull(), SLOT_WITHOUT_LSN)
+        .when(~F.col("active"), SLOT_INACTIVE)
+        .when(lag > warn_bytes, SLOT_BEHIND.format(warn_bytes))
     )
-    name = "replication_slot_lag"
+    name = SLOT_LAG
     rows = slots.select(*_result(name, F.col("name"), outcome, lag, detail))
     nothing = slots.agg(F.count("*").alias("n")).where("n = 0")
-    none = "no logical replication slots; is the Debezium connector registered?"
     return rows.unionByName(
-        nothing.select(*_result(name, F.lit("(none)"), F.lit("warn"), F.lit(None), F.lit(none)))
+        nothing.select(*_result(name, F.lit("(none)"), F.lit("warn"), F.lit(None), F.lit(NO_SLOTS)))
     )
 
 
@@ -130,8 +139,8 @@ def table_health(
     for name, frame in tables.items():
         subject = F.lit(name)
         if frame is None:
-            missing = F.lit(f"table {schema}.{name} not found")
-            parts.append(spark.range(0, 1, 1, 1).select(*_result("row_count", subject, F.lit("fail"), F.lit(None), missing)))
+            missing = F.lit(TABLE_MISSING.format(schema, name))
+            parts.append(spark.range(0, 1, 1, 1).select(*_result(ROW_COUNT, subject, F.lit("fail"), F.lit(None), missing)))
             continue
         stamped = stamp in frame.columns
         newest = F.max(stamp) if stamped else F.lit(None).cast("timestamp_ntz")
@@ -142,18 +151,18 @@ def table_health(
         else:
             late = age > warn_seconds if warn_seconds else F.lit(False)
             status = F.when(age.isNull() | late, "warn").otherwise("ok")
-            detail = F.when(age.isNull(), "no rows").when(late, f"no update for more than {warn_seconds} seconds")
+            detail = F.when(age.isNull(), NO_ROWS).when(late, TABLE_STALE.format(warn_seconds))
         both = F.array(
             F.struct(
                 *_result(
-                    "row_count",
+                    ROW_COUNT,
                     subject,
                     F.when(count > 0, "ok").otherwise("warn"),
                     count,
-                    F.when(count == 0, "table is empty"),
+                    F.when(count == 0, TABLE_EMPTY),
                 )
             ),
-            F.struct(*_result("table_freshness", subject, status, age, detail)),
+            F.struct(*_result(FRESHNESS, subject, status, age, detail)),
         )
         parts.append(seen.select(F.inline(both)))
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -231,12 +240,12 @@ def failing_latest(results: DataFrame) -> DataFrame:
 
 def source_rows(results: DataFrame) -> DataFrame:
     """Rows in all source tables by the newest run."""
-    return latest_run(results).where("check_name = 'row_count'").agg(F.sum("value").alias("source_rows"))
+    return latest_run(results).where(F.col("check_name") == ROW_COUNT).agg(F.sum("value").alias("source_rows"))
 
 
 def connectors_latest(results: DataFrame) -> DataFrame:
     """Connector table of the newest run."""
-    shown = F.col("check_name").isin("kafka_connect_reachable", "connector_status")
+    shown = F.col("check_name").isin(CONNECT_REACHABLE, CONNECTOR_STATUS)
     rows = latest_run(results).where(shown).orderBy(F.col("check_name").desc(), "subject")
     return rows.select("subject", "status", "detail")
 
@@ -253,12 +262,12 @@ def series(results: DataFrame, check: str, start: dt.datetime, end: dt.datetime)
 
 def rows_latest(results: DataFrame) -> DataFrame:
     """Rows per table by the newest run."""
-    return latest_run(results).where("check_name = 'row_count'").orderBy("subject").select("subject", "value")
+    return latest_run(results).where(F.col("check_name") == ROW_COUNT).orderBy("subject").select("subject", "value")
 
 
 def freshness_latest(results: DataFrame) -> DataFrame:
     """Freshness per table by the newest run."""
-    rows = latest_run(results).where("check_name = 'table_freshness'").orderBy("subject")
+    rows = latest_run(results).where(F.col("check_name") == FRESHNESS).orderBy("subject")
     return rows.select("subject", "value", "status", "detail")
 
 

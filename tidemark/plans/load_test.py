@@ -17,15 +17,21 @@ SPEC = TABLES["customer"]
 KEY = SPEC.primary_key
 
 
+# --- fixed values: the parts of a load-test customer ---
+FIRST_NAME, LAST_NAME = "LoadTest", "Customer"
+EMAIL_START, EMAIL_END, PHONE_START = "cdc-load-", "@example.test", "+1999"
+# --- end of fixed values ---
+
+
 def load_rows(ids: DataFrame, created_at: dt.datetime) -> DataFrame:
     """Customers made from ids."""
     text = F.col(KEY).cast("string")
     return ids.select(
         KEY,
-        F.lit("LoadTest").alias("first_name"),
-        F.concat(F.lit("Customer"), text).alias("last_name"),
-        F.concat(F.lit("cdc-load-"), text, F.lit("@example.test")).alias("email"),
-        F.concat(F.lit("+1999"), padded(KEY, 10)).alias("phone_number"),
+        F.lit(FIRST_NAME).alias("first_name"),
+        F.concat(F.lit(LAST_NAME), text).alias("last_name"),
+        F.concat(F.lit(EMAIL_START), text, F.lit(EMAIL_END)).alias("email"),
+        F.concat(F.lit(PHONE_START), padded(KEY, 10)).alias("phone_number"),
         moment(created_at).alias("created_at"),
         moment(created_at).alias("updated_at"),
     )
