@@ -73,3 +73,21 @@ def test_shared_folder_is_read_from_the_session(spark):
     if configured:
         assert shared_dir(spark) == configured.rstrip("/")
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
+
+
+def test_joins_on_a_unique_key_use_the_partitioning_of_log_replay(spark, sf_dir, physical):
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key in settings:
+            spark.conf.set(key, "-1")
+        shuffles = lambda name: physical(queries()[name](spark, sf_dir)).count("Exchange hashpartitioning")
+        # Two replays and the payments; two replays and both sides of the join, which may be split.
+        assert shuffles("fct_receivables") == 3
+        assert shuffles("fact_sales") == 4
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -30,7 +30,10 @@ def raw_broker_stream(spark: SparkSession, options: dict[str, str], source_forma
 
 
 def finish(query: StreamingQuery) -> int:
-    """Wait for a drain to end; the number of input rows it read."""
+    """Wait for a drain to end; the number of input rows it read, over the batches whose progress Spark keeps.
+
+    That is the last `spark.sql.streaming.numRecentProgressUpdates`, 100 by default.
+    """
     query.awaitTermination()
     return sum(progress.numInputRows for progress in query.recentProgress)
 
