@@ -3,13 +3,12 @@ import duckdb
 import pathlib
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tidemark.plans.models import INTERMEDIATE, Models, save_bucketed
 from tidemark.session import fresh_dir, shared_dir
 from tidemark.sources import sample_tables as sample
-from tidemark.plans.queries import warehouse
-
-ORACLES = oracle_sql()
+from tidemark.plans.oracle import ORACLE_SQL as ORACLES
+from tidemark.plans.queries import QUERIES, warehouse
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +19,9 @@ def oracle(sf_dir):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_oracle_and_has_no_pairwise_join(spark, sf_dir, oracle, physical, name):
-    frame = queries()[name](spark, sf_dir)
+    frame = QUERIES[name](spark, sf_dir)
     got = frame.collect()
     plan = physical(frame)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -36,7 +35,7 @@ def test_query_matches_its_oracle_and_has_no_pairwise_join(spark, sf_dir, oracle
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -61,7 +60,7 @@ def test_bucketed_models_join_without_a_shuffle(spark, sf_dir, physical):
             save_bucketed(built[model], table, ["invoice_id"], 4, f"{root}/{table}")
         joined = spark.table("bucketed_items").join(spark.table("bucketed_invoices"), "invoice_id")
         assert "Exchange" not in physical(joined)
-        assert joined.count() == queries()["fact_sales"](spark, sf_dir).count()
+        assert joined.count() == QUERIES["fact_sales"](spark, sf_dir).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for table in names:
@@ -81,7 +80,7 @@ def test_joins_on_a_unique_key_use_the_partitioning_of_log_replay(spark, sf_dir,
     try:
         for key in settings:
             spark.conf.set(key, "-1")
-        shuffles = lambda name: physical(queries()[name](spark, sf_dir)).count("Exchange hashpartitioning")
+        shuffles = lambda name: physical(QUERIES[name](spark, sf_dir)).count("Exchange hashpartitioning")
         # Two replays and the payments; two replays and both sides of the join, which may be split.
         assert shuffles("fct_receivables") == 3
         assert shuffles("fact_sales") == 4
