@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, quality, simhash
+from tidemark.llm import bpe, mixing, quality, simhash, suffix_dedup
 from tidemark.llm.common import table
 
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = suffix_dedup.without_repeats(docs, length=50)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, RANKS).select("doc_id", "n_tokens", "ids")
+    decoded = bpe.decode(encoded, RANKS)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op8_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
@@ -27,7 +46,9 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_repeats": op2_suffix_repeats,
     "op6_source_mix": op6_source_mix,
+    "op7_word_bpe": op7_word_bpe,
     "op8_simhash_bit_sliced": op8_simhash_bit_sliced,
     "op9_line_quality": op9_line_quality,
 }
