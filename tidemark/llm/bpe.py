@@ -31,7 +31,7 @@ _S = "\t-\r \x85\xa0"
 _LATIN = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 )
-_GENERAL_SPACE = r"[\t-\r \x85\xa0  -     　]"
+_GENERAL_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _GENERAL = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + _GENERAL_SPACE[1:-1] + r"\p{L}\p{N}]+|"
     + _GENERAL_SPACE + r"+(?![^" + _GENERAL_SPACE[1:-1] + r"])|" + _GENERAL_SPACE + r"+"
