@@ -190,7 +190,7 @@ def _answered(asked: DataFrame, path: str) -> DataFrame:
 def encode(
     docs: DataFrame, path: str, text: str = "text", block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20
 ) -> DataFrame:
-    """`docs` with n_tokens and ids (little-endian unsigned 32-bit integers, as binary) for the column `text`.
+    """`docs` with n_tokens and ids (little-endian unsigned 32-bit integers, as binary) in place of the column `text`.
 
     `path` is a rank file that every executor has. Each match of the word pattern is merged separately, without special
     tokens. A block is about `block_bytes` of text; the number of buckets follows the total text, so that a bucket stays
@@ -203,7 +203,7 @@ def encode(
     same order each time, as tables do. A checksum of each block's words tells if it did not; the job then fails.
     """
     added = T.StructType.fromDDL("n_tokens long, ids binary")
-    carried = [F.col(f"`{c}`") for c in docs.columns if c not in added.names]
+    carried = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *added.names)]
     packed = docs.select(utf8(F.col(f"`{text}`")).alias("__bytes"), F.struct(*carried).alias("__row"))
     total = packed.agg(F.sum(F.octet_length("__bytes"))).first()[0] or 0
     answers = _answered(_asked(packed, block_bytes, max(32, -(-total // bucket_bytes))), path)

@@ -96,41 +96,71 @@ def thresholds(sized: DataFrame, budgets: DataFrame, digit_bits: int = 12) -> Da
     )
 
 
-def mix(
-    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0
-) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of `docs` (doc_id, text, source).
+def _keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with __size, __hash and __source, which tells a null source from any text by its length."""
+    return docs.withColumns(
+        {
+            "__size": word_count(F.col("text")),
+            "__hash": document_hash(F.col("doc_id")),
+            "__source": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")),
+        }
+    )
+
+
+def plan(sized: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
+    """(source_key, source_size, target, copies, threshold), one row per source, of (source_key, hash, size)."""
+    totals = sized.groupBy("source_key").agg(F.sum("size").alias("source_size"))
+    named = totals.select(
+        F.when(F.col("source_key") != "", F.expr("substr(source_key, 2)")).alias("source"), "source_size"
+    )
+    copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    targets = saved(
+        source_targets(named, weights, share, most)
+        .withColumn("source_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+        .withColumn("copies", copies)
+        .withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size")),
+        "targets",
+    )
+    cuts = thresholds(sized, targets.select("source_key", "budget"))
+    return targets.join(cuts, "source_key").select("source_key", "source_size", "target", "copies", "threshold")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) for every row of `docs` (doc_id, text, source).
 
-    Sources in order of code points, null last, have the weights in turn. `taken` is the words of the document that the
-    mix takes, whole copies counted: the same number of copies for all documents of a source, and one more below the
-    source's hash threshold, so it is a multiple of size and at most `most`, rounded up, times it. A source's taken words
-    fall short of its target by less than the words of the documents that share one hash.
+    Sources in order of code points, null last, have the weights in turn. The mix takes each document in `copies` whole
+    copies, `taken` words: the same number for all documents of a source, and one more below the source's hash threshold.
+    A source's taken words fall short of its target by less than the words of the documents that share one hash.
 
     A null or empty text has size 0. Repeated rows and null ids share a hash and are taken together. Sources of size 0
     have target 0. Other columns are ignored; an empty table gives no rows.
     """
     sized = saved(
-        docs.select(
+        _keyed(docs.select("doc_id", "text", "source")).select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            word_count(F.col("text")).alias("size"), document_hash(F.col("doc_id")).alias("hash"),
-        )
-        # a null source is told from any text by its length
-        .withColumn("source_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))),
+            F.col("__size").alias("size"), F.col("__hash").alias("hash"), F.col("__source").alias("source_key"),
+        ),
         "sizes",
     )
-    totals = sized.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
-    targets = source_targets(totals.select("source", "source_size"), weights, share, most)
-    targets = targets.withColumn("source_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = saved(
-        targets.withColumn("copies", copies).withColumn(
-            "budget", F.col("target") - F.col("copies") * F.col("source_size")
-        ),
-        "targets",
-    )
-    cuts = thresholds(sized.select("source_key", "hash", "size"), targets.select("source_key", "budget"))
-    plan = targets.join(cuts, "source_key").select("source_key", "source_size", "target", "copies", "threshold")
-    taken = F.col("size") * (F.col("copies") + (F.col("hash") < F.col("threshold")).cast("long"))
-    return sized.join(plan, "source_key").select(
-        "doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken")
+    planned = plan(sized.select("source_key", "hash", "size"), weights, share, most)
+    copies = (F.col("copies") + (F.col("hash") < F.col("threshold")).cast("long")).cast("long")
+    return sized.join(planned, "source_key").select(
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+        (F.col("size") * copies).cast("long").alias("taken"),
+    )
+
+
+def repeated_docs(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0
+) -> DataFrame:
+    """The rows of `docs`, each as often as `mix` takes it. The texts are not shuffled unless the sources are very many."""
+    keyed = _keyed(docs)
+    sized = keyed.select(F.col("__source").alias("source_key"), F.col("__hash").alias("hash"), F.col("__size").alias("size"))
+    planned = plan(saved(sized, "sizes"), weights, share, most).select(
+        F.col("source_key").alias("__source"), F.col("copies").alias("__copies"), F.col("threshold").alias("__threshold")
     )
+    copies = F.col("__copies") + (F.col("__hash") < F.col("__threshold")).cast("long")
+    taken = keyed.join(planned, "__source").withColumn("__times", copies).where("__times > 0")
+    return taken.select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))).alias("__turn")
+    ).drop("__turn")

@@ -8,14 +8,16 @@ enough of its words stand in content lines.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, held_out, per_batch, utf8
+from tidemark.llm.common import arrow_schema, batch_of, bounded_sample, held_out, per_batch, utf8
 from tidemark.llm.viterbi import decode
 
 SYMBOLS = b"#*$%&|<>"
@@ -199,49 +201,53 @@ def train_lines(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Li
 
 
 def judge(
-    docs: DataFrame, model: LineModel | None, min_words: int = 50, most_repeated: int = 50, min_content: float = 0.5,
-    keep_columns: tuple[str, ...] = (),
+    docs: DataFrame, model: LineModel | None, min_words: int = 50, most_repeated: int = 50, min_content: float = 0.5
 ) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): the base counts, base_failed, content_share, kept, and `keep_columns`.
+    """`docs` (doc_id, text, any more) with the base counts, base_failed, content_share and kept.
 
     base_failed: fewer than `min_words` words, or over `most_repeated` percent of the words in repeated windows. kept: not
     base_failed and at least `min_content` of the words in lines that the model calls content; without a model all lines are.
 
     A null or empty text has no words, so it fails. Lines without words belong to no state. Repeated rows and null ids are
-    judged like any other; an empty table gives no rows.
+    judged like any other; columns of `docs` with the new names are replaced; an empty table gives no rows.
     """
-
-    def make():
-        def step(batch: pa.RecordBatch) -> dict:
-            base, features, words, lengths = [], [], [], []
-            for text in batch.column("__text"):
-                text = text.as_py()
-                base.append(base_counts(text))
-                if model is not None:
-                    rows, counts = lines_of(text)
-                    features += rows
-                    words += counts
-                    lengths.append(len(counts))
-            n, chars, symbols, dups, repeats = np.array(base, np.int64).T
-            failed = (n < min_words) | (100 * repeats > most_repeated * n)
-            share = np.ones(len(n))
-            if features:
-                lengths, words = np.array(lengths), np.array(words)
-                content = model.states(np.array(features), lengths) == CONTENT
-                of = np.repeat(np.arange(len(n)), lengths)
-                share = np.bincount(of, words * content, len(n)) / np.maximum(n, 1)
-            share = np.where(n > 0, share, 0.0)
-            return {
-                "n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dups, "n_repeat_words": repeats,
-                "base_failed": failed, "content_share": share, "kept": ~failed & (share >= min_content),
-            } | {c: batch.column(c) for c in keep_columns}
-
-        return step
-
-    schema = (
-        "n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,"
-        "base_failed boolean,content_share double,kept boolean"
+    added = T.StructType.fromDDL(
+        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
+        "content_share double, kept boolean"
     )
-    kinds = dict(docs.dtypes)
-    carried = "".join(f",{c} {'long' if kinds[c] == 'bigint' else kinds[c]}" for c in keep_columns)
-    return per_batch(docs.select(utf8().alias("__text"), *keep_columns), make, schema + carried)
+    carried = [F.col(f"`{c}`") for c in docs.columns if c not in added.names]
+    packed = docs.select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
+    out = arrow_schema(
+        "n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,base_failed boolean,"
+        "content_share double,kept boolean"
+    )
+
+    def verdicts(texts: pa.Array) -> pa.RecordBatch:
+        base, features, words, lengths = [], [], [], []
+        for text in texts:
+            text = text.as_py()
+            base.append(base_counts(text))
+            if model is not None:
+                rows, counts = lines_of(text)
+                features += rows
+                words += counts
+                lengths.append(len(counts))
+        n, chars, symbols, dups, repeats = np.array(base, np.int64).T
+        failed = (n < min_words) | (100 * repeats > most_repeated * n)
+        share = np.ones(len(n))
+        if features:
+            content = model.states(np.array(features), np.array(lengths)) == CONTENT
+            of = np.repeat(np.arange(len(n)), lengths)
+            share = np.bincount(of, np.array(words) * content, len(n)) / np.maximum(n, 1)
+        share = np.where(n > 0, share, 0.0)
+        columns = (n, chars, symbols, dups, repeats, failed, share, ~failed & (share >= min_content))
+        return batch_of(dict(zip(added.names, columns, strict=True)), out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                made = verdicts(batch.column("__bytes"))
+                yield pa.RecordBatch.from_arrays([batch.column("__row"), *made.columns], names=["__row", *added.names])
+
+    result = T.StructType([packed.schema["__row"], *added.fields])
+    return packed.mapInArrow(run, result).select("__row.*", *added.names)

@@ -8,21 +8,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, quality, simhash, suffix_dedup
-from tidemark.llm.common import table
+from tidemark.llm import bpe, language_id, license_scan, mixing, quality, simhash, suffix_dedup, toxicity
+from tidemark.llm.common import held_out, table
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_toxic_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", held_out())
+
+
 def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cleaned = suffix_dedup.without_repeats(docs, length=50)
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_license_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.select("doc_id", "text", "lang"))
+    return language_id.label(docs.select("doc_id", "text"), model).withColumn("held_out", held_out())
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
 def op7_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,13 +56,16 @@ def op8_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train_lines(docs, table(spark, sf_dir, "labels"))
-    return quality.judge(docs, model, keep_columns=("doc_id",))
+    return quality.judge(docs, model).drop("text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxic_instances": op1_toxic_instances,
     "op2_suffix_repeats": op2_suffix_repeats,
+    "op4_license_blocks": op4_license_blocks,
+    "op5_language_spans": op5_language_spans,
     "op6_source_mix": op6_source_mix,
     "op7_word_bpe": op7_word_bpe,
     "op8_simhash_bit_sliced": op8_simhash_bit_sliced,

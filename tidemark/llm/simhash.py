@@ -74,7 +74,7 @@ def fingerprint(hashes: np.ndarray, words: int = 1) -> bytes:
 
 
 def fingerprints(docs: DataFrame, shingle: int, words: int = 1, min_keys: int = 0) -> DataFrame:
-    """(doc_id, fp, keys): the fingerprint of each text and, if asked for, its smallest mixed shingle hashes.
+    """(doc_id, text_hash, fp, keys): the fingerprint of each text and, if asked for, its smallest mixed shingle hashes.
 
     Texts without words have the zero fingerprint and the keys -1, -2 and so on.
     """
@@ -90,12 +90,14 @@ def fingerprints(docs: DataFrame, shingle: int, words: int = 1, min_keys: int =
                     keys.append([(x ^ k << 60) - (1 << 63) for k, x in enumerate(smallest)])
                 else:
                     keys.append([-1 - k for k in range(min_keys)])
-            return {"doc_id": batch.column("doc_id"), "fp": prints, "keys": keys}
+            return {c: batch.column(c) for c in ("doc_id", "text_hash")} | {"fp": prints, "keys": keys}
 
         return step
 
     return per_batch(
-        docs.select(F.col("doc_id").cast("long"), utf8().alias("text")), make, "doc_id long,fp binary,keys array<long>"
+        docs.select(F.col("doc_id").cast("long"), F.xxhash64(utf8()).alias("text_hash"), utf8().alias("text")),
+        make,
+        "doc_id long,text_hash long,fp binary,keys array<long>",
     )
 
 
@@ -279,26 +281,47 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, radius: int = 2, blocks: int = 6, words: int = 1, min_keys: int = 0
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of `docs` (doc_id, text).
+    """(doc_id, text_hash, fp, component_id, leads) for every row of `docs` (doc_id, text).
 
     component_id is the smallest doc_id of the documents reachable over links of at most `radius` differing bits.
     With `min_keys`, links are searched under that many smallest shingle hashes instead of under block keys, which allows
-    a large radius and fingerprints of `words` times 64 bits.
+    a large radius and fingerprints of `words` times 64 bits. text_hash is the XXH64 of the text; leads is true for the
+    rows of the component with the smallest doc_id and, under it, the smallest text_hash.
 
     A null text counts as empty; empty texts have the zero fingerprint and link like others. A null doc_id keeps its row
     and is never a component's smallest id, unless all are null: then the component is null. Repeated rows stay repeated.
     Other columns of `docs` are ignored. An empty table gives no rows.
     """
     marks = saved(fingerprints(docs, shingle, words, min_keys), "fingerprints")
-    firsts = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    # a null id comes after all others
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
+    firsts = marks.groupBy("fp").agg(F.min(rank).alias("first"))
     if min_keys:
         keyed = marks.select(F.explode("keys").alias("key"), "fp").distinct()
     else:
         keyed = block_keys(firsts, radius, blocks)
     roots = components(links(keyed, radius)).select(F.col("node").alias("fp"), "root")
-    nodes = saved(
-        firsts.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "nodes"
+    nodes = saved(firsts.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "nodes")
+    least = nodes.groupBy("root").agg(F.min("first").alias("leader"))
+    named = nodes.join(least, "root").select("fp", "leader")
+    leads = F.col("leader.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("leader.text_hash") == F.col("text_hash"))
+    return marks.join(named, "fp").select(
+        "doc_id", "text_hash", "fp", F.col("leader.doc_id").alias("component_id"), leads.alias("leads")
     )
-    least = nodes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = nodes.join(least, "root").select("fp", "component_id")
-    return marks.select("doc_id", "fp").join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of `docs` that lead their group of near duplicates, one for each group; see `near_duplicates` for `how`."""
+    leaders = near_duplicates(docs, **how).where("leads").select("doc_id", "text_hash")
+    leaders = leaders.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    one_id, one_hash = F.col("doc_id").cast("long"), F.xxhash64(utf8())
+    kept = docs.withColumn("__id", one_id).withColumn("__hash", one_hash)
+    same = [
+        F.coalesce(kept["__id"], F.lit(-1)) == F.coalesce(leaders["doc_id"], F.lit(-1)),
+        kept["__id"].isNull() == leaders["doc_id"].isNull(),
+        kept["__hash"] == leaders["text_hash"],
+    ]
+    repeated = leaders.where("rows > 1")
+    if repeated.isEmpty():
+        return kept.join(leaders, same, "left_semi").select(*[kept[f"`{c}`"] for c in docs.columns])
+    return kept.join(leaders, same, "left_semi").dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
