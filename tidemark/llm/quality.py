@@ -203,7 +203,7 @@ def train_lines(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Li
 def judge(
     docs: DataFrame, model: LineModel | None, min_words: int = 50, most_repeated: int = 50, min_content: float = 0.5
 ) -> DataFrame:
-    """`docs` (doc_id, text, any more) with the base counts, base_failed, content_share and kept.
+    """`docs` with the base counts, base_failed, content_share and kept in place of text.
 
     base_failed: fewer than `min_words` words, or over `most_repeated` percent of the words in repeated windows. kept: not
     base_failed and at least `min_content` of the words in lines that the model calls content; without a model all lines are.
@@ -215,7 +215,7 @@ def judge(
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
         "content_share double, kept boolean"
     )
-    carried = [F.col(f"`{c}`") for c in docs.columns if c not in added.names]
+    carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *added.names)]
     packed = docs.select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
     out = arrow_schema(
         "n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,base_failed boolean,"

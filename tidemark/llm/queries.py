@@ -58,7 +58,7 @@ def op8_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train_lines(docs, table(spark, sf_dir, "labels"))
-    return quality.judge(docs, model).drop("text")
+    return quality.judge(docs, model)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
