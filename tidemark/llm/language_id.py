@@ -110,8 +110,11 @@ def train(docs: DataFrame, per_language: int = 1000, smoothing: float = 0.5, lea
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     known = known.select(F.col("lang").cast("string").alias("lang"), "doc_id", "text")
     order = Window.partitionBy("lang").orderBy("hash", "doc_id", "size")
+    # of a common language, only documents whose hash lies in a small share come into question
+    asked = known.groupBy("lang").count().select("lang", (3.0 * per_language / F.col("count")).alias("share"))
+    hashed = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size"))
     picks = (
-        known.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size"))
+        hashed.join(asked, "lang").where(F.shiftrightunsigned("hash", 11) / float(1 << 53) < F.col("share"))
         .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
         .select("lang", "doc_id", "size").distinct()
     )

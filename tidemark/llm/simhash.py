@@ -142,7 +142,7 @@ def linked_rows(fps: np.ndarray, first: np.ndarray, last: np.ndarray, radius: in
     width = 8 * fps.shape[1]
     bits = np.unpackbits(fps, axis=1)
     planes = _planes(bits)
-    wide = ALL * bits.astype(U64)
+    own = np.ascontiguousarray(bits.T).astype(bool)
     slices = radius.bit_length() + (radius & (radius + 1) == 0)
     start = (1 << slices) - 1 - radius
     rows = np.flatnonzero(last > first)
@@ -156,7 +156,7 @@ def linked_rows(fps: np.ndarray, first: np.ndarray, last: np.ndarray, radius: in
         live = _below(np.minimum(last[row] - block * 64, 64)) & ~_below(np.maximum(first[row] - block * 64, 0))
         counter = [np.full(len(item), ALL if start >> s & 1 else U64(0)) for s in range(slices)]
         for bit in range(width):
-            carry = planes[block, bit] ^ wide[row, bit]
+            carry = planes[block, bit] ^ np.where(own[bit][row], ALL, U64(0))
             for s in range(slices):
                 counter[s], carry = counter[s] ^ carry, counter[s] & carry
             live &= ~carry
@@ -195,7 +195,7 @@ def _spans(task: np.ndarray, side: np.ndarray, crossed: np.ndarray) -> tuple[np.
     return np.minimum(np.where(crossed, next_side, np.arange(n) + 1), end), end
 
 
-def links(keyed: DataFrame, radius: int, chunk: int = 4096, held_rows: int = 60_000) -> DataFrame:
+def links(keyed: DataFrame, radius: int, chunk: int = 4096, held_rows: int = 20_000) -> DataFrame:
     """(a, b): a spanning forest, for each key, of the fingerprints within `radius` bits. `keyed` is (key, fp)."""
     hot = keyed.groupBy("key").count().where(F.col("count") > chunk)
     hot = hot.select("key", F.ceil(F.col("count") / chunk).cast("int").alias("chunks"))
@@ -211,6 +211,11 @@ def links(keyed: DataFrame, radius: int, chunk: int = 4096, held_rows: int = 60_
 
     def compare(batch: pa.Table) -> pa.RecordBatch | None:
         task = np.stack([batch.column(c).to_numpy() for c in ("key", "low", "high")], axis=1)
+        alike = np.all(task[1:] == task[:-1], axis=1)
+        company = np.flatnonzero(np.r_[False, alike] | np.r_[alike, False])
+        if not len(company):
+            return None
+        batch, task = batch.take(company), task[company]
         side, crossed = batch.column("side").to_numpy(), task[:, 1] != task[:, 2]
         first, last = _spans(task, side, crossed)
         within = np.where(crossed, (last > first) & (side == task[:, 1]), last > first)

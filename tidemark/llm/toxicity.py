@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: documents carry the labels, sentences are what is scored.
 
 A sentence's probability is logistic in the weights of its words, and a document's is the noisy-or of its sentences': it is
-toxic unless every sentence is not. Training maximises the likelihood of the document labels through that combination, so
+toxic unless every sentence is not. Sentences without any weighted word are no evidence, however many they are; in their
+place stands one small leak per document. Training maximises the likelihood of the document labels through that combination, so
 the gradient goes to the sentences that explain a label. Scoring reports the sentences that offend, with their places.
 """
 
@@ -46,7 +47,7 @@ def softplus(z: float) -> float:
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Weights of words and word beginnings, and the log-odds of a sentence without any of them."""
+    """Weights of words and word beginnings, and the log-odds that they are added to."""
 
     weights: dict[bytes, float]
     bias: float
@@ -71,7 +72,7 @@ class Scorer(dict):
         """The document's probability, and (start, end, probability) in bytes of sentences of at least `offends`."""
         if len(self) > self.most:
             self.clear()
-        get, total, at, found, empty = self.__getitem__, 0.0, 0, [], 0
+        get, total, at, found = self.__getitem__, softplus(self.bias), 0, []
         for sentence in sentences(text):
             hits = [w for w in map(get, sentence.split()) if w is not None]
             if hits:
@@ -79,10 +80,7 @@ class Scorer(dict):
                 total += softplus(z)
                 if (p := 1 / (1 + math.exp(-max(z, -700)))) >= offends:
                     found.append((at, at + len(sentence), p))
-            else:
-                empty += bool(sentence.strip())
             at += len(sentence) + 1
-        total += empty * softplus(self.bias)
         return 1 - math.exp(-total), found
 
 
@@ -109,18 +107,19 @@ def fit(
     sentence_doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     pairs = [(i, k) for i, s in enumerate(s for b in bags for s in b) for w in s for k in known[w]]
     rows, words = np.array(pairs, np.int64).reshape(-1, 2).T
-    n_sentences = len(sentence_doc)
+    kept, rows = np.unique(rows, return_inverse=True)
+    sentence_doc, n_sentences = sentence_doc[kept], len(kept)
     weights, bias = np.zeros(len(number)), -5.0
     moment, square, step_b, square_b = np.zeros(len(number)), np.zeros(len(number)), 0.0, 0.0
     y = toxic.astype(float)
     balance = np.where(y > 0, share / bad, (1 - share) / clean)
     for turn in range(1, rounds + 1):
         z = bias + np.bincount(rows, weights[words], n_sentences)
-        total = np.bincount(sentence_doc, np.logaddexp(0, z), len(bags))
+        total = np.logaddexp(0, bias) + np.bincount(sentence_doc, np.logaddexp(0, z), len(bags))
         miss = np.exp(-total)
         slope = balance * (1 - y / np.maximum(1 - miss, 1e-9))
         dz = slope[sentence_doc] / (1 + np.exp(-np.clip(z, -500, 500)))
-        g, gb = np.bincount(words, dz[rows], len(number)), dz.sum()
+        g, gb = np.bincount(words, dz[rows], len(number)), dz.sum() + slope.sum() / (1 + math.exp(-bias))
         moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
         step_b, square_b = 0.9 * step_b + 0.1 * gb, 0.999 * square_b + 0.001 * gb * gb
         fix, fix2 = 1 - 0.9**turn, 1 - 0.999**turn
@@ -149,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> ToxicMod
 def score(docs: DataFrame, model: ToxicModel | None, threshold: float = 0.3, offends: float = 0.5) -> DataFrame:
     """`docs` without text, with score, predicted, and starts, ends and scores of the sentences that offend (in bytes).
 
-    A null or empty text has no sentences and score 0; without a model all scores are 0. Only the text is looked at.
+    A null or empty text has no sentences and the score of the leak; without a model all scores are 0. Only the text is looked at.
     Repeated rows get equal scores; columns of `docs` with the new names are replaced; an empty table gives no rows.
     """
     added = T.StructType.fromDDL("score double, predicted int, starts array<int>, ends array<int>, scores array<double>")
