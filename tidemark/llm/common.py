@@ -37,9 +37,36 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def small_batches(frame: DataFrame, most: str = "4m") -> DataFrame:
+    """`frame`, in a session whose Arrow batches are bounded by bytes, not only by rows.
+
+    Texts may be long, and a batch of 10,000 of them is held by the JVM and by Python, for each task. A bound that the
+    session already has is left as it is.
+    """
+    conf, key = frame.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, most)
+    return frame
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at least `most` bytes, but for the last."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
 def per_batch(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """`mapInArrow` with a function from a batch to columns; `make` is called once per task."""
     arrow = arrow_schema(schema)
+    small_batches(frame)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_schema, batch_of, per_batch, utf8
+from tidemark.llm.common import arrow_schema, batch_of, gathered, small_batches, utf8
 
 U64 = np.uint64
 GRAM = 16
@@ -96,7 +96,7 @@ def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _zip(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=5).compress(data, asbytes=True)
 
 
 def _unzip(blob: bytes) -> bytes:
@@ -140,43 +140,52 @@ def _pieces(texts: pa.Array, length: int, most: int) -> Iterator[tuple[list[byte
         yield group, rows, offsets
 
 
-def binned_segments(docs: DataFrame, bins: int, length: int, piece_bytes: int = 1 << 20) -> DataFrame:
-    """(bin, n, meta, data): the segments of `docs` (doc_id, tag, text), packed by batch and bin."""
+def binned_segments(
+    docs: DataFrame, bins: int, length: int, piece_bytes: int = 1 << 19, pack_bytes: int = 8 << 20
+) -> DataFrame:
+    """(bin, n, meta, data): the segments of `docs` (__id, __tag, __bytes), packed by bin for `pack_bytes` of text each."""
+    out = arrow_schema("bin int,n int,meta binary,data binary")
+
+    def packed(meta: list[list[tuple]], data: list[list[bytes]]) -> pa.RecordBatch:
+        used = [i for i in range(bins) if meta[i]]
+        columns = [tuple(map(np.concatenate, zip(*meta[i], strict=True))) for i in used]
+        return batch_of(
+            {
+                "bin": used, "n": [len(c[0]) for c in columns], "meta": list(map(_pack, columns)),
+                "data": [_zip(b"".join(data[i])) for i in used],
+            },
+            out,
+        )
 
-    def make():
-        def step(batch: pa.RecordBatch) -> dict:
-            ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
-            meta: list[list[tuple]] = [[] for _ in range(bins)]
-            data: list[list[bytes]] = [[] for _ in range(bins)]
-            for texts, rows, offsets in _pieces(batch.column("text"), length, piece_bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, meta, data = 0, [[] for _ in range(bins)], [[] for _ in range(bins)]
+        for batch in batches:
+            ids, tags = batch.column("__id").to_numpy(), batch.column("__tag").to_numpy()
+            for texts, rows, offsets in _pieces(batch.column("__bytes"), length, piece_bytes):
                 joined = np.frombuffer(b"".join(texts), np.uint8)
                 ends = np.cumsum([len(t) for t in texts])
                 first, strings, offset, low = segments(joined, ends, length)
-                if not len(first):
-                    continue
                 of = (low % U64(bins)).astype(np.int64)
                 order = np.argsort(of, kind="stable")
                 first, strings, offset, of = first[order], strings[order], offset[order], of[order]
                 piece = np.searchsorted(ends, first, side="right")
                 row = np.array(rows)[piece]
-                start = first - np.r_[0, ends[:-1]][piece] + np.array(offsets)[piece]
+                start = (first - np.r_[0, ends[:-1]][piece] + np.array(offsets)[piece]).astype(np.uint32)
                 sizes = strings + length - 1
+                strings, offset = strings.astype(np.uint32), offset.astype(np.uint8)
                 content = joined[_gather(first, sizes)].tobytes()
                 bounds = np.r_[0, np.cumsum(sizes)]
-                cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
+                cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True]) if len(of) else np.zeros(1, np.int64)
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                     meta[of[a]].append((ids[row[a:b]], tags[row[a:b]], start[a:b], strings[a:b], offset[a:b]))
                     data[of[a]].append(content[bounds[a] : bounds[b]])
-            used = [i for i in range(bins) if meta[i]]
-            columns = [tuple(map(np.concatenate, zip(*meta[i], strict=True))) for i in used]
-            return {
-                "bin": used, "n": [len(c[0]) for c in columns], "meta": list(map(_pack, columns)),
-                "data": [_zip(b"".join(data[i])) for i in used],
-            }
+                held += len(joined)
+                if held >= pack_bytes:
+                    yield packed(meta, data)
+                    held, meta, data = 0, [[] for _ in range(bins)], [[] for _ in range(bins)]
+        yield packed(meta, data)
 
-        return step
-
-    return per_batch(docs.select("doc_id", "tag", "text"), make, "bin int,n int,meta binary,data binary")
+    return docs.select("__id", "__tag", "__bytes").mapInArrow(run, "bin int, n int, meta binary, data binary")
 
 
 def _words(text: np.ndarray) -> np.ndarray:
@@ -341,12 +350,8 @@ def _identified(docs: DataFrame, carried: list[str]) -> DataFrame:
     return marked.join(known, "__id", "left").select("__id", tag.alias("__tag"), "__bytes", "__row")
 
 
-def _spans(marked: DataFrame, length: int, bin_bytes: int) -> DataFrame:
+def _spans(marked: DataFrame, length: int, bins: int) -> DataFrame:
     """(__id, __tag, start, size) of removed runs, not yet merged over segments."""
-    total = marked.agg(F.sum(F.octet_length("__bytes"))).first()[0] or 0
-    bins = max(1, -(-total // bin_bytes))
-    docs = marked.select(F.col("__id").alias("doc_id"), F.col("__tag").alias("tag"), F.col("__bytes").alias("text"))
-    packed = binned_segments(docs, bins, length)
     out = arrow_schema("__id long,__tag long,start int,size int")
 
     def sort_bin(group: pa.Table) -> pa.Table:
@@ -358,7 +363,45 @@ def _spans(marked: DataFrame, length: int, bin_bytes: int) -> DataFrame:
         found = batch_of({"__id": of, "__tag": tags[segment], "start": begin, "size": size}, out)
         return pa.Table.from_batches([found])
 
-    return packed.groupBy("bin").applyInArrow(sort_bin, "__id long, __tag long, start int, size int")
+    binned = binned_segments(marked, bins, length)
+    return binned.groupBy("bin").applyInArrow(sort_bin, "__id long, __tag long, start int, size int")
+
+
+def _part(ids: np.ndarray, tags: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the documents that a row belongs to, by a hash of what identifies it."""
+    mixed = _finish(ids.view(U64) * _STEPS[0] + tags.view(U64) * _STEPS[1])
+    return (mixed % U64(parts)).astype(np.int64)
+
+
+def _packed_docs(marked: DataFrame, parts: int, pack_bytes: int = 12 << 20) -> DataFrame:
+    """(part, ids, tags, sizes, texts, rows): documents packed by part and batch; together they compress better."""
+    schema = T.StructType(
+        [
+            *T.StructType.fromDDL("part long, ids array<long>, tags array<long>, sizes array<long>, texts binary").fields,
+            T.StructField("rows", T.ArrayType(marked.schema["__row"].dataType)),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, pack_bytes):
+            ids, tags = batch.column("__id").to_numpy(), batch.column("__tag").to_numpy()
+            of = _part(ids, tags, parts)
+            order = np.argsort(of, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(of[order]) != 0, True])
+            texts = batch.column("__bytes").take(pa.array(order))
+            sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset))
+            offsets = pa.array(cuts, pa.int32())
+            blobs = [
+                _zip(b"".join(texts.slice(a, b - a).to_pylist()))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+            ]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(c.astype(np.int64))) for c in (ids[order], tags[order], sizes)]
+            rows = pa.ListArray.from_arrays(offsets, batch.column("__row").take(pa.array(order)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of[order][cuts[:-1]], pa.int64()), *lists, pa.array(blobs, pa.binary()), rows], names=schema.names
+            )
+
+    return marked.mapInArrow(run, schema)
 
 
 def cut(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[bytes, int, int]:
@@ -372,14 +415,14 @@ def cut(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[bytes, int,
 
 
 def without_repeats(
-    docs: DataFrame, length: int = 50, bin_bytes: int = 1 << 20, as_text: bool = False
+    docs: DataFrame, length: int = 50, bin_bytes: int = 2 << 20, part_bytes: int = 4 << 20, as_text: bool = False
 ) -> DataFrame:
     """`docs` (doc_id, text, any more) with kept, n_bytes, n_removed and n_spans in place of text.
 
     Removed is each byte of the UTF-8 text covered by a string of `length` bytes that also starts in a document with a
     smaller doc_id. Strings are judged on the input, so overlaps all count, and never cross documents. n_spans counts the
     maximal removed runs. `kept` is the remaining bytes; with `as_text` a string, without characters that lost a byte.
-    `bin_bytes` is the text that a bin of suffixes stands for.
+    `bin_bytes` is the text that a bin of suffixes stands for, `part_bytes` that of the documents that are cut together.
 
     A null text is empty; texts shorter than `length` lose nothing. A null doc_id comes after all others. Rows with the same
     id are no smaller than each other, so none of them loses what only they share. Columns of `docs` with the names of new
@@ -387,32 +430,44 @@ def without_repeats(
     """
     added = T.StructType.fromDDL(f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long")
     carried = [c for c in docs.columns if c != "text" and c not in added.names]
-    marked = _identified(docs, carried)
-    packed = F.shiftleft(F.col("start").cast("long"), 32) + F.col("size").cast("long")
-    spans = _spans(marked, length, bin_bytes).groupBy("__id", "__tag").agg(F.collect_list(packed).alias("__spans"))
-    joined = marked.join(spans.hint("shuffle_hash"), ["__id", "__tag"], "left").select("__bytes", "__spans", "__row")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for text, runs in zip(batch.column("__bytes"), batch.column("__spans"), strict=True):
-                text, runs = text.as_py(), runs.values
-                if runs is None:
-                    made.append((text, len(text), 0, 0))
+    marked = small_batches(_identified(docs, carried))
+    total = marked.agg(F.sum(F.octet_length("__bytes"))).first()[0] or 0
+    bins, parts = (max(1, -(-total // size)) for size in (bin_bytes, part_bytes))
+    result = T.StructType([marked.schema["__row"], *added.fields])
+
+    def finish(docs: pa.Table, spans: pa.Table) -> pa.Table:
+        at: dict[tuple[int, int], int] = {}
+        keys = zip(spans.column("__id").to_pylist(), spans.column("__tag").to_pylist(), strict=True)
+        of = np.array([at.setdefault(key, len(at)) for key in keys], np.int64)
+        order = np.argsort(of, kind="stable")
+        start, size = (spans.column(c).to_numpy()[order] for c in ("start", "size"))
+        bounds = np.searchsorted(of[order], np.arange(len(at) + 1))
+        made: list[tuple] = []
+        for ids, tags, sizes, texts in zip(*(docs.column(c) for c in ("ids", "tags", "sizes", "texts")), strict=True):
+            data, begin = _unzip(texts.as_py()), 0
+            for *key, n in zip(ids.as_py(), tags.as_py(), sizes.as_py(), strict=True):
+                text = data[begin : begin + n]
+                begin += n
+                if (i := at.get(tuple(key))) is None:
+                    made.append((text, n, 0, 0))
                 else:
-                    runs = runs.to_numpy()
-                    kept, removed, count = cut(text, runs >> 32, runs & 0xFFFFFFFF)
-                    made.append((kept, len(text), removed, count))
-            kept, *counts = map(list, zip(*made, strict=True)) if made else ([], [], [], [])
-            if as_text:
-                kept = [k.decode("utf-8", "ignore") for k in kept]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("__row"), pa.array(kept, pa.string() if as_text else pa.binary()),
-                    *[pa.array(c, pa.int64()) for c in counts],
-                ],
-                names=["__row", *added.names],
-            )
-
-    result = T.StructType([joined.schema["__row"], *added.fields])
-    return joined.mapInArrow(run, result).select("__row.*", *added.names)
+                    own = slice(bounds[i], bounds[i + 1])
+                    kept, removed, runs = cut(text, start[own], size[own])
+                    made.append((kept, n, removed, runs))
+        kept, *counts = map(list, zip(*made, strict=True)) if made else ([], [], [], [])
+        if as_text:
+            kept = [k.decode("utf-8", "ignore") for k in kept]
+        rows = docs.column("rows").combine_chunks().flatten()
+        kinds = (pa.string() if as_text else pa.binary(), *[pa.int64()] * 3)
+        columns = [pa.array(c, k) for c, k in zip((kept, *counts), kinds, strict=True)]
+        return pa.table([rows, *columns], names=result.names)
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = _part(batch.column("__id").to_numpy(), batch.column("__tag").to_numpy(), parts)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], names=["part", *batch.schema.names])
+
+    spans = _spans(marked, length, bins).mapInArrow(parted, "part long, __id long, __tag long, start int, size int")
+    packed = _packed_docs(marked, parts)
+    finished = packed.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(finish, result)
+    return finished.select("__row.*", *added.names)
