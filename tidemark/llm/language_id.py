@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_schema, batch_of, held_out
+from tidemark.llm.common import arrow_schema, batch_of, held_out, small_batches
 from tidemark.llm.viterbi import decode_switching
 
 # First code points of script blocks, and their scripts.
@@ -189,7 +189,7 @@ def label(docs: DataFrame, model: LanguageModel | None, penalty: float = 12.0, g
     """
     added = T.StructType.fromDDL("lang_pred string, score double, span_langs array<string>, span_starts array<int>")
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *added.names)]
-    packed = docs.select(F.coalesce("text", F.lit("")).alias("__text"), F.struct(*carried).alias("__row"))
+    packed = small_batches(docs).select(F.coalesce("text", F.lit("")).alias("__text"), F.struct(*carried).alias("__row"))
 
     def decoded(texts: list[str], known: WordScores) -> Iterator[tuple[str, float, list[str], list[int]]]:
         rows = known.of([words_of(t) for t in texts])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_schema, batch_of, utf8
+from tidemark.llm.common import arrow_schema, batch_of, small_batches, utf8
 
 # Phrases and their labels.
 PHRASES = {
@@ -173,7 +173,7 @@ def scan(
         "templates array<string>"
     )
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *added.names)]
-    packed = docs.select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
+    packed = small_batches(docs).select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
     ready = prepared(templates, word_counts(docs, templates), threshold)
     prefix: dict[bytes, list[tuple[int, int]]] = {}
     for number, t in enumerate(ready):

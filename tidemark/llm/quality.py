@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_schema, batch_of, bounded_sample, held_out, per_batch, utf8
+from tidemark.llm.common import arrow_schema, batch_of, bounded_sample, held_out, per_batch, small_batches, utf8
 from tidemark.llm.viterbi import decode
 
 SYMBOLS = b"#*$%&|<>"
@@ -216,7 +216,7 @@ def judge(
         "content_share double, kept boolean"
     )
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *added.names)]
-    packed = docs.select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
+    packed = small_batches(docs).select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
     out = arrow_schema(
         "n_words long,word_chars long,n_symbols long,n_dup_lines long,n_repeat_words long,base_failed boolean,"
         "content_share double,kept boolean"

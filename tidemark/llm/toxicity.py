@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, held_out, utf8
+from tidemark.llm.common import bounded_sample, held_out, small_batches, utf8
 
 # ASCII letters in lower case, sentence ends as line feeds, all else but digits, apostrophes and bytes beyond as spaces.
 _PLAIN = bytes(
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: ToxicModel | None, threshold: float = 0.3, off
     """
     added = T.StructType.fromDDL("score double, predicted int, starts array<int>, ends array<int>, scores array<double>")
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *added.names)]
-    packed = docs.select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
+    packed = small_batches(docs).select(utf8().alias("__bytes"), F.struct(*carried).alias("__row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer() if model else None
