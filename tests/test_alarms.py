@@ -48,6 +48,16 @@ def test_other_metrics_and_times_do_not_count(spark):
     assert [(r.value, r.state) for r in found] == [(None, "ALARM")]
 
 
+def test_subjects_are_judged_apart(spark):
+    rows = [("m", "a", at(0), 5.0), ("m", "a", at(1), 4.0), ("m", "b", at(0), 7.0), ("m", "b", at(6), 1.0)]
+    specs = [alarms.AlarmSpec("x", "m", subject, "sum", 300, 1, ">", 8.0, "notBreaching") for subject in ("a", "b", "c")]
+    found = alarms.evaluate_alarms(spark.createDataFrame(rows, METRICS), specs, T0, at(10))
+    got = {(r.subject, r.period_start): (r.value, r.state) for r in found.collect()}
+    assert found.count() == 6 and {r.metric for r in found.collect()} == {"m"}
+    assert got["a", T0] == (9.0, "ALARM") and got["b", T0] == (7.0, "OK") and got["c", T0] == (None, "OK")
+    assert got["a", at(5)] == (None, "OK") and got["b", at(5)] == (1.0, "OK")
+
+
 def test_the_seven_alarms():
     specs = alarms.default_specs()
     assert len(specs) == 7

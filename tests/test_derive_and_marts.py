@@ -18,20 +18,23 @@ def test_document_totals(spark, as_rows):
     assert as_rows(derive.document_totals(lines, "doc", "rebate")) == [(1, D("20.80"), D("4.16")), (2, D("0.33"), D("0.07"))]
 
 
-def test_bill_plan_follows_the_rule(spark, as_rows):
-    products = spark.createDataFrame([(i, D("10.00")) for i in range(1, 41)], "product_id bigint, unit_price decimal(10,2)")
-    documents = spark.createDataFrame([(1,), (30,)], "bill_id bigint")
-    # Bill 1: 11 pieces at 5.80 and 12 at 6.20; bill 30: 18 at 5.80 and 13 at 6.20.
-    assert as_rows(derive.bill_totals(documents, "bill_id", products)) == [
-        (1, D("138.20"), D("27.64")), (30, D("185.00"), D("37.00")),
+def test_totals_at_cost_are_of_the_given_lines(spark, as_rows):
+    products = spark.createDataFrame([(7, D("10.00")), (900, D("0.99"))], "product_id bigint, unit_price decimal(10,2)")
+    lines = spark.createDataFrame(
+        [(1, 7, 3), (1, 900, 10), (2, 900, 1), (3, 8, 5)], "bill_id bigint, product_id bigint, quantity int"
+    )
+    # Bill 1: 3 at 5.50 and 10 at 0.54; bill 3 has no known product.
+    assert as_rows(derive.cost_totals(lines, "bill_id", products, "0.55")) == [
+        (1, D("21.90"), D("4.38")), (2, D("0.54"), D("0.11")),
     ]
 
 
-def test_status_rule(spark):
-    got = [r.s for r in spark.range(1, 36).select(derive.status_rule("id").alias("s")).collect()]
-    assert (got[2], got[4], got[6], got[14], got[20], got[34], got[0]) == (
-        "Paid", "Overdue", "Cancelled", "Overdue", "Cancelled", "Cancelled", "Pending",
-    )
+def test_labels_by_modulo_and_dates_by_steps(spark):
+    keys = spark.createDataFrame([(0,), (1,), (5,), (-1,), (None,)], "k bigint")
+    assert [r.s for r in keys.select(derive.cycled("k", ("a", "b", "c")).alias("s")).collect()] == ["a", "b", "c", "c", None]
+    dates = spark.createDataFrame([(DAY, 0), (DAY, 3), (None, 1)], "d timestamp_ntz, n int")
+    got = [r.s for r in dates.select(derive.stepped_date("d", "n", 10).alias("s")).collect()]
+    assert got == [DAY, DAY + dt.timedelta(days=30), None]
 
 
 def payments(spark):

@@ -6,74 +6,81 @@ from tidemark.operators import health
 AS_OF = dt.datetime(2024, 2, 1)
 
 
-def statuses(spark, payload, expected=()):
-    observed = spark.createDataFrame([(k, json.dumps(v)) for k, v in payload.items()], "name string, status_json string")
+def connectors(spark, texts, expected=()):
+    """Rows by connector of raw status texts."""
+    observed = spark.createDataFrame(list(texts.items()), "name string, status_json string")
     return {r.subject: r for r in health.connector_status(observed, expected).collect()}
 
 
-def running(tasks=1):
-    return {"connector": {"state": "RUNNING"}, "tasks": [{"id": i, "state": "RUNNING"} for i in range(tasks)]}
+def report(state, *tasks):
+    return json.dumps({"connector": {"state": state}, "tasks": [{"id": i, **t} for i, t in enumerate(tasks)]})
 
 
-def test_running_is_ok_and_a_missing_connector_fails(spark):
-    got = statuses(spark, {"a": running(2)}, ["a", "b"])
-    assert (got["a"].status, got["a"].value, got["a"].detail) == ("ok", 1.0, "connector=RUNNING; task 0=RUNNING; task 1=RUNNING")
-    assert (got["b"].status, got["b"].detail) == ("fail", "connector is not registered")
+def test_connector_states(spark):
+    up, down = {"state": "running"}, {"state": "FAILED", "trace": "boom\n  at q"}
+    got = connectors(spark, {
+        "all-up": report("Running", up, up, up), "half-down": report("RUNNING", up, down), "self-down": report("failed", up),
+        "waiting": report("UNASSIGNED", up), "idle": report("RUNNING"), "restarting": report("RUNNING", up, {"state": "RESTARTING"}),
+    })
+    assert {k: (r.status, r.value) for k, r in got.items()} == {
+        "all-up": ("ok", 1.0), "half-down": ("fail", 0.0), "self-down": ("fail", 0.0), "waiting": ("warn", 0.0),
+        "idle": ("fail", 0.0), "restarting": ("warn", 0.0),
+    }
+    assert got["half-down"].detail == "connector=RUNNING; task 0=RUNNING; task 1=FAILED | boom"
+    assert got["idle"].detail == "connector=RUNNING; no tasks"
 
 
-def test_failed_task_shows_the_first_trace_line(spark):
-    broken = running()
-    broken["tasks"][0] |= {"state": "FAILED", "trace": "SinkException: auth failed\n\tat x.y"}
-    row = statuses(spark, {"a": broken})["a"]
-    assert (row.status, row.value) == ("fail", 0.0)
-    assert row.detail == "connector=RUNNING; task 0=FAILED | SinkException: auth failed"
+def test_the_first_trace_counts_and_long_ones_are_cut(spark):
+    first, second = {"state": "FAILED", "trace": "  t1\nmore"}, {"state": "FAILED", "trace": "t2"}
+    got = connectors(spark, {"two": report("RUNNING", first, second), "long": report("RUNNING", {"state": "FAILED", "trace": "z" * 900})})
+    assert got["two"].detail.endswith("task 1=FAILED | t1")
+    assert len(got["long"].detail) == 500 and got["long"].detail.endswith("zz...")
 
 
-def test_no_tasks_fails_and_paused_warns(spark):
-    got = statuses(
-        spark,
-        {
-            "none": running(0),
-            "paused": {"connector": {"state": "paused"}, "tasks": [{"id": 0, "state": "PAUSED"}]},
-            "bare": {},
-            "unknown": {"connector": {}, "tasks": [{"id": 0, "state": "RUNNING"}]},
-        },
-    )
-    assert {k: v.status for k, v in got.items()} == {"none": "fail", "paused": "warn", "bare": "fail", "unknown": "warn"}
-    assert got["none"].detail == "connector=RUNNING; no tasks"
-    assert got["unknown"].detail.startswith("connector=UNKNOWN")
+def test_null_and_unusable_statuses_are_failures_of_their_own(spark):
+    got = connectors(spark, {"none": None, "null": " null ", "list": "[1]", "text": '"x"', "empty": "{}"}, ["none", "absent", "empty"])
+    assert {r.status for r in got.values()} == {"fail"} and {r.value for r in got.values()} == {0.0}
+    assert {k for k, r in got.items() if r.detail == health.NOT_REGISTERED} == {"none", "null", "absent"}
+    assert {k for k, r in got.items() if r.detail == health.NOT_AN_OBJECT} == {"list", "text"}
+    assert got["empty"].detail == "connector=UNKNOWN; no tasks"
 
 
 def test_unreachable_is_one_failure(spark):
-    row = health.connect_unreachable(spark, "e" * 600).first()
-    assert (row.check_name, row.status, len(row.detail)) == ("kafka_connect_reachable", "fail", 500)
+    [row] = health.connect_unreachable(spark, "refused" * 100).collect()
+    assert (row.check_name, row.subject, row.status, row.value, len(row.detail)) == (
+        health.CONNECT_REACHABLE, health.CONNECT_SUBJECT, "fail", 0.0, 500,
+    )
 
 
-def test_slot_states(spark):
-    slots = spark.createDataFrame(
-        [("healthy", True, 1024), ("lagging", True, 5000), ("stopped", False, 10), ("invalid", False, None)],
-        "name string, active boolean, lag bigint",
-    )
-    got = {r.subject: (r.status, r.value) for r in health.slot_lag_status(slots, 4096).collect()}
-    assert got == {
-        "healthy": ("ok", 1024.0), "lagging": ("warn", 5000.0), "stopped": ("fail", 10.0), "invalid": ("fail", None),
+def test_slots_at_the_limit_and_of_unknown_state(spark):
+    rows = [
+        ("at", True, 700), ("over", True, 701), ("zero", True, 0), ("unknown", None, 0), ("unknown-over", None, 701),
+        ("off-over", False, 701), ("no-lsn", True, None), ("nothing", None, None),
+    ]
+    slots = spark.createDataFrame(rows, "name string, active boolean, lag bigint")
+    got = {r.subject: r for r in health.slot_lag_status(slots, 700).collect()}
+    assert {k: r.status for k, r in got.items()} == {
+        "at": "ok", "over": "warn", "zero": "ok", "unknown": "fail", "unknown-over": "fail", "off-over": "fail",
+        "no-lsn": "fail", "nothing": "fail",
     }
-    [none] = health.slot_lag_status(slots.where("false"), 4096).collect()
+    assert {k for k, r in got.items() if r.detail == health.SLOT_INACTIVE} == {"unknown", "unknown-over", "off-over"}
+    [none] = health.slot_lag_status(slots.where("lag < 0"), 700).collect()
     assert (none.subject, none.status, none.value) == ("(none)", "warn", None)
 
 
-def test_tables(spark):
-    stamped = spark.createDataFrame([(1, AS_OF - dt.timedelta(hours=2))] * 10, "id int, updated_at timestamp_ntz")
-    tables = {"supplier": None, "customer": stamped.where("false"), "product": stamped.drop("updated_at"), "item": stamped}
-    got = {(r.check_name, r.subject): r for r in health.table_health(spark, tables, AS_OF, 3600).collect()}
-    assert len(got) == 7
-    assert got["row_count", "supplier"].status == "fail"
-    assert (got["row_count", "customer"].status, got["row_count", "customer"].value) == ("warn", 0.0)
-    assert (got["table_freshness", "customer"].status, got["table_freshness", "customer"].detail) == ("warn", "no rows")
-    assert got["table_freshness", "product"].status == "warn"
-    assert (got["table_freshness", "item"].status, got["table_freshness", "item"].value) == ("warn", 7200.0)
-    relaxed = health.table_health(spark, {"item": stamped}, AS_OF, 0)
-    assert {r.status for r in relaxed.collect()} == {"ok"}
+def test_table_checks(spark):
+    def aged(*hours):
+        return spark.createDataFrame([(AS_OF - dt.timedelta(hours=h) if h is not None else None,) for h in hours], "updated_at timestamp_ntz")
+
+    tables = {"gone": None, "bare": spark.range(4), "void": aged(1).limit(0), "old": aged(30, 9, None), "new": aged(30, 1), "nulls": aged(None)}
+    got = {(r.check_name, r.subject): (r.status, r.value) for r in health.table_health(spark, tables, AS_OF, 5 * 3600).collect()}
+    counts = {k[1]: v for k, v in got.items() if k[0] == "row_count"}
+    ages = {k[1]: v for k, v in got.items() if k[0] == "table_freshness"}
+    assert counts == {"gone": ("fail", None), "bare": ("ok", 4.0), "void": ("warn", 0.0), "old": ("ok", 3.0), "new": ("ok", 2.0), "nulls": ("ok", 1.0)}
+    assert (ages["old"], ages["new"]) == (("warn", 9 * 3600.0), ("ok", 3600.0))
+    assert ages["bare"][0] == ages["void"][0] == ages["nulls"][0] == "warn" and "gone" not in ages
+    relaxed = health.table_health(spark, {"old": tables["old"]}, AS_OF, 0).where("check_name = 'table_freshness'")
+    assert [r.status for r in relaxed.collect()] == ["ok"]
 
 
 def results(spark):

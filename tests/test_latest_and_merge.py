@@ -231,9 +231,9 @@ def test_streams_reach_the_same_state_as_replay(spark, tmp_path, as_rows):
     stream = lambda: drains.change_stream(spark, f"{root}/log", schema)
     for part in (first, second):
         log(spark, part).write.mode("append").parquet(f"{root}/log")
-        assert states.merge_stream(stream(), state, f"{root}/m1") == 3
+        states.merge_stream(stream(), state, f"{root}/m1")
         states.stream_current_state(stream(), ["id"], ["id", "v"], f"{root}/agg", f"{root}/m2")
-    assert states.merge_stream(stream(), state, f"{root}/m1") == 0
+    states.merge_stream(stream(), state, f"{root}/m1")
     want = as_rows(current_rows(everything, ["id"], "last").select("id", "v"))
     assert as_rows(state.read()) == want == [(1, "a"), (2, "b2")]
     assert as_rows(states.read_current_state(spark, f"{root}/agg", ["id"]).select("id", "v")) == want

@@ -8,6 +8,7 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import moment
 from tidemark.session import constant_rows
@@ -32,6 +33,9 @@ _SPEC_SCHEMA = (
 )
 
 
+_KEYS = ("alarm", "metric", "subject")
+
+
 def default_specs(subject: str = "stream") -> tuple[AlarmSpec, ...]:
     """The seven alarms on one subject."""
     # --- fixed values: statistic, period in seconds, periods, limit, missing-data rule ---
@@ -56,6 +60,11 @@ def _slot_start(start: dt.datetime, seconds: Column) -> Column:
     return moment(start) + seconds * F.expr("interval '1' second")
 
 
+def _literal(spec: AlarmSpec) -> Column:
+    kinds = T.StructType.fromDDL(_SPEC_SCHEMA).fields
+    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(astuple(spec), kinds, strict=True)])
+
+
 def _statistic() -> Column:
     kind = F.col("statistic")
     return (
@@ -78,7 +87,7 @@ def _aggregates() -> list[Column]:
 def evaluate_alarms(
     metrics: DataFrame, specs: Iterable[AlarmSpec], start: dt.datetime, end: dt.datetime
 ) -> DataFrame:
-    """State of each alarm in each period of `[start, end)`.
+    """State of each alarm, metric and subject in each period of `[start, end)`.
 
     All alarms share one pass over the samples: each sample is given the period
     of its alarm and summed up before the shuffle. Periods without samples come
@@ -86,6 +95,7 @@ def evaluate_alarms(
     runs over one row per period, however many samples there were.
     """
     spark = metrics.sparkSession
+    specs = list(specs)
     spec_rows = F.broadcast(constant_rows(spark, [astuple(s) for s in specs], _SPEC_SCHEMA))
     offset = F.unix_seconds(F.col("ts").cast("timestamp")) - _epoch(start)
     in_time = (F.col("ts") >= moment(start)) & (F.col("ts") < moment(end))
@@ -93,21 +103,26 @@ def evaluate_alarms(
         metrics.where(in_time)
         .join(spec_rows, ["metric", "subject"])
         .withColumn("offset", offset)
-        .groupBy("alarm", F.expr("offset div period").alias("slot"))
+        .groupBy(*_KEYS, F.expr("offset div period").alias("slot"))
         .agg(*_aggregates())
     )
-    length = F.lit(_epoch(end) - _epoch(start))
-    last_slot = F.floor((length - 1) / F.col("period")).cast("bigint")
-    slots = F.sequence(F.lit(0).cast("bigint"), last_slot)
-    spine = constant_rows(spark, [astuple(s) for s in specs], _SPEC_SCHEMA).withColumn("slot", F.explode(slots))
+    length = _epoch(end) - _epoch(start)
+    shortest = min((s.period for s in specs), default=1)
+    # made in parallel over the slots of the shortest period, however long the time
+    rules = F.array(*[_literal(s) for s in specs]) if specs else F.array().cast(f"array<struct<{_SPEC_SCHEMA}>>")
+    spine = (
+        spark.range(-(-length // shortest))
+        .select(F.col("id").alias("slot"), F.inline(rules))
+        .where(F.col("slot") * F.col("period") < length)
+    )
     value = _statistic()
     breach = (
         F.when(value.isNull(), F.col("missing") == "breaching")
         .when(F.col("comparison") == "<", value < F.col("threshold"))
         .otherwise(value > F.col("threshold"))
     )
-    periods = spine.join(seen, ["alarm", "slot"], "left").select(
-        "alarm",
+    periods = spine.join(seen, [*_KEYS, "slot"], "left").select(
+        *_KEYS,
         "slot",
         "period",
         "evaluation_periods",
@@ -115,13 +130,13 @@ def evaluate_alarms(
         breach.alias("breaching"),
     )
     # Length of the run of breaching periods that ends here: periods since the last one that was fine.
-    order = Window.partitionBy("alarm").orderBy("slot")
+    order = Window.partitionBy(*_KEYS).orderBy("slot")
     last_fine = F.last(F.when(~F.col("breaching"), F.col("slot")), ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     run = F.col("slot") - F.coalesce(last_fine, F.lit(-1))
     return periods.select(
-        "alarm",
+        *_KEYS,
         _slot_start(start, F.col("slot") * F.col("period")).alias("period_start"),
         "value",
         "breaching",

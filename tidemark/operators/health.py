@@ -22,6 +22,7 @@ CONNECTOR_STATUS, SLOT_LAG = "connector_status", "replication_slot_lag"
 ROW_COUNT, FRESHNESS = "row_count", "table_freshness"
 STATUSES = ("ok", "warn", "fail")
 NOT_REGISTERED = "connector is not registered"
+NOT_AN_OBJECT = "Kafka Connect returned an unexpected response"
 NO_SLOTS = "no logical replication slots; is the Debezium connector registered?"
 SLOT_WITHOUT_LSN = "slot has no LSN (invalidated?)"
 SLOT_INACTIVE = "slot is inactive; PostgreSQL retains WAL until it is consumed"
@@ -58,14 +59,23 @@ def connector_status(observed: DataFrame, expected: Iterable[str]) -> DataFrame:
 
     `observed` has name and status_json. Fail without tasks or with a failed
     part, ok when all parts run, else warn; an expected connector that was not
-    observed fails. The first trace line is added to the detail.
+    observed fails, and so does one with a null status (it is not registered)
+    or a status that is not an object. The first trace line is added to the
+    detail.
     """
     spark = observed.sparkSession
     expected = list(dict.fromkeys(expected))
     # Only the expected names are looked up among the observed, so those are not shuffled.
     known = observed.where(F.col("name").isin(*expected)).select("name").distinct()
     absent = constant_rows(spark, [(name,) for name in expected], "name string").join(known, "name", "left_anti")
-    everything = observed.select("name", F.from_json("status_json", _STATUS).alias("s"))
+    everything = observed.select(
+        "name",
+        F.from_json("status_json", _STATUS).alias("s"),
+        F.coalesce(F.trim("status_json"), F.lit("null")).alias("text"),
+    ).withColumn(
+        "unusable",
+        F.when(F.lower("text") == "null", NOT_REGISTERED).when(~F.col("text").startswith("{"), NOT_AN_OBJECT),
+    )
 
     def part(label: Column, state: Column, trace: Column) -> Column:
         return F.struct(
@@ -77,15 +87,16 @@ def connector_status(observed: DataFrame, expected: Iterable[str]) -> DataFrame:
         lambda t: part(F.concat(F.lit("task "), F.coalesce(t["id"].cast("string"), F.lit("None"))), t["state"], t["trace"]),
     )
     own = F.array(part(F.lit("connector"), F.col("s.connector.state"), F.col("s.connector.trace")))
-    parts = everything.select("name", F.concat(own, tasks).alias("parts"))
+    parts = everything.select("name", "unusable", F.concat(own, tasks).alias("parts"))
 
     no_tasks = F.size("parts") == 1
     states = F.array_join(F.transform("parts", lambda p: F.concat(p["label"], F.lit("="), p["state"])), "; ")
     traces = F.filter("parts", lambda p: p["trace"].isNotNull() & (p["trace"] != ""))
     trace = F.when(F.size(traces) > 0, F.concat(F.lit(" | "), first_line(F.element_at(traces, 1)["trace"])))
     detail = F.concat(states, F.when(no_tasks, "; no tasks").otherwise(""), F.coalesce(trace, F.lit("")))
+    detail = F.coalesce("unusable", detail)
     outcome = (
-        F.when(no_tasks | F.exists("parts", lambda p: p["state"] == "FAILED"), "fail")
+        F.when(F.col("unusable").isNotNull() | no_tasks | F.exists("parts", lambda p: p["state"] == "FAILED"), "fail")
         .when(F.forall("parts", lambda p: p["state"] == "RUNNING"), "ok")
         .otherwise("warn")
     )
@@ -103,14 +114,18 @@ def connect_reachable(spark: SparkSession) -> DataFrame:
 
 
 def slot_lag_status(slots: DataFrame, warn_bytes: int) -> DataFrame:
-    """Status of each replication slot (name, active, lag); one warning when there is none."""
+    """Status of each replication slot (name, active, lag); one warning when there is none.
+
+    A slot not known to be active is inactive.
+    """
     lag = F.col("lag").cast("double")
+    active = F.coalesce("active", F.lit(False))
     outcome = (
-        F.when(lag.isNull(), "fail").when(~F.col("active"), "fail").when(lag > warn_bytes, "warn").otherwise("ok")
+        F.when(lag.isNull() | ~active, "fail").when(lag > warn_bytes, "warn").otherwise("ok")
     )
     detail = (
         F.when(lag.isNull(), SLOT_WITHOUT_LSN)
-        .when(~F.col("active"), SLOT_INACTIVE)
+        .when(~active, SLOT_INACTIVE)
         .when(lag > warn_bytes, SLOT_BEHIND.format(warn_bytes))
     )
     name = SLOT_LAG

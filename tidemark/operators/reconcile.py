@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,7 +115,7 @@ def survivor_equality(
     )
 
 
-def insert_complete(expected: int) -> Column:
+def insert_complete(expected: int | Column) -> Column:
     """Over a snapshot: whether all inserts have arrived, each once."""
     return (
         (F.col("total_records") == expected)
@@ -123,7 +125,7 @@ def insert_complete(expected: int) -> Column:
     )
 
 
-def mixed_complete(expected: int, updated: int) -> Column:
+def mixed_complete(expected: int | Column, updated: int | Column) -> Column:
     """Over a snapshot: whether updates and deletes have arrived and exactly the survivors are left."""
     return (
         (F.col("total_records") == expected)
@@ -135,7 +137,7 @@ def mixed_complete(expected: int, updated: int) -> Column:
     )
 
 
-def cleanup_complete(source_deleted: int, delete_delta: Column) -> Column:
+def cleanup_complete(source_deleted: int | Column, delete_delta: Column) -> Column:
     """Over a snapshot: whether nothing is left and every delete at the source has landed."""
     return (F.col("total_records") == 0) & (delete_delta >= source_deleted)
 
@@ -148,12 +150,23 @@ def observations(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(F.array(*pairs)))
 
 
-def assertions(observed: DataFrame, expected: dict[str, int]) -> DataFrame:
-    """A row per expectation with its outcome. What was not observed counts as 0."""
-    wanted = constant_rows(observed.sparkSession, expected.items(), "name string, expected bigint")
-    actual = F.coalesce("actual", F.lit(0).cast("bigint"))
-    return wanted.join(observed, "name", "left").select(
-        "name", actual.alias("actual"), "expected", (actual == F.col("expected")).alias("passed")
+def expectations(spark: SparkSession, fixed: Mapping[str, int]) -> DataFrame:
+    """Expected values that do not depend on the data, as rows of name and expected."""
+    return constant_rows(spark, fixed.items(), "name string, expected bigint")
+
+
+def assertions(observed: DataFrame, expected: DataFrame, counted: str = "landing_") -> DataFrame:
+    """A row per expectation (name, expected) with its outcome.
+
+    Operation counts, named with the prefix `counted`, are 0 where an operation
+    has not landed. Anything else that was not observed fails, and so does an
+    expectation without a value.
+    """
+    absent = F.when(F.col("name").startswith(counted), F.lit(0)).cast("bigint")
+    actual = F.coalesce(F.col("actual"), absent)
+    passed = F.coalesce(actual == F.col("expected"), F.lit(False))
+    return expected.join(observed, "name", "left").select(
+        "name", actual.alias("actual"), "expected", passed.alias("passed")
     )
 
 

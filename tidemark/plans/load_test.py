@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import moment, padded
+from tidemark.functions.scalars import moment
 from tidemark.operators import merge, reconcile
 from tidemark.sources.registry import TABLES
 from tidemark.streaming.drain import change_stream
@@ -17,26 +17,6 @@ SPEC = TABLES["customer"]
 KEY = SPEC.primary_key
 
 
-# --- fixed values: the parts of a load-test customer ---
-FIRST_NAME, LAST_NAME = "LoadTest", "Customer"
-EMAIL_START, EMAIL_END, PHONE_START = "cdc-load-", "@example.test", "+1999"
-# --- end of fixed values ---
-
-
-def load_rows(ids: DataFrame, created_at: dt.datetime) -> DataFrame:
-    """Customers made from ids."""
-    text = F.col(KEY).cast("string")
-    return ids.select(
-        KEY,
-        F.lit(FIRST_NAME).alias("first_name"),
-        F.concat(F.lit(LAST_NAME), text).alias("last_name"),
-        F.concat(F.lit(EMAIL_START), text, F.lit(EMAIL_END)).alias("email"),
-        F.concat(F.lit(PHONE_START), padded(KEY, 10)).alias("phone_number"),
-        moment(created_at).alias("created_at"),
-        moment(created_at).alias("updated_at"),
-    )
-
-
 def change_events(rows: DataFrame, op: str, step: int) -> DataFrame:
     """Changed rows as typed change events; later steps have higher LSNs."""
     meta = {
@@ -51,12 +31,13 @@ def change_events(rows: DataFrame, op: str, step: int) -> DataFrame:
 
 
 def run_load_test(
-    spark: SparkSession, ids: DataFrame, root: str, marker: str, updates: tuple[int, int], deletes: tuple[int, int]
+    spark: SparkSession, source: DataFrame, root: str, marker: str, updates: tuple[int, int], deletes: tuple[int, int]
 ) -> DataFrame:
-    """Load `ids`, change the two key ranges, and report what arrived.
+    """Land and merge the customers of `source`, then changes of two key ranges, and report what arrived.
 
-    The source, its landing and the merged state are written under `root`. One
-    row per assertion: name, actual, expected, passed.
+    `source` has the columns of the customer table; none has `marker` as first
+    name. The landing and the merged state are written under `root`. One row
+    per assertion: name, actual, expected, passed.
     """
     landing, start = f"{root}/landing", dt.datetime(2024, 1, 1)
     columns = [f for f in SPEC.landing_schema.fields if f.name in SPEC.all_columns]
@@ -69,8 +50,6 @@ def run_load_test(
     def in_range(bounds: tuple[int, int]) -> Column:
         return F.col(KEY).between(*bounds)
 
-    load_rows(ids, start).write.parquet(f"{root}/source")
-    source = spark.read.parquet(f"{root}/source")
     first, last = reconcile.key_range(source, KEY)
 
     def snapshot(prefix: str) -> DataFrame:
@@ -112,4 +91,4 @@ def run_load_test(
         "landing_d": size.d,
         "landing_total": size.n + size.u + size.d,
     }
-    return reconcile.assertions(observed.unionByName(total), expected)
+    return reconcile.assertions(observed.unionByName(total), reconcile.expectations(spark, expected))

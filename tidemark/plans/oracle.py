@@ -140,8 +140,8 @@ CTES: dict[str, str] = {
         select c_custkey as card_id, c_custkey * 2 as account_id,
                case when c_nationkey < 5 then 'Credit' else 'Debit' end as card_type,
                case when c_custkey % 2 = 0 then 'Mastercard' else 'Visa' end as brand,
-               lpad((c_custkey * 1373 % 10000)::varchar, 4, '0') as last4,
-               (c_custkey % 12 + 1)::smallint as expiry_month, 2028::smallint as expiry_year,
+               lpad((c_custkey % 10000)::varchar, 4, '0') as last4,
+               (c_custkey % 12 + 1)::smallint as expiry_month, (c_custkey % 5 + 2026)::smallint as expiry_year,
                case when v > 0 and c_acctbal < 100 then 'Blocked' else 'Active' end as status,
                {_base_time('c_custkey')} + to_days(1) as created_at, {_meta('c_custkey', "['c','u','d']")}
         from {_versions('customer', 'c_acctbal < -950')}""",
@@ -345,12 +345,12 @@ CTES.update(
             select *, (__op = 'd') or coalesce(__deleted = 'true', false) as is_deleted from log_user_event
             qualify row_number() over (partition by user_id order by __lsn desc nulls last, __source_ts_ms desc nulls last) = 1""",
         "metric_samples": """
-            select metric, ts, value * case metric when 'IncomingRecords' then 0.02::double
+            select metric, subject, ts, value * case metric when 'IncomingRecords' then 0.02::double
                 when 'WriteProvisionedThroughputExceeded' then 1::double
                 when 'GetRecords.IteratorAgeMilliseconds' then 500000::double
                 when 'OldestReplicationSlotLag' then 50000000::double when 'FreeStorageSpace' then 200000000::double
                 when 'UsageLimitConsumed' then 0.1::double else 1::double end as value
-            from (select ts, value, unnest(case event_type
+            from (select ts, value, case when user_id % 3 = 0 then 'replica' else 'stream' end as subject, unnest(case event_type
                 when 'signup' then ['OldestReplicationSlotLag', 'FreeStorageSpace']
                 when 'purchase' then ['GetRecords.IteratorAgeMilliseconds', 'UsageLimitConsumed']
                 when 'click' then ['IncomingRecords'] when 'error' then ['WriteProvisionedThroughputExceeded']
@@ -364,19 +364,20 @@ CTES.update(
                 ('slot-lag', 'OldestReplicationSlotLag', 'max', 300, 1, '>', 5368709120.0::double, false),
                 ('low-storage', 'FreeStorageSpace', 'min', 300, 1, '<', 4294967296.0::double, false),
                 ('usage-limit', 'UsageLimitConsumed', 'max', 300, 1, '>', 12.8::double, false)
-            ) as t(alarm, metric, statistic, period, needed, comparison, threshold, missing_breaches)""",
+            ) as t(alarm, metric, statistic, period, needed, comparison, threshold, missing_breaches),
+            (values ('stream'), ('replica')) as u(subject)""",
         "alarm_seen": """
-            select alarm, (date_diff('second', timestamp '2024-01-01', date_trunc('second', ts)) // period)::bigint as slot,
+            select alarm, subject, (date_diff('second', timestamp '2024-01-01', date_trunc('second', ts)) // period)::bigint as slot,
                    case any_value(statistic) when 'sum' then sum(value) when 'max' then max(value)
                         when 'min' then min(value) else count(value)::double end as value
-            from metric_samples join alarm_specs using (metric)
-            where ts >= timestamp '2024-01-01' and ts < timestamp '2024-01-31' group by 1, 2""",
+            from metric_samples join alarm_specs using (metric, subject)
+            where ts >= timestamp '2024-01-01' and ts < timestamp '2024-01-31' group by 1, 2, 3""",
         "alarm_periods": """
-            select s.alarm, s.slot, s.period, s.needed, seen.value,
+            select s.alarm, s.metric, s.subject, s.slot, s.period, s.needed, seen.value,
                    case when seen.value is null then missing_breaches
                         when comparison = '<' then seen.value < threshold else seen.value > threshold end as breaching
             from (select *, unnest(range(0, 2592000 // period)) as slot from alarm_specs) s
-            left join alarm_seen seen on s.alarm = seen.alarm and s.slot = seen.slot""",
+            left join alarm_seen seen on s.alarm = seen.alarm and s.subject = seen.subject and s.slot = seen.slot""",
         "paid_invoices": """
             select invoice_id * 2 as transaction_id, 'Invoice Payment' as transaction_type, 'Posted' as status,
                    (total_sum + tax_amount)::decimal(12,2) as amount, invoice_id, null::bigint as bill_id,
@@ -643,13 +644,14 @@ _BODIES: dict[str, str] = {
         where slot not in (select date_diff('second', timestamp '2024-01-01', date_trunc('second', ts)) // 300 from events
                            where ts < timestamp '2024-01-31')""",
     "alarm_eval": """
-        select alarm, timestamp '2024-01-01' + to_seconds(slot * period) as period_start, round(value, 4) as value, breaching,
+        select alarm, metric, subject, timestamp '2024-01-01' + to_seconds(slot * period) as period_start,
+               round(value, 4) as value, breaching,
                case when breaching and (needed = 1 or coalesce(before, false)) then 'ALARM' else 'OK' end as state
-        from (select *, lag(breaching) over (partition by alarm order by slot) as before from alarm_periods)""",
+        from (select *, lag(breaching) over (partition by alarm, subject order by slot) as before from alarm_periods)""",
     "metric_series": """
-        select metric, 'stream' as subject, time_bucket(interval '5 minutes', ts) as period_start,
+        select metric, subject, time_bucket(interval '5 minutes', ts) as period_start,
                round(sum(value), 4) as sum_value, max(value) as max_value, min(value) as min_value, count(value) as sample_count
-        from metric_samples group by 1, 3""",
+        from metric_samples group by 1, 2, 3""",
     # --- marts: parts, KPIs, invariants ---
     "payments_posted": """
         select 'Invoice Payment' as transaction_type, invoice_id as document_id, paid::decimal(22,2) as paid from invoice_payments
@@ -710,7 +712,7 @@ _BODIES: dict[str, str] = {
     # --- health ---
     "connector_status": """
         with parts as (
-            select event_id, event_id % 4 as n, case when event_type = 'view' then 'PAUSED' else 'RUNNING' end as state,
+            select event_id, value as amount, event_id % 4 as n, case when event_type = 'view' then 'PAUSED' else 'RUNNING' end as state,
                    event_type = 'error' and event_id % 4 > 0 as failed,
                    'Error: value ' || value::decimal(12,2) || case when value > 50 then repeat('x', 600) else '' end as trace
             from events),
@@ -720,20 +722,21 @@ _BODIES: dict[str, str] = {
                        'task ' || i || '=' || case when failed and i = 0 then 'FAILED' else state end), '; ') end
                    || case when failed then ' | ' || trace else '' end as full_text from parts)
         select 'connector_status' as check_name, 'connector-' || event_id as subject,
-               case when n = 0 or failed then 'fail' when state = 'RUNNING' then 'ok' else 'warn' end as status,
-               case when n > 0 and not failed and state = 'RUNNING' then 1.0 else 0.0 end::double as value,
-               case when length(full_text) <= 500 then full_text else full_text[1:497] || '...' end as detail
+               case when amount < 3 or n = 0 or failed then 'fail' when state = 'RUNNING' then 'ok' else 'warn' end as status,
+               case when amount >= 3 and n > 0 and not failed and state = 'RUNNING' then 1.0 else 0.0 end::double as value,
+               case when amount < 2 then 'connector is not registered' when amount < 3 then 'Kafka Connect returned an unexpected response'
+                    when length(full_text) <= 500 then full_text else full_text[1:497] || '...' end as detail
         from detailed
         union all select 'connector_status', unnest(['source', 'sink']), 'fail', 0.0, 'connector is not registered'
         union all select 'kafka_connect_reachable', 'kafka-connect', 'ok', 1.0, null""",
     "slot_lag_status": """
         select 'replication_slot_lag' as check_name, name as subject,
-               case when lag is null or not active then 'fail' when lag > 1000000 then 'warn' else 'ok' end as status,
+               case when lag is null or not coalesce(active, false) then 'fail' when lag > 1000000 then 'warn' else 'ok' end as status,
                lag as value,
                case when lag is null then 'slot has no LSN (invalidated?)'
-                    when not active then 'slot is inactive; PostgreSQL retains WAL until it is consumed'
+                    when not coalesce(active, false) then 'slot is inactive; PostgreSQL retains WAL until it is consumed'
                     when lag > 1000000 then 'lag exceeds 1000000 bytes' end as detail
-        from (select 'slot-' || event_id as name, event_type <> 'error' as active,
+        from (select 'slot-' || event_id as name, case when value >= 3 then event_type <> 'error' end as active,
                      case when event_type = 'view' and value < 1 then null else value * 10000 end as lag from events)""",
     "row_count_check": " union all ".join(
         f"select 'row_count' as check_name, '{t}' as subject, 'ok' as status, count(*)::double as value, "
@@ -803,11 +806,18 @@ _BODIES: dict[str, str] = {
         select event_type, round(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6), 9) as events_per_second
         from events group by 1""",
     "convergence": """
-        select 'insert' as phase, total_records = 150 and distinct_ids = 150 and missing_count = 0
-               and duplicate_primary_keys = 0 as complete from user_snapshot
-        union all select 'mixed', total_records = 100 and distinct_ids = 100 and duplicate_primary_keys = 0
-               and updated_records = 25 and deleted_records_remaining = 0 and missing_surviving_count = 0 from user_snapshot
-        union all select 'cleanup', total_records = 0 from user_snapshot""",
+        with facts as (
+            select s.*, (select count(distinct user_id) from events) as users,
+                   (select count(*) from (select arg_max(event_type, event_id) as kind from events group by user_id)
+                    where kind = 'click') as clicked,
+                   (select count(*) from events where event_type = 'error') as source_deleted,
+                   (select count(*) from log_user_event where __op = 'd') as landed
+            from user_snapshot s)
+        select 'insert' as phase, total_records = users and distinct_ids = users and missing_count = 0
+               and duplicate_primary_keys = 0 as complete from facts
+        union all select 'mixed', total_records = users and distinct_ids = users and duplicate_primary_keys = 0
+               and updated_records = clicked and deleted_records_remaining = 0 and missing_surviving_count = 0 from facts
+        union all select 'cleanup', total_records = 0 and landed >= source_deleted from facts""",
     "ordered_distinct": "select user_id, min(event_id) as first_position from events group by 1",
     # --- scalar functions ---
     "normalize_strings": """
@@ -834,10 +844,10 @@ _BODIES: dict[str, str] = {
     "delete_flag": """
         select event_id, (__op = 'd') or event_type in ('signup', 'view') as is_deleted from log_user_event""",
     "status_rule": """
-        select o_orderkey, case when o_orderkey % 7 = 0 then 'Cancelled' when o_orderkey % 5 = 0 then 'Overdue'
-               when o_orderkey % 3 = 0 then 'Paid' else 'Pending' end as status from orders""",
+        select o_orderkey, case o_custkey % 4 when 0 then 'north' when 1 then 'east' when 2 then 'south' when 3 then 'west' end as status
+        from orders""",
     "due_dates": """
-        select o_orderkey, timestamp '2025-09-01 10:00:00' + to_days(((o_custkey % 50) * 7)::integer) as invoice_date,
+        select o_orderkey, o_orderdate + to_days((o_custkey % 13 * 10)::integer) as invoice_date,
                o_orderdate + to_days(3) as due_date from orders""",
     # --- derived documents ---
     "priced_lines": """
@@ -848,12 +858,9 @@ _BODIES: dict[str, str] = {
         from (select l_orderkey, sum(p.unit_price * l.quantity - case when l.discount > 5 then 2.50 else 0.00 end) as s
               from sample_lines l join sample_products p on l.product_id = p.product_id group by 1)""",
     "bill_totals": """
-        select o_orderkey, round(s, 2)::decimal(18,2) as total_sum, round(s * 0.20, 2)::decimal(18,2) as tax_amount
-        from (select o_orderkey, a.unit_price as pa, b.unit_price as pb,
-                     round(a.unit_price * 0.58, 2) * (o_orderkey % 11 + 10)
-                     + round(b.unit_price * 0.62, 2) * ((o_orderkey + 3) % 7 + 8) as s
-              from orders join sample_products a on a.product_id = (o_orderkey + 2) % 20 + 1
-              join sample_products b on b.product_id = (o_orderkey + 10) % 20 + 1)""",
+        select l_orderkey, round(s, 2)::decimal(18,2) as total_sum, round(s * 0.20, 2)::decimal(18,2) as tax_amount
+        from (select l_orderkey, sum(round(p.unit_price * 0.55, 2)::decimal(10,2) * quantity) as s
+              from sample_lines join sample_products p using (product_id) group by 1)""",
     "lateral_agg": """
         select o_orderkey, count(l.quantity) as line_count, sum(l.unit_price * l.quantity)::decimal(18,2) as subtotal
         from orders left join sample_lines l on l_orderkey = o_orderkey group by 1""",
@@ -875,10 +882,10 @@ _BODIES: dict[str, str] = {
         from stg_supplier""",
     "derive_cards": """
         select customer_id as card_id, customer_id + 2 as account_id, 'Debit' as card_type,
-               case when customer_id % 2 = 0 then 'Mastercard' else 'Visa' end as brand,
-               lpad((customer_id * 1373 % 10000)::varchar, 4, '0') as last4,
-               ((customer_id - 1) % 12 + 1)::smallint as expiry_month, 2028::smallint as expiry_year,
-               created_at + to_days(1) as created_at
+               case when month(created_at + to_days(1)) > 6 then 'Mastercard' else 'Visa' end as brand,
+               lpad((customer_id % 10000)::varchar, 4, '0') as last4,
+               month(created_at + to_days(1))::smallint as expiry_month,
+               (year(created_at + to_days(1)) + 4)::smallint as expiry_year, created_at + to_days(1) as created_at
         from stg_customer""",
     "derive_payments": "select * from payments",
     "ledger_legs": """
@@ -936,14 +943,18 @@ CTES["user_snapshot"] = """
            any_value(gone) - any_value(a) - count(distinct user_id) filter (where user_id < gone) as missing_surviving_count
     from user_bounds left join user_state on true"""
 CTES["user_assertions"] = """
-    select name, actual, expected, actual = expected as passed from (
+    select name, actual, expected, coalesce(actual = expected, false) as passed from (
         select 'duplicate_primary_keys' as name, duplicate_primary_keys as actual, 0::bigint as expected from user_snapshot
         union all select 'deleted_records_remaining', deleted_records_remaining, 0 from user_snapshot
         union all select 'missing_count', missing_count, 0 from user_snapshot
         union all select 'missing_surviving_count', missing_surviving_count, 0 from user_snapshot
-        union all select 'landing_total', count(*), 10000 from log_user_event
-        union all select 'landing_c', count(*), 2017 from log_user_event where __op = 'c'
-        union all select 'landing_d', count(*), 2014 from log_user_event where __op = 'd'
+        union all select 'survivors_lost', null, 0
+        union all select 'distinct_ids', distinct_ids, (select count(distinct user_id) from events) from user_snapshot
+        union all select 'landing_total', count(*), (select count(*) from events) from log_user_event
+        union all select 'landing_c', count(*), (select count(*) from events where event_type = 'signup')
+            from log_user_event where __op = 'c'
+        union all select 'landing_d', count(*), (select count(*) from events where event_type = 'error')
+            from log_user_event where __op = 'd'
         union all select 'landing_r', count(*), 0 from log_user_event where __op = 'r')"""
 
 _MODELS = [

@@ -296,9 +296,9 @@ def card_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_custkey") * 2).alias("account_id"),
         F.expr("if(c_nationkey < 5, 'Credit', 'Debit')").alias("card_type"),
         F.expr("if(c_custkey % 2 = 0, 'Mastercard', 'Visa')").alias("brand"),
-        padded((F.col("c_custkey") * 1373) % 10000, 4).alias("last4"),
+        padded(F.col("c_custkey") % 10000, 4).alias("last4"),
         (F.col("c_custkey") % 12 + 1).cast("int").alias("expiry_month"),
-        F.lit(2028).alias("expiry_year"),
+        (F.col("c_custkey") % 5 + 2026).cast("int").alias("expiry_year"),
         F.when((F.col("v") > 0) & (F.col("c_acctbal") < 100), "Blocked").otherwise("Active").alias("status"),
         _ms(base_time("c_custkey") + F.expr("interval '1' day")).alias("created_at"),
         *_meta("card", "c_custkey", ("c", "u", "d")),
@@ -509,7 +509,7 @@ def connector_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return read_table(spark, sf_dir, "events").select(
         F.concat(F.lit("connector-"), F.col("event_id").cast("string")).alias("name"),
-        F.to_json(report).alias("status_json"),
+        F.when(F.col("value") < 2, F.lit(None)).when(F.col("value") < 3, "[]").otherwise(F.to_json(report)).alias("status_json"),
     )
 
 
@@ -517,7 +517,7 @@ def replication_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as replication slots."""
     return read_table(spark, sf_dir, "events").select(
         F.concat(F.lit("slot-"), F.col("event_id").cast("string")).alias("name"),
-        (F.col("event_type") != "error").alias("active"),
+        F.when(F.col("value") >= 3, F.col("event_type") != "error").alias("active"),
         F.expr("case when event_type = 'view' and value < 1 then null else value * 10000 end").alias("lag"),
     )
 
@@ -543,7 +543,7 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as metric samples of one stream, scaled to come near the alarm limits."""
+    """`events` as metric samples of two streams, by user, scaled to come near the alarm limits."""
     events = read_table(spark, sf_dir, "events")
     names = F.expr(
         "case event_type when 'signup' then array('OldestReplicationSlotLag', 'FreeStorageSpace') "
@@ -556,6 +556,7 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         "when 'GetRecords.IteratorAgeMilliseconds' then 500000 when 'OldestReplicationSlotLag' then 50000000 "
         "when 'FreeStorageSpace' then 200000000 when 'UsageLimitConsumed' then 0.1 else 1 end"
     ).cast("double")
-    return events.select("ts", "value", F.explode(names).alias("metric")).select(
-        "metric", F.lit("stream").alias("subject"), "ts", (F.col("value") * scale).alias("value")
+    subject = F.when(F.col("user_id") % 3 == 0, "replica").otherwise("stream").alias("subject")
+    return events.select("ts", "value", subject, F.explode(names).alias("metric")).select(
+        "metric", "subject", "ts", (F.col("value") * scale).alias("value")
     )

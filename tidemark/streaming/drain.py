@@ -29,17 +29,13 @@ def raw_broker_stream(spark: SparkSession, options: dict[str, str], source_forma
     )
 
 
-def finish(query: StreamingQuery) -> int:
-    """Wait for a drain to end; the number of input rows it read, over the batches whose progress Spark keeps.
-
-    That is the last `spark.sql.streaming.numRecentProgressUpdates`, 100 by default.
-    """
+def finish(query: StreamingQuery) -> None:
+    """Wait for a drain to end. What it read is counted where it was written: progress updates are kept for some batches only."""
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
 
 
-def drain(raw: DataFrame, landing_path: str, checkpoint_path: str) -> int:
-    """Append the new events to the landing and return how many were read.
+def drain(raw: DataFrame, landing_path: str, checkpoint_path: str) -> None:
+    """Append the new events to the landing.
 
     The checkpoint holds the consumed offsets: a second run with nothing new
     reads nothing. One owner per checkpoint; the file sink's log makes a
@@ -53,7 +49,7 @@ def drain(raw: DataFrame, landing_path: str, checkpoint_path: str) -> int:
         .trigger(availableNow=True)
         .start(landing_path)
     )
-    return finish(query)
+    finish(query)
 
 
 def change_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -64,7 +60,7 @@ def change_stream(spark: SparkSession, path: str, schema: T.StructType, max_file
     return reader.parquet(path)
 
 
-def consume(changes: DataFrame, out_path: str, checkpoint_path: str) -> int:
+def consume(changes: DataFrame, out_path: str, checkpoint_path: str) -> None:
     """Append what the stream has not yet delivered to `out_path`."""
     query = (
         changes.writeStream.format("parquet")
@@ -72,4 +68,4 @@ def consume(changes: DataFrame, out_path: str, checkpoint_path: str) -> int:
         .trigger(availableNow=True)
         .start(out_path)
     )
-    return finish(query)
+    finish(query)
