@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import field, typed_columns
-from tidemark.operators.latest import current_state, current_typed
+from tidemark.operators.latest import current_state, current_typed, quarantined, replay_account
 from tidemark.plans.staging import stage
 from tidemark.sources import landing
 from tidemark.sources.registry import ARRIVAL, TABLES
@@ -56,6 +56,28 @@ def test_only_a_current_malformed_row_fails(spark, as_rows):
         stage(landing.parse_landing(raw(spark, [wrong % 9, right])), "product").collect()
 
 
+def test_no_event_with_an_unreadable_key_vanishes(spark, as_rows):
+    spec = TABLES["product"]
+
+    def event(key, lsn, price='"1.00"', deleted="false"):
+        return f'{{"product_id":{key},"unit_price":{price},"__table":"product","__lsn":{lsn},"__source_ts_ms":1,"__deleted":"{deleted}"}}'
+
+    bad = [event('"x"', 1), event('"y"', 2), event('"z"', 9, deleted="true"), event("null", 3), event(4, '"soon"'), event(5, "{}")]
+    good = [event(5, 1), event(5, 2), event(6, 1), event(6, 2, deleted="true"), event(7, 1), event(8, 1, '"free"'), event(8, 2), event(9, 3, '"free"')]
+    events = landing.parse_landing(raw(spark, bad + good))
+    for run in (current_state, current_typed):
+        with pytest.raises(Exception, match="unreadable"):
+            run(events, spec).collect()
+    assert as_rows(current_typed(events, spec, quarantine=True).select("product_id")) == [(5,), (7,), (8,)]
+    reasons = [r.reason for r in quarantined(events, spec).collect()]
+    assert sorted(reasons) == ["malformed value", *["unreadable __lsn"] * 2, *["unreadable key"] * 4]
+    account = replay_account(events, spec).first()
+    assert (account.events, account.current, account.superseded, account.deleted, account.quarantined) == (14, 3, 3, 1, 7)
+    assert account.events == account.current + account.superseded + account.deleted + account.quarantined
+    clean = landing.parse_landing(raw(spark, good[:5]))
+    assert as_rows(current_typed(clean, spec).select("product_id")) == [(5,), (7,)] and quarantined(clean, spec).count() == 0
+
+
 def test_typed_and_payload_states_agree(spark, as_rows):
     events = landing.parse_landing(raw(spark, [customer(1), customer(None, first_name="null lsn"), customer(7, "d", "true")]))
     spec = TABLES["customer"]

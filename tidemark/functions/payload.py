@@ -47,9 +47,16 @@ def wire_row(spec: TableSpec) -> Column:
     return F.try_variant_get("payload", "$", spec.wire_schema.simpleString())
 
 
-def malformed(spec: TableSpec, row: Column) -> Column:
-    """Whether the wire row lacks a value that the payload has. The payload is only looked at for null values."""
+def malformed(spec: TableSpec, row: Column, decimals: bool = False) -> Column:
+    """Whether the wire row lacks a value that the payload has. The payload is only looked at for null values.
+
+    With `decimals`, text that is no number of its decimal type counts too; else it is left to the cast.
+    """
     result = F.lit(False)
+    for name, kind in spec.columns.items() if decimals else ():
+        if kind.startswith("decimal"):
+            text = row.getField(name)
+            result = result | (text.isNotNull() & text.try_cast(kind).isNull())
     for field_ in spec.wire_schema.fields:
         if not isinstance(field_.dataType, T.StringType):
             present = F.try_variant_get("payload", f"$.{field_.name}", "string").isNotNull()

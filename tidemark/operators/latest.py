@@ -43,49 +43,120 @@ def not_deleted(deleted: Column) -> Column:
     return F.coalesce(deleted, F.lit("false")) != "true"
 
 
-def current_state(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> DataFrame:
+def _ranked_fields(spec: TableSpec) -> list[Column]:
+    """What ranking needs of an event, and `__fault`: why it cannot be ranked, else null.
+
+    A key, LSN or source time that is there but of the wrong type is a fault. So
+    is a missing key, which would put all such events under one null.
+    """
+
+    def read(name: str, kind: str) -> Column:
+        return field(name, kind, strict=False)
+
+    def unread(name: str, kind: str) -> Column:
+        return read(name, kind).isNull() & read(name, "string").isNotNull()
+
+    fault = (
+        F.when(read(spec.primary_key, "key").isNull(), "unreadable key")
+        .when(unread("__lsn", "bigint"), "unreadable __lsn")
+        .when(unread("__source_ts_ms", "bigint"), "unreadable __source_ts_ms")
+    )
+    return [
+        read(spec.primary_key, "key").alias("__key"),
+        read("__lsn", "bigint").alias("__lsn"),
+        read("__source_ts_ms", "bigint").alias("__source_ts_ms"),
+        read("__deleted", "string").alias("__deleted"),
+        ARRIVAL,
+        fault.alias("__fault"),
+    ]
+
+
+def _rankable(events: DataFrame, spec: TableSpec, quarantine: bool) -> DataFrame:
+    """Events without a fault; one with a fault fails the job unless they are quarantined."""
+    if quarantine:
+        return events.where(F.col("__fault").isNull())
+    error = F.raise_error(F.concat(F.lit(f"{spec.name}: "), "__fault"))
+    return events.where(F.when(F.col("__fault").isNotNull(), error).otherwise(F.lit(True)))
+
+
+def current_state(landing: DataFrame, spec: TableSpec, nulls: str = "first", quarantine: bool = False) -> DataFrame:
     """Current rows of one table as a `payload` column.
 
     Deletes are dropped after ranking: dropping them first would bring back the
-    version before the delete.
+    version before the delete. An event that cannot be ranked fails the job; with
+    `quarantine` it is left to `quarantined`.
     """
+    events = table_log(landing, spec.name).select("payload", *_ranked_fields(spec))
+    newest = latest_per_key(_rankable(events, spec, quarantine), ["__key"], replay_order(nulls))
+    return live_rows(newest).select("payload")
+
+
+def _newest_typed(landing: DataFrame, spec: TableSpec, nulls: str, quarantine: bool) -> DataFrame:
     events = table_log(landing, spec.name).select(
-        "payload",
-        ARRIVAL,
-        field(spec.primary_key, "key").alias("__key"),
-        field("__lsn", "bigint").alias("__lsn"),
-        field("__source_ts_ms", "bigint").alias("__source_ts_ms"),
+        *_ranked_fields(spec),
+        wire_row(spec).alias("__row"),
+        malformed(spec, wire_row(spec), decimals=quarantine).alias("__malformed"),
     )
-    newest = latest_per_key(events, ["__key"], replay_order(nulls))
-    return newest.where(not_deleted(field("__deleted"))).select("payload")
+    return latest_per_key(_rankable(events, spec, quarantine), ["__key"], replay_order(nulls))
 
 
-def current_typed(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> DataFrame:
+def current_typed(landing: DataFrame, spec: TableSpec, nulls: str = "first", quarantine: bool = False) -> DataFrame:
     """Current rows of one table with typed columns.
 
     The payload is taken apart before ranking, in one pass: the sort and the
     shuffle then carry rows a fraction of its size. A value of the wrong type is
-    an error only in a row that is still current.
+    an error only in a row that is still current; an unreadable key, LSN or
+    source time is one in any event, since it cannot be ranked. With `quarantine`
+    neither fails: `quarantined` has those rows.
     """
-    events = table_log(landing, spec.name).select(
-        field(spec.primary_key, "key", strict=False).alias("__key"),
-        field("__lsn", "bigint").alias("__lsn"),
-        field("__source_ts_ms", "bigint").alias("__source_ts_ms"),
-        field("__deleted").alias("__deleted"),
-        ARRIVAL,
-        wire_row(spec).alias("__row"),
-        malformed(spec, wire_row(spec)).alias("__malformed"),
-    )
-    rows = live_rows(latest_per_key(events, ["__key"], replay_order(nulls)))
-    key = F.coalesce(F.col("__key").cast("string"), F.lit("unknown"))
-    error = F.raise_error(F.concat(F.lit(f"malformed value in {spec.name}, key "), key))
-    sound = rows.where(F.when(F.col("__malformed"), error).otherwise(F.lit(True)))
+    rows = live_rows(_newest_typed(landing, spec, nulls, quarantine))
+    if quarantine:
+        sound = rows.where(~F.col("__malformed"))
+    else:
+        key = F.coalesce(F.col("__key").cast("string"), F.lit("unknown"))
+        error = F.raise_error(F.concat(F.lit(f"malformed value in {spec.name}, key "), key))
+        sound = rows.where(F.when(F.col("__malformed"), error).otherwise(F.lit(True)))
     columns = from_wire(spec, "__row")
     # The key is taken from the ranking, so joins on it can use its partitioning.
     columns[spec.column_names.index(spec.primary_key)] = F.col("__key").alias(spec.primary_key)
     return sound.select(*columns)
 
 
+def quarantined(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> DataFrame:
+    """The events that `current_typed(quarantine=True)` leaves out, whole, with the reason.
+
+    Those that cannot be ranked, and current rows with a malformed value.
+    """
+    events = table_log(landing, spec.name).select("payload", *_ranked_fields(spec))
+    unranked = events.where(F.col("__fault").isNotNull()).select("payload", ARRIVAL, F.col("__fault").alias("reason"))
+    ranked = _rankable(events.withColumn("__malformed", malformed(spec, wire_row(spec), decimals=True)), spec, True)
+    newest = live_rows(latest_per_key(ranked, ["__key"], replay_order(nulls))).where("__malformed")
+    return unranked.unionByName(newest.select("payload", ARRIVAL, F.lit("malformed value").alias("reason")))
+
+
+def replay_account(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> DataFrame:
+    """One row: events = current + superseded + deleted + quarantined, each counted."""
+    events = table_log(landing, spec.name).select(*_ranked_fields(spec))
+    seen = events.agg(F.count("*").alias("events"), F.count("__fault").alias("unranked"))
+    newest = _newest_typed(landing, spec, nulls, quarantine=True)
+    live = not_deleted(F.col("__deleted"))
+    kept = newest.agg(
+        F.count("*").alias("keys"),
+        F.count_if(live & ~F.col("__malformed")).alias("current"),
+        F.count_if(~live).alias("deleted"),
+        F.count_if(live & F.col("__malformed")).alias("bad_values"),
+    )
+    one = F.lit(1).alias("one")
+    return seen.withColumn("one", one).join(kept.withColumn("one", one), "one").select(
+        F.lit(spec.name).alias("table_name"),
+        "events",
+        "current",
+        (F.col("events") - F.col("unranked") - F.col("keys")).alias("superseded"),
+        "deleted",
+        (F.col("unranked") + F.col("bad_values")).alias("quarantined"),
+    )
+
+
 def current_rows(log: DataFrame, keys: Sequence[str], nulls: str = "first") -> DataFrame:
     """Current rows of a flat change log, with its columns."""
     return live_rows(latest_per_key(log, keys, replay_order(nulls)))

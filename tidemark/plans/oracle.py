@@ -588,6 +588,23 @@ _BODIES: dict[str, str] = {
             qualify row_number() over (partition by user_id order by __lsn desc nulls first,
                 __source_ts_ms desc nulls first, arrival desc nulls first) = 1)
         where coalesce(__deleted, 'false') <> 'true'""",
+    "replay_account": """
+        with newest as (
+            select * from log_product qualify row_number() over (partition by product_id order by
+                __lsn desc nulls first, __source_ts_ms desc nulls first, arrival desc nulls first) = 1),
+        kept as (
+            select count(*) as keys,
+                   count(*) filter (where product_id % 50 <> 2 and coalesce(__deleted, 'false') <> 'true') as current,
+                   count(*) filter (where product_id % 50 <> 2 and __deleted = 'true') as deleted from newest),
+        bad as (select count(*) as n, count(*) filter (where p_partkey % 50 < 2) as unranked from part where p_partkey % 50 < 3),
+        seen as (select count(*) as n from log_product)
+        select 'product' as table_name, seen.n + bad.n as events, current, seen.n + bad.n - unranked - keys as superseded,
+               deleted, bad.n as quarantined from kept, bad, seen""",
+    "replay_quarantine": """
+        select case p_partkey % 50 when 0 then 'unreadable key' when 1 then 'unreadable __lsn' else 'malformed value' end as reason,
+               case when p_partkey % 50 = 0 then 'x' else '' end || p_partkey as product_key,
+               case when p_partkey % 50 = 1 then 'soon' else '1125899906842624' end as lsn
+        from part where p_partkey % 50 < 3""",
     "merge_source_dedup": "select user_id, event_id, event_type, value, is_deleted from merge_newest",
     "merge_changes": f"""
         with halves as (

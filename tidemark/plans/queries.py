@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as fn
 from tidemark.functions.payload import field, meta_columns, typed_columns
 from tidemark.operators import alarms, derive, health, merge, quality, reconcile
+from tidemark.operators.latest import replay_account as replayed_account
 from tidemark.operators.latest import (
     current_rows,
     current_state,
     current_typed,
     latest_per_key,
     merge_source,
+    quarantined,
     replay_order,
     snapshot_plus_tail,
 )
@@ -410,6 +412,32 @@ def current_state_users(spark, sf_dir):
     return current_state(landed, sample.USER_EVENT).select(*typed_columns(sample.USER_EVENT))
 
 
+def _faulty_products(spark, sf_dir):
+    """The products' landing with events of unreadable keys, unreadable LSNs, and newest prices that are no numbers."""
+    part = sample.read_table(spark, sf_dir, "part")
+    key, turn = F.col("p_partkey"), F.col("p_partkey") % 50
+    event = F.struct(
+        F.when(turn == 0, F.concat(F.lit("x"), key)).otherwise(key.cast("string")).alias("key"),
+        F.when(turn == 1, F.lit("soon")).otherwise(F.lit(2**50).cast("string")).alias("lsn"),
+    )
+    text = F.format_string(
+        '{"product_id":"%s","unit_price":"free","__table":"product","__lsn":"%s","__source_ts_ms":1}', event["key"], event["lsn"]
+    )
+    raw = part.where(turn < 3).select(fn.moment(MONTH_START).alias(ARRIVAL), text.alias("value"))
+    return landing.fan_in([sample.landing_of(spark, sf_dir, "product"), landing.parse_landing(raw)])
+
+
+@query
+def replay_account(spark, sf_dir):
+    return replayed_account(_faulty_products(spark, sf_dir), TABLES["product"])
+
+
+@query
+def replay_quarantine(spark, sf_dir):
+    rows = quarantined(_faulty_products(spark, sf_dir), TABLES["product"])
+    return rows.select("reason", field("product_id").alias("product_key"), field("__lsn").alias("lsn"))
+
+
 @query
 def merge_source_dedup(spark, sf_dir):
     newest = merge_source(sample.user_event_log(spark, sf_dir), ["user_id"])
