@@ -11,18 +11,19 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import utf8
+from tidemark.llm.common import gathered, small_batches, utf8
 
 # Letters, digits and other number signs, and white space of Latin-1. Texts beyond it take the general pattern.
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -80,47 +81,40 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-def _blocks(batch: pa.RecordBatch, most: int) -> Iterator[tuple[int, list[list[str]]]]:
-    """Rows of a batch in blocks of about `most` bytes: the first row, and the pre-tokens of each."""
-    first, held, size = 0, [], 0
+def _blocks(batch: pa.RecordBatch, most: int) -> Iterator[tuple[int, list[np.ndarray], list[bytes]]]:
+    """Rows of a batch in blocks of about `most` bytes: the first row, each row's word numbers, and the distinct words.
+
+    Words are numbered as they first appear. Only distinct words and numbers are held.
+    """
+    first, codes, size = 0, [], 0
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
     for row, text in enumerate(batch.column("__bytes")):
         text = text.as_py()
-        held.append(pre_tokens(text.decode("utf-8")))
+        tokens = pre_tokens(text.decode("utf-8"))
+        codes.append(np.fromiter(map(number.__getitem__, tokens), np.uint32, len(tokens)))
         size += len(text)
         if size >= most:
-            yield first, held
-            first, held, size = row + 1, [], 0
-    if held:
-        yield first, held
-
-
-def _numbered(tokens: list[list[str]]) -> tuple[list[bytes], dict[str, int]]:
-    """The distinct words of a block, most frequent first, and their numbers."""
-    counts: Counter[str] = Counter()
-    for words in tokens:
-        counts.update(words)
-    ranked = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
-    return [w.encode() for w, _ in ranked], {w: i for i, (w, _) in enumerate(ranked)}
+            yield first, codes, [w.encode() for w in number]
+            first, codes, size = row + 1, [], 0
+            number.clear()
+    if codes:
+        yield first, codes, [w.encode() for w in number]
 
 
 def _coded(docs: DataFrame, most: int) -> DataFrame:
-    """(block, check, __row, n, codes): each document as numbers into the distinct words of its block."""
-    fields = T.StructType.fromDDL("block long, check long, n long, codes binary").fields
+    """(block, check, codes, __row): each document as numbers into the distinct words of its block."""
+    fields = T.StructType.fromDDL("block long, check long, codes binary").fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for first, tokens in _blocks(batch, most):
-                words, number = _numbered(tokens)
-                codes = [np.fromiter(map(number.__getitem__, w), np.uint32, len(w)) for w in tokens]
+        for batch in gathered(batches, most):
+            for first, codes, words in _blocks(batch, most):
                 columns = [
-                    pa.array([block] * len(tokens), pa.int64()),
-                    pa.array([zlib.crc32(b"\xff".join(words))] * len(tokens), pa.int64()),
-                    pa.array([len(c) for c in codes], pa.int64()),
+                    pa.array([block] * len(codes), pa.int64()),
+                    pa.array([zlib.crc32(b"\xff".join(words))] * len(codes), pa.int64()),
                     pa.array([_zip(_planes(c)) for c in codes], pa.binary()),
-                    batch.column("__row").slice(first, len(tokens)),
+                    batch.column("__row").slice(first, len(codes)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in fields], "__row"])
                 block += 1
@@ -130,34 +124,31 @@ def _coded(docs: DataFrame, most: int) -> DataFrame:
 
 def _asked(docs: DataFrame, most: int, buckets: int) -> DataFrame:
     """(bucket, block, check, numbers, lengths, words): the distinct words of each block that fall in each bucket."""
+    names = ["bucket", "block", "check", "numbers", "lengths", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for _, tokens in _blocks(batch, most):
-                words, _ = _numbered(tokens)
+        for batch in gathered(batches, most):
+            for _, _, words in _blocks(batch, most):
                 if words:
                     of = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
                     order = np.argsort(of, kind="stable")
                     cuts = np.flatnonzero(np.r_[True, np.diff(of[order]) != 0, True])
                     parts = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                     lists = [[words[i] for i in p] for p in parts]
-                    check = zlib.crc32(b"\xff".join(words))
                     columns = [
                         pa.array([int(of[p[0]]) for p in parts], pa.int64()),
                         pa.array([block] * len(parts), pa.int64()),
-                        pa.array([check] * len(parts), pa.int64()),
+                        pa.array([zlib.crc32(b"\xff".join(words))] * len(parts), pa.int64()),
                         pa.array([_zip(_planes(np.diff(p, prepend=0))) for p in parts], pa.binary()),
                         pa.array([_zip(_planes(np.array(list(map(len, x))))) for x in lists], pa.binary()),
                         pa.array([_zip(b"".join(x)) for x in lists], pa.binary()),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "check", "numbers", "lengths", "words"])
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
                 block += 1
 
     schema = "bucket long, block long, check long, numbers binary, lengths binary, words binary"
-    return docs.select("__bytes").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def _answered(asked: DataFrame, path: str) -> DataFrame:
@@ -188,7 +179,7 @@ def _answered(asked: DataFrame, path: str) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, path: str, text: str = "text", block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20
+    docs: DataFrame, path: str, text: str = "text", block_bytes: int = 6 << 20, bucket_bytes: int = 8 << 20
 ) -> DataFrame:
     """`docs` with n_tokens and ids (little-endian unsigned 32-bit integers, as binary) in place of the column `text`.
 
@@ -199,12 +190,13 @@ def encode(
     A null or empty text has no tokens. Rows with equal ids and texts stay separate rows. Columns of `docs` with the names
     n_tokens and ids are replaced; an empty table gives no rows.
 
-    The blocks are formed twice, once for the words and once for the positions, so `docs` must give the same rows in the
-    same order each time, as tables do. A checksum of each block's words tells if it did not; the job then fails.
+    The blocks are formed twice by the same plan, once for the words and once for the positions, so `docs` must give the
+    same rows in the same order each time, as tables do. A checksum of each block's words tells if it did not; the job then
+    fails.
     """
     added = T.StructType.fromDDL("n_tokens long, ids binary")
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *added.names)]
-    packed = docs.select(utf8(F.col(f"`{text}`")).alias("__bytes"), F.struct(*carried).alias("__row"))
+    packed = small_batches(docs).select(utf8(F.col(f"`{text}`")).alias("__bytes"), F.struct(*carried).alias("__row"))
     total = packed.agg(F.sum(F.octet_length("__bytes"))).first()[0] or 0
     answers = _answered(_asked(packed, block_bytes, max(32, -(-total // bucket_bytes))), path)
     result = T.StructType([packed.schema["__row"], *added.fields])
@@ -241,12 +233,14 @@ def encode(
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """`encoded` with `out`, the bytes that the ids stand for: each id is looked up in the token table of the rank file.
+    """`encoded` with `out` in place of the ids, the bytes that they stand for.
+
+    Each id is joined to its bytes in the token table of the rank file, which every task reads; it has one fixed size.
 
     Null or empty ids give no bytes; an id that the table does not have is an error.
     """
-    carried = [F.col(f"`{c}`") for c in encoded.columns if c != out]
-    packed = encoded.select(F.col(f"`{ids}`").alias("__ids"), F.struct(*carried).alias("__row"))
+    carried = [F.col(f"`{c}`") for c in encoded.columns if c not in (ids, out)]
+    packed = small_batches(encoded).select(F.col(f"`{ids}`").alias("__ids"), F.struct(*carried).alias("__row"))
     result = T.StructType([packed.schema["__row"], T.StructField(out, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,11 +50,9 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, RANKS).select("doc_id", "n_tokens", "ids")
+    encoded = bpe.encode(docs, RANKS).withColumn("ids_sha256", F.sha2("ids", 256))
     decoded = bpe.decode(encoded, RANKS)
-    return decoded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
