@@ -496,7 +496,10 @@ _BODIES: dict[str, str] = {
                case when __op = 'd' then 'true' else 'false' end as __deleted
         from log_user_event""",
     "route_fan_in": "select __table, __op, count(*) as events from all_logs group by 1, 2",
-    "route_fan_out": "select * from stg_product",
+    "route_fan_out": " union all ".join(
+        f"select count(*) as row_count, sum({spec.primary_key})::decimal(38,0) as key_sum, '{name}' as table_name from stg_{name}"
+        for name, spec in TABLES.items()
+    ),
     "snapshot_tail_log": """
         select 'r' as __op, count(*) as events from customer union all
         select case when o_orderstatus = 'F' and o_orderpriority = '5-LOW' then 'd' else 'u' end, count(*)
@@ -509,11 +512,12 @@ _BODIES: dict[str, str] = {
                    case when o_orderstatus = 'F' and o_orderpriority = '5-LOW' then 'd' else 'u' end, o_orderkey + 1
             from orders
         ) qualify row_number() over (partition by customer_id order by n desc) = 1 and __op <> 'd'""",
-    "landing_typed": """
-        select invoice_id, customer_id, invoice_date, total_sum, tax_amount, status, created_at,
-               make_timestamp_ms(__source_ts_ms) as updated_at, __op, 'sales_invoice' as __table, __lsn,
-               __source_ts_ms, __deleted
-        from log_sales_invoice""",
+    "landing_typed": " union all ".join(
+        f"select {spec.primary_key} as key, {spec.column_names[1]}::varchar as label, "
+        f"make_timestamp_ms(__source_ts_ms) as updated_at, __op, '{name}' as __table, __lsn, __source_ts_ms, __deleted "
+        f"from log_{name}"
+        for name, spec in TABLES.items()
+    ),
     "schema_evolution": """
         select product_id, unit_price::varchar as unit_price, case when __op <> 'c' then description end as description,
                __op, null::varchar as note from log_product
@@ -915,7 +919,7 @@ _BODIES: dict[str, str] = {
         union all select transaction_id + 10000000000, to_account, 'Debit', amount from large where hit
         union all select transaction_id + 10000000000, from_account, 'Credit', amount from large where hit""",
 }
-_P2_TABLES = {"customer": ("customer_id", "first_name"), "supplier": ("supplier_id", "name"), "product": ("product_id", "name")}
+_P2_TABLES = {name: (spec.primary_key, f"{spec.column_names[1]}::varchar") for name, spec in list(TABLES.items())[:8]}
 _BODIES["merge_tables"] = " union all ".join(
     f"select '{t}' as table_name, {key} as key, {label} as label, make_timestamp_ms(__source_ts_ms) as updated_at from ("
     f"select * from log_{t} qualify row_number() over (partition by {key} order by __lsn desc nulls last, "

@@ -147,10 +147,17 @@ def route_fan_in(spark, sf_dir):
 
 @query
 def route_fan_out(spark, sf_dir):
+    """All logs through one landing, and each staged table from it: its rows and the sum of its keys."""
     path = f"{fresh_dir(spark, 'routed')}/landing"
-    logs = [sample.landing_of(spark, sf_dir, table) for table in ("customer", "supplier", "product")]
-    landing.write_landing(landing.fan_in(logs), path)
-    return stage(landing.read_landing(spark, path), "product")
+    landing.write_landing(landing.fan_in([sample.landing_of(spark, sf_dir, table) for table in TABLES]), path)
+    events = landing.read_landing(spark, path)
+    parts = [
+        stage(events, name)
+        .agg(F.count("*").alias("row_count"), F.sum(F.col(spec.primary_key).cast("decimal(38,0)")).alias("key_sum"))
+        .withColumn("table_name", F.lit(name))
+        for name, spec in TABLES.items()
+    ]
+    return _union(parts)
 
 
 @query
@@ -194,11 +201,16 @@ def snapshot_plus_tail_state(spark, sf_dir):
 
 @query
 def landing_typed(spark, sf_dir):
-    spec = TABLES["sales_invoice"]
-    path = f"{fresh_dir(spark, 'typed')}/sales_invoice"
-    typed = landing.typed_landing(sample.landing_of(spark, sf_dir, spec.name), spec)
-    typed.write.mode("append").parquet(path)
-    return spark.read.schema(spec.landing_schema).parquet(path).drop("record_metadata")
+    """The typed landing of every table, written and read back with its declared schema."""
+    root, parts = fresh_dir(spark, "typed"), []
+    for name, spec in TABLES.items():
+        typed = landing.typed_landing(sample.landing_of(spark, sf_dir, name), spec)
+        typed.write.mode("append").parquet(f"{root}/{name}")
+        rows = spark.read.schema(spec.landing_schema).parquet(f"{root}/{name}")
+        label = F.col(spec.column_names[1]).cast("string").alias("label")
+        meta = ("updated_at", "__op", "__table", "__lsn", "__source_ts_ms", "__deleted")
+        parts.append(rows.select(F.col(spec.primary_key).alias("key"), label, *meta))
+    return _union(parts)
 
 
 @query
@@ -537,20 +549,22 @@ def merge_stream_guarded(spark, sf_dir):
     return _merge_streamed(spark, sf_dir, guard=True, compact=True)
 
 
+TRADE_TABLES = tuple(TABLES)[:8]
+
+
 @query
 def merge_tables(spark, sf_dir):
-    """Three tables' streams merged side by side."""
+    """The streams of the eight trade tables merged side by side."""
     root = fresh_dir(spark, "tables")
-    names = ("customer", "supplier", "product")
-    for name in names:
+    for name in TRADE_TABLES:
         typed = landing.typed_landing(sample.landing_of(spark, sf_dir, name), TABLES[name])
         typed.write.parquet(f"{root}/landing/{name}")
-    merged = states.merge_tables(spark, f"{root}/landing", f"{root}/state", f"{root}/checkpoint", names)
+    merged = states.merge_tables(spark, f"{root}/landing", f"{root}/state", f"{root}/checkpoint", TRADE_TABLES)
     parts = [
         log.read().select(
             F.lit(name).alias("table_name"),
             F.col(TABLES[name].primary_key).alias("key"),
-            F.col(TABLES[name].column_names[1]).alias("label"),
+            F.col(TABLES[name].column_names[1]).cast("string").alias("label"),
             "updated_at",
         )
         for name, log in merged.items()

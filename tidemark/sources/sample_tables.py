@@ -25,17 +25,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Small inputs held in fewer row groups than there are cores, dealt out to all of them.
-
-    Large inputs have many more splits than cores and are left as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, name))
+    """A table dealt out to all cores, at any size: the sample files are one row group each, which one task reads."""
+    return read_table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def money(column: str, kind: str = "decimal(10,2)") -> Column:
