@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.payload import field, from_wire, malformed, wire_row
 from tidemark.functions.scalars import delete_flag
+from tidemark.operators.reconcile import side_by_side
 from tidemark.sources.landing import table_log
 from tidemark.sources.registry import ARRIVAL, TableSpec
 
@@ -146,8 +147,7 @@ def replay_account(landing: DataFrame, spec: TableSpec, nulls: str = "first") ->
         F.count_if(~live).alias("deleted"),
         F.count_if(live & F.col("__malformed")).alias("bad_values"),
     )
-    one = F.lit(1).alias("one")
-    return seen.withColumn("one", one).join(kept.withColumn("one", one), "one").select(
+    return side_by_side([seen, kept]).select(
         F.lit(spec.name).alias("table_name"),
         "events",
         "current",

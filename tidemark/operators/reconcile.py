@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,6 +151,12 @@ def observations(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(F.array(*pairs)))
 
 
+def side_by_side(one_rows: Sequence[DataFrame]) -> DataFrame:
+    """One row of the columns of several one-row results, by a union and an aggregate: no join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def expectations(spark: SparkSession, fixed: Mapping[str, int]) -> DataFrame:
     """Expected values that do not depend on the data, as rows of name and expected."""
     return constant_rows(spark, fixed.items(), "name string, expected bigint")

@@ -1030,10 +1030,7 @@ def convergence(spark, sf_dir):
         "cleanup": reconcile.cleanup_complete(F.col("source_deleted"), F.col("deletes_landed")),
     }
     rows = [F.struct(F.lit(name).alias("phase"), done.alias("complete")) for name, done in phases.items()]
-    one = F.lit(1).alias("one")
-    facts = _snapshot(spark, sf_dir).withColumn("one", one)
-    for frame in (wanted, clicked, landed):
-        facts = facts.join(frame.withColumn("one", one), "one")
+    facts = reconcile.side_by_side([_snapshot(spark, sf_dir), wanted, clicked, landed])
     return facts.select(F.inline(F.array(*rows)))
 
 
