@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import gathered, small_batches, utf8
+from tidemark.llm.common import gathered, give_back, small_batches, utf8
 
 # Letters, digits and other number signs, and white space of Latin-1. Texts beyond it take the general pattern.
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -118,6 +118,7 @@ def _coded(docs: DataFrame, most: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in fields], "__row"])
                 block += 1
+        give_back()
 
     return docs.mapInArrow(run, T.StructType([*fields, docs.schema["__row"]]))
 
@@ -146,6 +147,7 @@ def _asked(docs: DataFrame, most: int, buckets: int) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
                 block += 1
+        give_back()
 
     schema = "bucket long, block long, check long, numbers binary, lengths binary, words binary"
     return docs.mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -49,6 +50,15 @@ def small_batches(frame: DataFrame, most: str = "4m") -> DataFrame:
     return frame
 
 
+def give_back() -> None:
+    """Hands freed memory to the system: Python workers are kept for later tasks, and would keep it too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # only glibc has it
+
+
 def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Batches of at least `most` bytes, but for the last."""
     held: list[pa.RecordBatch] = []
@@ -73,6 +83,7 @@ def per_batch(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], di
         for batch in batches:
             if batch.num_rows:
                 yield batch_of(step(batch), arrow)
+        give_back()
 
     return frame.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, batch_of, per_batch, saved, utf8
+from tidemark.llm.common import arrow_schema, batch_of, give_back, per_batch, saved, utf8
 
 U64 = np.uint64
 ALL = U64(0xFFFFFFFFFFFFFFFF)
@@ -246,6 +246,7 @@ def links(keyed: DataFrame, radius: int, chunk: int = 4096, held_rows: int = 20_
                 held = held.slice(int(cut[-1]) + 1).combine_chunks()
         if held is not None and (found := compare(held)) is not None:
             yield found
+        give_back()
 
     return sorted_tasks.mapInArrow(run, "a binary, b binary")
 

@@ -14,7 +14,7 @@ each equal group which document comes first. All bins together see every string
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_schema, batch_of, gathered, small_batches, utf8
+from tidemark.llm.common import arrow_schema, batch_of, gathered, give_back, small_batches, utf8
 
 U64 = np.uint64
 GRAM = 16
@@ -83,16 +83,18 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarra
     strings = np.diff(np.r_[first, len(low)])
     first, strings = first[valid[first]], strings[valid[first]]
     offset = np.empty(len(first), np.int64)
-    for i in range(0, len(first), 65536):
-        at = first[i : i + 65536]
-        offset[i : i + 65536] = hashes[at[:, None] + np.arange(width)[None, :]].argmin(1)
+    for i in range(0, len(first), 8192):
+        at = first[i : i + 8192]
+        offset[i : i + 8192] = hashes[at[:, None] + np.arange(width)[None, :]].argmin(1)
     return first, strings, offset, low[first]
 
 
 def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indices start..start+size-1 of each row, one after the other."""
     ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + (int(starts.max()) if len(starts) else 0) < 1 << 31 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((starts - (ends - sizes)).astype(kind), sizes)
 
 
 def _zip(data: bytes) -> bytes:
@@ -103,18 +105,19 @@ def _unzip(blob: bytes) -> bytes:
     return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
 
 
-_KINDS = ("<i8", "<i8", "<u4", "<u4", "<u1")
+_SEGMENT = ("<i8", "<i8", "<u4", "<u4", "<u1")
+_SPAN = ("<i8", "<i8", "<u4", "<u4")
 
 
-def _pack(columns: tuple[np.ndarray, ...]) -> bytes:
+def _pack(columns: Sequence[np.ndarray], kinds: tuple[str, ...]) -> bytes:
     """Integer columns as compressed byte planes."""
-    planes = [c.astype(k).view(np.uint8).reshape(len(c), -1).T for c, k in zip(columns, _KINDS, strict=True)]
+    planes = [c.astype(k).view(np.uint8).reshape(len(c), -1).T for c, k in zip(columns, kinds, strict=True)]
     return _zip(b"".join(np.ascontiguousarray(p).tobytes() for p in planes))
 
 
-def _unpack(blob: bytes, n: int) -> list[np.ndarray]:
+def _unpack(blob: bytes, n: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
     data, at, out = np.frombuffer(_unzip(blob), np.uint8), 0, []
-    for kind in _KINDS:
+    for kind in kinds:
         width = np.dtype(kind).itemsize
         plane = data[at : at + n * width].reshape(width, n)
         out.append(np.ascontiguousarray(plane.T).view(kind).reshape(-1))
@@ -141,7 +144,7 @@ def _pieces(texts: pa.Array, length: int, most: int) -> Iterator[tuple[list[byte
 
 
 def binned_segments(
-    docs: DataFrame, bins: int, length: int, piece_bytes: int = 1 << 19, pack_bytes: int = 8 << 20
+    docs: DataFrame, bins: int, length: int, piece_bytes: int = 1 << 19, pack_bytes: int = 6 << 20
 ) -> DataFrame:
     """(bin, n, meta, data): the segments of `docs` (__id, __tag, __bytes), packed by bin for `pack_bytes` of text each."""
     out = arrow_schema("bin int,n int,meta binary,data binary")
@@ -151,7 +154,7 @@ def binned_segments(
         columns = [tuple(map(np.concatenate, zip(*meta[i], strict=True))) for i in used]
         return batch_of(
             {
-                "bin": used, "n": [len(c[0]) for c in columns], "meta": list(map(_pack, columns)),
+                "bin": used, "n": [len(c[0]) for c in columns], "meta": [_pack(c, _SEGMENT) for c in columns],
                 "data": [_zip(b"".join(data[i])) for i in used],
             },
             out,
@@ -183,7 +186,9 @@ def binned_segments(
                 if held >= pack_bytes:
                     yield packed(meta, data)
                     held, meta, data = 0, [[] for _ in range(bins)], [[] for _ in range(bins)]
+                    give_back()
         yield packed(meta, data)
+        give_back()
 
     return docs.select("__id", "__tag", "__bytes").mapInArrow(run, "bin int, n int, meta binary, data binary")
 
@@ -350,21 +355,30 @@ def _identified(docs: DataFrame, carried: list[str]) -> DataFrame:
     return marked.join(known, "__id", "left").select("__id", tag.alias("__tag"), "__bytes", "__row")
 
 
-def _spans(marked: DataFrame, length: int, bins: int) -> DataFrame:
-    """(__id, __tag, start, size) of removed runs, not yet merged over segments."""
-    out = arrow_schema("__id long,__tag long,start int,size int")
+def _spans(marked: DataFrame, length: int, bins: int, parts: int) -> DataFrame:
+    """(part, n, spans): removed runs of documents, not yet merged over segments, packed by bin and part."""
+    out = arrow_schema("part long,n int,spans binary")
 
     def sort_bin(group: pa.Table) -> pa.Table:
         n = group.column("n").to_pylist()
-        parts = [_unpack(m.as_py(), k) for m, k in zip(group.column("meta"), n, strict=True)]
-        ids, tags, start, strings, offset = map(np.concatenate, zip(*parts, strict=True))
+        packs = [_unpack(m.as_py(), k, _SEGMENT) for m, k in zip(group.column("meta"), n, strict=True)]
+        ids, tags, start, strings, offset = map(np.concatenate, zip(*packs, strict=True))
         data = b"".join(_unzip(d.as_py()) for d in group.column("data"))
         segment, begin, size, of = repeated_spans_of_bin(ids, tags, start, strings, offset, data, length)
-        found = batch_of({"__id": of, "__tag": tags[segment], "start": begin, "size": size}, out)
-        return pa.Table.from_batches([found])
+        part = _part(of, tags[segment], parts)
+        order = np.lexsort((begin, of, part))
+        columns, part = [c[order] for c in (of, tags[segment], begin, size)], part[order]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+        pieces = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        found = {
+            "part": part[cuts[:-1]], "n": [b - a for a, b in pieces],
+            "spans": [_pack([c[a:b] for c in columns], _SPAN) for a, b in pieces],
+        }
+        give_back()
+        return pa.Table.from_batches([batch_of(found, out)])
 
     binned = binned_segments(marked, bins, length)
-    return binned.groupBy("bin").applyInArrow(sort_bin, "__id long, __tag long, start int, size int")
+    return binned.groupBy("bin").applyInArrow(sort_bin, "part long, n int, spans binary")
 
 
 def _part(ids: np.ndarray, tags: np.ndarray, parts: int) -> np.ndarray:
@@ -373,7 +387,7 @@ def _part(ids: np.ndarray, tags: np.ndarray, parts: int) -> np.ndarray:
     return (mixed % U64(parts)).astype(np.int64)
 
 
-def _packed_docs(marked: DataFrame, parts: int, pack_bytes: int = 12 << 20) -> DataFrame:
+def _packed_docs(marked: DataFrame, parts: int, pack_bytes: int = 8 << 20) -> DataFrame:
     """(part, ids, tags, sizes, texts, rows): documents packed by part and batch; together they compress better."""
     schema = T.StructType(
         [
@@ -400,6 +414,7 @@ def _packed_docs(marked: DataFrame, parts: int, pack_bytes: int = 12 << 20) -> D
             yield pa.RecordBatch.from_arrays(
                 [pa.array(of[order][cuts[:-1]], pa.int64()), *lists, pa.array(blobs, pa.binary()), rows], names=schema.names
             )
+        give_back()
 
     return marked.mapInArrow(run, schema)
 
@@ -436,12 +451,14 @@ def without_repeats(
     result = T.StructType([marked.schema["__row"], *added.fields])
 
     def finish(docs: pa.Table, spans: pa.Table) -> pa.Table:
-        at: dict[tuple[int, int], int] = {}
-        keys = zip(spans.column("__id").to_pylist(), spans.column("__tag").to_pylist(), strict=True)
-        of = np.array([at.setdefault(key, len(at)) for key in keys], np.int64)
-        order = np.argsort(of, kind="stable")
-        start, size = (spans.column(c).to_numpy()[order] for c in ("start", "size"))
-        bounds = np.searchsorted(of[order], np.arange(len(at) + 1))
+        packs = [_unpack(x.as_py(), n, _SPAN) for x, n in zip(spans.column("spans"), spans.column("n").to_pylist(), strict=True)]
+        none = [np.zeros(0, np.int64)] * 4
+        own_id, tag, start, size = map(np.concatenate, zip(*packs, strict=True)) if packs else none
+        order = np.lexsort((tag, own_id))
+        own_id, tag, start, size = (c[order].astype(np.int64) for c in (own_id, tag, start, size))
+        new = np.flatnonzero(np.r_[True, (np.diff(own_id) != 0) | (np.diff(tag) != 0)]) if len(order) else none[0]
+        at = {key: i for i, key in enumerate(zip(own_id[new].tolist(), tag[new].tolist(), strict=True))}
+        bounds = np.r_[new, len(order)]
         made: list[tuple] = []
         for ids, tags, sizes, texts in zip(*(docs.column(c) for c in ("ids", "tags", "sizes", "texts")), strict=True):
             data, begin = _unzip(texts.as_py()), 0
@@ -462,12 +479,7 @@ def without_repeats(
         columns = [pa.array(c, k) for c, k in zip((kept, *counts), kinds, strict=True)]
         return pa.table([rows, *columns], names=result.names)
 
-    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = _part(batch.column("__id").to_numpy(), batch.column("__tag").to_numpy(), parts)
-            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], names=["part", *batch.schema.names])
-
-    spans = _spans(marked, length, bins).mapInArrow(parted, "part long, __id long, __tag long, start int, size int")
+    spans = _spans(marked, length, bins, parts)
     packed = _packed_docs(marked, parts)
     finished = packed.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(finish, result)
     return finished.select("__row.*", *added.names)
