@@ -122,7 +122,9 @@ def plan(sized: DataFrame, weights: Sequence[int], share: float, most: float) ->
         "targets",
     )
     cuts = thresholds(sized, targets.select("source_key", "budget"))
-    return targets.join(cuts, "source_key").select("source_key", "source_size", "target", "copies", "threshold")
+    joined = targets.join(cuts, "source_key")
+    # written, its size is known: Spark broadcasts it while it is small, and documents are not shuffled by source
+    return saved(joined.select("source_key", "source_size", "target", "copies", "threshold"), "plan")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
