@@ -130,7 +130,7 @@ def fit(
     return ToxicModel({w: float(weights[i]) for w, i in number.items() if abs(weights[i]) > 1e-3}, float(bias))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000) -> ToxicModel | None:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> ToxicModel | None:
     """A model of `labels` (doc_id, toxic), from at most `per_class` documents of each class.
 
     Rows that `held_out` names are not used. None if one of the classes has no documents.
