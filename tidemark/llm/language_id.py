@@ -110,6 +110,7 @@ def train(docs: DataFrame, per_language: int = 1000, smoothing: float = 0.5, lea
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     known = known.select(F.col("lang").cast("string").alias("lang"), "doc_id", "text")
     order = Window.partitionBy("lang").orderBy("hash", "doc_id", "size")
+    # at most per_language small rows of each language, so they are broadcast and the texts stay where they are;
     # of a common language, only documents whose hash lies in a small share come into question
     asked = known.groupBy("lang").count().select("lang", (3.0 * per_language / F.col("count")).alias("share"))
     hashed = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"), F.octet_length("text").alias("size"))
@@ -118,7 +119,8 @@ def train(docs: DataFrame, per_language: int = 1000, smoothing: float = 0.5, lea
         .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
         .select("lang", "doc_id", "size").distinct()
     )
-    sample = known.withColumn("size", F.octet_length("text")).join(picks, ["lang", "doc_id", "size"]).select("lang", "text")
+    sample = known.withColumn("size", F.octet_length("text")).join(F.broadcast(picks), ["lang", "doc_id", "size"])
+    sample = sample.select("lang", "text")
     out = arrow_schema("lang string,kind int,value int,n long")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
