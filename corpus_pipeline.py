@@ -27,11 +27,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id.
 
-    Shingles have five words. At a similarity of 0.8, the fingerprints of equally long texts differ in 155 of 1,024 bits,
-    give or take 11, so links of up to 176 bits miss few such pairs; at 0.7 they differ in 200, which seldom links. Groups
-    are what links reach.
+    Two documents link if their sets of five-word shingles have an exact similarity of 0.8 or more; groups are what links
+    reach. Fingerprints of 1,024 bits only propose: at 0.8 they differ in about 155 bits, give or take 11, so a radius of 224
+    proposes such pairs, and those it proposes down to 0.6 are compared and refused.
     """
-    return simhash.one_of_each(docs, shingle=5, words=16, radius=176, min_keys=8)
+    return simhash.one_of_each(docs, shingle=5, words=16, radius=224, min_keys=8, similarity=0.8)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import bpe, mixing, simhash, suffix_dedup
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
@@ -139,6 +140,62 @@ def test_near_copies_of_five_words(spark):
     assert kept == set(groups) | set(range(1000, 1060))
 
 
+def sets_of(texts):
+    return {d: set(zip(*(t.split()[i:] for i in range(5)))) for d, t in texts.items()}
+
+
+def test_repeated_lines_neither_hide_nor_make_near_copies(spark):
+    rng = random.Random(14)
+    words = [f"w{i}" for i in range(4000)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    texts = {}
+    for g in range(12):
+        line, body = some(14), some(300)
+        texts |= {10 * g: f"{body} {line}", 10 * g + 1: f"{body} {' '.join([line] * 12)}"}
+        texts |= {10 * g + i: f"{some(300)} {' '.join([line] * 12)}" for i in range(2, 8)}
+        tail = body.split()
+        texts[10 * g + 8] = " ".join(tail[:264] + some(36).split())
+        texts[10 * g + 9] = " ".join(tail[:230] + some(70).split())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    stage = corpus_pipeline.near_duplicates(spark, docs, SF)
+    kept, sets = {r.doc_id for r in stage.collect()}, sets_of(texts)
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    for a, b in itertools.combinations(sorted(kept), 2):
+        assert not near(a, b)
+    for gone in set(texts) - kept:
+        assert any(near(gone, d) for d in texts if d != gone)
+    assert len(kept) < len(texts)
+
+
+def test_exact_links_in_chunks_against_all_pairs(spark):
+    rng = random.Random(15)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for d in range(60):
+        text = list(base)
+        for _ in range(rng.randrange(8)):
+            text[rng.randrange(120)] = f"v{rng.randrange(10**6)}"
+        texts[d] = " ".join(text)
+    sets = sets_of(texts)
+    parent = {d: d for d in texts}
+    for a, b in itertools.combinations(texts, 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and parent[a] != parent[b]:
+            old, new = max(parent[a], parent[b]), min(parent[a], parent[b])
+            parent = {d: new if p == old else p for d, p in parent.items()}
+    docs = spark.createDataFrame(list(texts.items()) * 2, "doc_id long, text string")
+    marks = simhash.fingerprints(docs, 5, 16, 8, distinct=True)
+    rank = F.struct(F.lit(False).alias("late"), "doc_id", "text_hash")
+    members = marks.groupBy("node").agg(F.first("n").alias("n"), F.min(rank).alias("first"), F.lit(1).cast("long").alias("group"))
+    ids = {bytes(r.node): r.first.doc_id for r in members.select("node", "first").collect()}
+    for chunk in (1 << 20, 700):
+        found = simhash.components(simhash.exact_links(docs, members, 5, 0.8, chunk=chunk, held_bytes=1 << 12)).collect()
+        got = {}
+        for r in found:
+            got.setdefault(bytes(r.root), {ids[bytes(r.root)]}).add(ids[bytes(r.node)])
+        want = {p: {ids_ for ids_ in set(ids.values()) if parent[ids_] == p} for p in parent.values()}
+        assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in want.values() if len(g) > 1}
+
+
 # --- repeated passages ---
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, batch_of, give_back, per_batch, saved, utf8
+from tidemark.llm.common import arrow_schema, batch_of, give_back, per_batch, saved, small_batches, utf8
 
 U64 = np.uint64
 ALL = U64(0xFFFFFFFFFFFFFFFF)
@@ -73,31 +73,38 @@ def fingerprint(hashes: np.ndarray, words: int = 1) -> bytes:
     )
 
 
-def fingerprints(docs: DataFrame, shingle: int, words: int = 1, min_keys: int = 0) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, words: int = 1, min_keys: int = 0, distinct: bool = False) -> DataFrame:
     """(doc_id, text_hash, fp, keys): the fingerprint of each text and, if asked for, its smallest mixed shingle hashes.
 
-    Texts without words have the zero fingerprint and the keys -1, -2 and so on.
+    Texts without words have the zero fingerprint and the keys -1, -2 and so on. With `distinct` a repeated shingle counts
+    once, and there are two columns more: node, a hash of the set of shingles, and n, its size.
     """
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
-            prints, keys = [], []
+            prints, keys, node, n = [], [], [], []
             for text in batch.column("text"):
                 hashes = shingle_hashes(text.as_py(), shingle)
+                if distinct:
+                    hashes = np.unique(hashes)
+                    node.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                    n.append(len(hashes))
                 prints.append(fingerprint(hashes, words))
                 if min_keys and len(hashes):
                     smallest = [int(mixed(hashes, 101 + k).min()) for k in range(min_keys)]
                     keys.append([(x ^ k << 60) - (1 << 63) for k, x in enumerate(smallest)])
                 else:
                     keys.append([-1 - k for k in range(min_keys)])
-            return {c: batch.column(c) for c in ("doc_id", "text_hash")} | {"fp": prints, "keys": keys}
+            return {c: batch.column(c) for c in ("doc_id", "text_hash")} | {
+                "fp": prints, "keys": keys, "node": node, "n": n,
+            }
 
         return step
 
     return per_batch(
         docs.select(F.col("doc_id").cast("long"), F.xxhash64(utf8()).alias("text_hash"), utf8().alias("text")),
         make,
-        "doc_id long,text_hash long,fp binary,keys array<long>",
+        "doc_id long,text_hash long,fp binary,keys array<long>" + ",node binary,n long" * distinct,
     )
 
 
@@ -284,34 +291,151 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def similar_sets(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): a spanning forest of the pairs of sets whose exact similarity, shared by all members, is `similarity` or more.
+
+    Each set is looked up once, in lists of the sets that hold a member and are not reached yet.
+    """
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    holders = np.repeat(np.arange(n), sizes)[np.argsort(code, kind="stable")]
+    bounds = np.r_[0, np.cumsum(np.bincount(code))]
+    fresh, built, left = np.ones(n, bool), n, n
+    a, b = [], []
+    for seed in range(n):
+        queue = [seed] if fresh[seed] else []
+        left -= len(queue)
+        fresh[seed] = False
+        while queue:
+            at = queue.pop()
+            if left < built / 2:
+                kept = fresh[holders]
+                bounds, holders, built = np.r_[0, np.cumsum(kept)][bounds], holders[kept], left
+            own = code[ends[at] - sizes[at] : ends[at]]
+            counts = bounds[own + 1] - bounds[own]
+            places = np.arange(counts.sum()) + np.repeat(bounds[own] - (np.cumsum(counts) - counts), counts)
+            shared = np.bincount(holders[places], minlength=n)
+            found = np.flatnonzero(fresh & (shared > 0) & (shared >= similarity * (sizes[at] + sizes - shared) - 1e-9))
+            fresh[found] = False
+            left -= len(found)
+            queue += found.tolist()
+            a += [at] * len(found)
+            b += found.tolist()
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def exact_links(
+    docs: DataFrame, members: DataFrame, shingle: int, similarity: float, chunk: int = 1 << 20, held_bytes: int = 16 << 20
+) -> DataFrame:
+    """(a, b): links of at least `similarity` that connect, in each group, all nodes that such links connect.
+
+    `members` is (node, n, first, group): sets of `n` shingles and the row of `docs` that has them. A group of more than
+    `chunk` shingles is split in chunks, and each pair of chunks is a task.
+    """
+    groups = members.groupBy("group").agg(F.count("*").alias("nodes"), F.sum("n").alias("n")).where("nodes > 1")
+    groups = groups.select("group", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    # null ids never meet in a join
+    wanted = members.join(groups, "group").select(
+        "node", "group", F.greatest("chunks", F.lit(1)).alias("chunks"), F.col("first.late").alias("late"),
+        F.coalesce("first.doc_id", F.lit(-1)).alias("id"), F.col("first.text_hash").alias("text_hash"),
+    )
+    one_id = F.col("doc_id").cast("long")
+    texts = docs.select(
+        one_id.isNull().alias("late"), F.coalesce(one_id, F.lit(-1)).alias("id"), F.xxhash64(utf8()).alias("text_hash"),
+        utf8().alias("text"),
+    )
+    # one row of each node, if a row of `docs` is repeated
+    texts = texts.join(wanted, ["late", "id", "text_hash"]).groupBy("node", "group", "chunks").agg(F.first("text").alias("text"))
+
+    def make():
+        def step(batch: pa.RecordBatch) -> dict:
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column("text")]
+            return {c: batch.column(c) for c in ("node", "group", "chunks")} | {"shingles": sets}
+
+        return step
+
+    sets = per_batch(texts, make, "node binary,group long,chunks int,shingles array<long>")
+    tasks = sets.withColumn("side", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    tasks = tasks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    tasks = tasks.where("chunks = 1 or other != side").select(
+        "node", "group", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "shingles"
+    )
+    sorted_tasks = small_batches(tasks.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high"))
+    out = arrow_schema("a binary,b binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def compare(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            rows = pa.Table.from_batches(held).combine_chunks()
+            task = np.stack([rows.column(c).to_numpy() for c in ("group", "low", "high")], axis=1)
+            cuts = np.flatnonzero(np.r_[True, np.any(task[1:] != task[:-1], axis=1), last]).tolist()
+            for begin, end in zip(cuts[:-1], cuts[1:]):
+                if end - begin > 1:
+                    part = rows.slice(begin, end - begin)
+                    nodes = part.column("node").to_pylist()
+                    a, b = similar_sets([s.values.to_numpy() for s in part.column("shingles")], similarity)
+                    if len(a):
+                        yield batch_of({"a": [nodes[i] for i in a], "b": [nodes[i] for i in b]}, out)
+            held = [] if last else rows.slice(cuts[-1]).to_batches()
+
+        most = held_bytes
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.nbytes for b in held) >= most:
+                yield from compare(False)
+                most = max(held_bytes, 2 * sum(b.nbytes for b in held))
+        if held:
+            yield from compare(True)
+        give_back()
+
+    return sorted_tasks.mapInArrow(run, "a binary, b binary")
+
+
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, radius: int = 2, blocks: int = 6, words: int = 1, min_keys: int = 0
+    docs: DataFrame,
+    shingle: int = 3,
+    radius: int = 2,
+    blocks: int = 6,
+    words: int = 1,
+    min_keys: int = 0,
+    similarity: float = 0.0,
 ) -> DataFrame:
     """(doc_id, text_hash, fp, component_id, leads) for every row of `docs` (doc_id, text).
 
     component_id is the smallest doc_id of the documents reachable over links of at most `radius` differing bits.
     With `min_keys`, links are searched under that many smallest shingle hashes instead of under block keys, which allows
-    a large radius and fingerprints of `words` times 64 bits. text_hash is the XXH64 of the text; leads is true for the
+    a large radius and fingerprints of `words` times 64 bits. With a `similarity` above 0, fingerprints are of distinct
+    shingles, and a link counts only if the two sets of shingles share that much of all they hold. text_hash is the XXH64 of the text; leads is true for the
     rows of the component with the smallest doc_id and, under it, the smallest text_hash.
 
     A null text counts as empty; empty texts have the zero fingerprint and link like others. A null doc_id keeps its row
     and is never a component's smallest id, unless all are null: then the component is null. Repeated rows stay repeated.
     Other columns of `docs` are ignored. An empty table gives no rows.
     """
-    marks = saved(fingerprints(docs, shingle, words, min_keys), "fingerprints")
+    marks = saved(fingerprints(docs, shingle, words, min_keys, similarity > 0), "fingerprints")
     # a null id comes after all others
     rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
     firsts = marks.groupBy("fp").agg(F.min(rank).alias("first"))
+    node = "node" if similarity > 0 else "fp"
     if min_keys:
         keyed = marks.select(F.explode("keys").alias("key"), "fp").distinct()
     else:
         keyed = block_keys(firsts, radius, blocks)
     roots = components(links(keyed, radius)).select(F.col("node").alias("fp"), "root")
-    nodes = saved(firsts.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "nodes")
+    if similarity > 0:
+        firsts = marks.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.min(rank).alias("first"))
+        group = F.xxhash64(F.coalesce("root", "fp")).alias("group")
+        members = saved(firsts.join(roots, "fp", "left").select("node", "n", "first", group), "members")
+        firsts, roots = members.select("node", "first"), components(exact_links(docs, members, shingle, similarity))
+    nodes = saved(firsts.join(roots, node, "left").select(node, "first", F.coalesce("root", node).alias("root")), "nodes")
     least = nodes.groupBy("root").agg(F.min("first").alias("leader"))
-    named = nodes.join(least, "root").select("fp", "leader")
+    named = nodes.join(least, "root").select(node, "leader")
     leads = F.col("leader.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("leader.text_hash") == F.col("text_hash"))
-    return marks.join(named, "fp").select(
+    return marks.join(named, node).select(
         "doc_id", "text_hash", "fp", F.col("leader.doc_id").alias("component_id"), leads.alias("leads")
     )
 
