@@ -174,6 +174,41 @@ def test_license_join_against_all_blocks():
         assert license_scan.matches(words, ready, prefix) == want
 
 
+def test_license_windows_against_all_starts():
+    rng = random.Random(10)
+    templates = license_scan.TEMPLATES
+    counts = {}
+    for text in templates.values():
+        for w in license_scan.words_of(text.encode()):
+            counts[w] = counts.get(w, 0) + rng.randrange(50)
+    ready = license_scan.prepared(templates, counts, 0.8)
+    prefix = {}
+    for number, t in enumerate(ready):
+        for place, word in enumerate(t.order[: len(t.order) - t.needed + 1]):
+            prefix.setdefault(word, []).append((number, place))
+    pool = [w for t in ready for w in t.order] + [w.encode() for w in WORDS]
+    for _ in range(200):
+        words = [rng.choice(pool) for _ in range(rng.randrange(30))]
+        for t in rng.sample(ready, 2):
+            for w in license_scan.words_of(templates[t.name].encode()):
+                words += [w] * (rng.random() < 0.95) + [rng.choice(pool)] * (rng.random() < 0.3)
+            words += [rng.choice(pool) for _ in range(rng.randrange(90))]
+        want = {}
+        for t in ready:
+            for start in range(len(words)):
+                share = len(set(words[start : start + t.window]) & set(t.order)) / len(t.order)
+                if share * len(t.order) > t.needed - 0.5 and share > want.get(t.name, (0,))[0]:
+                    want[t.name] = (share, start, min(t.window, len(words) - start))
+        assert license_scan.best_windows(words, ready, prefix) == want
+
+
+def test_license_notice_with_words_inserted_is_found_at_any_offset(spark):
+    notice = "Released under the terms of the MIT License"
+    rows = [(i, f"{prose(i)} {notice} {prose(20)}") for i in range(20)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all("mit-line" in r.labels.split(",") for r in got)
+
+
 def test_license_phrases(spark):
     text = "x MIT-License. mit license\nApache\tLicense cc by by cc by-nc GNU general public licenses"
     frame = spark.createDataFrame([(1, text), (2, "permit license"), (3, None)], "doc_id long, text string")

@@ -2,10 +2,9 @@
 
 A template is found in a block if at least `threshold` of its distinct words are in it. Words are put in one global order,
 rarest in the corpus first. If a block holds enough of a template, it must hold one of the template's first words in that
-order (prefix filter), so only blocks around such words are looked at; a block needs as many distinct words as must be
-shared (length filter), and what stands behind the first shared words of both must suffice (positional filter). What passes
-is counted exactly. Blocks are windows of twice a template's length, each overlapping the next by half, so every run of words
-as long as the template lies in one.
+order (prefix filter), so only blocks around such words are looked at, and only where there are as many words as must be
+shared (length filter). What is left is counted exactly. Blocks are windows of twice a template's length that start at any
+word; they slide over the places of the template's words, so the work is linear.
 """
 
 from __future__ import annotations
@@ -143,6 +142,44 @@ def matches(words: list[bytes], templates: list[Template], prefix: Mapping[bytes
     return found
 
 
+def best_windows(words: list[bytes], templates: list[Template], prefix: Mapping[bytes, list[tuple[int, int]]]) -> dict:
+    """What `matches` gives, with a window at every word instead of at multiples of half a window.
+
+    The first best window ends at a word of the template, or starts at the first word of the text.
+    """
+    anchors: dict[int, list[int]] = {}
+    for at, word in enumerate(words):
+        if word in prefix:
+            for number, _ in prefix[word]:
+                anchors.setdefault(number, []).append(at)
+    found = {}
+    for number, places in anchors.items():
+        t = templates[number]
+        wanted, best, begin = set(t.order), t.needed - 1, 0
+        while begin < len(places):
+            # anchors whose windows may overlap are one run
+            end = begin + 1
+            while end < len(places) and places[end] - places[end - 1] < 2 * t.window:
+                end += 1
+            low, high = max(places[begin] - t.window + 1, 0), min(places[end - 1] + t.window, len(words))
+            begin = end
+            if high - low < t.needed:
+                continue
+            inside: Counter[bytes] = Counter()
+            shared, first, own = 0, 0, [at for at in range(low, high) if words[at] in wanted]
+            for at in own:
+                shared += not inside[words[at]]
+                inside[words[at]] += 1
+                while own[first] <= at - t.window:
+                    inside[words[own[first]]] -= 1
+                    shared -= not inside[words[own[first]]]
+                    first += 1
+                if shared > best:
+                    start = max(at - t.window + 1, 0)
+                    best, found[t.name] = shared, (shared / len(t.order), start, min(t.window, len(words) - start))
+    return found
+
+
 def phrase_places(words: list[bytes], phrases: Mapping[str, str]) -> list[tuple[int, str]]:
     """(first word, label) of every place where a phrase's words stand one after the other."""
     joined = b" " + b" ".join(words) + b" "
@@ -183,7 +220,7 @@ def scan(
     def row(text: bytes) -> tuple:
         words = words_of(text)
         base = phrase_places(words, phrases)
-        similar = matches(words, ready, prefix) if not prefix.keys().isdisjoint(words) else {}
+        similar = best_windows(words, ready, prefix) if not prefix.keys().isdisjoint(words) else {}
         labels = {label for _, label in base}
         starts = [at for at, _ in base]
         return (
