@@ -169,6 +169,20 @@ def test_revisits_against_plain_version(spark):
     assert warc_revisit.resolve(frame.limit(0)).count() == 0
 
 
+def test_urls_without_scheme_do_not_share_a_key(spark):
+    urls = ["a.org/b", "a.org/c", "dns:a.org", "<http://A.org/d>", " <e.org/f> "]
+    rows = [(i, u, i, 200, f"d{i}") for i, u in enumerate(urls)]
+    rows += [(10 + i, u, 10 + i, 304, None) for i, u in enumerate(["a.org/b", "a.org/c", "dns:a.org", "https://a.org/d", "e.org/f"])]
+    rows.append((20, "a.org/never", 20, 304, None))
+    frame = spark.createDataFrame(rows, "record_id long, url string, at long, status int, digest string").select(
+        "record_id", "url", F.timestamp_seconds("at").alias("captured"), "status", F.lit(None).cast("string").alias("etag"),
+        F.lit(None).cast("string").alias("last_modified"), "digest", F.create_map().cast("map<string,string>").alias("headers"),
+    )
+    got = {r.record_id: r for r in warc_revisit.resolve(frame).collect()}
+    assert [got[10 + i].digest for i in range(5)] == [f"d{i}" for i in range(5)]
+    assert got[20].outcome == "missing"
+
+
 def test_revisit_query_against_sql(spark, oracle):
     frame = QUERIES["op10_warc_revisits"](spark, "/root/testdata/sf0.01")
     cursor = oracle.execute(ORACLE_SQL["op10_warc_revisits"])

@@ -28,9 +28,11 @@ FIXED_HEADERS = (
 def canonical_url(url: Column) -> Column:
     """Scheme and host in lower case, without default port, leading `www.`, fragment, tracking parameters or trailing slash.
 
-    http and https are one. The other parameters are sorted. A null URL stays null.
+    http and https are one. The other parameters are sorted. Angle brackets around a URL go. A URL that does not start with
+    a scheme and `://` is its own key. A null URL stays null.
     """
-    bare = F.regexp_replace(F.trim(url), "#.*$", "")
+    url = F.trim(F.regexp_replace(F.trim(url), "^<(.*)>$", "$1"))
+    bare = F.regexp_replace(url, "#.*$", "")
     host = F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
     host = F.regexp_replace(F.regexp_replace(host, r":(80|443)$", ""), r"^www\.", "")
     path = F.regexp_replace(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
@@ -38,7 +40,8 @@ def canonical_url(url: Column) -> Column:
     kept = F.array_sort(
         F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike("^(" + "|".join(TRACKING) + ")(=|$)"))
     )
-    return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    key = F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    return F.when(bare.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), key).otherwise(url)
 
 
 def _weak(etag: Column) -> Column:
