@@ -81,6 +81,29 @@ def test_hot_leaves_are_split_without_loss(spark):
         assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == np.argsort(dist)[1:6].tolist()
 
 
+def test_many_queries_are_dealt_without_loss(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    groups, plain = [], ann_forest.dealt
+
+    def spied(index, sought, deals):
+        out = plain(index, sought, deals)
+        groups.extend(r["count"] for r in out[1].groupBy("bucket", "deal").count().collect())
+        return out
+
+    monkeypatch.setattr(ann_forest, "dealt", spied)
+    how = {"trees": 4, "leaf_rows": 100, "search_share": 1.0, "bucket_rows": 400, "query_rows": 50}
+    got = ann_forest.nearest(frame, frame, k=5, **how).collect()
+    assert groups and max(groups) < 100
+    values = np.array([v for _, v in rows])
+    by_query = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by_query.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(400):
+        assert by_query[q] == np.argsort(((values - values[q]) ** 2).sum(1), kind="stable")[1:6].tolist()
+
+
 def test_recall_of_the_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.1"
     table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas().sort_values("vec_id")

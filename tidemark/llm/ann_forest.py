@@ -6,7 +6,8 @@ margin on the way is best comes next, until enough leaves are open. Its candidat
 distances are computed exactly, in double precision, where the leaves are, and only the best go on.
 
 Equal vectors are one point with its smallest ids, so a hot vector is indexed once. Leaves are dealt to buckets by a hash,
-and a leaf that outgrows a bucket is split in chunks, so no group grows with the data.
+and a leaf that outgrows a bucket is split in chunks; queries are dealt too, and a bucket goes to each deal of them, so no
+group grows with the data.
 """
 
 from __future__ import annotations
@@ -105,9 +106,15 @@ def _best(query: np.ndarray, rows: np.ndarray, first: np.ndarray, best: int) ->
     return q[kept], r[kept], distance[kept]
 
 
+def dealt(index: DataFrame, sought: DataFrame, deals: int) -> tuple[DataFrame, DataFrame]:
+    """Both with a column `deal`: each query is in one of `deals`, each row of the index in all of them."""
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(deals - 1)))
+    return index.withColumn("deal", everywhere), sought.withColumn("deal", F.pmod(F.xxhash64("query"), F.lit(deals)).cast("int"))
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = 8, sample_rows: int = 16384, leaf_rows: int = 100,
-    search_share: float = 0.12, bucket_rows: int = 20_000,
+    search_share: float = 0.12, bucket_rows: int = 20_000, query_rows: int = 4096,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest found of `vectors` for each row of `queries`, both (vec_id, vector).
 
@@ -115,7 +122,8 @@ def nearest(
     is not its own neighbour. The forest is grown on at most `sample_rows` vectors, picked by hash, with leaves of about
     `leaf_rows` vectors as long as that sample allows eight each; all vectors are indexed. `search_share` of the leaves of
     all trees are searched per query: 0.12 finds over nine in ten neighbours where vectors have no structure at all, which
-    is the worst case; clustered vectors need far less.
+    is the worst case; clustered vectors need far less. A group compares about `bucket_rows` index rows with about
+    `query_rows` queries.
 
     Rows with a null id take no part, nor do vectors that are null, zero, of a rare length (not the most frequent), or hold
     a null or non-finite component. Rows that repeat id and vector count once. Other columns are ignored. Empty tables
@@ -240,7 +248,8 @@ def nearest(
     )
     searched = points.join(asked.select(F.col("query").alias("point")).distinct(), "point").select("point", "vector")
     sought = searched.repartition("point").mapInArrow(seek, "bucket long, query long, vector binary, cells array<long>")
-    found = index.groupBy("bucket").cogroup(sought.groupBy("bucket")).applyInArrow(
+    index, sought = dealt(index, sought, max(1, -(-asked.select("query").distinct().count() // query_rows)))
+    found = index.groupBy("bucket", "deal").cogroup(sought.groupBy("bucket", "deal")).applyInArrow(
         compare, "query long, point long, first_id long, score double"
     )
     best = found.groupBy("query", "point").agg(F.min("first_id").alias("first_id"), F.min("score").alias("score"))
