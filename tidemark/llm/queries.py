@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    ann_forest, bpe, language_id, license_scan, mixing, quality, simhash, suffix_dedup, toxicity, warc_revisit,
+    alignment, ann_forest, bpe, decontamination, language_id, license_scan, mixing, quality, simhash, spelling,
+    suffix_dedup, toxicity, warc_revisit,
 )
 from tidemark.llm.common import held_out, table
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_toxic_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +129,21 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", F.array_join(F.array_sort(lines), "; "))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_winnowed_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), length=10)
+    listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), "contaminated")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_LEVEL, PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxic_instances": op1_toxic_instances,
     "op2_suffix_repeats": op2_suffix_repeats,
@@ -137,6 +155,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_bit_sliced": op8_simhash_bit_sliced,
     "op9_line_quality": op9_line_quality,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_winnowed_benchmark": op12_winnowed_benchmark,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -254,4 +275,43 @@ ORACLE_SQL: dict[str, str] = {
                end as headers
         from judged
     """,
+    "op12_winnowed_benchmark": """
+        with items as (
+            select coalesce(item_id::varchar, '') as item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+            from benchmark
+        ),
+        sized as (select *, least(10, len(words)) as length from items where len(words) > 0),
+        placed as (select *, unnest(range(1, len(words) - length + 2)) as start from sized),
+        windows as (
+            select distinct item_id, length, array_to_string(words[start : start + length - 1], ' ') as span from placed
+        ),
+        docs as (
+            select row_number() over () as row, doc_id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) as words
+            from documents
+        ),
+        starts as (
+            select row, words, length, unnest(range(1, len(words) - length + 2)) as start
+            from docs, (select distinct length from windows) where len(words) >= length
+        ),
+        spans as (
+            select row, start, length, array_to_string(words[start : start + length - 1], ' ') as span from starts
+        ),
+        hits as (
+            select distinct row, start, length, item_id from spans join windows using (length, span)
+        ),
+        places as (select distinct row, unnest(range(start, start + length)) as place from hits),
+        per_place as (select row, count(*) as n_hit from places group by row),
+        per_item as (
+            select row, count(*) as n_items, string_agg(item_id, ',' order by item_id) as listed
+            from (select distinct row, item_id from hits) group by row
+        )
+        select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+               coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from docs left join per_place using (row) left join per_item using (row)
+    """,
 }
