@@ -12,12 +12,13 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tokenizers
 from pyspark import TaskContext
@@ -100,94 +101,137 @@ def _parts(text: str, most: int) -> list[str]:
     return [*parts, text[at:]]
 
 
-def tokenised(text: str, one: Tokens, two: Pieces, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of a text by both; none if the bytes of either are not a space and the text.
+def tokenised(
+    texts: list[str], one: Tokens, two: Pieces, most: int = 1 << 18
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The ids of each text by both; none if the bytes of either are not a space and the text, or if it is empty.
 
     Both put a space before a text, so a long text can be cut at spaces between words and its parts tokenised by themselves,
-    which bounds what the libraries hold; the ids are the same.
+    which bounds what the libraries hold at a time; the ids are the same. `most` is in characters.
     """
-    parts = _parts(text, most) if two.whole_words else [text]
-    expected = b" " + text.encode()
-    ids = []
-    for tokens in (one, two):
-        found = np.fromiter((i for part in parts for i in tokens.encode([part])[0]), np.int64)
-        if b"".join(map(tokens.pieces.__getitem__, found)) != expected:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ids.append(found)
-    return ids[0], ids[1]
-
-
-def anchors(a: np.ndarray, b: np.ndarray, one: Tokens, two: Tokens) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The windows of a text: ids of both between shared ends that space-marked tokens follow on both sides."""
-    ends_a, ends_b = np.cumsum(one.sizes[a]), np.cumsum(two.sizes[b])
-    at = np.searchsorted(ends_b, ends_a[:-1])
-    shared = ends_b[at] == ends_a[:-1]
-    cut_a, cut_b = np.flatnonzero(shared) + 1, at[shared] + 1
-    both = one.spaced[a[cut_a]] & two.spaced[b[cut_b]]
-    cut_a, cut_b = [0, *cut_a[both].tolist(), len(a)], [0, *cut_b[both].tolist(), len(b)]
-    for i in range(len(cut_a) - 1):
-        yield a[cut_a[i] : cut_a[i + 1]], b[cut_b[i] : cut_b[i + 1]]
-
-
-def align(a: list[int], b: list[int], one: Tokens, two: Tokens) -> tuple[list[tuple[int, int]], list[str]]:
-    """The links of a window, pairs of ids whose bytes overlap, and its groups as text, cut where both sides end."""
-    links, groups = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = one.sizes[a[0]], two.sizes[b[0]]
-    while True:
-        links.append((a[i], b[j]))
-        next_a, next_b = end_a <= end_b, end_b <= end_a
-        if next_a and next_b:
-            groups.append(f"{','.join(map(str, a[first_a : i + 1]))}|{','.join(map(str, b[first_b : j + 1]))}")
-            first_a, first_b = i + 1, j + 1
-        i, j = i + next_a, j + next_b
-        if i == len(a) or j == len(b):
-            return links, groups
-        end_a += one.sizes[a[i]] if next_a else 0
-        end_b += two.sizes[b[j]] if next_b else 0
-
-
-class Block:
-    """The documents of a block: windows already aligned, and the pairs of ids seen, numbered as they appear."""
-
-    def __init__(self, one: Tokens, two: Pieces):
+    parts = [(n, p) for n, text in enumerate(texts) for p in (_parts(text, most) if two.whole_words else [text])]
+    ids: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
+    first = size = 0
+    for last, (_, part) in enumerate(parts):
+        size += len(part)
+        if size >= most or last == len(parts) - 1:
+            some = parts[first : last + 1]
+            for side, tokens in enumerate((one, two)):
+                for (n, _), found in zip(some, tokens.encode([p for _, p in some]), strict=True):
+                    ids[n][side].extend(found)
+            first, size = last + 1, 0
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    results = []
+    for text, (a, b) in zip(texts, ids, strict=True):
+        expected = b" " + text.encode()
+        same = b"".join([one.pieces[i] for i in a]) == expected and b"".join([two.pieces[i] for i in b]) == expected
+        results.append((np.array(a, np.int64), np.array(b, np.int64)) if text and same else none)
+    return results
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, `size` of them, one range after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
+class Windows:
+    """The windows of a block that are aligned already, by their ids, and the pairs of ids seen, numbered as they appear."""
+
+    def __init__(self, one: Tokens, two: Tokens):
         self.one, self.two = one, two
-        self.known: dict[tuple[bytes, bytes], tuple[np.ndarray, str, int]] = {}
-        self.number: dict[tuple[int, int], int] = {}
-        self.total: list[int] = []
-
-    def window(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, str, int]:
-        """Pair numbers of the links, the groups as text, and how many groups."""
-        key = (a.astype("<u4").tobytes(), b.astype("<u4").tobytes())
-        if (hit := self.known.get(key)) is None:
-            links, groups = align(a.tolist(), b.tolist(), self.one, self.two)
-            numbers = np.array([self.number.setdefault(pair, len(self.number)) for pair in links], np.int64)
-            hit = (numbers, ";".join(groups), len(groups))
-            if len(links) <= 64:  # longer windows hardly come again
-                self.known[key] = hit
-        return hit
-
-    def document(self, text: str) -> dict:
-        a, b = tokenised(text, self.one, self.two) if text else (np.zeros(0, np.int64),) * 2
-        if not len(a):
-            return {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": "", "pairs": b"", "times": b""}
-        windows = [self.window(*w) for w in anchors(a, b, self.one, self.two)]
-        links = np.concatenate([w[0] for w in windows])
-        pairs, times = np.unique(links, return_counts=True)
-        self.total += [0] * (len(self.number) - len(self.total))
-        for pair, n in zip(pairs.tolist(), times.tolist(), strict=True):
-            self.total[pair] += n
-        return {
-            "n_a": len(a), "n_b": len(b), "n_groups": sum(w[2] for w in windows), "n_links": len(links),
-            "groups": hashlib.sha256(";".join([w[1] for w in windows]).encode()).hexdigest(),
-            "pairs": np.diff(pairs, prepend=0).astype("<u4").tobytes(), "times": times.astype("<u4").tobytes(),
-        }
+        self.known: defaultdict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.number: defaultdict[int, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.links = np.zeros(0, np.int64)  # pair numbers of all known windows, one after the other
+        self.start = self.n_links = self.n_groups = np.zeros(0, np.int64)  # by window
+        self.groups: list[str] = []
+
+    def codes(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows of some texts one after the other: their numbers, and the token of the first side that each ends before.
+
+        A window ends where tokens of both end and space-marked tokens of both follow, and with the texts: every text starts
+        with a space. Ids of the second side are shifted, so that one string of bytes holds both tuples of ids.
+        """
+        ends_a, ends_b = np.cumsum(self.one.sizes[a]), np.cumsum(self.two.sizes[b])
+        at = np.searchsorted(ends_b, ends_a)
+        inner = np.flatnonzero(ends_b[at[:-1]] == ends_a[:-1])
+        inner = inner[self.one.spaced[a[inner + 1]] & self.two.spaced[b[at[inner] + 1]]]
+        cut_a, cut_b = np.r_[0, inner + 1, len(a)], np.r_[0, at[inner] + 1, len(b)]
+        ids_a, ids_b = a.astype("<u4").tobytes(), (b + (1 << 24)).astype("<u4").tobytes()
+        to_a, to_b = (4 * cut_a).tolist(), (4 * cut_b).tolist()
+        keys = [
+            ids_a[p:q] + ids_b[r:t] for p, q, r, t in zip(to_a[:-1], to_a[1:], to_b[:-1], to_b[1:], strict=True)
+        ]
+        before = len(self.known)
+        codes = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        new, where = np.unique(codes, return_index=True)
+        where = where[new >= before]
+        if len(where):
+            size_a, size_b = np.diff(cut_a)[where], np.diff(cut_b)[where]
+            self._align(a[_ranges(cut_a[where], size_a)], b[_ranges(cut_b[where], size_b)], size_a, size_b)
+        return codes, cut_a[1:]
+
+    def _align(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
+        """Aligns new windows, given one after the other. Between two neighbouring ends, of either side, lies one link."""
+        ends_a, ends_b = np.cumsum(self.one.sizes[a]), np.cumsum(self.two.sizes[b])
+        ends = np.union1d(ends_a, ends_b)
+        pairs, number = np.unique(
+            (a[np.searchsorted(ends_a, ends)] << 24) | b[np.searchsorted(ends_b, ends)], return_inverse=True
+        )
+        numbered = np.fromiter(map(self.number.__getitem__, pairs.tolist()), np.int64, len(pairs))
+        last_a, last_b = np.cumsum(size_a), np.cumsum(size_b)
+        n_links = np.diff(np.searchsorted(ends, ends_a[last_a - 1]) + 1, prepend=0)
+        at = np.searchsorted(ends_b, ends_a)
+        shared = np.flatnonzero(ends_b[at] == ends_a)
+        n_groups = np.diff(np.searchsorted(shared, last_a - 1) + 1, prepend=0)
+        self.start = np.r_[self.start, len(self.links) + np.cumsum(n_links) - n_links]
+        self.links = np.r_[self.links, numbered[number]]
+        self.n_links, self.n_groups = np.r_[self.n_links, n_links], np.r_[self.n_groups, n_groups]
+        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        to_a, to_b = [0, *(shared + 1).tolist()], [0, *(at[shared] + 1).tolist()]
+        groups = [
+            f"{','.join(text_a[p:q])}|{','.join(text_b[r:t])}"
+            for p, q, r, t in zip(to_a[:-1], to_a[1:], to_b[:-1], to_b[1:], strict=True)
+        ]
+        ends_at = [0, *np.cumsum(n_groups).tolist()]
+        self.groups += [";".join(groups[p:q]) for p, q in zip(ends_at[:-1], ends_at[1:], strict=True)]
+
+    def documents(self, texts: list[str]) -> Iterator[tuple]:
+        """For each text: n_a, n_b, n_groups, n_links, the digest of its groups, its pairs and how often it has each."""
+        ids = tokenised(texts, self.one, self.two)
+        a, b = (np.concatenate([pair[side] for pair in ids]) for side in (0, 1))
+        codes, ends = self.codes(a, b) if len(a) else (np.zeros(0, np.int64),) * 2
+        last = np.searchsorted(ends, np.cumsum([len(x) for x, _ in ids]), side="right").tolist()
+        for (x, y), first, to in zip(ids, [0, *last[:-1]], last, strict=True):
+            if not len(x):
+                yield 0, 0, 0, 0, "", b"", b""
+                continue
+            own = codes[first:to]
+            links = self.links[_ranges(self.start[own], self.n_links[own])]
+            pairs, times = np.unique(links, return_counts=True)
+            digest = hashlib.sha256(";".join([self.groups[c] for c in own.tolist()]).encode()).hexdigest()
+            yield (
+                len(x), len(y), int(self.n_groups[own].sum()), len(links), digest,
+                np.diff(pairs, prepend=0).astype("<u4").tobytes(), times.astype("<u4").tobytes(),
+            )
 
 
 _DOCUMENT = "doc_id long,n_a long,n_b long,n_groups long,n_links long,groups_sha256 string,pairs binary,times binary"
 _ALIGNED = f"block long,{_DOCUMENT},a array<int>,b array<int>,n array<long>"
 
 
+def _chunks(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about `most` bytes of text."""
+    first = size = 0
+    for row, length in enumerate(pc.binary_length(batch.column("bytes")).to_pylist()):
+        size += length
+        if size >= most or row == batch.num_rows - 1:
+            yield batch.slice(first, row + 1 - first)
+            first, size = row + 1, 0
+
+
 def _aligned(docs: DataFrame, byte_level: str, pieces: str, most: int) -> DataFrame:
     """One row per document, and one per block with its pairs and how often they are linked there (n_a is null)."""
     schema = arrow_schema(_ALIGNED)
@@ -197,16 +241,20 @@ def _aligned(docs: DataFrame, byte_level: str, pieces: str, most: int) -> DataFr
         loaded = _loaded(byte_level, pieces)
         number = TaskContext.get().partitionId() << 32
         for batch in gathered(batches, most):
-            block = Block(*loaded)
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("bytes"), strict=True):
-                one = block.document(text.as_py().decode())
-                rows.append([number, doc_id, *one.values(), None, None, None])
-            first, second = zip(*block.number, strict=True) if block.number else ((), ())
-            rows.append([number, *[None] * 8, list(first), list(second), block.total])
+            windows, total = Windows(*loaded), np.zeros(0, np.int64)
+            for some in _chunks(batch, 1 << 20):
+                rows = []
+                texts = [text.as_py().decode() for text in some.column("bytes")]
+                for doc_id, found in zip(some.column("doc_id").to_pylist(), windows.documents(texts), strict=True):
+                    rows.append([number, doc_id, *found, None, None, None])
+                    total = np.pad(total, (0, len(windows.number) - len(total)))
+                    total[np.cumsum(np.frombuffer(found[-2], "<u4"))] += np.frombuffer(found[-1], "<u4")
+                yield batch_of(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema)
+            pairs = np.fromiter(windows.number, np.int64, len(windows.number))
+            seen = [number, *[None] * 8, (pairs >> 24).tolist(), (pairs & 0xFFFFFF).tolist(), total.tolist()]
+            yield batch_of({name: [value] for name, value in zip(names, seen, strict=True)}, schema)
             number += 1
-            yield batch_of(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema)
-            del block
+            del windows
             give_back()
 
     texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("bytes"))
