@@ -349,6 +349,16 @@ def test_mix_of_odd_documents(spark):
     assert {(r.target, r.taken) for r in mixing.mix(empty).collect()} == {(0.0, 0)}
 
 
+def test_empty_documents_come_no_oftener_than_others(spark):
+    """The small source is capped at twice its size, which leaves no budget; its empty documents come twice at most."""
+    rows = [(n, "" if n % 2 else "one two", "a") for n in range(400)] + [(900 + n, "w " * 5000, "b") for n in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = [r.copies for r in mixing.mix(frame).collect()]
+    assert max(copies) == 2
+    times = mixing.repeated_docs(frame).groupBy("doc_id").count().agg(F.max("count")).first()[0]
+    assert times == 2
+
+
 def test_mix_query_against_sql_and_without_python(spark, oracle, physical):
     frame = QUERIES["op6_source_mix"](spark, "/root/testdata/sf0.01")
     assert not any(word in physical(frame) for word in ("Python", "Arrow", "Pandas", "CartesianProduct"))

@@ -81,6 +81,16 @@ def test_hot_leaves_are_split_without_loss(spark):
         assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == np.argsort(dist)[1:6].tolist()
 
 
+def test_each_width_is_searched_and_an_id_is_one_vector(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 6)] + [(i, [float(i), 1.0, 2.0]) for i in range(11, 17)]
+    rows += [(1, [9.0, 9.0]), (1, [1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = ann_forest.nearest(frame, frame.where("vec_id in (2, 12)"), k=3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [
+        (2, 1, 1, 1.0), (2, 2, 3, 1.0), (2, 3, 4, 2.0), (12, 1, 11, 1.0), (12, 2, 13, 1.0), (12, 3, 14, 2.0),
+    ]
+
+
 def test_many_queries_are_dealt_without_loss(spark, monkeypatch):
     rng = np.random.default_rng(10)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(400)]
@@ -215,3 +225,16 @@ def test_revisit_query_against_sql(spark, oracle):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     assert frame.count() == crawl_records(pages).where("status = 304").count()
     assert {r.outcome for r in frame.select("outcome").distinct().collect()} == {"resolved", "unchecked", "changed", "missing"}
+
+
+def test_header_names_that_differ_in_case(spark):
+    rows = [
+        (1, "http://a/", 10, 200, "x", None, "d", {"Date": "old", "date": "new", "ETag": "1", "etag": "2", "Age": "7"}),
+        (2, "http://a/", 20, 304, "x", None, None, {"DATE": "a", "Date": "b", "Expires": "c"}),
+        (3, "http://a/", 30, 304, "x", None, None, None),
+    ]
+    schema = "record_id long, url string, at long, status int, etag string, last_modified string, digest string, headers map<string,string>"
+    frame = spark.createDataFrame(rows, schema).withColumn("captured", F.timestamp_seconds("at")).drop("at")
+    got = {r.record_id: r for r in warc_revisit.resolve(frame).collect()}
+    assert set(got[3].headers) == {"date", "etag", "age"} and got[3].headers["age"] == "7"
+    assert set(got[2].headers) == {"date", "etag", "age", "expires"} and got[2].headers["date"] in ("a", "b")

@@ -125,11 +125,11 @@ def nearest(
     is the worst case; clustered vectors need far less. A group compares about `bucket_rows` index rows with about
     `query_rows` queries.
 
-    Rows with a null id take no part, nor do vectors that are null, zero, of a rare length (not the most frequent), or hold
-    a null or non-finite component. Rows that repeat id and vector count once. Other columns are ignored. Empty tables
-    give no rows; a query with fewer than `k` candidates gets them all.
+    Rows with a null id take no part, nor do vectors that are null, zero, or hold a null or non-finite component. Vectors of
+    different lengths have no distance: each length has a forest of its own, one after the other, and few lengths are
+    expected. An id stands for one vector: rows that repeat it count once, with the least of its vectors. Other columns are
+    ignored. Empty tables give no rows; a query with fewer than `k` candidates gets them all.
     """
-    first = max(k + 1, 2)
     numbers = F.col("vector").cast("array<double>")
     whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), numbers.alias("vector")).where(
         "vec_id is not null and vector is not null and exists(vector, x -> x != 0)"
@@ -137,10 +137,22 @@ def nearest(
     )
     # adding zero makes both zeros one
     whole = whole.withColumn("vector", F.transform("vector", lambda x: x + 0.0))
-    length = whole.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
-    if length is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    whole = saved(whole.where(F.size("vector") == length.width).distinct(), "vectors")
+    whole = saved(whole.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    widths = sorted(r.width for r in whole.select(F.size("vector").alias("width")).distinct().collect())
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for width in widths:
+        same = whole.where(F.size("vector") == width)
+        part = _nearest(same, queries, width, k, trees, sample_rows, leaf_rows, search_share, bucket_rows, query_rows)
+        found = part if len(widths) == 1 else found.unionByName(part)
+    return found
+
+
+def _nearest(
+    whole: DataFrame, queries: DataFrame, width: int, k: int, trees: int, sample_rows: int, leaf_rows: int,
+    search_share: float, bucket_rows: int, query_rows: int,
+) -> DataFrame:
+    """`nearest` among distinct ids with finite vectors of `width` numbers."""
+    first = max(k + 1, 2)
     by_vector = Window.partitionBy("vector").orderBy("vec_id")
     points = saved(
         whole.withColumn("n", F.row_number().over(by_vector))
@@ -156,7 +168,7 @@ def nearest(
 
     n = points.count()
     sample = points.select("vector", F.xxhash64("vector").alias("h")).orderBy("h").limit(sample_rows).toPandas()
-    sample = np.array(sorted(map(list, sample["vector"])), float).reshape(-1, length.width)
+    sample = np.array(sorted(map(list, sample["vector"])), float).reshape(-1, width)
     depth = max(0, min(int(np.log2(max(1, n / leaf_rows))), int(np.log2(max(1, len(sample) / 8)))))
     forest = grow(sample, trees, depth)
     # a leaf is larger than the share of a bucket only where the sample bounds the depth

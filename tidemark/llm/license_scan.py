@@ -10,7 +10,6 @@ word; they slide over the places of the template's words, so the work is linear.
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -109,11 +108,13 @@ def word_counts(docs: DataFrame, templates: Mapping[str, str]) -> dict[bytes, in
     return {bytes(r.word): r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-def matches(words: list[bytes], templates: list[Template], prefix: Mapping[bytes, list[tuple[int, int]]]) -> dict:
+def best_windows(words: list[bytes], templates: list[Template], prefix: Mapping[bytes, list[tuple[int, int]]]) -> dict:
     """{template: (share, first word, window)} of the best window of each template that reaches its threshold.
 
-    `prefix` gives, for a word, the templates that have it among the first of their order, and its place there. Of equal
-    shares the first window counts.
+    `prefix` gives, for a word, the templates that have it among the first of their order, and its place there. A window
+    starts at any word; of equal shares the first counts, which ends at a word of the template, or starts at the first word
+    of the text. Where the rarest word of a template is at place p of its order, at most the words from p on are shared
+    (positional filter), so places that cannot beat the best window are passed over.
     """
     anchors: dict[int, list[tuple[int, int]]] = {}
     for at, word in enumerate(words):
@@ -121,39 +122,8 @@ def matches(words: list[bytes], templates: list[Template], prefix: Mapping[bytes
             for number, place in prefix[word]:
                 anchors.setdefault(number, []).append((at, place))
     found = {}
-    for number, places in anchors.items():
-        t = templates[number]
-        step, rank = t.window // 2, {w: i for i, w in enumerate(t.order)}
-        starts: dict[int, int] = {}
-        for at, place in places:
-            for start in {at // step * step, max(at // step - 1, 0) * step}:
-                starts[start] = min(starts.get(start, place), place)
-        for start, place in sorted(starts.items()):
-            block = set(words[start : start + t.window])
-            if len(block) < t.needed:
-                continue
-            shared = sorted(rank[w] for w in block if w in rank)
-            first = bisect_left(shared, place)
-            if 1 + min(len(t.order) - place - 1, len(shared) - first - 1) < t.needed:
-                continue
-            share = len(shared) / len(t.order)
-            if share > found.get(t.name, (0.0,))[0]:
-                found[t.name] = (share, start, min(t.window, len(words) - start))
-    return found
-
-
-def best_windows(words: list[bytes], templates: list[Template], prefix: Mapping[bytes, list[tuple[int, int]]]) -> dict:
-    """What `matches` gives, with a window at every word instead of at multiples of half a window.
-
-    The first best window ends at a word of the template, or starts at the first word of the text.
-    """
-    anchors: dict[int, list[int]] = {}
-    for at, word in enumerate(words):
-        if word in prefix:
-            for number, _ in prefix[word]:
-                anchors.setdefault(number, []).append(at)
-    found = {}
-    for number, places in anchors.items():
+    for number, anchored in anchors.items():
+        places = [at for at, _ in anchored]
         t = templates[number]
         wanted, best, begin = set(t.order), t.needed - 1, 0
         while begin < len(places):
@@ -162,8 +132,9 @@ def best_windows(words: list[bytes], templates: list[Template], prefix: Mapping[
             while end < len(places) and places[end] - places[end - 1] < 2 * t.window:
                 end += 1
             low, high = max(places[begin] - t.window + 1, 0), min(places[end - 1] + t.window, len(words))
+            most = len(t.order) - min(place for _, place in anchored[begin:end])
             begin = end
-            if high - low < t.needed:
+            if high - low < t.needed or most <= best:
                 continue
             inside: Counter[bytes] = Counter()
             shared, first, own = 0, 0, [at for at in range(low, high) if words[at] in wanted]
@@ -185,9 +156,11 @@ def phrase_places(words: list[bytes], phrases: Mapping[str, str]) -> list[tuple[
     joined = b" " + b" ".join(words) + b" "
     found = []
     for phrase, label in phrases.items():
-        wanted, at = b" " + phrase.encode() + b" ", 0
+        wanted, at, word, counted = b" " + phrase.encode() + b" ", 0, 0, 0
         while (at := joined.find(wanted, at)) >= 0:
-            found.append((joined.count(b" ", 0, at), label))
+            word += joined.count(b" ", counted, at)
+            counted = at
+            found.append((word, label))
             at += 1
     return found
 

@@ -62,7 +62,7 @@ def thresholds(sized: DataFrame, budgets: DataFrame, digit_bits: int = 12) -> Da
     """(source_key, threshold): documents with a hash below it sum to at most the budget, and with the next hash to more.
 
     `sized` is (source_key, hash, size), `budgets` (source_key, budget). Without documents left over, the threshold is
-    above all hashes.
+    above all hashes; without budget it is below all, so that empty documents do not come once more.
     """
     state = budgets.select(
         "source_key", F.col("budget").alias("left"), F.lit(0).cast("long").alias("low"), F.lit(True).alias("open")
@@ -91,8 +91,10 @@ def thresholds(sized: DataFrame, budgets: DataFrame, digit_bits: int = 12) -> Da
             ),
             "thresholds",
         )
-    return state.select(
-        "source_key", F.when(F.col("open"), F.col("low")).otherwise(F.lit(1 << HASH_BITS)).alias("threshold")
+    above = F.when(F.col("open"), F.col("low")).otherwise(F.lit(1 << HASH_BITS))
+    spent = budgets.select("source_key", (F.col("budget") <= 0).alias("spent"))
+    return state.join(spent, "source_key").select(
+        "source_key", F.when(F.col("spent"), F.lit(0)).otherwise(above).cast("long").alias("threshold")
     )
 
 

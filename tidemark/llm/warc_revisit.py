@@ -48,6 +48,15 @@ def _weak(etag: Column) -> Column:
     return F.regexp_replace(etag, "^W/", "")
 
 
+def _lowered(headers: Column) -> Column:
+    """Header fields by their names in lower case; of names that then are one, the last field stays."""
+    entries = F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>")))
+    named = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    backwards = F.reverse(F.transform(named, lambda e: e["key"]))
+    last = F.filter(named, lambda e, i: i == F.size(headers) - F.array_position(backwards, e["key"]))
+    return F.map_from_entries(last)
+
+
 def resolve(records: DataFrame, partitions: int | None = None) -> DataFrame:
     """(record_id, url_key, outcome, refers_to, digest, headers), one row per revisit of `records`.
 
@@ -61,15 +70,14 @@ def resolve(records: DataFrame, partitions: int | None = None) -> DataFrame:
     * `missing`: the URL has no earlier response.
 
     Only `resolved` and `unchecked` have refers_to, the digest of the response and merged headers: the response's, with
-    those of the revisit in place but for `FIXED_HEADERS`; names are compared in lower case. Null headers are empty. A null
+    those of the revisit in place but for `FIXED_HEADERS`; names are compared in lower case, and of fields whose names differ only in case the last counts. Null headers are empty. A null
     URL has no earlier response; a null time comes before all others. Repeated records are resolved alike. Other columns
     are ignored; an empty table gives no rows.
     """
     full = (F.col("status") == 200) & F.col("digest").isNotNull()
-    lowered = F.transform_keys(F.coalesce("headers", F.create_map().cast("map<string,string>")), lambda k, _: F.lower(k))
     events = records.where(full | (F.col("status") == 304)).select(
         F.col("record_id").cast("long").alias("record_id"), canonical_url(F.col("url")).alias("url_key"), "captured",
-        (F.col("status") == 200).alias("full"), "etag", "last_modified", "digest", lowered.alias("headers"),
+        (F.col("status") == 200).alias("full"), "etag", "last_modified", "digest", _lowered(F.col("headers")).alias("headers"),
     )
     order = ("url_key", "captured", "record_id")
     ranged = events.repartitionByRange(partitions, *order) if partitions else events.repartitionByRange(*order)
