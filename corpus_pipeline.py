@@ -52,7 +52,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with n_tokens and ids, and as text what the ids decode to."""
-    encoded = bpe.encode(docs, RANKS).withColumn("text", F.col("ids"))
+    # written in between, so that no task runs the workers of both, and in small blocks, for less memory
+    encoded = saved(bpe.encode(docs, RANKS, block_bytes=2 << 20), "encoded").withColumn("text", F.col("ids"))
     return bpe.decode(encoded, RANKS, ids="text", out="text").withColumn("text", F.col("text").cast("string"))
 
 
