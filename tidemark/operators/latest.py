@@ -92,7 +92,8 @@ def current_state(landing: DataFrame, spec: TableSpec, nulls: str = "first", qua
     return live_rows(newest).select("payload")
 
 
-def _newest_typed(landing: DataFrame, spec: TableSpec, nulls: str, quarantine: bool) -> DataFrame:
+def newest_typed(landing: DataFrame, spec: TableSpec, nulls: str = "first", quarantine: bool = False) -> DataFrame:
+    """Newest event per key with its order, `__deleted`, the wire row as `__row` and whether that is `__malformed`."""
     events = table_log(landing, spec.name).select(
         *_ranked_fields(spec),
         wire_row(spec).alias("__row"),
@@ -110,7 +111,7 @@ def current_typed(landing: DataFrame, spec: TableSpec, nulls: str = "first", qua
     source time is one in any event, since it cannot be ranked. With `quarantine`
     neither fails: `quarantined` has those rows.
     """
-    rows = live_rows(_newest_typed(landing, spec, nulls, quarantine))
+    rows = live_rows(newest_typed(landing, spec, nulls, quarantine))
     if quarantine:
         sound = rows.where(~F.col("__malformed"))
     else:
@@ -139,7 +140,7 @@ def replay_account(landing: DataFrame, spec: TableSpec, nulls: str = "first") ->
     """One row: events = current + superseded + deleted + quarantined, each counted."""
     events = table_log(landing, spec.name).select(*_ranked_fields(spec))
     seen = events.agg(F.count("*").alias("events"), F.count("__fault").alias("unranked"))
-    newest = _newest_typed(landing, spec, nulls, quarantine=True)
+    newest = newest_typed(landing, spec, nulls, quarantine=True)
     live = not_deleted(F.col("__deleted"))
     kept = newest.agg(
         F.count("*").alias("keys"),

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import constant_rows
+from tidemark.session import constant_rows, fresh_dir
 
 # --- fixed value: ids shown as a sample of the missing ones ---
 SAMPLE_SIZE = 25
@@ -25,19 +25,43 @@ def present_ids(state: DataFrame, key: str, first: int, last: int) -> DataFrame:
     return state.where(F.col(key).between(first, last)).select(key).distinct()
 
 
-def expected_ids(spark: SparkSession, key: str, first: int, last: int) -> DataFrame:
-    """All ids of a range, made in parallel."""
-    return spark.range(first, last + 1).withColumnRenamed("id", key)
+def missing_intervals(state: DataFrame, key: str, first: int, last: int) -> DataFrame:
+    """(first_id, last_id): the gaps between the ids of the range that are there, as intervals.
+
+    The work goes with the ids that are there, however long the range. They are dealt by range; inside one, a window sees the
+    next id, and the edges of the ranges, one row each, are put together once more. An empty range of ids has no gaps.
+    """
+    dealt = present_ids(state, key, first, last).select(F.col(key).cast("long").alias("id")).repartitionByRange("id")
+    path = fresh_dir(state.sparkSession, "ids")
+    dealt.withColumn("range", F.spark_partition_id()).write.parquet(path)
+    ids = state.sparkSession.read.schema("id long, range int").parquet(path)
+    inside = ids.select("id", F.lead("id").over(Window.partitionBy("range").orderBy("id")).alias("next"))
+    edges = ids.groupBy("range").agg(F.min("id").alias("low"), F.max("id").alias("high")).select("low", "high")
+    # beyond both ends of the range stands an id that is there
+    ends = constant_rows(state.sparkSession, [(first - 1, first - 1), (last + 1, last + 1)], "low long, high long")
+    across = edges.unionByName(ends).select(
+        F.col("high").alias("id"), F.lead("low").over(Window.orderBy("low")).alias("next")
+    )
+    gaps = inside.unionByName(across).where(F.col("next") - F.col("id") > 1)
+    return gaps.select((F.col("id") + 1).alias("first_id"), (F.col("next") - 1).alias("last_id"))
 
 
-def missing_ids(state: DataFrame, key: str, first: int, last: int) -> DataFrame:
-    """Ids of the range that the state lacks."""
-    expected = expected_ids(state.sparkSession, key, first, last)
-    return expected.join(present_ids(state, key, first, last), key, "left_anti")
+def missing_ids(state: DataFrame, key: str, first: int, last: int, piece: int = 65_536) -> DataFrame:
+    """Ids of the range that the state lacks: its gaps, spelled out in pieces, so that a long gap is no long array."""
+    pieces = missing_intervals(state, key, first, last).select(
+        F.explode(F.sequence("first_id", "last_id", F.lit(piece).cast("long"))).alias("low"), "last_id"
+    )
+    dealt = pieces.repartition("low")
+    return dealt.select(
+        F.explode(F.sequence("low", F.least("last_id", F.col("low") + (piece - 1)))).alias(key)
+    )
 
 
 def missing_ids_sample(state: DataFrame, key: str, first: int, last: int, size: int = SAMPLE_SIZE) -> DataFrame:
-    return missing_ids(state, key, first, last).orderBy(key).limit(size)
+    """The smallest missing ids: those of as many gaps at most."""
+    gaps = missing_intervals(state, key, first, last).orderBy("first_id").limit(size)
+    ids = F.explode(F.sequence("first_id", F.least("last_id", F.col("first_id") + (size - 1))))
+    return gaps.select(ids.alias(key)).orderBy(key).limit(size)
 
 
 def reconcile_snapshot(
@@ -91,13 +115,15 @@ def survivor_difference(
     state: DataFrame, key: str, first: int, last: int, deleted_first: int, deleted_last: int
 ) -> DataFrame:
     """Ids that should have survived and did not (`missing`), and the reverse (`unexpected`)."""
-    present = present_ids(state, key, first, last)
     gone = F.col(key).between(deleted_first, deleted_last)
-    expected = expected_ids(state.sparkSession, key, first, last).where(~gone)
-    missing = expected.join(present, key, "left_anti").withColumn("difference", F.lit("missing"))
+    # the ids on both sides of the deleted range, each a range of its own
+    sides = ((first, min(last, deleted_first - 1)), (max(first, deleted_last + 1), last))
+    missing = reduce(DataFrame.unionByName, [missing_ids(state, key, low, high) for low, high in sides if low <= high] or [
+        present_ids(state, key, first, last).where("false")
+    ])
     # Within the range, an id outside the expected set is one that lies in the deleted range.
-    unexpected = present.where(gone).withColumn("difference", F.lit("unexpected"))
-    return missing.unionByName(unexpected)
+    unexpected = present_ids(state, key, first, last).where(gone).withColumn("difference", F.lit("unexpected"))
+    return missing.withColumn("difference", F.lit("missing")).unionByName(unexpected)
 
 
 def survivor_equality(

@@ -949,6 +949,12 @@ _BODIES["load_test"] = """
         from sizes)"""
 _BODIES["upsert_newer"] = _BODIES["extracted_state"]
 _BODIES["merge_stream"] = _BODIES["merge_changes"]
+_BODIES["merge_stream_buckets"] = _BODIES["merge_stream_guarded"]
+_BODIES["landing_by_day"] = """
+    select ts::date as day, count(*) as events, count(*) filter (where extract(second from ts)::integer % 3 = 0) as new_events
+    from log_user_event where not broken and not heartbeat group by 1"""
+for _model in ("dim_account", "dim_product", "fact_sales", "fct_ledger_entries"):
+    _BODIES[f"incremental_{_model}"] = f"select * from {_model}"
 
 CTES["entry_stats"] = """
     select transaction_id, count(*) as entry_count, count(*) filter (where direction = 'Debit') as debit_count,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,15 +24,19 @@ from tidemark.operators.latest import (
     snapshot_plus_tail,
 )
 from tidemark.plans import marts
+from tidemark.plans.incremental import IncrementalModels
 from tidemark.plans.load_test import run_load_test
 from tidemark.plans.models import DIMENSIONS, FACTS, INTERMEDIATE, MARTS, STAGING, Models
 from tidemark.plans.staging import stage
 from tidemark.session import fresh_dir
 from tidemark.sources import extract, landing
 from tidemark.sources import sample_tables as sample
+from tidemark.sources.landing import to_payload
 from tidemark.sources.registry import ARRIVAL, TABLES
 from tidemark.streaming import drain as drains
 from tidemark.streaming import state_log as states
+from tidemark.streaming.bucket_merge import BucketMerge
+from tidemark.streaming.dated_landing import DatedLanding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,6 +138,59 @@ def landing_refresh(spark, sf_dir):
     )
 
 
+@query
+def landing_by_day(spark, sf_dir):
+    """Two loads landed by table and day; what a consumer with a mark after the first one still has to read, by day."""
+    root = fresh_dir(spark, "dated")
+    landed = DatedLanding(spark, f"{root}/landing")
+    raw = sample.raw_events(spark, sf_dir)
+    second = F.second(ARRIVAL) % 3 == 0
+    for part in (raw.where(~second), raw.where(second)):
+        part.write.mode("append").parquet(f"{root}/raw")
+        landed.drain(drains.raw_file_stream(spark, f"{root}/raw"), f"{root}/checkpoint")
+        if landed.mark("reader") < 0:
+            landed.advance("reader", landed.newest())
+    new = landed.events("user_event", after=landed.mark("reader")).groupBy("__date").agg(F.count("*").alias("new_events"))
+    held = landed.manifest().where("table_name = 'user_event'").groupBy("day").agg(F.sum("events").alias("events"))
+    return held.join(new, held["day"] == new["__date"], "left").select(
+        "day", "events", F.coalesce("new_events", F.lit(0)).cast("bigint").alias("new_events")
+    )
+
+
+def kept_models(spark: SparkSession, sf_dir: str, tables: Sequence[str], buckets: int = 8) -> IncrementalModels:
+    """Models kept over two loads. A third of all events comes late, so older versions and deletes follow newer ones."""
+    root = fresh_dir(spark, "kept")
+    landed = DatedLanding(spark, f"{root}/landing")
+    kept = IncrementalModels(spark, landed, f"{root}/models", tables, buckets)
+    raw = _union([to_payload(sample.LOGS[table](spark, sf_dir)) for table in tables])
+    late = F.crc32(F.col("value").cast("binary")) % 3 == 0
+    for part in (raw.where(~late), raw.where(late)):
+        part.write.mode("append").parquet(f"{root}/raw")
+        landed.drain(drains.raw_file_stream(spark, f"{root}/raw"), f"{root}/checkpoint")
+        kept.run()
+    return kept
+
+
+@query
+def incremental_dim_account(spark, sf_dir):
+    return kept_models(spark, sf_dir, ["account", "ledger_entry"]).models()["dim_account"]
+
+
+@query
+def incremental_dim_product(spark, sf_dir):
+    return kept_models(spark, sf_dir, ["product", "inventory_movement"]).models()["dim_product"]
+
+
+@query
+def incremental_fact_sales(spark, sf_dir):
+    return kept_models(spark, sf_dir, ["sales_invoice", "sales_invoice_item"]).models()["fact_sales"]
+
+
+@query
+def incremental_fct_ledger_entries(spark, sf_dir):
+    return kept_models(spark, sf_dir, ["ledger_entry"]).models()["fct_ledger_entries"]
+
+
 @query
 def envelope_flatten(spark, sf_dir):
     return landing.flatten_envelope(sample.envelopes(spark, sf_dir), sample.USER_EVENT)
@@ -549,6 +606,20 @@ def merge_stream_guarded(spark, sf_dir):
     return _merge_streamed(spark, sf_dir, guard=True, compact=True)
 
 
+@query
+def merge_stream_buckets(spark, sf_dir):
+    """The newer half first, then the older half late, into hash buckets under the guard."""
+    root = fresh_dir(spark, "merge")
+    log = sample.user_event_log(spark, sf_dir)
+    state = BucketMerge(spark, f"{root}/state", log.select(*_USER_COLUMNS).schema, ["user_id"], guard=True, buckets=8)
+    before = F.col("ts") < fn.moment(MID_MONTH)
+    for half in (log.where(~before), log.where(before)):
+        half.write.mode("append").parquet(f"{root}/log")
+        changes = drains.change_stream(spark, f"{root}/log", log.schema).writeStream.foreachBatch(state.apply)
+        drains.finish(changes.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return state.read()
+
+
 TRADE_TABLES = tuple(TABLES)[:8]
 
 

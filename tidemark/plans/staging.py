@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,8 +60,8 @@ _COMPUTED: dict[str, tuple[tuple[str, str, Callable[[], Column]], ...]] = {
 }
 
 
-def stage_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Cleaning and computed columns over typed rows of one table."""
+def stage_rows(rows: DataFrame, spec: TableSpec, carried: Sequence[str] = ()) -> DataFrame:
+    """Cleaning and computed columns over typed rows of one table; `carried` columns come along."""
     texts = {
         name: _cleaner(spec.name, name)(name) for name, kind in spec.columns.items() if kind == "string"
     }
@@ -70,7 +70,7 @@ def stage_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
     for name, after, expression in _COMPUTED.get(spec.name, ()):
         staged = staged.withColumn(name, expression())
         order.insert(order.index(after) + 1, name)
-    return staged.select(*order)
+    return staged.select(*carried, *order)
 
 
 def stage(landing: DataFrame, table: str) -> DataFrame:

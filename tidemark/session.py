@@ -89,6 +89,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; nothing happens when it does not exist."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True when a batch write to `path` has finished (Spark's success marker)."""
     return path_exists(spark, f"{path}/_SUCCESS")
