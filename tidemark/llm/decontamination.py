@@ -71,22 +71,14 @@ def _shape(length: int, gram: int) -> tuple[int, int]:
 
 
 def winnowed(words: Column, length: int, gram: int) -> Column:
-    """array<struct<length, hash, at, first, context>>: the fingerprints of a text for spans of `length` words.
-
-    Each place once, with the words of all spans that may have kept it, from word `first` on.
-    """
+    """array<struct<length, hash, at>>: the fingerprints of a text for spans of `length` words, each place once."""
     gram, window = _shape(length, gram)
-
-    def fingerprint(grams: Column, at: Column) -> Column:
-        first = F.greatest(at - (window - 1), F.lit(0))
-        context = F.array_join(F.slice(words, first + 1, at - first + length), " ")
-        return F.struct(
-            F.lit(length).alias("length"), F.get(grams, at).alias("hash"), at.alias("at"), first.alias("first"),
-            context.alias("context"),
-        )
-
     return _let(
-        _grams(words, gram), lambda g: F.transform(F.array_distinct(_kept(g, window)), lambda p: fingerprint(g, p))
+        _grams(words, gram),
+        lambda g: F.transform(
+            F.array_distinct(_kept(g, window)),
+            lambda p: F.struct(F.lit(length).alias("length"), F.get(g, p).alias("hash"), p.alias("at")),
+        ),
     )
 
 
@@ -134,8 +126,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, length: int = 10, gram:
     documents gives no rows, an empty benchmark no hits. A long text is one row and is never cut.
 
     Fingerprints of the benchmark are written first, so their size is known: Spark broadcasts them while they are below its
-    limit, and joins by hash beyond it. A fingerprint carries the few words around it, so a hit is extended where it was
-    found and no text is shuffled.
+    limit, and joins by hash beyond it. To extend hits, texts are joined to them by digest: the texts are shuffled once, the
+    same way at every size.
     """
     items = saved(
         benchmark.select(
@@ -158,8 +150,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, length: int = 10, gram:
         found = counted.withColumns(none)
     else:
         windows = saved(_all_windows(items, lengths, gram, length), "windows")
+        hits = saved(_hits(docs, digest, windows, lengths, gram), "hits")
         known = windows.groupBy("length", "words").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-        spans = _candidates(docs, digest, windows, lengths, gram).join(saved(known, "known"), ["length", "words"])
+        # written before it is joined on: a text that very many rows have is then split over tasks
+        spans = saved(_spans(docs, digest, hits), "spans").join(saved(known, "known"), ["length", "words"])
         extended = spans.select("key", "length", "start", "items").distinct()
         span = F.struct(F.col("start").cast("long").alias("start"), (F.col("start") + F.col("length")).cast("long").alias("end"))
         by_text = extended.groupBy("key").agg(
@@ -184,8 +178,8 @@ def _all_windows(items: DataFrame, lengths: list[int], gram: int, most: int) ->
     return windows.distinct()
 
 
-def _candidates(docs: DataFrame, digest: Column, windows: DataFrame, lengths: list[int], gram: int) -> DataFrame:
-    """(key, length, start, words): spans of texts that, by a fingerprint, may be windows of the benchmark."""
+def _hits(docs: DataFrame, digest: Column, windows: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """(key, starts): where, by their fingerprints, windows of the benchmark may start in a text."""
     wanted = saved(windows.groupBy("length", "hash").agg(F.collect_set("offset").alias("offsets")), "fingerprints")
     prints = _let(
         word_list(F.col("text")), lambda w: F.concat(*[winnowed(w, n, gram) for n in sorted(lengths)])
@@ -193,7 +187,22 @@ def _candidates(docs: DataFrame, digest: Column, windows: DataFrame, lengths: li
     # digests first: what stands beside explode() is computed for every exploded row
     own = docs.select(digest.alias("key"), prints.alias("prints")).select("key", F.inline("prints"))
     shared = own.join(wanted, ["length", "hash"])
-    starts = F.explode(F.filter(F.transform("offsets", lambda o: F.col("at") - o), lambda s: s >= F.col("first")))
-    placed = shared.select("key", "length", "first", F.split("context", " ").alias("context"), starts.alias("start"))
-    within = F.slice("context", F.col("start") - F.col("first") + 1, F.col("length"))
-    return placed.select("key", "length", "start", F.array_join(within, " ").alias("words"))
+    starts = shared.select("key", "length", F.explode(F.transform("offsets", lambda o: F.col("at") - o)).alias("start"))
+    starts = starts.where("start >= 0").distinct()
+    return starts.groupBy("key").agg(F.collect_list(F.struct("length", "start")).alias("starts"))
+
+
+def _spans(docs: DataFrame, digest: Column, hits: DataFrame) -> DataFrame:
+    """(key, length, start, words): the words of the texts from the starts on."""
+    texts = docs.select(digest.alias("key"), "text").join(hits.hint("merge"), "key")
+
+    def spelled(own: Column) -> Column:
+        return F.transform(
+            "starts",
+            lambda s: F.struct(
+                s["length"].alias("length"), s["start"].alias("start"),
+                F.array_join(F.slice(own, s["start"] + 1, s["length"]), " ").alias("words"),
+            ),
+        )
+
+    return texts.select("key", _let(word_list(F.col("text")), spelled).alias("spans")).select("key", F.inline("spans"))
