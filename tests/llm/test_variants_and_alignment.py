@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -308,11 +309,14 @@ def test_alignment_of_edges(spark):
     assert alignment.align_corpus(edges.none(spark), queries.BYTE_LEVEL, queries.PIECES).count() == 0
 
 
-def test_long_texts_are_cut_without_effect(sf_dir, spark):
+def test_parts_of_a_text_have_its_tokens(sf_dir, spark):
     one, two = alignment._loaded(queries.BYTE_LEVEL, queries.PIECES)
-    texts = [t for _, t in texts_of(table(spark, sf_dir, "documents")) if t and len(t) > 2000][:30]
-    texts += ["a  b   c\n d \t e 1 2 3  4 ' s 's" * 40, "9 8 7 it 's 5 " * 50]
-    whole = alignment.tokenised(texts, one, two, 1 << 30)
-    for most in (1, 7, 300):
-        for left, right in zip(whole, alignment.tokenised(texts, one, two, most), strict=True):
-            assert all(x.tolist() == y.tolist() for x, y in zip(left, right, strict=True))
+    texts = [t for _, t in texts_of(table(spark, sf_dir, "documents")) if t][:80]
+    texts += ["a  b   c\n d \t e 1 2 3  4 ' s 's" * 40, "9 8 7 it 's 5 " * 50, "\x1c \x85 \xa0 x \u3000 \ufeff y z\u200b w"]
+    rng = random.Random(6)
+    pool = list("ab 19  '.,\n\té漢ñ\xa0\u2003") + [" ", " x", "'ll", " 's", "\u0301", "😀", "ﬁ"]
+    texts += ["".join(rng.choice(pool) for _ in range(60)) for _ in range(400)]
+    two_alone = two.encode(texts)
+    for (a, b), x, y in zip(alignment.Tokeniser(one, two, 500).encode(texts), one.encode(texts), two_alone, strict=True):
+        assert (a.tolist(), b.tolist()) in ((x, y), ([], []))
+    assert sum(len(a) > 0 for a, _ in alignment.Tokeniser(one, two).encode(texts)) > 400

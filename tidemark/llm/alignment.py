@@ -1,6 +1,6 @@
 """Alignment of two tokenizers over a corpus, window by window.
 
-Every text is tokenised whole by both. Where a token of each ends at the same byte and the next token of each starts with a
+Every text is tokenised by both, all of it, before anything is aligned. Where a token of each ends at the same byte and the next token of each starts with a
 space, the text is cut; such anchors are common, since words start there. A window between two anchors is known by its two
 tuples of ids alone, so its alignment is computed once and kept for later windows with the same ids. A window's links are
 pairs of ids; the documents of a block number the pairs they hold. Pairs are counted by block before they are shuffled, the
@@ -15,6 +15,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_schema, batch_of, gathered, give_back, saved, small_batches, utf8
 
-# A place to cut a long text before tokenising it: neither tokenizer has a token, or looks ahead, across it. The space itself
-# belongs to what follows.
-_SAFE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+# A space between two characters that are no white space under any rule. Neither tokenizer has a token, or looks ahead, across
+# the place before it, and both put a space before a text, so the parts of a text have the tokens of the text.
+_VISIBLE = "[!-~\xa1-\u167f\u2070-\u2580\u2582-\u2fff\u3001-\ud7ff\ue000-\ufefe]"
+_CUT = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})")
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -89,44 +91,56 @@ def _loaded(byte_level: str, pieces: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(byte_level), Pieces(pieces)
 
 
-def _parts(text: str, most: int) -> list[str]:
-    """A long text in parts of about `most` characters, cut before single spaces between words; their spaces are left out."""
-    parts, at = [], 0
-    while len(text) - at > most:
-        cut = _SAFE.search(text, at + most)
-        if not cut:
-            break
-        parts.append(text[at : cut.start()])
-        at = cut.end()
-    return [*parts, text[at:]]
-
-
-def tokenised(
-    texts: list[str], one: Tokens, two: Pieces, most: int = 1 << 18
-) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The ids of each text by both; none if the bytes of either are not a space and the text, or if it is empty.
-
-    Both put a space before a text, so a long text can be cut at spaces between words and its parts tokenised by themselves,
-    which bounds what the libraries hold at a time; the ids are the same. `most` is in characters.
-    """
-    parts = [(n, p) for n, text in enumerate(texts) for p in (_parts(text, most) if two.whole_words else [text])]
-    ids: list[tuple[list[int], list[int]]] = [([], []) for _ in texts]
-    first = size = 0
-    for last, (_, part) in enumerate(parts):
-        size += len(part)
-        if size >= most or last == len(parts) - 1:
-            some = parts[first : last + 1]
-            for side, tokens in enumerate((one, two)):
-                for (n, _), found in zip(some, tokens.encode([p for _, p in some]), strict=True):
-                    ids[n][side].extend(found)
-            first, size = last + 1, 0
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    results = []
-    for text, (a, b) in zip(texts, ids, strict=True):
-        expected = b" " + text.encode()
-        same = b"".join([one.pieces[i] for i in a]) == expected and b"".join([two.pieces[i] for i in b]) == expected
-        results.append((np.array(a, np.int64), np.array(b, np.int64)) if text and same else none)
-    return results
+class Tokeniser:
+    """Both tokenizers over the texts of a block. A part that comes again is not tokenised again."""
+
+    def __init__(self, one: Tokens, two: Pieces, lot: int = 1 << 18):
+        self.one, self.two, self.lot = one, two, lot
+        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+
+    def _learn(self, parts: list[str]) -> None:
+        """Tokenises parts in lots of about `lot` characters, which bounds what the libraries hold at a time."""
+        first = size = 0
+        for last, part in enumerate(parts):
+            size += len(part)
+            if size >= self.lot or last == len(parts) - 1:
+                some = parts[first : last + 1]
+                texts = [b" " + p.encode() for p in some]
+                sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+                sides, same = [], np.ones(len(some), bool)
+                for tokens in (self.one, self.two):
+                    found = tokens.encode(some)
+                    n = np.fromiter(map(len, found), np.int64, len(found))
+                    ids = np.fromiter(chain.from_iterable(found), np.uint32, int(n.sum()))
+                    pieces = [tokens.pieces[i] for i in ids.tolist()]
+                    ends = np.cumsum(n)
+                    lengths = np.diff(np.r_[0, np.cumsum(tokens.sizes[ids])][np.r_[0, ends]])
+                    # all at once where nothing differs, as is usual
+                    if not (lengths == sizes).all() or b"".join(pieces) != b"".join(texts):
+                        bounds = np.r_[0, ends].tolist()
+                        own = [b"".join(pieces[p:q]) for p, q in zip(bounds[:-1], bounds[1:], strict=True)]
+                        same &= np.array([x == y for x, y in zip(own, texts, strict=True)], bool)
+                    data, at = ids.astype("<u4").tobytes(), np.r_[0, 4 * ends].tolist()
+                    sides.append([data[p:q] for p, q in zip(at[:-1], at[1:], strict=True)])
+                self.known.update(zip(some, zip(*sides, same.tolist(), strict=True), strict=True))
+                first, size = last + 1, 0
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The ids of each text by both; none if the bytes of either are not a space and the text, or if it is empty."""
+        cut = self.two.whole_words
+        parts = [_CUT.split(text) if cut and text else [text] if text else [] for text in texts]
+        self._learn([p for p in dict.fromkeys(p for own in parts for p in own) if p not in self.known])
+        results = []
+        for own in parts:
+            found = [self.known[p] for p in own]
+            whole = all([same for _, _, same in found])
+            results.append(
+                tuple(
+                    np.frombuffer(b"".join([x[side] for x in found]) if whole else b"", "<u4").astype(np.int64)
+                    for side in (0, 1)
+                )
+            )
+        return results
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -138,8 +152,8 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Windows:
     """The windows of a block that are aligned already, by their ids, and the pairs of ids seen, numbered as they appear."""
 
-    def __init__(self, one: Tokens, two: Tokens):
-        self.one, self.two = one, two
+    def __init__(self, one: Tokens, two: Pieces):
+        self.one, self.two, self.tokeniser = one, two, Tokeniser(one, two)
         self.known: defaultdict[bytes, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.number: defaultdict[int, int] = defaultdict()
@@ -200,7 +214,7 @@ class Windows:
 
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """For each text: n_a, n_b, n_groups, n_links, the digest of its groups, its pairs and how often it has each."""
-        ids = tokenised(texts, self.one, self.two)
+        ids = self.tokeniser.encode(texts)
         a, b = (np.concatenate([pair[side] for pair in ids]) for side in (0, 1))
         codes, ends = self.codes(a, b) if len(a) else (np.zeros(0, np.int64),) * 2
         last = np.searchsorted(ends, np.cumsum([len(x) for x, _ in ids]), side="right").tolist()
