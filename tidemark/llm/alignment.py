@@ -15,7 +15,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from tidemark.llm.common import arrow_schema, batch_of, gathered, give_back, sav
 # A space between two characters that are no white space under any rule. Neither tokenizer has a token, or looks ahead, across
 # the place before it, and both put a space before a text, so the parts of a text have the tokens of the text.
 _VISIBLE = "[!-~\xa1-\u167f\u2070-\u2580\u2582-\u2fff\u3001-\ud7ff\ue000-\ufefe]"
-_CUT = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})")
+_CUT = re.compile(f" (?<={_VISIBLE} )(?={_VISIBLE})")
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -92,14 +92,20 @@ def _loaded(byte_level: str, pieces: str) -> tuple[ByteLevel, Pieces]:
 
 
 class Tokeniser:
-    """Both tokenizers over the texts of a block. A part that comes again is not tokenised again."""
+    """Both tokenizers over texts, in parts that have the tokens of the text."""
 
     def __init__(self, one: Tokens, two: Pieces, lot: int = 1 << 18):
         self.one, self.two, self.lot = one, two, lot
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        """Tokenises parts in lots of about `lot` characters, which bounds what the libraries hold at a time."""
+    def parts(self, text: str) -> list[str]:
+        return _CUT.split(text) if self.two.whole_words and text else [text] if text else []
+
+    def lots(self, parts: list[str]) -> Iterator[tuple[int, int, list[np.ndarray], list[np.ndarray], np.ndarray]]:
+        """Tokenises parts in lots of about `lot` characters, which bounds what the libraries hold at a time.
+
+        For each lot: its first and last part, the ids by both one after the other, their number by part, and whether both
+        give back a space and the part.
+        """
         first = size = 0
         for last, part in enumerate(parts):
             size += len(part)
@@ -107,11 +113,11 @@ class Tokeniser:
                 some = parts[first : last + 1]
                 texts = [b" " + p.encode() for p in some]
                 sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-                sides, same = [], np.ones(len(some), bool)
+                sides, numbers, same = [], [], np.ones(len(some), bool)
                 for tokens in (self.one, self.two):
                     found = tokens.encode(some)
                     n = np.fromiter(map(len, found), np.int64, len(found))
-                    ids = np.fromiter(chain.from_iterable(found), np.uint32, int(n.sum()))
+                    ids = np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
                     pieces = [tokens.pieces[i] for i in ids.tolist()]
                     ends = np.cumsum(n)
                     lengths = np.diff(np.r_[0, np.cumsum(tokens.sizes[ids])][np.r_[0, ends]])
@@ -120,27 +126,26 @@ class Tokeniser:
                         bounds = np.r_[0, ends].tolist()
                         own = [b"".join(pieces[p:q]) for p, q in zip(bounds[:-1], bounds[1:], strict=True)]
                         same &= np.array([x == y for x, y in zip(own, texts, strict=True)], bool)
-                    data, at = ids.astype("<u4").tobytes(), np.r_[0, 4 * ends].tolist()
-                    sides.append([data[p:q] for p, q in zip(at[:-1], at[1:], strict=True)])
-                self.known.update(zip(some, zip(*sides, same.tolist(), strict=True), strict=True))
+                    sides.append(ids)
+                    numbers.append(n)
+                yield first, last + 1, sides, numbers, same
                 first, size = last + 1, 0
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of each text by both; none if the bytes of either are not a space and the text, or if it is empty."""
-        cut = self.two.whole_words
-        parts = [_CUT.split(text) if cut and text else [text] if text else [] for text in texts]
-        self._learn([p for p in dict.fromkeys(p for own in parts for p in own) if p not in self.known])
-        results = []
-        for own in parts:
-            found = [self.known[p] for p in own]
-            whole = all([same for _, _, same in found])
-            results.append(
-                tuple(
-                    np.frombuffer(b"".join([x[side] for x in found]) if whole else b"", "<u4").astype(np.int64)
-                    for side in (0, 1)
-                )
-            )
-        return results
+        owned = [self.parts(text) for text in texts]
+        parts = list(dict.fromkeys(chain.from_iterable(owned)))
+        known = {}
+        for first, to, sides, numbers, same in self.lots(parts):
+            split = [np.split(ids, np.cumsum(n)[:-1]) for ids, n in zip(sides, numbers, strict=True)]
+            known.update(zip(parts[first:to], zip(*split, same.tolist(), strict=True), strict=True))
+        none = np.zeros(0, np.int64)
+        return [
+            tuple(np.concatenate([none, *[known[p][side] for p in own]]) for side in (0, 1))
+            if all(known[p][2] for p in own)
+            else (none, none)
+            for own in owned
+        ]
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -149,11 +154,23 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
+@cache
+def _names(n_a: int, n_b: int) -> list[str]:
+    """Each id of the first side, then of the second, as it is written inside a group and at the end of its side."""
+    sides = ((n_a, ",|"), (n_b, ",;"))
+    return [f"{number}{mark}" for size, marks in sides for number in range(size) for mark in marks]
+
+
 class Windows:
-    """The windows of a block that are aligned already, by their ids, and the pairs of ids seen, numbered as they appear."""
+    """The windows of a block that are aligned already, by their ids, and the pairs of ids seen, numbered as they appear.
+
+    Every part of a text starts with a space, so an anchor lies between two parts and a part's windows are its own. A part
+    that comes again in the block has its windows already; so has a new part whose tuples of ids came in another.
+    """
 
     def __init__(self, one: Tokens, two: Pieces):
         self.one, self.two, self.tokeniser = one, two, Tokeniser(one, two)
+        self.names = _names(len(one.pieces), len(two.pieces))
         self.known: defaultdict[bytes, int] = defaultdict()
         self.known.default_factory = self.known.__len__
         self.number: defaultdict[int, int] = defaultdict()
@@ -161,6 +178,28 @@ class Windows:
         self.links = np.zeros(0, np.int64)  # pair numbers of all known windows, one after the other
         self.start = self.n_links = self.n_groups = np.zeros(0, np.int64)  # by window
         self.groups: list[str] = []
+        self.part: defaultdict[str, int] = defaultdict()
+        self.part.default_factory = self.part.__len__
+        self.owned = np.zeros(0, np.int64)  # windows of all known parts, one after the other
+        self.owned_from, self.n_owned = np.zeros(0, np.int64), np.zeros(0, np.int64)  # by part
+        self.n_tokens = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # by part, of each side
+        self.whole = np.zeros(0, bool)  # by part
+        self.text: list[str] = []  # groups by part
+
+    def learn(self, parts: list[str]) -> None:
+        """The windows of new parts, which come in the order of their numbers."""
+        for _, _, (a, b), (n_a, n_b), same in self.tokeniser.lots(parts):
+            a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
+            n_a, n_b = n_a * same, n_b * same
+            codes, ends = self.codes(a, b) if len(a) else (np.zeros(0, np.int64),) * 2
+            last = np.searchsorted(ends, np.cumsum(n_a), side="right")
+            self.n_owned = np.r_[self.n_owned, np.diff(last, prepend=0)]
+            self.owned_from = np.r_[self.owned_from, len(self.owned) + np.r_[0, last[:-1]]]
+            self.owned = np.r_[self.owned, codes]
+            self.n_tokens = [np.r_[old, n] for old, n in zip(self.n_tokens, (n_a, n_b), strict=True)]
+            self.whole = np.r_[self.whole, same]
+            own, at = [self.groups[c] for c in codes.tolist()], [0, *last.tolist()]
+            self.text += [";".join(own[p:q]) for p, q in zip(at[:-1], at[1:], strict=True)]
 
     def codes(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The windows of some texts one after the other: their numbers, and the token of the first side that each ends before.
@@ -203,31 +242,37 @@ class Windows:
         self.start = np.r_[self.start, len(self.links) + np.cumsum(n_links) - n_links]
         self.links = np.r_[self.links, numbered[number]]
         self.n_links, self.n_groups = np.r_[self.n_links, n_links], np.r_[self.n_groups, n_groups]
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        to_a, to_b = [0, *(shared + 1).tolist()], [0, *(at[shared] + 1).tolist()]
-        groups = [
-            f"{','.join(text_a[p:q])}|{','.join(text_b[r:t])}"
-            for p, q, r, t in zip(to_a[:-1], to_a[1:], to_b[:-1], to_b[1:], strict=True)
-        ]
-        ends_at = [0, *np.cumsum(n_groups).tolist()]
-        self.groups += [";".join(groups[p:q]) for p, q in zip(ends_at[:-1], ends_at[1:], strict=True)]
+        # the ids in the order in which they are written, each as a place in the table of names
+        to_a, to_b = np.r_[0, shared + 1], np.r_[0, at[shared] + 1]
+        size_a, size_b = np.diff(to_a), np.diff(to_b)
+        mixed = np.empty(len(a) + len(b), np.int64)
+        place_a = np.arange(len(a)) + np.repeat(to_b[:-1], size_a)
+        place_b = np.arange(len(b)) + np.repeat(to_a[1:], size_b)
+        mixed[place_a], mixed[place_b] = 2 * a, 2 * (b + len(self.one.pieces))
+        mixed[place_a[shared]] += 1
+        mixed[place_b[at[shared]]] += 1
+        names = [self.names[n] for n in mixed.tolist()]
+        ends_at = [0, *(last_a + last_b).tolist()]
+        self.groups += ["".join(names[p:q])[:-1] for p, q in zip(ends_at[:-1], ends_at[1:], strict=True)]
 
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """For each text: n_a, n_b, n_groups, n_links, the digest of its groups, its pairs and how often it has each."""
-        ids = self.tokeniser.encode(texts)
-        a, b = (np.concatenate([pair[side] for pair in ids]) for side in (0, 1))
-        codes, ends = self.codes(a, b) if len(a) else (np.zeros(0, np.int64),) * 2
-        last = np.searchsorted(ends, np.cumsum([len(x) for x, _ in ids]), side="right").tolist()
-        for (x, y), first, to in zip(ids, [0, *last[:-1]], last, strict=True):
-            if not len(x):
+        before = len(self.part)
+        numbers = []
+        for text in texts:
+            own = self.tokeniser.parts(text)
+            numbers.append(np.fromiter(map(self.part.__getitem__, own), np.int64, len(own)))
+        self.learn(list(islice(self.part, before, None)))
+        for own in numbers:
+            if not len(own) or not self.whole[own].all():
                 yield 0, 0, 0, 0, "", b"", b""
                 continue
-            own = codes[first:to]
-            links = self.links[_ranges(self.start[own], self.n_links[own])]
+            windows = self.owned[_ranges(self.owned_from[own], self.n_owned[own])]
+            links = self.links[_ranges(self.start[windows], self.n_links[windows])]
             pairs, times = np.unique(links, return_counts=True)
-            digest = hashlib.sha256(";".join([self.groups[c] for c in own.tolist()]).encode()).hexdigest()
+            digest = hashlib.sha256(";".join([self.text[n] for n in own.tolist()]).encode()).hexdigest()
             yield (
-                len(x), len(y), int(self.n_groups[own].sum()), len(links), digest,
+                *(int(n[own].sum()) for n in self.n_tokens), int(self.n_groups[windows].sum()), len(links), digest,
                 np.diff(pairs, prepend=0).astype("<u4").tobytes(), times.astype("<u4").tobytes(),
             )
 
