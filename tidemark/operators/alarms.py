@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,6 +76,14 @@ def _statistic() -> Column:
     )
 
 
+def _breach(value: Column) -> Column:
+    return (
+        F.when(value.isNull(), F.col("missing") == "breaching")
+        .when(F.col("comparison") == "<", value < F.col("threshold"))
+        .otherwise(value > F.col("threshold"))
+    )
+
+
 def _aggregates() -> list[Column]:
     return [
         F.sum("value").alias("total"),
@@ -116,18 +125,13 @@ def evaluate_alarms(
         .where(F.col("slot") * F.col("period") < length)
     )
     value = _statistic()
-    breach = (
-        F.when(value.isNull(), F.col("missing") == "breaching")
-        .when(F.col("comparison") == "<", value < F.col("threshold"))
-        .otherwise(value > F.col("threshold"))
-    )
     periods = spine.join(seen, [*_KEYS, "slot"], "left").select(
         *_KEYS,
         "slot",
         "period",
         "evaluation_periods",
         value.alias("value"),
-        breach.alias("breaching"),
+        _breach(value).alias("breaching"),
     )
     # Length of the run of breaching periods that ends here: periods since the last one that was fine.
     order = Window.partitionBy(*_KEYS).orderBy("slot")
@@ -144,6 +148,58 @@ def evaluate_alarms(
     )
 
 
+def stream_alarms(
+    samples: DataFrame, ticks: DataFrame, specs: Iterable[AlarmSpec], start: dt.datetime, delay: str = "10 minutes"
+) -> DataFrame:
+    """The rows of `evaluate_alarms` from `start` on, as a stream: each once, when its period is closed.
+
+    `ticks` (ts) is a clock of at least one tick in each period, such as a rate source. Ticks reach every alarm and are no
+    samples, so a period without samples is still judged and the missing-data rule applies to it. A period closes when the
+    newest tick or sample is `delay` past its end; samples that come later are dropped. Consecutive periods are counted in
+    windows that slide by one period. State is one row for each open period or window of an alarm, however many samples.
+    Alarms that share period and number of periods share their state; both inputs are read once for each such group.
+    """
+    spark = samples.sparkSession
+    moments = F.col("ts").cast("timestamp").alias("ts")
+    of_spec = [*_KEYS, "statistic", "comparison", "threshold", "missing"]
+    groups: dict[tuple[int, int], list[AlarmSpec]] = {}
+    for spec in specs:
+        groups.setdefault((spec.period, spec.evaluation_periods), []).append(spec)
+    results = []
+    for (period, needed), own in groups.items():
+        rules = F.broadcast(constant_rows(spark, [astuple(s) for s in own], _SPEC_SCHEMA))
+        arrived = samples.select("metric", "subject", moments, "value").join(rules, ["metric", "subject"])
+        clock = ticks.select(moments, F.inline(F.array(*[_literal(s) for s in own]))).withColumn("value", F.lit(None).cast("double"))
+        both = arrived.withColumn("arrived", F.lit(1)).unionByName(clock.withColumn("arrived", F.lit(0)))
+        timed = both.where(F.col("ts") >= moment(start).cast("timestamp")).withWatermark("ts", delay)
+        length, first = f"{period} seconds", f"{_epoch(start) % period} seconds"
+        sums = timed.groupBy(F.window("ts", length, startTime=first), *of_spec).agg(
+            *_aggregates(), F.max("arrived").alias("arrived")
+        )
+        value = F.when(F.col("arrived") == 1, _statistic())
+        judged = sums.select("window", *_KEYS, value.alias("value"), *of_spec[len(_KEYS) :])
+        judged = judged.withColumn("breaching", _breach(F.col("value")))
+        # The newest period of a window, and how many of its periods breach.
+        at = F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "value", "breaching")
+        run = F.window(F.window_time("window"), f"{period * needed} seconds", length, first)
+        runs = judged.groupBy(run.alias("run"), *_KEYS).agg(F.max(at).alias("at"), F.count_if("breaching").alias("n"))
+        results.append(
+            runs.where("at.end = run.end").select(
+                *_KEYS,
+                F.col("at.start").cast("timestamp_ntz").alias("period_start"),
+                "at.value",
+                "at.breaching",
+                F.when(F.col("n") >= needed, "ALARM").otherwise("OK").alias("state"),
+            )
+        )
+    return reduce(DataFrame.unionByName, results)
+
+
+def rate_ticks(spark: SparkSession, per_second: int = 1) -> DataFrame:
+    """A clock that ticks in real time."""
+    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load().select(F.col("timestamp").alias("ts"))
+
+
 def metric_series(metrics: DataFrame, period: str = "5 minutes") -> DataFrame:
     """All statistics of each metric and subject per period. Works on batches and streams."""
     return (

@@ -947,6 +947,7 @@ _BODIES["load_test"] = """
                unnest([total, 0, 0, total - deleted, 0, updated, 0, 0, total, updated, deleted,
                        total + updated + deleted]) as value
         from sizes)"""
+_BODIES["alarm_stream"] = _BODIES["alarm_eval"]
 _BODIES["upsert_newer"] = _BODIES["extracted_state"]
 _BODIES["merge_stream"] = _BODIES["merge_changes"]
 _BODIES["merge_stream_buckets"] = _BODIES["merge_stream_guarded"]

@@ -718,6 +718,29 @@ def alarm_eval(spark, sf_dir):
     return states_.withColumn("value", F.round("value", 4))
 
 
+@query
+def alarm_stream(spark, sf_dir):
+    """The alarms over a stream: three drains of ten days each, with a clock; some samples arrive a drain late."""
+    root, names = fresh_dir(spark, "alarms"), ("samples", "ticks")
+    specs = (*alarms.default_specs(), *alarms.default_specs("replica"))
+    ts, hour = F.col("ts"), dt.timedelta(hours=1)
+    samples = sample.metric_samples(spark, sf_dir).where((ts >= fn.moment(MONTH_START)) & (ts < fn.moment(MONTH_END)))
+    # up to an hour after the last period, by when all periods are closed
+    n_ticks = int((MONTH_END + hour - MONTH_START).total_seconds()) // 300 + 1
+    ticks = spark.range(n_ticks).select((fn.moment(MONTH_START) + F.col("id") * F.expr("interval '300' second")).alias("ts"))
+    late = F.when(F.second(ts) % 7 == 0, ts + F.expr("interval '30' minute")).otherwise(ts)
+    for day in (0, 10, 20):
+        low = MONTH_START + dt.timedelta(days=day)
+        high = MONTH_END + 2 * hour if day == 20 else low + dt.timedelta(days=10)
+        for name, rows, arrival in zip(names, (samples, ticks), (late, ts), strict=True):
+            due = (arrival >= fn.moment(low)) & (arrival < fn.moment(high))
+            rows.where(due).write.mode("append").parquet(f"{root}/{name}")
+        streams = [drains.change_stream(spark, f"{root}/{name}", rows.schema) for name, rows in zip(names, (samples, ticks), strict=True)]
+        states_ = alarms.stream_alarms(*streams, specs, MONTH_START, "1 hour")
+        drains.consume(states_, f"{root}/states", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/states").withColumn("value", F.round("value", 4))
+
+
 @query
 def metric_series(spark, sf_dir):
     rows = alarms.metric_series(sample.metric_samples(spark, sf_dir))
