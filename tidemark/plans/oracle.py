@@ -469,7 +469,9 @@ def _by_kind(kind: str) -> str:
 
 
 _STAMPED = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
-_UNSTAMPED = ("customer", "part")
+_UNSTAMPED = tuple(
+    "region nation customer supplier part documents embeddings pages benchmark labels conversations".split()
+)
 _USERS = "user_id, event_id, event_type, value, ts"
 _SERIES = (
     "select checked_at as time, subject as metric, value from check_results where check_name = '{}' "
@@ -561,9 +563,8 @@ _BODIES: dict[str, str] = {
             "labels conversations"
         ).split()
     ),
-    "schema_preflight": """
-        select 'customer' as table_name, count(*) as row_count from customer
-        union all select 'part', count(*) from part union all select 'supplier_contract', null""",
+    "schema_preflight": "".join(f"select '{t}' as table_name, count(*) as row_count from {t} union all " for t in _UNSTAMPED)
+    + "select 'supplier_contract', null",
     "schema_columns_by_table": " union all ".join(
         f"select '{t}' as table_name, {flag} as has_updated_at, count(*) as row_count from {t}"
         for t, flag in [(t, "true") for t, _ in _STAMPED] + [(t, "false") for t in _UNSTAMPED]

@@ -399,14 +399,15 @@ def multi_table_counts(spark, sf_dir):
     return extract.table_counts({name: sample.read_table(spark, sf_dir, name) for name in _ALL_TABLES})
 
 
+# The column of a source table that tells when a row changed; the other tables have none.
+_STAMPS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+
+
 def _stamped_tables(spark, sf_dir):
-    read = lambda name: sample.read_table(spark, sf_dir, name)
+    """All source tables, change stamps under one name."""
+    renamed = {name: {column: "updated_at"} for name, column in _STAMPS.items()}
     return {
-        "orders": read("orders").withColumnRenamed("o_orderdate", "updated_at"),
-        "lineitem": read("lineitem").withColumnRenamed("l_shipdate", "updated_at"),
-        "events": read("events").withColumnRenamed("ts", "updated_at"),
-        "customer": read("customer"),
-        "part": read("part"),
+        name: sample.read_table(spark, sf_dir, name).withColumnsRenamed(renamed.get(name, {})) for name in _ALL_TABLES
     }
 
 
