@@ -823,7 +823,12 @@ _BODIES: dict[str, str] = {
     "reconcile_report": "select * from user_assertions",
     "reconcile_status": """
         select count(*) as assertions, count(*) filter (where not passed) as failed,
-               case when bool_and(passed) then 'PASSED' else 'FAILED' end as status from user_assertions""",
+               case when bool_and(passed) then 'PASSED' else 'FAILED' end as status, 'user_events' as load from user_assertions
+        union all
+        select 10, (n <> customers)::int + (n - kept <> customers - survivors)::int + 4 * (kept <> survivors)::int
+                   + (lost <> 0)::int,
+               case when n = customers and kept = survivors and lost = 0 then 'PASSED' else 'FAILED' end, load
+        from customer_loads""",
     "load_throughput": """
         select event_type, round(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6), 9) as events_per_second
         from events group by 1""",
@@ -835,11 +840,14 @@ _BODIES: dict[str, str] = {
                    (select count(*) from events where event_type = 'error') as source_deleted,
                    (select count(*) from log_user_event where __op = 'd') as landed
             from user_snapshot s)
-        select 'insert' as phase, total_records = users and distinct_ids = users and missing_count = 0
+        select 'user_events' as load, 'insert' as phase, total_records = users and distinct_ids = users and missing_count = 0
                and duplicate_primary_keys = 0 as complete from facts
-        union all select 'mixed', total_records = users and distinct_ids = users and duplicate_primary_keys = 0
+        union all select 'user_events', 'mixed', total_records = users and distinct_ids = users and duplicate_primary_keys = 0
                and updated_records = clicked and deleted_records_remaining = 0 and missing_surviving_count = 0 from facts
-        union all select 'cleanup', total_records = 0 and landed >= source_deleted from facts""",
+        union all select 'user_events', 'cleanup', total_records = 0 and landed >= source_deleted from facts
+        union all select load, 'insert', n = customers and n = last - first + 1 from customer_loads
+        union all select load, 'mixed', kept = survivors and lost = 0 from customer_loads
+        union all select load, 'cleanup', n >= customers from customer_loads""",
     "ordered_distinct": "select user_id, min(event_id) as first_position from events group by 1",
     # --- scalar functions ---
     "normalize_strings": """
@@ -971,6 +979,16 @@ CTES["user_snapshot"] = """
            any_value(b) - any_value(a) + 1 - count(distinct user_id) as missing_count,
            any_value(gone) - any_value(a) - count(distinct user_id) filter (where user_id < gone) as missing_surviving_count
     from user_bounds left join user_state on true"""
+# Each customer is one insert and one delete; survivors are those below the upper third of the key range.
+CTES["customer_loads"] = """
+    select load, first, last, count(*) filter (where landed) as n,
+           count(*) filter (where landed and c_custkey < gone) as kept, count(*) as customers,
+           count(*) filter (where c_custkey < gone) as survivors,
+           gone - first - count(*) filter (where landed and c_custkey < gone) as lost
+    from (select load, c_custkey, first, last, last - (last - first + 1) // 3 + 1 as gone, load = 'whole' or c_custkey % 10 <> 0 as landed
+          from customer, (select min(c_custkey) as first, max(c_custkey) as last from customer),
+               (values ('whole'), ('cut')) as loads(load))
+    group by load, first, last, gone"""
 CTES["user_assertions"] = """
     select name, actual, expected, coalesce(actual = expected, false) as passed from (
         select 'duplicate_primary_keys' as name, duplicate_primary_keys as actual, 0::bigint as expected from user_snapshot

@@ -1096,9 +1096,64 @@ def reconcile_report(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
+_PHASES = ("insert", "mixed", "cleanup")
+
+
+def _customer_load(spark, sf_dir):
+    """A load over all customers as a change log, and its key range with the first id of the upper third.
+
+    All are inserted; then the upper third is deleted and the rest updated; then the rest is deleted. The log says which
+    phase an event belongs to.
+    """
+    ids = sample.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    first, last = reconcile.key_range(ids, "id")
+    gone = last - (last - first + 1) // 3 + 1
+    kept = F.col("id") < gone
+    ops = F.array(F.lit("c"), F.when(kept, "u").otherwise("d"), F.when(kept, "d"))
+    changes = ids.select("id", F.posexplode(ops).alias("phase", "__op")).where("__op is not null")
+    lsn = F.col("phase") * F.lit(last - first + 1) + F.col("id")
+    log = changes.select(
+        "*",
+        lsn.alias("__lsn"),
+        lsn.alias("__source_ts_ms"),
+        F.when(F.col("__op") == "d", "true").otherwise("false").alias("__deleted"),
+        fn.moment(MONTH_START).alias(ARRIVAL),
+    )
+    return log, first, last, gone
+
+
+def _landed_loads(log):
+    """The load landed whole, and cut short: no event of every tenth id has landed."""
+    return {"whole": log, "cut": log.where(F.col("id") % 10 != 0)}
+
+
+def _load_snapshot(landed, phase: int, first: int, last: int, gone: int):
+    state = current_rows(landed.where(F.col("phase") <= phase), ["id"])
+    return reconcile.reconcile_snapshot(state, "id", first, last, F.col("__op") == "u", gone, last)
+
+
 @query
 def reconcile_status(spark, sf_dir):
-    return reconcile.report_status(_report(spark, sf_dir))
+    """The user events, which no load has left complete, and a load after its second phase, landed whole and cut short."""
+    reports = {"user_events": _report(spark, sf_dir)}
+    log, first, last, gone = _customer_load(spark, sf_dir)
+    source = sample.read_table(spark, sf_dir, "customer")
+    kept = F.count_if(F.col("c_custkey") < gone)
+    wanted = source.agg(
+        F.count("*").alias("landing_c"),
+        (F.count("*") - kept).alias("landing_d"),
+        *[kept.alias(name) for name in ("landing_u", "total_records", "distinct_ids", "updated_records")],
+    )
+    fixed = {name: 0 for name in ("duplicate_primary_keys", "deleted_records_remaining", "missing_surviving_count", "landing_r")}
+    expected = reconcile.observations(wanted).withColumnRenamed("actual", "expected")
+    expected = expected.unionByName(reconcile.expectations(spark, fixed))
+    for name, landed in _landed_loads(log.where("phase < 2")).items():
+        counts = reconcile.op_counts(landed).select(
+            F.concat(F.lit("landing_"), "operation").alias("name"), F.col("event_count").alias("actual")
+        )
+        seen = reconcile.observations(_load_snapshot(landed, 1, first, last, gone))
+        reports[name] = reconcile.assertions(seen.unionByName(counts), expected)
+    return _union([reconcile.report_status(report).withColumn("load", F.lit(name)) for name, report in reports.items()])
 
 
 @query
@@ -1110,23 +1165,41 @@ def load_throughput(spark, sf_dir):
     )
 
 
+def _phases(facts, expected, survivors, updated, source_deleted):
+    done = (
+        reconcile.insert_complete(expected),
+        reconcile.mixed_complete(survivors, updated),
+        reconcile.cleanup_complete(source_deleted, F.col("deletes_landed")),
+    )
+    rows = [F.struct(F.lit(name).alias("phase"), c.alias("complete")) for name, c in zip(_PHASES, done, strict=True)]
+    return facts.select(F.inline(F.array(*rows)))
+
+
 @query
 def convergence(spark, sf_dir):
-    """Phases of a load against what the source says: users, their last clicks, and deletes landed."""
+    """Phases of a load against what the source says: the user events, and a load over customers, whole and cut short."""
     kind = F.col("event_type")
     source = sample.read_table(spark, sf_dir, "events")
     wanted = source.agg(F.countDistinct("user_id").alias("users"), F.count_if(kind == "error").alias("source_deleted"))
-    last = source.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("kind"))
-    clicked = last.agg(F.count_if(F.col("kind") == "click").alias("clicked"))
-    landed = sample.user_event_log(spark, sf_dir).agg(F.count_if(F.col("__op") == "d").alias("deletes_landed"))
-    phases = {
-        "insert": reconcile.insert_complete(F.col("users")),
-        "mixed": reconcile.mixed_complete(F.col("users"), F.col("clicked")),
-        "cleanup": reconcile.cleanup_complete(F.col("source_deleted"), F.col("deletes_landed")),
-    }
-    rows = [F.struct(F.lit(name).alias("phase"), done.alias("complete")) for name, done in phases.items()]
+    last_kind = source.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("kind"))
+    clicked = last_kind.agg(F.count_if(F.col("kind") == "click").alias("clicked"))
+    deletes = F.count_if(F.col("__op") == "d").alias("deletes_landed")
+    landed = sample.user_event_log(spark, sf_dir).agg(deletes)
     facts = reconcile.side_by_side([_snapshot(spark, sf_dir), wanted, clicked, landed])
-    return facts.select(F.inline(F.array(*rows)))
+    users = F.col("users")
+    found = {"user_events": _phases(facts, users, users, F.col("clicked"), F.col("source_deleted"))}
+
+    log, first, last, gone = _customer_load(spark, sf_dir)
+    customers = sample.read_table(spark, sf_dir, "customer")
+    wanted = customers.agg(F.count("*").alias("n"), F.count_if(F.col("c_custkey") < gone).alias("kept"))
+    for name, landed in _landed_loads(log).items():
+        for number, phase in enumerate(_PHASES):
+            snapshot = _load_snapshot(landed, number, first, last, gone)
+            facts = reconcile.side_by_side([snapshot, wanted, landed.where(F.col("phase") <= number).agg(deletes)])
+            judged = _phases(facts, F.col("n"), F.col("kept"), F.col("kept"), F.col("n"))
+            found[name, phase] = judged.where(F.col("phase") == phase)
+    loads = [rows.withColumn("load", F.lit(key if isinstance(key, str) else key[0])) for key, rows in found.items()]
+    return _union(loads)
 
 
 @query
