@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +18,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import saved, utf8
 
 
+def _lowered(text: Column) -> Column:
+    """A-Z in lower case. lower() would change other letters too, but is faster where there are none."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    )
+
+
 def word_list(text: Column) -> Column:
     """The words of a text, A-Z in lower case; null has none."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    lowered = _lowered(F.coalesce(text, F.lit("")))
     return F.filter(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
 
 
@@ -49,17 +57,10 @@ def _kept(grams: Column, window: int) -> Column:
     """For every window of grams, the place of its least hash; of equal ones the last."""
 
     def place(j: Column) -> Column:
-        if window == 1:
-            return j
-        within = [F.get(grams, j + n) for n in range(window)]
-
-        def last_least(least: Column) -> Column:
-            found = F.when(within[-1] == least, j + (window - 1))
-            for n in range(window - 2, -1, -1):
-                found = found.when(within[n] == least, j + n)
-            return found
-
-        return _let(F.least(*within), last_least)
+        return _let(
+            F.slice(grams, j + 1, window),
+            lambda g: j + F.lit(window) - F.array_position(F.reverse(g), F.array_min(g)).cast("int"),
+        )
 
     return _positions(0, F.size(grams) - window, place, "int")
 
@@ -70,16 +71,52 @@ def _shape(length: int, gram: int) -> tuple[int, int]:
     return gram, length - gram + 1
 
 
-def winnowed(words: Column, length: int, gram: int) -> Column:
-    """array<struct<length, hash, at>>: the fingerprints of a text for spans of `length` words, each place once."""
-    gram, window = _shape(length, gram)
-    return _let(
-        _grams(words, gram),
-        lambda g: F.transform(
-            F.array_distinct(_kept(g, window)),
-            lambda p: F.struct(F.lit(length).alias("length"), F.get(g, p).alias("hash"), p.alias("at")),
-        ),
-    )
+def winnowed(docs: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """(doc_id, key, n_words, length, hash, at): the fingerprints of each row of `docs` (doc_id, key, text), each place once.
+
+    For every span of `length` words at least one. Besides, each row of `docs` has one row with length 0 and no place.
+
+    Texts become arrays of gram hashes; windows are rows over them, made and dropped within one stage. A window keeps
+    another place than the one before it if its last hash is the least, or if the hash that left was.
+    """
+    kinds = sorted({_shape(n, gram)[0] for n in lengths})
+    hashed = docs.select(
+        "doc_id", "key",
+        _let(
+            word_list(F.col("text")),
+            lambda w: F.struct(
+                F.size(w).cast("long").alias("n_words"), *[_grams(w, k).alias(f"grams{k}") for k in kinds]
+            ),
+        ).alias("own"),
+    )
+    starts = F.explode(F.sequence(F.lit(0), F.col("own.n_words").cast("int"))).alias("j")
+    rows = hashed.select(
+        "doc_id", "key", F.col("own.n_words").alias("n_words"), *[F.col(f"own.grams{k}").alias(f"grams{k}") for k in kinds],
+        starts,
+    )
+    j = F.col("j")
+    is_new, prints = [j == 0], [F.when(j == 0, _print(0, F.xxhash64("doc_id"), F.lit(None).cast("int")))]
+    for length in sorted(lengths):
+        k, window = _shape(length, gram)
+        hashes = F.col(f"grams{k}")
+        last = F.get(hashes, j + (window - 1))
+        new = last.isNotNull()
+        if window > 1:
+            rest = [F.get(hashes, j + n) for n in range(window - 1)]
+            rest = F.least(*rest) if len(rest) > 1 else rest[0]
+            new = new & ((j == 0) | (last <= rest) | (F.get(hashes, j - 1) < rest))
+        # short expressions: Java compiles no method of more than 8,000 bytes, and all of this becomes one
+        within = F.slice(hashes, j + 1, window)
+        place = j + F.lit(window) - F.array_position(F.reverse(within), F.array_min(within)).cast("int")
+        is_new.append(new)
+        prints.append(F.when(new, _print(length, F.array_min(within), place)))
+    # a window that keeps nothing new goes before its row is copied, arrays and all
+    kept = rows.where(reduce(lambda x, y: x | y, is_new))
+    return kept.select("doc_id", "key", "n_words", F.inline(F.array(*prints))).where("length is not null")
+
+
+def _print(length: int, value: Column, at: Column) -> Column:
+    return F.struct(F.lit(length).alias("length"), value.alias("hash"), at.alias("at"))
 
 
 def _item_windows(items: DataFrame, length: int, gram: int, most: int) -> DataFrame:
@@ -139,21 +176,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, length: int = 10, gram:
     # at most `length` numbers
     lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(length))).distinct().collect()]
     digest = F.unhex(F.sha2(utf8(), 256))
-    counted = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), digest.alias("key"),
-        F.size(word_list(F.col("text"))).cast("long").alias("n_words"),
-    )
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("key"), "text")
     none = {
         "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"),
     }
     if not lengths:
-        found = counted.withColumns(none)
+        found = own.select("doc_id", F.size(word_list(F.col("text"))).cast("long").alias("n_words")).withColumns(none)
     else:
         windows = saved(_all_windows(items, lengths, gram, length), "windows")
-        hits = saved(_hits(docs, digest, windows, lengths, gram), "hits")
+        # texts are cut into words once: a row of length 0 for each of them, with its words, and the hits
+        met = saved(_met(own, windows, lengths, gram), "met")
+        counted = met.where("length = 0").select("doc_id", "key", "n_words")
+        hits = saved(_hits(met), "hits")
         known = windows.groupBy("length", "words").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
         # written before it is joined on: a text that very many rows have is then split over tasks
-        spans = saved(_spans(docs, digest, hits), "spans").join(saved(known, "known"), ["length", "words"])
+        spans = saved(_spans(own, hits), "spans").join(saved(known, "known"), ["length", "words"])
         extended = spans.select("key", "length", "start", "items").distinct()
         span = F.struct(F.col("start").cast("long").alias("start"), (F.col("start") + F.col("length")).cast("long").alias("end"))
         by_text = extended.groupBy("key").agg(
@@ -178,23 +215,25 @@ def _all_windows(items: DataFrame, lengths: list[int], gram: int, most: int) ->
     return windows.distinct()
 
 
-def _hits(docs: DataFrame, digest: Column, windows: DataFrame, lengths: list[int], gram: int) -> DataFrame:
-    """(key, starts): where, by their fingerprints, windows of the benchmark may start in a text."""
+def _met(own: DataFrame, windows: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """The rows of `winnowed` that the benchmark has too, with the offsets of its windows, and those of length 0."""
     wanted = saved(windows.groupBy("length", "hash").agg(F.collect_set("offset").alias("offsets")), "fingerprints")
-    prints = _let(
-        word_list(F.col("text")), lambda w: F.concat(*[winnowed(w, n, gram) for n in sorted(lengths)])
+    met = winnowed(own, lengths, gram).join(wanted, ["length", "hash"], "left")
+    return met.where("length = 0 or offsets is not null").select("doc_id", "key", "n_words", "length", "at", "offsets")
+
+
+def _hits(met: DataFrame) -> DataFrame:
+    """(key, starts): where, by their fingerprints, windows of the benchmark may start in a text."""
+    starts = met.where("length > 0").select(
+        "key", "length", F.explode(F.transform("offsets", lambda o: F.col("at") - o)).alias("start")
     )
-    # digests first: what stands beside explode() is computed for every exploded row
-    own = docs.select(digest.alias("key"), prints.alias("prints")).select("key", F.inline("prints"))
-    shared = own.join(wanted, ["length", "hash"])
-    starts = shared.select("key", "length", F.explode(F.transform("offsets", lambda o: F.col("at") - o)).alias("start"))
     starts = starts.where("start >= 0").distinct()
     return starts.groupBy("key").agg(F.collect_list(F.struct("length", "start")).alias("starts"))
 
 
-def _spans(docs: DataFrame, digest: Column, hits: DataFrame) -> DataFrame:
+def _spans(own: DataFrame, hits: DataFrame) -> DataFrame:
     """(key, length, start, words): the words of the texts from the starts on."""
-    texts = docs.select(digest.alias("key"), "text").join(hits.hint("merge"), "key")
+    texts = own.select("key", "text").join(hits.hint("merge"), "key")
 
     def spelled(own: Column) -> Column:
         return F.transform(
