@@ -8,6 +8,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    TimestampNTZType,
+)
 
 from tidemark.plans.marts import SETTLED
 from tidemark.sources.registry import TABLES, TableSpec
@@ -225,65 +234,114 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _row(check: Check, failures: Column) -> list[Column]:
-    status = F.when(failures == 0, "pass").otherwise("warn" if check.severity == "warn" else "fail")
-    return [
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        failures.cast("bigint").alias("failures"),
-        F.lit(check.severity).alias("severity"),
-        status.alias("status"),
-    ]
+# Types whose text is equal exactly if the values are. Text of a double or of a zoned timestamp is not.
+_PLAIN = (StringType, DateType, BooleanType, DecimalType, TimestampNTZType)
 
 
-def _not_null(model: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not-null checks of a model in one pass over its columns."""
-    counts = model.agg(*[F.count_if(F.col(c.column).isNull()).alias(c.column) for c in checks])
-    return counts.select(F.inline(F.array(*[F.struct(*_row(c, F.col(c.column))) for c in checks])))
+def _as_text(column: Column, kind: DataType) -> Column | None:
+    """A value as text that stands for it, or None if the type has no such text."""
+    if isinstance(kind, IntegralType):
+        return column.cast("bigint").cast("string")
+    return column.cast("string") if isinstance(kind, _PLAIN) else None
 
 
-def _unique(model: DataFrame, check: Check) -> DataFrame:
-    """Number of values that occur more than once; nulls do not count."""
-    repeated = model.where(F.col(check.column).isNotNull()).groupBy(check.column).count().where("count > 1")
-    return repeated.agg(F.count("*").alias("n")).select(*_row(check, F.col("n")))
+def _comparable(one: DataType, other: DataType) -> bool:
+    return one == other or (isinstance(one, IntegralType) and isinstance(other, IntegralType))
 
 
-def _accepted(model: DataFrame, check: Check) -> DataFrame:
-    """Number of values outside the list; nulls do not count."""
+def _fault(check: Check, number: int, text: Column) -> Column:
+    """What a row tells a check: the value to be counted, and whether it counts at all."""
     value = F.col(check.column)
-    wrong = model.where(value.isNotNull() & ~value.isin(*check.values)).select(check.column).distinct()
-    return wrong.agg(F.count("*").alias("n")).select(*_row(check, F.col("n")))
+    counts = {
+        "not_null": lambda: value.isNull(),
+        "accepted_values": lambda: value.isNotNull() & ~value.isin(*check.values),
+    }.get(check.kind, lambda: value.isNotNull())()
+    target = F.lit(".".join(check.to) if check.to else None).cast("string")
+    return F.struct(
+        F.lit(number).alias("number"), target.alias("parent"), text.alias("value"), counts.alias("counts")
+    )
 
 
-def _related(model: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Number of child rows without a parent; null keys do not count.
+def _native(models: Callable[[str], DataFrame], check: Check) -> DataFrame:
+    """(values, rows, repeated) of one check, in the column's own type."""
+    value = F.col(check.column)
+    model = models(check.model)
+    rows = model.where(value.isNotNull())
+    if check.kind == "accepted_values":
+        rows = rows.where(~value.isin(*check.values))
+    counted = rows.groupBy(value.alias("k")).agg(F.count("*").alias("n"))
+    if check.kind == "relationships":
+        counted = counted.join(models(check.to[0]).select(F.col(check.to[1]).alias("k")), "k", "left_anti")
+    return counted.agg(*_totals())
+
+
+def _totals() -> list[Column]:
+    return [
+        F.count("*").alias("values"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+    ]
 
-    Child keys are counted before the join: a key held by very many rows is
-    one row in it, so the join has no hot key.
-    """
-    children = model.where(F.col(check.column).isNotNull()).groupBy(F.col(check.column).alias("k")).count()
-    parents = parent.select(F.col(check.to[1]).alias("k"))
-    orphans = children.join(parents, "k", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).select(*_row(check, F.col("n")))
+
+_MEASURES = ("values", "rows", "repeated")
+# what fails: rows that are null or have no parent, values that are repeated or not in the list
+_MEASURE = {"not_null": "rows", "relationships": "rows", "unique": "repeated", "accepted_values": "values"}
 
 
 def run_checks(models: Callable[[str], DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One report row per check: failures, severity, status pass/warn/fail."""
+    """One report row per check: failures, severity, status pass/warn/fail.
+
+    A not-null check counts rows, a relationship rows without a parent, a unique check values that occur more than once,
+    an accepted-values check distinct values outside the list; nulls count in the first only.
+
+    Each model is read once, however many checks it has: a row becomes the few (check, value) pairs that count, all
+    models' pairs are counted together, and one anti join against the keys of all parents, each read once, takes the
+    values that have a parent away. Values are counted before that join, so a key that very many rows hold is one row in
+    it. Checks on doubles and zoned timestamps, or between keys of different types, are counted one by one.
+    """
     checks = list(checks)
-    parts = []
-    for model in dict.fromkeys(c.model for c in checks):
-        group = [c for c in checks if c.model == model and c.kind == "not_null"]
-        if group:
-            parts.append(_not_null(models(model), group))
+    types = {name: {f.name: f.dataType for f in models(name).schema} for name in {c.model for c in checks}}
     for check in checks:
-        if check.kind == "unique":
-            parts.append(_unique(models(check.model), check))
-        elif check.kind == "accepted_values":
-            parts.append(_accepted(models(check.model), check))
-        elif check.kind == "relationships":
-            parts.append(_related(models(check.model), models(check.to[0]), check))
-    return _union(parts)
+        if check.to and check.to[0] not in types:
+            types[check.to[0]] = {f.name: f.dataType for f in models(check.to[0]).schema}
+    together: dict[str, list[Column]] = {}
+    parents: dict[tuple[str, str], None] = {}
+    alone: list[tuple[int, Check]] = []
+    for number, check in enumerate(checks):
+        kind = types[check.model][check.column]
+        text = _as_text(F.col(check.column), kind) if check.kind != "not_null" else F.lit(None).cast("string")
+        if text is None or (check.to and not _comparable(kind, types[check.to[0]][check.to[1]])):
+            alone.append((number, check))
+            continue
+        together.setdefault(check.model, []).append(_fault(check, number, text))
+        if check.to:
+            parents[check.to] = None
+    parts = []
+    if together:
+        faults = _union(models(m).select(F.inline(F.array(*pairs))).where("counts") for m, pairs in together.items())
+        counted = faults.groupBy("number", "parent", "value").agg(F.count("*").alias("n"))
+        if parents:
+            keys = _union(
+                models(name).select(
+                    F.lit(f"{name}.{key}").alias("parent"), _as_text(F.col(key), types[name][key]).alias("value")
+                )
+                for name, key in parents
+            )
+            counted = counted.join(keys, ["parent", "value"], "left_anti")
+        parts.append(counted.groupBy("number").agg(*_totals()))
+    parts += [_native(models, check).select(F.lit(number).alias("number"), *_MEASURES) for number, check in alone]
+    declared = [
+        F.struct(
+            F.lit(number).alias("number"), F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
+            F.lit(c.kind).alias("check_name"), F.lit(c.severity).alias("severity"), F.lit(_MEASURE[c.kind]).alias("measure"),
+        )
+        for number, c in enumerate(checks)
+    ]
+    spark = models(checks[0].model).sparkSession
+    report = spark.range(1).select(F.inline(F.array(*declared))).join(_union(parts), "number", "left")
+    measured = F.coalesce(*[F.when(F.col("measure") == m, F.col(m)) for m in _MEASURES], F.lit(0)).cast("bigint")
+    status = F.when(measured == 0, "pass").otherwise(F.when(F.col("severity") == "warn", "warn").otherwise("fail"))
+    return report.select("model", "column_name", "check_name", measured.alias("failures"), "severity", status.alias("status"))
 
 
 def ledger_entry_stats(entries: DataFrame) -> DataFrame:
