@@ -60,6 +60,64 @@ def test_failures_are_counted_as_declared(spark):
     }
 
 
+def test_values_without_a_text_of_their_own_are_counted_as_they_are(spark):
+    """Both zeros are one value, keys of different types are compared as before, and widths of integers do not matter."""
+    rows = [(0.0, 1, "1", True, 7), (-0.0, 2, "x", None, 7), (1.5, None, None, False, None)]
+    model = spark.createDataFrame(rows, "d double, small int, code string, flag boolean, k int")
+    parent = spark.createDataFrame([(1, "1"), (1, "1"), (7, None)], "k bigint, code string")
+    dated = spark.sql("select cast(1 as decimal(10,2)) as amount, timestamp'2026-03-01 00:00:00' as at from range(2)")
+    checks = [
+        quality.Check("m", "d", "unique"),
+        quality.Check("m", "small", "relationships", to=("parent", "k")),
+        quality.Check("m", "code", "relationships", "warn", to=("parent", "code")),
+        quality.Check("m", "flag", "accepted_values", values=(False,)),
+        quality.Check("m", "k", "unique"),
+        quality.Check("m", "d", "not_null"),
+        quality.Check("dated", "amount", "unique"),
+        quality.Check("dated", "at", "unique"),
+        quality.Check("dated", "amount", "relationships", to=("parent", "k")),
+    ]
+    frames = {"m": model, "parent": parent, "dated": dated}
+    got = [(r.failures, r.status) for r in quality.run_checks(frames.__getitem__, checks).collect()]
+    want = [1, 1, 1, 1, 1, 0, 1, 1, 0]
+    assert sorted(got) == sorted((n, "pass" if n == 0 else "warn" if i == 2 else "fail") for i, n in enumerate(want))
+
+
+def test_no_rows_no_failures(spark):
+    empty = spark.createDataFrame([], "id int, p int")
+    checks = [
+        quality.Check("m", "id", kind, values=(1,), to=("m", "id") if kind == "relationships" else None)
+        for kind in ("not_null", "unique", "accepted_values", "relationships")
+    ]
+    report = quality.run_checks({"m": empty}.__getitem__, checks).collect()
+    assert [(r.failures, r.status) for r in report] == [(0, "pass")] * 4
+
+
+def test_declared_checks_read_each_model_and_each_parent_key_once(spark, tmp_path):
+    """A scan for each model and each parent key, and one join for all relationships, though the parents are small."""
+    columns: dict = {}
+    for check in quality.DECLARED:
+        columns.setdefault(check.model, {})[check.column] = check
+        if check.to:
+            columns.setdefault(check.to[0], {}).setdefault(check.to[1], None)
+    frames = {}
+    for name, own in columns.items():
+        kinds = []
+        for column, check in own.items():
+            value = check.values[0] if check and check.values else None
+            kinds.append(f"cast(null as {'boolean' if isinstance(value, bool) else 'string'}) as {column}")
+        path = str(tmp_path / name)
+        spark.range(1).selectExpr(*kinds).write.parquet(path)
+        frames[name] = spark.read.parquet(path)
+    models = {c.model for c in quality.DECLARED}
+    parents = {c.to for c in quality.DECLARED if c.to}
+    report = quality.run_checks(frames.__getitem__, quality.DECLARED)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" parquet\n") == len(models) + len(parents)
+    assert plan.count("LeftAnti") == 1
+    assert len(report.collect()) == len(quality.DECLARED)
+
+
 def test_ledger_violations(spark, as_rows):
     legs = [
         (1, 10, "Debit", "5.00"), (1, 11, "Credit", "5.00"),

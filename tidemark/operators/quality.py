@@ -323,11 +323,13 @@ def run_checks(models: Callable[[str], DataFrame], checks: Iterable[Check]) -> D
         if parents:
             keys = _union(
                 models(name).select(
-                    F.lit(f"{name}.{key}").alias("parent"), _as_text(F.col(key), types[name][key]).alias("value")
+                    F.lit(f"{name}.{key}").alias("of"), _as_text(F.col(key), types[name][key]).alias("known")
                 )
                 for name, key in parents
             )
-            counted = counted.join(keys, ["parent", "value"], "left_anti")
+            # n is in the condition so that the join stays above the count: below, it would be one for each model
+            has_parent = (F.col("parent") == F.col("of")) & (F.col("value") == F.col("known")) & (F.col("n") > 0)
+            counted = counted.join(keys, has_parent, "left_anti")
         parts.append(counted.groupBy("number").agg(*_totals()))
     parts += [_native(models, check).select(F.lit(number).alias("number"), *_MEASURES) for number, check in alone]
     declared = [
