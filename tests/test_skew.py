@@ -95,3 +95,17 @@ def test_a_hot_key_sends_one_row_per_task(spark, skew_conf):
     assert newest.first().v == 89_999
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_replayed_headers_are_not_broadcast_by_a_wrong_estimate(spark, physical):
+    """Headers that a replay leaves look small to Spark; joined by shuffle they never pass through the driver."""
+    sales = marts.fact_sales(items(spark), invoices(spark))
+    assert "BroadcastHashJoin" not in final_plan(sales)
+    assert sales.count() == 90_000
+    lines = items(spark).selectExpr("item_id", "invoice_id as bill_id", "invoice_id", "product_id", "quantity")
+    bills = invoices(spark).selectExpr("invoice_id as bill_id", "invoice_date as bill_date")
+    assert "BroadcastHashJoin" not in final_plan(derive.derive_movements(lines, bills, lines, invoices(spark)))
+    moved = spark.range(0, 100, 1, 2).selectExpr(
+        "id as transaction_id", "if(id % 2 = 0, id - 1, null) as reverses_transaction_id", "id as amount", "'Posted' as status"
+    )
+    assert "BroadcastHashJoin" not in final_plan(marts.reversal_links(moved))

@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from tidemark.operators.joins import keyed_join
 from tidemark.plans.marts import SETTLED
 from tidemark.sources.registry import TABLES, TableSpec
 
@@ -271,7 +272,7 @@ def _native(models: Callable[[str], DataFrame], check: Check) -> DataFrame:
         rows = rows.where(~value.isin(*check.values))
     counted = rows.groupBy(value.alias("k")).agg(F.count("*").alias("n"))
     if check.kind == "relationships":
-        counted = counted.join(models(check.to[0]).select(F.col(check.to[1]).alias("k")), "k", "left_anti")
+        counted = keyed_join(counted, models(check.to[0]).select(F.col(check.to[1]).alias("k")), "k", "left_anti")
     return counted.agg(*_totals())
 
 
@@ -329,7 +330,7 @@ def run_checks(models: Callable[[str], DataFrame], checks: Iterable[Check]) -> D
             )
             # n is in the condition so that the join stays above the count: below, it would be one for each model
             has_parent = (F.col("parent") == F.col("of")) & (F.col("value") == F.col("known")) & (F.col("n") > 0)
-            counted = counted.join(keys, has_parent, "left_anti")
+            counted = counted.join(keys.hint("merge"), has_parent, "left_anti")
         parts.append(counted.groupBy("number").agg(*_totals()))
     parts += [_native(models, check).select(F.lit(number).alias("number"), *_MEASURES) for number, check in alone]
     declared = [
@@ -360,7 +361,7 @@ def ledger_entry_stats(entries: DataFrame) -> DataFrame:
 
 def ledger_balance_violations(transactions: DataFrame, entries: DataFrame) -> DataFrame:
     """Settled transactions without exactly one debit and one credit of their amount, and others with entries."""
-    joined = transactions.join(ledger_entry_stats(entries), "transaction_id", "left")
+    joined = keyed_join(transactions, ledger_entry_stats(entries), "transaction_id", "left")
     settled = F.col("status").isin(*SETTLED)
     has_entries = F.col("entry_count").isNotNull()
     wrong = (
@@ -390,7 +391,7 @@ def posted_without_entries(transactions: DataFrame, entries: DataFrame) -> DataF
     keys = entries.select("transaction_id").distinct().withColumn("entered", F.lit(True))
     settled = F.col("status").isin(*SETTLED)
     return (
-        transactions.join(keys, "transaction_id", "left")
+        keyed_join(transactions, keys, "transaction_id", "left")
         .where(settled != F.coalesce("entered", F.lit(False)))
         .select("transaction_id", "status")
     )
@@ -404,7 +405,7 @@ def negative_balances(entries: DataFrame, accounts: DataFrame) -> DataFrame:
     signed = F.when(F.col("direction") == "Credit", F.col("amount")).otherwise(-F.col("amount"))
     balances = entries.groupBy("account_id").agg(F.sum(signed).alias("balance")).where("balance < 0")
     others = accounts.where("account_type <> 'Clearing'").select("account_id", "account_type")
-    return balances.join(others, "account_id")
+    return keyed_join(balances, others, "account_id")
 
 
 def check_constraints(rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import date_key, signed_quantity
-from tidemark.operators.joins import hot_key_join
+from tidemark.operators.joins import hot_key_join, keyed_join
 
 # --- fixed values: bounds of the date dimension (the end is exclusive) and settled statuses ---
 SPINE_START = dt.date(2020, 1, 1)
@@ -34,14 +34,14 @@ def int_inventory_balance(stg_inventory_movement: DataFrame) -> DataFrame:
 
 def dim_product(stg_product: DataFrame, inventory_balance: DataFrame) -> DataFrame:
     """Products without movements keep a null balance."""
-    return stg_product.join(inventory_balance, "product_id", "left").select(
+    return keyed_join(stg_product, inventory_balance, "product_id", "left").select(
         "product_id", "name", "description", "unit_price", "balance_quantity"
     )
 
 
 def dim_account(stg_account: DataFrame, account_balance: DataFrame) -> DataFrame:
     """Accounts without entries have balance 0."""
-    joined = stg_account.join(account_balance, "account_id", "left")
+    joined = keyed_join(stg_account, account_balance, "account_id", "left")
     balance = F.coalesce("balance", F.lit(0).cast("decimal(12,2)"))
     return joined.select(*stg_account.columns, balance.alias("current_balance"))
 
@@ -155,7 +155,7 @@ def transaction_flags(stg_financial_transaction: DataFrame) -> DataFrame:
 
 def fct_transactions(stg_financial_transaction: DataFrame, stg_ledger_entry: DataFrame) -> DataFrame:
     legs = ledger_legs_pivot(stg_ledger_entry)
-    return transaction_flags(stg_financial_transaction).join(legs, "transaction_id", "left").select(
+    return keyed_join(transaction_flags(stg_financial_transaction), legs, "transaction_id", "left").select(
         "transaction_id",
         "transaction_type",
         "status",
@@ -189,7 +189,7 @@ def fct_receivables(stg_sales_invoice: DataFrame, stg_financial_transaction: Dat
         .otherwise(False)
     )
     return (
-        stg_sales_invoice.join(payments, "invoice_id", "left")
+        keyed_join(stg_sales_invoice, payments, "invoice_id", "left")
         .select(
             "invoice_id",
             "customer_id",
@@ -206,7 +206,7 @@ def fct_payables(stg_purchase_bill: DataFrame, stg_financial_transaction: DataFr
     payments = payments_posted(stg_financial_transaction, "Bill Payment", "bill_id", "paid")
     recorded = F.coalesce("recorded_paid_amount", F.lit(0).cast("decimal(10,2)"))
     return (
-        stg_purchase_bill.join(payments, "bill_id", "left")
+        keyed_join(stg_purchase_bill, payments, "bill_id", "left")
         .select(
             "bill_id",
             "supplier_id",
