@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import field, typed_columns
@@ -10,6 +11,7 @@ from tidemark.plans.staging import stage
 from tidemark.sources import landing
 from tidemark.sources.registry import ARRIVAL, TABLES
 from tidemark.streaming import drain as drains
+from tidemark.streaming.dated_landing import DatedLanding
 
 T0 = dt.datetime(2024, 9, 1)
 
@@ -152,3 +154,20 @@ def test_drain_reads_only_what_is_new(spark, tmp_path):
     landed = landing.read_landing(spark, target)
     assert landed.where(F.col("__table") == "customer").count() == 2
     assert landed.count() == 3 and ARRIVAL in landed.columns
+
+
+def test_events_are_routed_without_sorting_them_by_table(spark, tmp_path, monkeypatch):
+    """Tasks keep a file open for each folder; a sort would spill whole payloads once a task holds many events."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen = spark.conf.get(key), []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(
+        DataFrameWriter, "parquet", lambda self, path, *a, **b: (seen.append(int(spark.conf.get(key))), write(self, path, *a, **b))[1]
+    )
+    text = raw(spark, [customer(1), json.dumps({"product_id": 1, "__table": "product"})])
+    landing.write_landing(landing.parse_landing(text), str(tmp_path / "landing"))
+    DatedLanding(spark, str(tmp_path / "dated")).write(text, 0)
+    assert seen[0] > 0 and seen[1] > 0 and spark.conf.get(key) == before
+    assert sorted(r[0] for r in landing.read_landing(spark, str(tmp_path / "landing")).select("__table").collect()) == [
+        "customer", "product",
+    ]

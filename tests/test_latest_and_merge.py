@@ -9,13 +9,15 @@ from tidemark.operators import merge
 from tidemark.operators.latest import (
     advance_versions,
     current_rows,
+    current_typed,
     latest_per_key,
     live_rows,
     merge_source,
     replay_order,
     snapshot_plus_tail,
 )
-from tidemark.sources.registry import ARRIVAL
+from tidemark.sources import sample_tables as sample
+from tidemark.sources.registry import ARRIVAL, TABLES
 from tidemark.streaming import drain as drains
 from tidemark.streaming import state_log as states
 
@@ -243,3 +245,12 @@ def test_latest_per_key_limits_before_the_shuffle(spark, physical):
     newest = latest_per_key(log(spark, [(1, "a", "c", 1, 1, None)]), ["id"], replay_order())
     plan = physical(newest)
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_a_payload_is_taken_apart_once_and_its_table_dealt_by_size(spark, sf_dir, physical):
+    """One pass over the payload for ranking and columns; parts that adaptive execution sizes, not one for each core."""
+    plan = physical(current_typed(sample.landing_of(spark, sf_dir, "sales_invoice_item"), TABLES["sales_invoice_item"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "RoundRobinPartitioning" not in plan
+    passes = [line for line in plan.splitlines() if "try_variant_get(payload" in line and "StructField" in line]
+    ranked = [line for line in plan.splitlines() if "Filter" in line and "$.item_id" in line]
+    assert len(passes) == 1 and not ranked

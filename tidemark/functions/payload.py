@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import epoch_ms_to_timestamp
-from tidemark.sources.registry import TableSpec
+from tidemark.sources.registry import META_FIELDS, TableSpec
 
 
 def field(name: str, kind: str = "string", payload: str = "payload", strict: bool = True) -> Column:
@@ -27,6 +27,15 @@ def field(name: str, kind: str = "string", payload: str = "payload", strict: boo
     return get(source, path, {"key": "bigint"}.get(kind, kind))
 
 
+def event_row(spec: TableSpec) -> Column:
+    """All columns of a table and the event metadata in wire types, in one pass over the payload.
+
+    A value of the wrong type is null. Columns of one `select` that read from it share the pass.
+    """
+    fields = T.StructType([*spec.wire_schema.fields, *META_FIELDS])
+    return F.try_variant_get("payload", "$", fields.simpleString())
+
+
 def typed_columns(spec: TableSpec, strict: bool = True) -> list[Column]:
     """All columns of a table, decoded from the payload."""
     return [field(name, kind, strict=strict).alias(name) for name, kind in spec.columns.items()]
@@ -43,8 +52,9 @@ def meta_columns(strict: bool = True) -> list[Column]:
 
 
 def wire_row(spec: TableSpec) -> Column:
-    """All columns of a table in wire types, in one pass over the payload; a value of the wrong type is null."""
-    return F.try_variant_get("payload", "$", spec.wire_schema.simpleString())
+    """The columns of a table of the event row; null for a payload that is no object."""
+    row = event_row(spec)
+    return F.when(row.isNotNull(), F.struct(*[row.getField(f.name).alias(f.name) for f in spec.wire_schema.fields]))
 
 
 def malformed(spec: TableSpec, row: Column, decimals: bool = False) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.payload import field, from_wire, malformed, wire_row
+from tidemark.functions.payload import event_row, field, from_wire, malformed, wire_row
 from tidemark.functions.scalars import delete_flag
 from tidemark.operators.reconcile import side_by_side
 from tidemark.sources.landing import table_log
@@ -51,33 +51,36 @@ def _ranked_fields(spec: TableSpec) -> list[Column]:
     is a missing key, which would put all such events under one null.
     """
 
-    def read(name: str, kind: str) -> Column:
-        return field(name, kind, strict=False)
+    row = event_row(spec)
 
-    def unread(name: str, kind: str) -> Column:
-        return read(name, kind).isNull() & read(name, "string").isNotNull()
+    def unread(name: str) -> Column:
+        return row.getField(name).isNull() & field(name, strict=False).isNotNull()
 
     fault = (
-        F.when(read(spec.primary_key, "key").isNull(), "unreadable key")
-        .when(unread("__lsn", "bigint"), "unreadable __lsn")
-        .when(unread("__source_ts_ms", "bigint"), "unreadable __source_ts_ms")
+        F.when(row.getField(spec.primary_key).isNull(), "unreadable key")
+        .when(unread("__lsn"), "unreadable __lsn")
+        .when(unread("__source_ts_ms"), "unreadable __source_ts_ms")
     )
     return [
-        read(spec.primary_key, "key").alias("__key"),
-        read("__lsn", "bigint").alias("__lsn"),
-        read("__source_ts_ms", "bigint").alias("__source_ts_ms"),
-        read("__deleted", "string").alias("__deleted"),
+        row.getField(spec.primary_key).alias("__key"),
+        row.getField("__lsn").alias("__lsn"),
+        row.getField("__source_ts_ms").alias("__source_ts_ms"),
+        row.getField("__deleted").alias("__deleted"),
         ARRIVAL,
         fault.alias("__fault"),
     ]
 
 
 def _rankable(events: DataFrame, spec: TableSpec, quarantine: bool) -> DataFrame:
-    """Events without a fault; one with a fault fails the job unless they are quarantined."""
+    """Events without a fault; one with a fault fails the job unless they are quarantined.
+
+    The failure is part of the key that is ranked by. As a filter it would move below the columns and take every payload
+    apart a second time.
+    """
     if quarantine:
         return events.where(F.col("__fault").isNull())
-    error = F.raise_error(F.concat(F.lit(f"{spec.name}: "), "__fault"))
-    return events.where(F.when(F.col("__fault").isNotNull(), error).otherwise(F.lit(True)))
+    error = F.raise_error(F.concat(F.lit(f"{spec.name}: "), "__fault")).cast("bigint")
+    return events.withColumn("__key", F.when(F.col("__fault").isNotNull(), error).otherwise(F.col("__key")))
 
 
 def current_state(landing: DataFrame, spec: TableSpec, nulls: str = "first", quarantine: bool = False) -> DataFrame:

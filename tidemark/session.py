@@ -6,7 +6,8 @@ import datetime as dt
 import tempfile
 import uuid
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,18 @@ def constant_rows(spark: SparkSession, rows: Iterable[Sequence], schema: str) ->
     return one.select(F.inline(F.array(*values)))
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int = 16) -> Iterator[None]:
+    """Writes by partition keep up to `most` files open in a task; else each task sorts its events by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

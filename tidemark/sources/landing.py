@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.payload import meta_columns, typed_columns
 from tidemark.functions.scalars import epoch_ms_to_timestamp
+from tidemark.session import open_writers
 from tidemark.sources.registry import ARRIVAL, META_FIELDS, TableSpec
 
 LANDING_SCHEMA = T.StructType(
@@ -61,7 +62,8 @@ def write_landing(landing: DataFrame, path: str, mode: str = "append", rebalance
     written by many tasks.
     """
     rows = landing.hint("rebalance", "__table") if rebalance else landing
-    rows.write.mode(mode).partitionBy("__table").parquet(path)
+    with open_writers(rows.sparkSession):
+        rows.write.mode(mode).partitionBy("__table").parquet(path)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
