@@ -250,7 +250,7 @@ def test_latest_per_key_limits_before_the_shuffle(spark, physical):
 def test_a_payload_is_taken_apart_once_and_its_table_dealt_by_size(spark, sf_dir, physical):
     """One pass over the payload for ranking and columns; parts that adaptive execution sizes, not one for each core."""
     plan = physical(current_typed(sample.landing_of(spark, sf_dir, "sales_invoice_item"), TABLES["sales_invoice_item"]))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "RoundRobinPartitioning" not in plan
+    assert "REBALANCE_PARTITIONS_BY_NONE" in plan and "REPARTITION_BY_NUM" not in plan
     passes = [line for line in plan.splitlines() if "try_variant_get(payload" in line and "StructField" in line]
     ranked = [line for line in plan.splitlines() if "Filter" in line and "$.item_id" in line]
     assert len(passes) == 1 and not ranked

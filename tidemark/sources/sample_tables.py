@@ -26,13 +26,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table dealt out by its key: the sample files are one row group each, which one task reads.
+    """A table dealt out evenly: the sample files are one row group each, which one task reads.
 
     Adaptive execution gives every core a part of a small table, and a large one parts of bounded size, so that what a
     task sorts does not grow with the table.
     """
-    rows = read_table(spark, sf_dir, name)
-    return rows.hint("rebalance", rows.columns[0])
+    return read_table(spark, sf_dir, name).hint("rebalance")
 
 
 def money(column: str, kind: str = "decimal(10,2)") -> Column:
