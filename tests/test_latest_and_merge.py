@@ -16,6 +16,7 @@ from tidemark.operators.latest import (
     replay_order,
     snapshot_plus_tail,
 )
+from tidemark.plans.queries import QUERIES
 from tidemark.sources import sample_tables as sample
 from tidemark.sources.registry import ARRIVAL, TABLES
 from tidemark.streaming import drain as drains
@@ -254,3 +255,13 @@ def test_a_payload_is_taken_apart_once_and_its_table_dealt_by_size(spark, sf_dir
     passes = [line for line in plan.splitlines() if "try_variant_get(payload" in line and "StructField" in line]
     ranked = [line for line in plan.splitlines() if "Filter" in line and "$.item_id" in line]
     assert len(passes) == 1 and not ranked
+
+
+@pytest.mark.parametrize("name, tables", [("fact_purchases", 2), ("fact_sales", 2), ("reversal_links", 2)])
+def test_a_join_takes_no_payload_apart_again_and_gathers_no_side(spark, sf_dir, physical, name, tables):
+    """The filters that a join adds for its key read fields that are there already; both sides are shuffled."""
+    plan = physical(QUERIES[name](spark, sf_dir))
+    passes = [line for line in plan.splitlines() if "try_variant_get(payload" in line and "StructField" in line]
+    assert len(passes) == tables and all("Generate explode" in line for line in passes)
+    assert sum(line.count("StructField(created_at") for line in passes) == tables
+    assert "Broadcast" not in plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,12 +30,21 @@ def field(name: str, kind: str = "string", payload: str = "payload", strict: boo
 def event_row(spec: TableSpec) -> Column:
     """All columns of a table and the event metadata in wire types, in one pass over the payload.
 
-    A value of the wrong type is null. Columns of one `select` that read from it share the pass.
+    A value of the wrong type is null.
     """
     fields = T.StructType([*spec.wire_schema.fields, *META_FIELDS])
     return F.try_variant_get("payload", "$", fields.simpleString())
 
 
+def with_event(landing: DataFrame, spec: TableSpec) -> DataFrame:
+    """Landed events with their event row as `__event`, made once for each event.
+
+    It comes out of an array of one, since filters on its fields, such as those a join adds for its key, would be pushed
+    below a projection and take every payload apart again for each field they read.
+    """
+    return landing.select("*", F.explode(F.array(event_row(spec))).alias("__event"))
+
+
 def typed_columns(spec: TableSpec, strict: bool = True) -> list[Column]:
     """All columns of a table, decoded from the payload."""
     return [field(name, kind, strict=strict).alias(name) for name, kind in spec.columns.items()]
@@ -52,8 +61,8 @@ def meta_columns(strict: bool = True) -> list[Column]:
 
 
 def wire_row(spec: TableSpec) -> Column:
-    """The columns of a table of the event row; null for a payload that is no object."""
-    row = event_row(spec)
+    """The columns of a table of `__event`; null for a payload that is no object."""
+    row = F.col("__event")
     return F.when(row.isNotNull(), F.struct(*[row.getField(f.name).alias(f.name) for f in spec.wire_schema.fields]))
 
 

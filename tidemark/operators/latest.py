@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.payload import event_row, field, from_wire, malformed, wire_row
+from tidemark.functions.payload import field, from_wire, malformed, wire_row, with_event
 from tidemark.functions.scalars import delete_flag
 from tidemark.operators.reconcile import side_by_side
 from tidemark.sources.landing import table_log
@@ -45,13 +45,13 @@ def not_deleted(deleted: Column) -> Column:
 
 
 def _ranked_fields(spec: TableSpec) -> list[Column]:
-    """What ranking needs of an event, and `__fault`: why it cannot be ranked, else null.
+    """What ranking needs of `__event`, and `__fault`: why it cannot be ranked, else null.
 
     A key, LSN or source time that is there but of the wrong type is a fault. So
     is a missing key, which would put all such events under one null.
     """
 
-    row = event_row(spec)
+    row = F.col("__event")
 
     def unread(name: str) -> Column:
         return row.getField(name).isNull() & field(name, strict=False).isNotNull()
@@ -74,8 +74,7 @@ def _ranked_fields(spec: TableSpec) -> list[Column]:
 def _rankable(events: DataFrame, spec: TableSpec, quarantine: bool) -> DataFrame:
     """Events without a fault; one with a fault fails the job unless they are quarantined.
 
-    The failure is part of the key that is ranked by. As a filter it would move below the columns and take every payload
-    apart a second time.
+    The failure is part of the key that is ranked by.
     """
     if quarantine:
         return events.where(F.col("__fault").isNull())
@@ -90,14 +89,14 @@ def current_state(landing: DataFrame, spec: TableSpec, nulls: str = "first", qua
     version before the delete. An event that cannot be ranked fails the job; with
     `quarantine` it is left to `quarantined`.
     """
-    events = table_log(landing, spec.name).select("payload", *_ranked_fields(spec))
+    events = with_event(table_log(landing, spec.name), spec).select("payload", *_ranked_fields(spec))
     newest = latest_per_key(_rankable(events, spec, quarantine), ["__key"], replay_order(nulls))
     return live_rows(newest).select("payload")
 
 
 def newest_typed(landing: DataFrame, spec: TableSpec, nulls: str = "first", quarantine: bool = False) -> DataFrame:
     """Newest event per key with its order, `__deleted`, the wire row as `__row` and whether that is `__malformed`."""
-    events = table_log(landing, spec.name).select(
+    events = with_event(table_log(landing, spec.name), spec).select(
         *_ranked_fields(spec),
         wire_row(spec).alias("__row"),
         malformed(spec, wire_row(spec), decimals=quarantine).alias("__malformed"),
@@ -132,7 +131,7 @@ def quarantined(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> Da
 
     Those that cannot be ranked, and current rows with a malformed value.
     """
-    events = table_log(landing, spec.name).select("payload", *_ranked_fields(spec))
+    events = with_event(table_log(landing, spec.name), spec).select("payload", "__event", *_ranked_fields(spec))
     unranked = events.where(F.col("__fault").isNotNull()).select("payload", ARRIVAL, F.col("__fault").alias("reason"))
     ranked = _rankable(events.withColumn("__malformed", malformed(spec, wire_row(spec), decimals=True)), spec, True)
     newest = live_rows(latest_per_key(ranked, ["__key"], replay_order(nulls))).where("__malformed")
@@ -141,7 +140,7 @@ def quarantined(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> Da
 
 def replay_account(landing: DataFrame, spec: TableSpec, nulls: str = "first") -> DataFrame:
     """One row: events = current + superseded + deleted + quarantined, each counted."""
-    events = table_log(landing, spec.name).select(*_ranked_fields(spec))
+    events = with_event(table_log(landing, spec.name), spec).select(*_ranked_fields(spec))
     seen = events.agg(F.count("*").alias("events"), F.count("__fault").alias("unranked"))
     newest = newest_typed(landing, spec, nulls, quarantine=True)
     live = not_deleted(F.col("__deleted"))
