@@ -129,6 +129,18 @@ def test_typed_landing_has_the_declared_schema(spark):
     assert typed.first().updated_at == dt.datetime(1970, 1, 1, 0, 0, 1)
 
 
+def test_typed_landing_takes_each_payload_apart_once(spark, physical):
+    spec = TABLES["customer"]
+    typed = landing.typed_landing(landing.parse_landing(raw(spark, [customer(1), customer(None, first_name=None)])), spec)
+    passes = [line for line in physical(typed).splitlines() if "try_variant_get(payload" in line and "StructField" in line]
+    assert len(passes) == 1 and "Generate explode" in passes[0]
+    assert not any(f"variant_get(payload#{n}, $.first_name" in physical(typed) for n in range(1000))
+    assert sorted((r.first_name or "", r["__lsn"] or 0) for r in typed.collect()) == [("", 0), ("A", 1)]
+    for bad in (customer(1, created_at="soon"), customer("x")):
+        with pytest.raises(Exception, match="malformed"):
+            landing.typed_landing(landing.parse_landing(raw(spark, [bad])), spec).collect()
+
+
 def test_schema_evolution(spark, tmp_path, as_rows):
     old = spark.createDataFrame([(1, "a")], "id int, name string")
     new = spark.createDataFrame([(2, 5)], "id int, size int")
