@@ -243,3 +243,21 @@ def test_gaps_of_a_very_long_range(spark):
     nothing = state.where("false")
     assert [tuple(r) for r in reconcile.missing_intervals(nothing, "key", 3, 9).collect()] == [(3, 9)]
     assert reconcile.missing_intervals(nothing, "key", 0, -1).count() == 0
+
+
+def test_a_state_that_is_not_there_yet_costs_a_join_no_shuffle(spark, physical):
+    rows = spark.range(10).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    state = BucketState(spark, f"{fresh_dir(spark, 'test-absent')}/state", rows.schema, ["k"], 4)
+    old = state.read([0, 1]).select("k", F.col("v").alias("old"))
+    assert "Exchange" not in physical(rows.join(old.hint("merge"), "k", "left"))
+    state.upsert(rows)
+    assert state.read().count() == 10
+
+
+def test_both_loads_are_made_in_one_pass_over_the_logs(spark, sf_dir):
+    kept = kept_models(spark, sf_dir, ["supplier"])
+    raw = f"{kept.root.removesuffix('/models')}/raw"
+    assert [n for n in child_names(spark, raw) if n.startswith("late=")] == ["late=0", "late=1"]
+    loads = {r.load: r.n for r in kept.landing.manifest().groupBy("load").agg(F.sum("events").alias("n")).collect()}
+    counts = spark.read.parquet(raw).groupBy("late").count().collect()
+    assert loads == {r.late: r["count"] for r in counts} and len(loads) == 2

@@ -164,7 +164,7 @@ class IncrementalModels:
 
     def _find_changes(self, table: str, after: int, run: int) -> None:
         state, path = self.states[table], self._run_path(run, f"new-{table}")
-        self._new_versions(table, after, run).write.mode("overwrite").parquet(path)
+        self._new_versions(table, after, run).write.mode("overwrite").option("compression", "zstd").parquet(path)
         new = self.spark.read.schema(self._version_schema(table)).parquet(path)
         old = state.read(state.touched(new)).select("__key", F.struct(*[f.name for f in _META], "row").alias("old"))
         meta = [F.col(f"new.{f.name}").alias(f.name) for f in _META]
@@ -172,7 +172,7 @@ class IncrementalModels:
         changed = both.where(F.col("old").isNull() | newer("new", "old"))
         changed.select(*meta, F.col("old.row").alias("old_row"), F.col("new.row").alias("new_row")).write.mode(
             "overwrite"
-        ).parquet(self._run_path(run, table))
+        ).option("compression", "zstd").parquet(self._run_path(run, table))
 
     def run(self) -> list[str]:
         """Take in the loads that came since the last run; names the tables that had events."""

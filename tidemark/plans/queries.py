@@ -28,7 +28,7 @@ from tidemark.plans.incremental import IncrementalModels
 from tidemark.plans.load_test import run_load_test
 from tidemark.plans.models import DIMENSIONS, FACTS, INTERMEDIATE, MARTS, STAGING, Models
 from tidemark.plans.staging import stage
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, open_writers
 from tidemark.sources import extract, landing
 from tidemark.sources import sample_tables as sample
 from tidemark.sources.landing import to_payload
@@ -164,9 +164,11 @@ def kept_models(spark: SparkSession, sf_dir: str, tables: Sequence[str], buckets
     kept = IncrementalModels(spark, landed, f"{root}/models", tables, buckets)
     raw = _union([to_payload(sample.LOGS[table](spark, sf_dir)) for table in tables])
     late = F.crc32(F.col("value").cast("binary")) % 3 == 0
-    for part in (raw.where(~late), raw.where(late)):
-        part.write.mode("append").parquet(f"{root}/raw")
-        landed.drain(drains.raw_file_stream(spark, f"{root}/raw"), f"{root}/checkpoint")
+    # both parts in one pass over the logs; the second run of the stream sees the folder of late events too
+    with open_writers(spark):
+        raw.withColumn("late", late.cast("int")).write.option("compression", "zstd").partitionBy("late").parquet(f"{root}/raw")
+    for folders in ("late=[0]", "late=[01]"):
+        landed.drain(drains.raw_file_stream(spark, f"{root}/raw/{folders}"), f"{root}/checkpoint")
         kept.run()
     return kept
 

@@ -43,7 +43,8 @@ class BucketState:
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The rows, with their bucket; of some buckets only, if given."""
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], self.schema)
+            # false as a plan: a join with a state that is not there yet is planned away, and shuffles nothing
+            return self.spark.createDataFrame([], self.schema).where("false")
         rows = self.spark.read.schema(self.schema).parquet(self.path)
         return rows if buckets is None else rows.where(F.col(BUCKET).isin(list(buckets)))
 
@@ -53,7 +54,7 @@ class BucketState:
         # one file for each bucket, more where adaptive execution finds it large
         dealt.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.keys).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy(BUCKET).parquet(self.path)
+        ).option("compression", "zstd").partitionBy(BUCKET).parquet(self.path)
 
     def upsert(self, rows: DataFrame) -> list[int]:
         """Put rows, one per key, in place of those with their keys; says which buckets were rewritten. Repeating it is harmless."""

@@ -43,7 +43,7 @@ class DatedLanding:
         path = f"{self.events_path}/__load={load}"
         rows = parse_landing(raw).withColumn("__date", F.to_date(ARRIVAL))
         with open_writers(raw.sparkSession):
-            rows.write.mode("overwrite").partitionBy("__table", "__date").parquet(path)
+            rows.write.mode("overwrite").option("compression", "zstd").partitionBy("__table", "__date").parquet(path)
         held = self._read([path]).groupBy("__load", "__table", "__date").agg(F.count("*").alias("events"))
         held.select(
             F.col("__load").alias("load"), F.col("__table").alias("table_name"), F.col("__date").alias("day"), "events"
