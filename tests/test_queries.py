@@ -4,7 +4,7 @@ import pathlib
 import pytest
 
 from __spark_entry__ import entry
-from tidemark.plans.models import INTERMEDIATE, Models, save_bucketed
+from tidemark.plans.models import INTERMEDIATE, STAGING, Models, save_bucketed
 from tidemark.session import fresh_dir, shared_dir
 from tidemark.sources import sample_tables as sample
 from tidemark.plans.oracle import ORACLE_SQL as ORACLES
@@ -90,3 +90,11 @@ def test_joins_on_a_unique_key_use_the_partitioning_of_log_replay(spark, sf_dir,
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_source_rules_write_staging_only(spark, sf_dir):
+    path = f"{sf_dir}/."  # a warehouse of its own
+    assert QUERIES["source_rules"](spark, path).count() > 0
+    mart = warehouse(spark, path, STAGING)["fct_payables"]
+    assert mart.inputFiles() and all("/stg_" in file for file in mart.inputFiles())
+    assert warehouse(spark, path, [*STAGING, "fct_payables"])["fct_payables"].inputFiles()[0].count("/fct_payables/") == 1
