@@ -98,3 +98,7 @@ def test_source_rules_write_staging_only(spark, sf_dir):
     mart = warehouse(spark, path, STAGING)["fct_payables"]
     assert mart.inputFiles() and all("/stg_" in file for file in mart.inputFiles())
     assert warehouse(spark, path, [*STAGING, "fct_payables"])["fct_payables"].inputFiles()[0].count("/fct_payables/") == 1
+
+
+def test_metric_samples_are_dealt_out(spark, sf_dir, physical):
+    assert "REBALANCE" in physical(sample.metric_samples(spark, sf_dir)).upper()

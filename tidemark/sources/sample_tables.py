@@ -540,7 +540,7 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as metric samples of two streams, by user, scaled to come near the alarm limits."""
-    events = read_table(spark, sf_dir, "events")
+    events = _source(spark, sf_dir, "events")
     names = F.expr(
         "case event_type when 'signup' then array('OldestReplicationSlotLag', 'FreeStorageSpace') "
         "when 'purchase' then array('GetRecords.IteratorAgeMilliseconds', 'UsageLimitConsumed') "
