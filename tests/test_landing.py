@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.payload import field, typed_columns
 from tidemark.operators.latest import current_state, current_typed, quarantined, replay_account
 from tidemark.plans.staging import stage
-from tidemark.sources import landing
+from tidemark.sources import landing, sample_tables
 from tidemark.sources.registry import ARRIVAL, TABLES
 from tidemark.streaming import drain as drains
 from tidemark.streaming.dated_landing import DatedLanding
@@ -183,3 +183,27 @@ def test_events_are_routed_without_sorting_them_by_table(spark, tmp_path, monkey
     assert sorted(r[0] for r in landing.read_landing(spark, str(tmp_path / "landing")).select("__table").collect()) == [
         "customer", "product",
     ]
+
+
+def plan(frame) -> str:
+    return frame._jdf.queryExecution().toString()
+
+
+def test_logs_are_dealt_by_key_without_a_sort(spark, tmp_path):
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    orders = spark.createDataFrame([(k, k % 3, "F", 9000.0 + k, dt.datetime(1996, 2, 28, 23, 30), "1-URGENT") for k in range(20)], columns)
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    log = sample_tables.sales_invoice_log(spark, str(tmp_path))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(log) and "REBALANCE_PARTITIONS_BY_NONE" not in plan(log)
+    moved = log.where("invoice_id = 3 and __op = 'c'").select("invoice_date", "created_at").first()
+    at = dt.datetime(1996, 2, 28, 23, 30, tzinfo=dt.timezone.utc) + dt.timedelta(days=sample_tables.SHIFT_DAYS, hours=10)
+    assert tuple(moved) == (at.timestamp() * 1000, (at + dt.timedelta(hours=1)).timestamp() * 1000)
+
+
+def test_texts_are_parsed_in_compiled_code_and_replay_decodes_no_more_than_it_reads(spark):
+    events = landing.parse_landing(raw(spark, [customer(1), "{", None, "null"]))
+    assert "lambda" not in plan(events)
+    texts = [json.loads(r[0]) for r in events.select(F.to_json("payload")).collect()]
+    assert texts == [json.loads(customer(1)), None]
+    staged = plan(stage(events, "customer"))
+    assert "StructField(__lsn" in staged and "StructField(__op" not in staged and "StructField(__table" not in staged
