@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
@@ -207,3 +208,14 @@ def test_texts_are_parsed_in_compiled_code_and_replay_decodes_no_more_than_it_re
     assert texts == [json.loads(customer(1)), None]
     staged = plan(stage(events, "customer"))
     assert "StructField(__lsn" in staged and "StructField(__op" not in staged and "StructField(__table" not in staged
+
+
+def test_a_written_landing_holds_payloads_whole(spark, tmp_path):
+    key = "spark.sql.variant.writeShredding.enabled"
+    before = spark.conf.get(key)
+    events = landing.parse_landing(raw(spark, [customer(1), customer(2, email="a@b.test")]))
+    landing.write_landing(events, f"{tmp_path}/landing")
+    assert spark.conf.get(key) == before
+    for file in (tmp_path / "landing").rglob("*.parquet"):
+        assert pq.read_schema(file).field("payload").type.num_fields == 2  # value and metadata
+    assert stage(landing.read_landing(spark, f"{tmp_path}/landing"), "customer").select("email").first()[0] == "a@b.test"
