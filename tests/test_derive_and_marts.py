@@ -1,10 +1,12 @@
 import datetime as dt
+import time
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import derive
 from tidemark.plans import marts
+from tidemark.plans.models import Models
 
 D = Decimal
 DAY = dt.datetime(2026, 8, 1)
@@ -134,3 +136,24 @@ def test_failure_rate(spark, as_rows):
     rows = spark.createDataFrame([("Failed",), ("Posted",), ("Posted",), ("Reversed",), ("Pending",), (None,)], "status string")
     assert as_rows(marts.kpi_failure_rate(rows)) == [(1, 4, 0.25)]
     assert as_rows(marts.kpi_failure_rate(rows.where("status = 'Pending'"))) == [(0, 0, None)]
+
+
+def _shuffled(spark):
+    """Files of shuffles on this machine."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.length()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_written_models_leave_no_shuffle_behind(spark, tmp_path):
+    """Models written side by side hold on disk what they shuffle only until they are written."""
+    models = Models(spark, lambda table: None)
+    for name in ("stg_customer", "stg_card", "stg_supplier"):
+        models.replace(name, spark.range(1000).repartition(4, "id"))
+    before = _shuffled(spark)
+    models.materialize(str(tmp_path), ["stg_customer", "stg_card", "stg_supplier", "dim_customer"])
+    until = time.monotonic() + 20
+    while (left := _shuffled(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+    assert models["dim_customer"].count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
