@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -261,3 +262,31 @@ def test_both_loads_are_made_in_one_pass_over_the_logs(spark, sf_dir):
     loads = {r.load: r.n for r in kept.landing.manifest().groupBy("load").agg(F.sum("events").alias("n")).collect()}
     counts = spark.read.parquet(raw).groupBy("late").count().collect()
     assert loads == {r.late: r["count"] for r in counts} and len(loads) == 2
+
+
+def _shuffled(spark):
+    """Files of shuffles on this machine."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.length()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_a_run_leaves_on_disk_what_later_runs_read(spark, kept):
+    """Shuffles end with the run, and new versions are kept once, in the changes."""
+    landed, models = kept
+    for load in (0, 1):
+        landed.write(raw(spark, [entry(n, n, n % 3, 5 + load, 10 * load + n) for n in range(20)]), load)
+        before = _shuffled(spark)
+        assert models.run() == ["ledger_entry"]
+        assert child_names(spark, f"{models.root}/runs/run-{load:012d}") == ["found", "ledger_entry"]
+        until = time.monotonic() + 20
+        while (left := _shuffled(spark) - before) and time.monotonic() < until:
+            time.sleep(0.2)
+        assert not left
+    assert balances(models) == replayed(spark, landed)
+
+
+def test_landed_text_is_not_kept(spark, sf_dir):
+    """The queries over two loads keep the landing and the states, not the text that was landed."""
+    kept = kept_models(spark, sf_dir, ["supplier"], keep_text=False)
+    assert child_names(spark, kept.root.removesuffix("/models")) == ["checkpoint", "landing", "models"]
+    assert kept.staged("supplier").count() == Models(spark, lambda t: sample.landing_of(spark, sf_dir, t))["stg_supplier"].count()

@@ -19,7 +19,7 @@ from tidemark.functions.scalars import signed_quantity
 from tidemark.operators.latest import newest_typed, not_deleted
 from tidemark.plans.models import Models
 from tidemark.plans.staging import stage_rows
-from tidemark.session import child_names, committed, remove
+from tidemark.session import child_names, committed, freed_shuffles, remove
 from tidemark.sources.registry import ARRIVAL, TABLES
 from tidemark.streaming.bucket_state import BucketState
 from tidemark.streaming.dated_landing import DatedLanding
@@ -173,6 +173,7 @@ class IncrementalModels:
         changed.select(*meta, F.col("old.row").alias("old_row"), F.col("new.row").alias("new_row")).write.mode(
             "overwrite"
         ).option("compression", "zstd").parquet(self._run_path(run, table))
+        remove(self.spark, path)  # all of it that counts is in the changes; a run that starts anew makes it anew
 
     def run(self) -> list[str]:
         """Take in the loads that came since the last run; names the tables that had events."""
@@ -182,15 +183,16 @@ class IncrementalModels:
         upto = next((n for n in begun if n > after and self._found(n)), self.landing.newest())
         if upto <= after:
             return []
-        held = self.landing.manifest(after, upto).where(F.col("table_name").isin(self.tables))
-        names = {r.table_name for r in held.select("table_name").distinct().collect()}
-        moved = [t for t in self.tables if t in names]
-        if not self._found(upto):
+        with freed_shuffles(self.spark):
+            held = self.landing.manifest(after, upto).where(F.col("table_name").isin(self.tables))
+            names = {r.table_name for r in held.select("table_name").distinct().collect()}
+            moved = [t for t in self.tables if t in names]
+            if not self._found(upto):
+                for table in moved:
+                    self._find_changes(table, after, upto)
+                self.spark.range(1).write.mode("overwrite").parquet(self._run_path(upto, "found"))
             for table in moved:
-                self._find_changes(table, after, upto)
-            self.spark.range(1).write.mode("overwrite").parquet(self._run_path(upto, "found"))
-        for table in moved:
-            self.apply(table, upto)
+                self.apply(table, upto)
         self.landing.advance(self.consumer, upto)
         return moved
 

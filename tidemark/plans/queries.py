@@ -28,7 +28,7 @@ from tidemark.plans.incremental import IncrementalModels
 from tidemark.plans.load_test import run_load_test
 from tidemark.plans.models import DIMENSIONS, FACTS, INTERMEDIATE, MARTS, STAGING, Models
 from tidemark.plans.staging import stage
-from tidemark.session import fresh_dir, open_writers
+from tidemark.session import fresh_dir, freed_shuffles, open_writers, remove
 from tidemark.sources import extract, landing
 from tidemark.sources import sample_tables as sample
 from tidemark.sources.landing import to_payload
@@ -160,40 +160,47 @@ def landing_by_day(spark, sf_dir):
     )
 
 
-def kept_models(spark: SparkSession, sf_dir: str, tables: Sequence[str], buckets: int = 8) -> IncrementalModels:
-    """Models kept over two loads. A third of all events comes late, so older versions and deletes follow newer ones."""
+def kept_models(
+    spark: SparkSession, sf_dir: str, tables: Sequence[str], buckets: int = 8, keep_text: bool = True
+) -> IncrementalModels:
+    """Models kept over two loads. A third of all events comes late, so older versions and deletes follow newer ones.
+
+    Without `keep_text` the text of the events goes once all of it is landed.
+    """
     root = fresh_dir(spark, "kept")
     landed = DatedLanding(spark, f"{root}/landing")
     kept = IncrementalModels(spark, landed, f"{root}/models", tables, buckets)
     raw = _union([to_payload(sample.LOGS[table](spark, sf_dir)) for table in tables])
     late = F.crc32(F.col("value").cast("binary")) % 3 == 0
     # both parts in one pass over the logs; the second run of the stream sees the folder of late events too
-    with open_writers(spark):
+    with open_writers(spark), freed_shuffles(spark):
         raw.withColumn("late", late.cast("int")).write.option("compression", "zstd").partitionBy("late").parquet(f"{root}/raw")
-    for folders in ("late=[0]", "late=[01]"):
+    for second, folders in enumerate(("late=[0]", "late=[01]")):
         landed.drain(drains.raw_file_stream(spark, f"{root}/raw/{folders}"), f"{root}/checkpoint")
+        if second and not keep_text:
+            remove(spark, f"{root}/raw")
         kept.run()
     return kept
 
 
 @query
 def incremental_dim_account(spark, sf_dir):
-    return kept_models(spark, sf_dir, ["account", "ledger_entry"]).models()["dim_account"]
+    return kept_models(spark, sf_dir, ["account", "ledger_entry"], keep_text=False).models()["dim_account"]
 
 
 @query
 def incremental_dim_product(spark, sf_dir):
-    return kept_models(spark, sf_dir, ["product", "inventory_movement"]).models()["dim_product"]
+    return kept_models(spark, sf_dir, ["product", "inventory_movement"], keep_text=False).models()["dim_product"]
 
 
 @query
 def incremental_fact_sales(spark, sf_dir):
-    return kept_models(spark, sf_dir, ["sales_invoice", "sales_invoice_item"]).models()["fact_sales"]
+    return kept_models(spark, sf_dir, ["sales_invoice", "sales_invoice_item"], keep_text=False).models()["fact_sales"]
 
 
 @query
 def incremental_fct_ledger_entries(spark, sf_dir):
-    return kept_models(spark, sf_dir, ["ledger_entry"]).models()["fct_ledger_entries"]
+    return kept_models(spark, sf_dir, ["ledger_entry"], keep_text=False).models()["fct_ledger_entries"]
 
 
 @query

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import child_names, committed, constant_rows, open_writers, remove
+from tidemark.session import child_names, committed, constant_rows, open_writers, remove, whole_payloads
 from tidemark.sources.landing import LANDING_SCHEMA, parse_landing
 from tidemark.sources.registry import ARRIVAL
 from tidemark.streaming.drain import finish
@@ -42,7 +42,7 @@ class DatedLanding:
         """Land one batch of event text as load `load`; a repeated batch replaces its own folder."""
         path = f"{self.events_path}/__load={load}"
         rows = parse_landing(raw).withColumn("__date", F.to_date(ARRIVAL))
-        with open_writers(raw.sparkSession):
+        with open_writers(raw.sparkSession), whole_payloads(raw.sparkSession):
             rows.write.mode("overwrite").option("compression", "zstd").partitionBy("__table", "__date").parquet(path)
         held = self._read([path]).groupBy("__load", "__table", "__date").agg(F.count("*").alias("events"))
         held.select(
