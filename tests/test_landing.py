@@ -219,3 +219,16 @@ def test_a_written_landing_holds_payloads_whole(spark, tmp_path):
     for file in (tmp_path / "landing").rglob("*.parquet"):
         assert pq.read_schema(file).field("payload").type.num_fields == 2  # value and metadata
     assert stage(landing.read_landing(spark, f"{tmp_path}/landing"), "customer").select("email").first()[0] == "a@b.test"
+
+
+def test_typed_landing_makes_its_metadata_without_a_text(spark, physical):
+    """The same objects as by way of JSON, an empty one for an event without an arrival."""
+    rows = [(T0, customer(1)), (dt.datetime(1969, 12, 31, 23, 59, 59, 999000), customer(2)), (None, customer(3))]
+    events = landing.parse_landing(spark.createDataFrame(rows, drains.RAW_SCHEMA))
+    typed = landing.typed_landing(events, TABLES["customer"])
+    assert "to_json" not in physical(typed) and "StructsToJson" not in physical(typed)
+    by_text = F.parse_json(F.to_json(F.struct(F.unix_millis(F.col(ARRIVAL).cast("timestamp")).alias("arrival_ms"))))
+    want = {bytes(r.m.value) for r in events.select(by_text.alias("m")).collect()}
+    got = typed.select("__lsn", F.col("record_metadata").alias("m"), F.to_json("record_metadata").alias("t")).collect()
+    assert {r.t for r in got} == {'{"arrival_ms":1725148800000}', '{"arrival_ms":-1}', "{}"}
+    assert {bytes(r.m.value) for r in got} == want
